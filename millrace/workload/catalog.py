@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import incremental, timeline  # noqa: F401
+from . import aggregates, incremental, joins, timeline  # noqa: F401
 from .registry import QUERIES, TWINS
 
 __all__ = ["QUERIES", "TWINS"]
