@@ -25,9 +25,9 @@ def width_us(width: timedelta) -> int:
 
 
 def epoch_us(at: str | Column) -> Column:
-    """Microseconds since the epoch, exact and independent of DST."""
+    """Microseconds since the epoch, exact and independent of DST; dates and ISO strings work too."""
     zero = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return F.timestamp_diff("MICROSECOND", zero, _col(at))
+    return F.timestamp_diff("MICROSECOND", zero, _col(at).cast("timestamp_ntz"))
 
 
 def epoch_s(at: str | Column) -> Column:

@@ -11,17 +11,37 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_us, width_us
 from ..functions.values import in_interval
+from .timeline import last_known, next_in_key
 
 
 def close_intervals(
-    dim: DataFrame, keys: Sequence[str], lo: str, hi: str, ties: Sequence[str] = ()
+    dim: DataFrame,
+    keys: Sequence[str],
+    lo: str,
+    hi: str,
+    ties: Sequence[str] = (),
+    width: timedelta | None = None,
 ) -> DataFrame:
     """End each assignment no later than the key's next one starts, so at most one covers any instant.
 
-    Of several rows with the same start only the last by ``ties`` keeps a non-empty interval.
+    Of several rows with the same start only the last by ``ties`` keeps a non-empty interval.  A key
+    with very many assignments needs ``width``: its timeline is then cut into cells.
     """
-    order = W.partitionBy(*keys).orderBy(lo, *ties)
-    return dim.withColumn(hi, F.least(F.col(hi), F.lead(lo).over(order)))
+    if width is None:
+        order = W.partitionBy(*keys).orderBy(lo, *ties)
+        return dim.withColumn(hi, F.least(F.col(hi), F.lead(lo).over(order)))
+    near = next_in_key(dim, keys, lo, {lo: "_next_lo"}, ties, width)
+    return near.withColumn(hi, F.least(hi, "_next_lo")).drop("_next_lo")
+
+
+def fits_direct(
+    dim: DataFrame, keys: Sequence[str], max_rows: int = 100_000, max_per_key: int = 64
+) -> bool:
+    """Whether a dimension is small enough to broadcast, and shallow enough to test every interval of
+    a key against each of its facts.  Looks at no more than ``max_rows + 1`` rows."""
+    depth = dim.select(*keys).limit(max_rows + 1).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n, deepest = depth.agg(F.sum("_n"), F.max("_n")).first()
+    return n is None or (n <= max_rows and deepest <= max_per_key)
 
 
 def interval_join(
@@ -35,42 +55,94 @@ def interval_join(
     resolve: str = "repair",
     fact_key: Sequence[str] = (),
     ties: Sequence[str] = (),
+    width: timedelta = timedelta(days=30),
+    direct: bool | None = None,
 ) -> DataFrame:
     """Attributes in effect at the fact's own time; ``take`` maps attribute -> default (None: NULL).
 
-    ``repair``  close the overlapping intervals of the dimension first; the join is then at most 1:1.
-    ``rank``    of the intervals that cover the fact, the latest start wins (ties by ``ties``, largest
-                first); needs the unique ``fact_key``.  An older interval shows again once a newer one
-                has ended, which ``repair`` rules out.
+    ``repair``  an interval ends where the key's next one starts, so at most one covers a fact.
+    ``rank``    of the intervals that cover the fact, the latest start wins (ties by ``ties``, then the
+                attributes, largest first); needs the unique ``fact_key``.  An older interval shows
+                again once a newer one has ended, which ``repair`` rules out.
+
+    A dimension that ``fits_direct`` is broadcast and joined on key and range.  Any other is merged
+    with the facts on one timeline, in cells of ``width``: no key meets all of its intervals.
     """
+    if resolve not in ("repair", "rank"):
+        raise ValueError(f"unknown resolution {resolve!r}")
     attrs = list(take)
+    if direct is None:
+        direct = fits_direct(dim, keys)
+    if direct:
+        found = _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties)
+    elif resolve == "repair":
+        found = _merged(fact, dim, keys, at, lo, hi, attrs, ties, width)
+    else:
+        found = _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width)
+    out = [
+        F.col(f"_hit.{a}").alias(a)
+        if default is None
+        else F.coalesce(F.col(f"_hit.{a}"), F.lit(default)).alias(a)
+        for a, default in take.items()
+    ]
+    return found.select(*fact.columns, *out)
+
+
+def _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties) -> DataFrame:
     side = close_intervals(dim, keys, lo, hi, ties) if resolve == "repair" else dim
     side = side.select(
         *[F.col(k).alias(f"_d_{k}") for k in keys],
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
-        *[F.col(t).alias(f"_t_{t}") for t in ties],
-        *[F.col(a).alias(f"_a_{a}") for a in attrs],
+        F.struct(lo, *ties, *attrs).alias("_hit"),
     )
     cond = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_d_{k}"))
-    joined = fact.join(side, cond, "left")
+    joined = fact.join(F.broadcast(side), cond, "left")
     if resolve == "rank":
-        order = [F.col("_lo").desc_nulls_last()]
-        order += [F.col(f"_t_{t}").desc_nulls_last() for t in ties]
-        order += [F.col(f"_a_{a}").desc_nulls_last() for a in attrs]
-        latest = W.partitionBy(*fact_key).orderBy(*order)
+        latest = W.partitionBy(*fact_key).orderBy(F.col("_hit").desc_nulls_last())
         joined = joined.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1")
-    elif resolve != "repair":
-        raise ValueError(f"unknown resolution {resolve!r}")
-    out = [
-        F.col(f"_a_{a}").alias(a)
-        if default is None
-        else F.coalesce(F.col(f"_a_{a}"), F.lit(default)).alias(a)
-        for a, default in take.items()
-    ]
-    return joined.select(*fact.columns, *out)
+    return joined
+
+
+def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width) -> DataFrame:
+    """The last start at or before the fact, kept if its interval has not ended."""
+    hit = F.struct(lo, *ties, *attrs)
+    history = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), *ties, hit.alias("_hit"))
+    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ties, width)
+    covered = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
+    return seen.withColumn("_hit", F.when(covered, F.col("_hit")))
+
+
+def _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width) -> DataFrame:
+    """Of the open intervals only the last start counts, so they are looked up as of the fact; closed
+    ones are listed under the cells they touch.  The later of the two finds wins."""
+    hit = F.struct(lo, *ties, *attrs)
+    tagged = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), hit.alias("_hit"))
+    still_open = tagged.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
+    seen = last_known(fact, still_open, keys, at, "_lo", ["_open"], ["_open"], width)
+    closed = _listed(tagged, keys, "_lo", "_hi", width, ["_hit"])
+    cond = (F.col("_cell") == F.col("_w_cell")) & (F.col("_lo") <= F.col(at)) & (F.col(at) < F.col("_hi"))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_w_{k}"))
+    met = seen.withColumn("_cell", cell_of(at, width)).join(closed, cond, "left")
+    latest = W.partitionBy(*fact_key).orderBy(F.col("_hit").desc_nulls_last())
+    best = met.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1")
+    return best.withColumn("_hit", F.greatest("_hit", "_open"))
+
+
+def _listed(windows: DataFrame, keys, lo: str, hi: str, width: timedelta, keep: Sequence[str] = ()) -> DataFrame:
+    """Each non-empty closed window once under every cell it touches."""
+    step = F.lit(width_us(width))
+    last = epoch_us(hi) - 1
+    return windows.filter(F.col(hi).isNotNull() & (F.col(lo) < F.col(hi))).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys],
+        F.col(lo).alias("_lo"),
+        F.col(hi).alias("_hi"),
+        *keep,
+        F.explode(F.sequence(cell_of(lo, width), last - F.pmod(last, step), step)).alias("_w_cell"),
+    )
 
 
 def exclude_intervals(
@@ -87,19 +159,7 @@ def exclude_intervals(
     A closed window is listed under every cell it touches and meets only the facts of that cell.
     Open windows of a key together cover everything from the earliest start on: one row per key.
     """
-    step = width_us(width)
-    closed = windows.filter(F.col(hi).isNotNull() & (F.col(lo) < F.col(hi))).select(
-        *[F.col(k).alias(f"_w_{k}") for k in keys],
-        F.col(lo).alias("_lo"),
-        F.col(hi).alias("_hi"),
-        F.explode(
-            F.sequence(
-                cell_of(lo, width),
-                epoch_us(hi) - 1 - F.pmod(epoch_us(hi) - 1, F.lit(step)),
-                F.lit(step),
-            )
-        ).alias("_w_cell"),
-    )
+    closed = _listed(windows, keys, lo, hi, width)
     forever = (
         windows.filter(F.col(hi).isNull())
         .groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys])

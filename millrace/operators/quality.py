@@ -87,14 +87,20 @@ def publish(df: DataFrame, gates: Gates, label: str = "publish") -> DataFrame:
     return check(materialise(df, "table", label), gates)
 
 
+def measure(df: DataFrame, aggs: Mapping[str, Column]):
+    """Several whole-table numbers in one pass, as one row."""
+    return df.agg(*[e.alias(name) for name, e in aggs.items()]).first()
+
+
 def row_count(df: DataFrame) -> int:
     """Rows at the raw input: the denominator of a conservation gate."""
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def exact_total(df: DataFrame, col: str, scale: int = 2):
-    """Order-independent sum for a reconciliation gate."""
-    return df.agg(F.coalesce(F.sum(F.col(col).cast(f"decimal(18,{scale})")), F.lit(0))).first()[0]
+def exact_total(col: str | Column, scale: int = 2) -> Column:
+    """Order-independent sum for a reconciliation gate; zero on empty input."""
+    value = F.col(col) if isinstance(col, str) else col
+    return F.coalesce(F.sum(value.cast(f"decimal(38,{scale})")), F.lit(0))
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:

@@ -7,11 +7,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timing import day_text, local_time, utc_of_local_midnight
+from ..functions.timing import day_text, local_time, stamp_text, utc_of_local_midnight
 from ..functions.values import between_days, count_where, exact_sum, money, pct_change
 from ..operators.intervals import interval_join
 from ..operators.joins import drop_if_exists, keep_if_exists, rollup_then_join, spine
-from ..operators.quality import Gates, exact_total, publish, row_count
+from ..operators.quality import Gates, exact_total, measure, publish
 from ..operators.ranking import keep_latest_counted
 from ..operators.timeline import trailing_avg, value_at_offset, versions
 from ..operators.upserts import apply_changes, latest_of_both
@@ -92,6 +92,7 @@ def region_daily(
     netted = rollup_then_join(
         placed, refunds, "order_id", {"_refund": F.sum(money("refund_amount"))}
     )
+    before = measure(live, {"orders": F.count(F.lit(1)), "gross": exact_total("_gross")})
     gross = F.sum("_gross")
     refund = F.coalesce(F.sum("_refund"), F.lit(0))
     out = netted.groupBy("order_date", "region").agg(
@@ -104,11 +105,8 @@ def region_daily(
         unique=["order_date", "region"],
         not_null=["order_date", "region"],
         totals={
-            "orders": (F.coalesce(F.sum("n_orders"), F.lit(0)), row_count(live)),
-            "gross": (
-                F.coalesce(F.sum(F.col("gross_gmv").cast("decimal(38,2)")), F.lit(0)),
-                exact_total(live, "_gross"),
-            ),
+            "orders": (F.coalesce(F.sum("n_orders"), F.lit(0)), before["orders"]),
+            "gross": (exact_total("gross_gmv"), before["gross"]),
         },
         ddl=REGION_DAILY,
     )
@@ -126,7 +124,8 @@ def campaign_daily(
 
     ``local``  the flight test on the local date, both ends inclusive.
     ``utc``    the same flight as a half-open UTC range per (campaign, market), tested on the raw
-               timestamp; the earliest and latest bound become a range filter at the scan.
+               timestamp; the earliest and latest bound, as literals of the column's own type, reach
+               the scan as pushed filters.
     """
     zones = placements.select("placement_id", "market_code").join(
         markets.select("market_code", "tz_name"), "market_code"
@@ -152,8 +151,15 @@ def campaign_daily(
             utc_of_local_midnight("_first", "tz_name").alias("_lo"),
             utc_of_local_midnight("_last", "tz_name", 1).alias("_hi"),
         )
-        lo, hi = bounded.agg(F.min("_lo"), F.max("_hi")).first()
-        near = slim.filter((at >= F.lit(lo)) & (at < F.lit(hi)))
+        edges = measure(
+            bounded,
+            {"lo": stamp_text(F.min("_lo")), "hi": stamp_text(F.max("_hi"))},
+        )
+        kind = dict(events.dtypes)["event_ts_utc"]
+        raw = F.col("event_ts_utc")
+        near = slim.filter(
+            (raw >= F.lit(edges["lo"]).cast(kind)) & (raw < F.lit(edges["hi"]).cast(kind))
+        )
         placed = near.join(zones, "placement_id").join(bounded, ["campaign_id", "market_code"])
         scoped = placed.filter((at >= F.col("_lo")) & (at < F.col("_hi"))).withColumn("_day", local_day)
     else:

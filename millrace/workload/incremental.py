@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -222,6 +222,51 @@ def effective_region_rank(t: Given):
     return serving.region_daily(_seller_orders(t), _assigned(t), _refunds(t), resolve="rank")
 
 
+_PLACED = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, coalesce(a.region, 'UNKNOWN') AS region
+FROM orders LEFT JOIN side a ON a.k = o_custkey AND a.valid_from <= strftime(o_orderdate, '%Y-%m-%d')
+  AND (a.valid_to IS NULL OR strftime(o_orderdate, '%Y-%m-%d') < a.valid_to)
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY a.valid_from DESC NULLS LAST, a.region DESC) = 1
+"""
+
+
+def _place(t: Given, resolve: str):
+    """The form for dimensions too large or too deep to broadcast."""
+    placed = intervals.interval_join(
+        _seller_orders(t),
+        _assigned(t),
+        ["seller_id"],
+        "order_date",
+        "valid_from",
+        "valid_to",
+        {"region": "UNKNOWN"},
+        resolve=resolve,
+        fact_key=["order_id"],
+        direct=False,
+    )
+    return placed.select("order_id", "region")
+
+
+@query(
+    "interval_merge_repair",
+    _ASSIGNED
+    + """, side AS (
+  SELECT k, region, valid_from,
+         least(coalesce(valid_to, '9999'), coalesce(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from), '9999'))
+           AS valid_to
+  FROM assigned
+)"""
+    + _PLACED,
+)
+def interval_merge_repair(t: Given):
+    return _place(t, "repair")
+
+
+@query("interval_merge_rank", _ASSIGNED + ", side AS (SELECT * FROM assigned)" + _PLACED)
+def interval_merge_rank(t: Given):
+    return _place(t, "rank")
+
+
 @query(
     "interval_repair",
     _ASSIGNED
@@ -233,7 +278,9 @@ FROM (SELECT *, lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from) AS nx
 """,
 )
 def interval_repair(t: Given):
-    return intervals.close_intervals(_assigned(t), ["seller_id"], "valid_from", "valid_to")
+    return intervals.close_intervals(
+        _assigned(t), ["seller_id"], "valid_from", "valid_to", width=timedelta(days=365)
+    )
 
 
 @query(
