@@ -88,13 +88,20 @@ def interval_join(
     return found.select(*fact.columns, *out)
 
 
+def _hit(lo: str, ties: Sequence[str], attrs: Sequence[str]):
+    """What an interval gives, ordered as intervals are ranked."""
+    ranks = [F.col(c).alias(f"_rank{i}") for i, c in enumerate((lo, *ties))]
+    return F.struct(*ranks, *[F.col(a).alias(a) for a in attrs]).alias("_hit")
+
+
 def _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties) -> DataFrame:
-    side = close_intervals(dim, keys, lo, hi, ties) if resolve == "repair" else dim
+    order = [*ties, *[a for a in attrs if a not in ties]]
+    side = close_intervals(dim, keys, lo, hi, order) if resolve == "repair" else dim
     side = side.select(
         *[F.col(k).alias(f"_d_{k}") for k in keys],
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
-        F.struct(lo, *ties, *attrs).alias("_hit"),
+        _hit(lo, ties, attrs),
     )
     cond = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
     for k in keys:
@@ -108,9 +115,8 @@ def _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties) -> Data
 
 def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width) -> DataFrame:
     """The last start at or before the fact, kept if its interval has not ended."""
-    hit = F.struct(lo, *ties, *attrs)
-    history = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), *ties, hit.alias("_hit"))
-    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ties, width)
+    history = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
+    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ["_hit"], width)
     covered = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
     return seen.withColumn("_hit", F.when(covered, F.col("_hit")))
 
@@ -118,8 +124,7 @@ def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width) -> DataFrame:
 def _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width) -> DataFrame:
     """Of the open intervals only the last start counts, so they are looked up as of the fact; closed
     ones are listed under the cells they touch.  The later of the two finds wins."""
-    hit = F.struct(lo, *ties, *attrs)
-    tagged = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), hit.alias("_hit"))
+    tagged = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
     still_open = tagged.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
     seen = last_known(fact, still_open, keys, at, "_lo", ["_open"], ["_open"], width)
     closed = _listed(tagged, keys, "_lo", "_hi", width, ["_hit"])
