@@ -13,17 +13,31 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: str | Column, scale: int = 2) -> Column:
-    """Exact decimal view of a money column: sums do not depend on the order of the rows."""
-    return _col(c).cast(f"decimal(18,{scale})")
+def minor(c: str | Column, scale: int = 2) -> Column:
+    """A money column in whole minor units (cents for scale 2).
 
+    Integers add up the same in any order, as fast as doubles and several times faster than decimals.
+    A total over 9.2e18 units is an error under ANSI, never a wrong number.
+    """
+    return F.rint(_col(c) * F.lit(float(10**scale))).cast("bigint")
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    return F.sum(money(c, scale)).cast("double")
 
+def major(units: Column, scale: int = 2) -> Column:
+    """Minor units back as double."""
+    return units / F.lit(float(10**scale))
 
-def exact_avg(c: str | Column, scale: int = 2, digits: int = 2) -> Column:
-    return F.round(F.avg(money(c, scale)), digits).cast("double")
+
+def exact_sum(c: str | Column, scale: int = 2, wide: bool = False) -> Column:
+    """Order-independent sum.  ``wide`` adds decimals, for totals that outgrow 9.2e18 minor units."""
+    units = minor(c, scale)
+    return major(F.sum(units.cast("decimal(18,0)") if wide else units).cast("double"), scale)
+
+
+def exact_avg(c: str | Column, scale: int = 6, digits: int = 2, wide: bool = False) -> Column:
+    """Order-independent average, rounded half up."""
+    units = minor(c, scale)
+    total = F.sum(units.cast("decimal(18,0)") if wide else units).cast("double")
+    return F.round(total / (F.count(_col(c)) * F.lit(float(10**scale))), digits)
 
 
 def bucketize(c: str | Column, edges: Sequence, labels: Sequence[str]) -> Column:
@@ -54,7 +68,7 @@ def net_of_pct(amount: Column, pct: Column) -> Column:
 
 def pct_change(cur: Column, prev: Column, digits: int = 2) -> Column:
     """Signed growth in percent of the previous value; NULL when that is zero or unknown."""
-    return F.when(prev != 0, F.round((cur - prev) / prev * 100, digits))
+    return F.when(prev != 0, F.round((cur - prev) * 100 / prev, digits))
 
 
 def count_where(cond: Column) -> Column:

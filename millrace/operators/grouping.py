@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import major, minor
+
 
 def _named(aggs: Mapping[str, Column]) -> list[Column]:
     return [e.alias(name) for name, e in aggs.items()]
@@ -114,8 +116,8 @@ def pivot_by_condition(
     df: DataFrame, keys: Sequence[str], col: str, values: Sequence[str], measure: str, scale: int = 2
 ) -> DataFrame:
     """Portable pivot: one conditional sum per value, in a single aggregate."""
-    amount = F.col(measure).cast(f"decimal(18,{scale})")
+    units = minor(measure, scale)
     cells = [
-        F.coalesce(F.sum(F.when(F.col(col) == v, amount)), F.lit(0)).cast("double").alias(v) for v in values
+        major(F.coalesce(F.sum(F.when(F.col(col) == v, units)), F.lit(0)), scale).alias(v) for v in values
     ]
     return df.groupBy(*keys).agg(*cells)

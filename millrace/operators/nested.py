@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timing import whole_div
-from ..functions.values import any_of, money
+from ..functions.values import any_of, major, minor
 
 
 def array_summary(
@@ -99,13 +99,12 @@ def line_summary(
 
     The filtered array is named once; every measure reads that column.  No shuffle.
     """
-    total_type = "decimal(38,2)"
     named = df.withColumn("_live", F.filter(lines, lambda x: x["status"] == active))
     total = F.aggregate(
         "_live",
-        F.lit(0).cast(total_type),
-        lambda acc, x: (acc + x["qty"] * money(x["unit_price"])).cast(total_type),
-        lambda acc: acc.cast("double"),
+        F.lit(0).cast("bigint"),
+        lambda acc, x: acc + x["qty"] * minor(x["unit_price"]),
+        lambda acc: major(acc),
     )
     return named.select(
         *ids,
@@ -126,9 +125,9 @@ def line_summary_exploded(
     live = F.col("_x.status") == active
     return rows.groupBy(*ids).agg(
         F.count_if(live).cast("int").alias("n_active"),
-        F.coalesce(F.sum(F.when(live, F.col("_x.qty") * money("_x.unit_price"))), F.lit(0))
-        .cast("double")
-        .alias("active_total"),
+        major(F.coalesce(F.sum(F.when(live, F.col("_x.qty") * minor("_x.unit_price"))), F.lit(0))).alias(
+            "active_total"
+        ),
         F.coalesce(F.bool_or(live & (F.col("_x.qty") >= bulk)), F.lit(False)).alias("has_bulk"),
         F.coalesce(F.bool_and(F.when(live, F.col("_x.in_stock"))), F.lit(False)).alias("all_in_stock"),
     )

@@ -97,10 +97,10 @@ def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def exact_total(col: str | Column, scale: int = 2) -> Column:
-    """Order-independent sum for a reconciliation gate; zero on empty input."""
-    value = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.sum(value.cast(f"decimal(38,{scale})")), F.lit(0))
+def total_units(units: str | Column) -> Column:
+    """Sum of whole minor units for a reconciliation gate; zero on empty input."""
+    value = F.col(units) if isinstance(units, str) else units
+    return F.coalesce(F.sum(value.cast("decimal(20,0)")), F.lit(0))
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import major, minor
+
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them."""
@@ -71,8 +73,8 @@ def salted_agg(
     ``key``  the distinct column joins the partial key; sizes stay bounded whatever the vocabulary.
     ``set``  a set per partial group, united at the end: for vocabularies that fit one array.
     """
-    parts = [F.sum(F.col(c).cast(f"decimal(18,{scale})")).alias(o) for o, c in sums.items()]
-    finals = [F.sum(o).cast("double").alias(o) for o in sums]
+    parts = [F.sum(minor(c, scale)).alias(o) for o, c in sums.items()]
+    finals = [major(F.sum(o), scale).alias(o) for o in sums]
     if not distinct:
         return df.groupBy(*keys, salt).agg(*parts).groupBy(*keys).agg(*finals)
     ((out, col),) = distinct.items()

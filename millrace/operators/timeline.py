@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_s, epoch_us, seconds_between, width_us
-from ..functions.values import money, same_values
+from ..functions.values import major, minor, same_values
 
 _CELL, _GHOST, _TAKE = "_cell", "_ghost", "_take"
 
@@ -109,7 +109,7 @@ def running_total(
     width: timedelta = timedelta(days=1),
 ) -> DataFrame:
     """Running exact sum per key.  ``peers`` counts rows of the same instant together (RANGE frame)."""
-    rows = df.withColumns({_CELL: cell_of(at, width), "_tick": epoch_us(at), "_v": money(value, scale)})
+    rows = df.withColumns({_CELL: cell_of(at, width), "_tick": epoch_us(at), "_v": minor(value, scale)})
     ghosts = _carry_totals(rows, keys, "_v")
     order = ["_tick"] if peers else ["_tick", *ties]
     frame = W.partitionBy(*keys, _CELL).orderBy(F.col(_GHOST).desc(), *order)
@@ -119,7 +119,7 @@ def running_total(
         frame = frame.rowsBetween(W.unboundedPreceding, W.currentRow)
     both = rows.withColumn(_GHOST, F.lit(False)).unionByName(ghosts, allowMissingColumns=True)
     return (
-        both.withColumn(name, F.sum("_v").over(frame).cast("double"))
+        both.withColumn(name, major(F.sum("_v").over(frame), scale))
         .filter(~F.col(_GHOST))
         .select(*df.columns, name)
     )
@@ -128,11 +128,10 @@ def running_total(
 def _carry_totals(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One ghost per (key, cell) with the sum of all earlier cells, placed before the cell's rows."""
     before = W.partitionBy(*keys).orderBy(_CELL).rowsBetween(W.unboundedPreceding, -1)
-    kind = dict(rows.dtypes)[value]
     return (
         rows.groupBy(*keys, _CELL)
         .agg(F.sum(value).alias("_total"))
-        .withColumn(value, F.sum("_total").over(before).cast(kind))
+        .withColumn(value, F.sum("_total").over(before))
         .filter(F.col(value).isNotNull())
         .select(*keys, _CELL, value, (F.col(_CELL) - 1).alias("_tick"), F.lit(True).alias(_GHOST))
     )
@@ -155,7 +154,7 @@ def rolling_sum(
     """
     lifetime = width_us(span) // 1_000_000 + 1
     tick = epoch_s(at)
-    rows = df.withColumns({"_now": tick, "_amount": money(value, scale)})
+    rows = df.withColumns({"_now": tick, "_amount": minor(value, scale)})
     moves = F.array(
         F.struct(F.lit(0).alias("leaves"), F.col("_now").alias("tick"), F.col("_amount").alias("delta")),
         F.struct(
@@ -182,7 +181,7 @@ def rolling_sum(
         W.partitionBy(*keys, _CELL).orderBy("_tick").rangeBetween(W.unboundedPreceding, W.currentRow)
     )
     return (
-        both.withColumn(name, F.sum("_delta").over(frame).cast("double"))
+        both.withColumn(name, major(F.sum("_delta").over(frame), scale))
         .filter(~F.col(_GHOST) & (F.col("_leaves") == 0))
         .select(*df.columns, name)
     )
@@ -306,8 +305,8 @@ def trailing_avg(
 
     The input holds at most one row per (key, day), so a key has no more rows than calendar days.
     """
-    total = F.sum(money(value, scale)).over(_day_frame(keys, day, -(days - 1), 0))
-    return df.withColumn(name, F.round(total / F.lit(days), digits).cast("double"))
+    total = F.sum(minor(value, scale)).over(_day_frame(keys, day, -(days - 1), 0))
+    return df.withColumn(name, F.round(total / F.lit(float(days * 10**scale)), digits))
 
 
 def dense_trailing_avg(
@@ -325,8 +324,8 @@ def dense_trailing_avg(
     calendar = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias(day))
     full = calendar.join(df, [*keys, day], "left")
     frame = W.partitionBy(*keys).orderBy(day).rowsBetween(-(days - 1), W.currentRow)
-    total = F.sum(F.coalesce(money(value, scale), F.lit(0))).over(frame)
-    averaged = full.withColumn(name, F.round(total / F.lit(days), digits).cast("double"))
+    total = F.sum(F.coalesce(minor(value, scale), F.lit(0))).over(frame)
+    averaged = full.withColumn(name, F.round(total / F.lit(float(days * 10**scale)), digits))
     return averaged.join(df.select(*keys, day), [*keys, day], "left_semi").select(*df.columns, name)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import parse_count, parse_money
 from ..functions.timing import day_text
-from ..functions.values import count_where, exact_avg, exact_sum, money
+from ..functions.values import count_where, exact_avg, exact_sum, major, minor
 from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
@@ -39,7 +39,7 @@ def device_signals(events: DataFrame, devices: DataFrame, rsd: float = 0.05) ->
         events.join(broadcast_within(devices.select("device_id", "device_model")), "device_id")
         .groupBy("device_model")
         .agg(
-            exact_avg("signal_strength").alias("avg_signal"),
+            exact_avg("signal_strength", wide=True).alias("avg_signal"),
             F.approx_count_distinct("event_id", rsd).alias("total_events"),
         )
     )
@@ -71,18 +71,19 @@ def ingestion_report(raw: DataFrame, money_route: str = "regex") -> DataFrame:
 
     A value that does not parse is NULL, and NULL is the only definition of a bad one.
     """
+    amount = parse_money("amount_raw", money_route)
     parsed = raw.select(
         "source",
-        parse_money("amount_raw", money_route).alias("_amount"),
+        F.when(~F.isnan(amount), amount).alias("_amount"),
         parse_count("units_raw").alias("_units"),
     )
-    net, units = F.try_sum(money("_amount")), F.sum("_units")
+    net, units = F.try_sum(minor("_amount")), F.sum("_units")
     return parsed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_records"),
         count_where(F.col("_amount").isNull()).alias("n_bad_amount"),
-        net.cast("double").alias("net_amount"),
+        major(net).alias("net_amount"),
         F.coalesce(units, F.lit(0)).alias("total_units"),
-        F.round(F.try_divide(net, units), 2).cast("double").alias("avg_unit_price"),
+        F.round(F.try_divide(net, units * 100), 2).alias("avg_unit_price"),
     )
 
 
@@ -142,5 +143,5 @@ def price_audit(latest: DataFrame, original: DataFrame) -> DataFrame:
         "product_id",
         "current_price",
         "original_price",
-        (money("current_price") - money("original_price")).cast("double").alias("price_diff"),
+        major(minor("current_price") - minor("original_price")).alias("price_diff"),
     )

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import money
+from ..functions.values import exact_sum
 
 
 def tumbling_sales(
@@ -23,7 +23,7 @@ def tumbling_sales(
         stream.withWatermark(at, lateness)
         .groupBy(F.window(at, window).alias("time_window"))
         .agg(
-            F.round(F.sum(money(amount)), 2).cast("double").alias("total_sales"),
+            exact_sum(amount).alias("total_sales"),
             F.count(order).alias("order_count"),
         )
     )
@@ -43,7 +43,7 @@ def tumbling_sales_sql(
     return stream.sparkSession.sql(
         f"""
         SELECT window({at}, '{window}') AS time_window,
-               CAST(round(sum(CAST({amount} AS DECIMAL(18, 2))), 2) AS DOUBLE) AS total_sales,
+               sum(CAST(rint({amount} * 100) AS BIGINT)) / 100D AS total_sales,
                count({order}) AS order_count
         FROM {view}
         GROUP BY window({at}, '{window}')

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timing import day_text
-from ..functions.values import count_where, exact_avg, exact_sum, money
+from ..functions.values import count_where, exact_avg, exact_sum, minor
 from ..operators import grouping, ranking, reshape
 from ..plans import reports
 from ..sources.tables import cache_view, sql
@@ -267,12 +267,12 @@ def pivot_by_condition(t: Given):
 
 @query("pivot_sql", _PIVOT)
 def pivot_sql(t: Given):
-    lines = t.lineitem.select("l_suppkey", "l_returnflag", money("l_quantity").alias("q"))
+    lines = t.lineitem.select("l_suppkey", "l_returnflag", minor("l_quantity").alias("q"))
     return sql(
         t.spark,
         """
-        SELECT l_suppkey, coalesce(CAST(A AS DOUBLE), 0D) AS A, coalesce(CAST(N AS DOUBLE), 0D) AS N,
-               coalesce(CAST(R AS DOUBLE), 0D) AS R
+        SELECT l_suppkey, coalesce(A, 0) / 100D AS A, coalesce(N, 0) / 100D AS N,
+               coalesce(R, 0) / 100D AS R
         FROM {lines} PIVOT (sum(q) FOR l_returnflag IN ('A', 'N', 'R'))
         """,
         lines=lines,
@@ -329,10 +329,10 @@ def pivot_multi(t: Given):
 
 def _wide(t: Given):
     priority = F.col("o_orderpriority")
-    amount = money("o_totalprice")
+    amount = F.col("o_totalprice")
 
     def total(label: str, name: str):
-        return F.sum(F.when(priority == label, amount)).cast("double").alias(name)
+        return exact_sum(F.when(priority == label, amount)).alias(name)
 
     return t.orders.groupBy("o_custkey").agg(
         total("1-URGENT", "urgent"), total("2-HIGH", "high"), total("5-LOW", "low")

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.values import money
+from ..functions.values import exact_sum
 from ..operators import intervals, joins
 from ..plans import facts, serving
 from .registry import Given, query
@@ -294,7 +294,7 @@ SELECT o_orderkey, n_lines, quantity FROM orders LEFT JOIN (
 )
 def rollup_then_join(t: Given):
     many = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
-    aggs = {"n_lines": F.count(F.lit(1)), "quantity": F.sum(money("l_quantity")).cast("double")}
+    aggs = {"n_lines": F.count(F.lit(1)), "quantity": exact_sum("l_quantity")}
     return joins.rollup_then_join(t.orders.select("o_orderkey"), many, "o_orderkey", aggs)
 
 

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from ..functions.values import exact_sum, money
+from ..functions.values import exact_sum, major, minor
 from ..operators import ranking, timeline
 from ..plans import facts, reports, serving
 from ..sources.tables import sql
@@ -77,9 +77,9 @@ FROM runs GROUP BY user_id, seq
 """,
 )
 def sessions_running_max(t: Given):
-    events = t.events.select("user_id", "ts", money("value").alias("value"))
-    found = timeline.gap_sessions(events, ["user_id"], "ts", SIX_HOURS, {"total": ("sum", "value")}, "start")
-    return found.withColumn("total", F.col("total").cast("double"))
+    events = t.events.select("user_id", "ts", minor("value").alias("cents"))
+    found = timeline.gap_sessions(events, ["user_id"], "ts", SIX_HOURS, {"cents": ("sum", "cents")}, "start")
+    return found.withColumn("total", major(F.col("cents"))).drop("cents")
 
 
 @query(
