@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_us, width_us
 from ..functions.values import in_interval
-from .timeline import last_known, next_in_key
+from .timeline import MAX_ROWS, last_known, next_in_key
 
 
 def close_intervals(
@@ -57,6 +57,7 @@ def interval_join(
     ties: Sequence[str] = (),
     width: timedelta = timedelta(days=30),
     direct: bool | None = None,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Attributes in effect at the fact's own time; ``take`` maps attribute -> default (None: NULL).
 
@@ -66,7 +67,7 @@ def interval_join(
                 again once a newer one has ended, which ``repair`` rules out.
 
     A dimension that ``fits_direct`` is broadcast and joined on key and range.  Any other is merged
-    with the facts on one timeline, in cells of ``width``: no key meets all of its intervals.
+    with the facts on one timeline, hot keys in cells of ``width``: no key meets all of its intervals.
     """
     if resolve not in ("repair", "rank"):
         raise ValueError(f"unknown resolution {resolve!r}")
@@ -76,9 +77,9 @@ def interval_join(
     if direct:
         found = _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties)
     elif resolve == "repair":
-        found = _merged(fact, dim, keys, at, lo, hi, attrs, ties, width)
+        found = _merged(fact, dim, keys, at, lo, hi, attrs, ties, width, max_rows)
     else:
-        found = _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width)
+        found = _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width, max_rows)
     out = [
         F.col(f"_hit.{a}").alias(a)
         if default is None
@@ -113,20 +114,20 @@ def _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties) -> Data
     return joined
 
 
-def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width) -> DataFrame:
+def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width, max_rows) -> DataFrame:
     """The last start at or before the fact, kept if its interval has not ended."""
     history = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
-    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ["_hit"], width)
+    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ["_hit"], width, max_rows)
     covered = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
     return seen.withColumn("_hit", F.when(covered, F.col("_hit")))
 
 
-def _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width) -> DataFrame:
+def _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width, max_rows) -> DataFrame:
     """Of the open intervals only the last start counts, so they are looked up as of the fact; closed
     ones are listed under the cells they touch.  The later of the two finds wins."""
     tagged = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
     still_open = tagged.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
-    seen = last_known(fact, still_open, keys, at, "_lo", ["_open"], ["_open"], width)
+    seen = last_known(fact, still_open, keys, at, "_lo", ["_open"], ["_open"], width, max_rows)
     closed = _listed(tagged, keys, "_lo", "_hi", width, ["_hit"])
     cond = (F.col("_cell") == F.col("_w_cell")) & (F.col("_lo") <= F.col(at)) & (F.col(at) < F.col("_hi"))
     for k in keys:

@@ -11,10 +11,10 @@ from ..functions.values import major, minor
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them."""
+    """Keys holding at least ``share`` of all rows: never more than ``1 / share``, so they broadcast."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1))).first()[0]
-    return counts.filter(F.col("_n") >= F.lit(share * total)).select(key)
+    return F.broadcast(counts.filter(F.col("_n") >= F.lit(share * total)).select(key))
 
 
 def salted_join(
@@ -43,7 +43,7 @@ def salted_join(
         left = fact.withColumn(salt, spread)
         right = dim.withColumn(salt, F.explode(every))
     else:
-        flags = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+        flags = hot.select(key).withColumn("_hot", F.lit(True))
         left = (
             fact.join(flags, key, "left")
             .withColumn(salt, F.when(F.col("_hot"), spread).otherwise(F.lit(0)))

@@ -1,9 +1,10 @@
-"""Ordered operators on one key's timeline that do not need the whole key in one task.
+"""Ordered operators on one key's timeline that do not need a hot key in one task.
 
-A window partitioned by the key alone puts a hot key into one task.  Every operator here cuts the
-timeline into fixed-width cells and works per (key, cell).  What crosses a cell border travels as one
-summary row per (key, cell): the last event, the running total, the last known value.  Only those
-summaries are ever windowed by the key alone, and a key has at most ``time span / width`` of them.
+A window partitioned by the key alone is one shuffle and right for every key of ordinary size.  Keys
+with more rows than ``max_rows`` (see ``crowded``) get their timeline cut into fixed-width cells and are
+worked per (key, cell).  What crosses a cell border travels as one summary row per (key, cell): the last
+event, the running total, the last known value.  Only those summaries are windowed by the hot key, and a
+key has at most ``time span / width`` of them.
 
 The carried summary re-enters its cell as a *ghost* row that sorts before (or after) the real rows and
 is filtered out at the end.  That keeps NULL keys in their group, and shuffles the rows once.
@@ -21,7 +22,43 @@ from pyspark.sql import functions as F
 from ..functions.timing import cell_of, epoch_s, epoch_us, seconds_between, width_us
 from ..functions.values import major, minor, same_values
 
-_CELL, _GHOST, _TAKE = "_cell", "_ghost", "_take"
+MAX_ROWS = 1_000_000
+MAX_BROADCAST = 100_000
+AUTO = "auto"
+DAY = timedelta(days=1)
+
+_CELL, _GHOST, _TAKE, _HOT = "_cell", "_ghost", "_take", "_hot"
+_UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
+
+
+def crowded(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows, or None if no key has.
+
+    One combinable count over the key columns decides.  There are at most ``rows / max_rows`` such keys;
+    they carry a broadcast hint while they number no more than ``MAX_BROADCAST``.
+    A caller that filters ``df`` further may hand the same answer on: the set only shrinks.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    many = F.col("_n") > max_rows
+    found = counts.agg(F.count_if(many)).first()[0]
+    if not found:
+        return None
+    hot = counts.filter(many).select(*keys)
+    return F.broadcast(hot) if found <= MAX_BROADCAST else hot
+
+
+def _resolve(hot: DataFrame | None | str, df: DataFrame, keys: Sequence[str], max_rows: int):
+    return crowded(df, keys, max_rows) if isinstance(hot, str) else hot
+
+
+def _placed(df: DataFrame, keys: Sequence[str], cell: Column, hot: DataFrame) -> DataFrame:
+    """Rows with their cell; every ordinary key has a single cell."""
+    named = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(_HOT))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    flagged = df.join(named, cond, "left").drop(*[f"_h_{k}" for k in keys])
+    return flagged.withColumn(_CELL, F.when(F.col(_HOT), cell).otherwise(F.lit(0)))
 
 
 def _beside(
@@ -31,15 +68,22 @@ def _beside(
     ties: Sequence[str],
     take: Mapping[str, str],
     width: timedelta,
+    hot: DataFrame | None,
     back: bool,
 ) -> DataFrame:
     order = [at, *ties]
-    rows = df.withColumn(_CELL, cell_of(at, width))
+    step = F.lag if back else F.lead
     values = F.struct(*[F.col(c).alias(c) for c in take])
+    out = [*df.columns, *[F.col(f"_near.{c}").alias(name) for c, name in take.items()]]
+    if hot is None:
+        plain = W.partitionBy(*keys).orderBy(*order)
+        return df.withColumn("_near", step(values).over(plain)).select(*out)
+    rows = _placed(df, keys, cell_of(at, width), hot)
     pick = F.max_by if back else F.min_by
-    edges = rows.groupBy(*keys, _CELL).agg(pick(values, F.struct(*order)).alias(_TAKE))
+    edges = (
+        rows.filter(_HOT).groupBy(*keys, _CELL).agg(pick(values, F.struct(*order)).alias(_TAKE))
+    )
     across = W.partitionBy(*keys).orderBy(_CELL)
-    step = F.lag if back else F.lead
     ghosts = (
         edges.withColumn(_TAKE, step(_TAKE).over(across))
         .filter(F.col(_TAKE).isNotNull())
@@ -50,10 +94,7 @@ def _beside(
     )
     ghost_place = F.col(_GHOST).desc() if back else F.col(_GHOST).asc()
     inside = W.partitionBy(*keys, _CELL).orderBy(ghost_place, *order)
-    near = both.withColumn("_near", step(_TAKE).over(inside)).filter(~F.col(_GHOST))
-    return near.select(
-        *df.columns, *[F.col(f"_near.{c}").alias(name) for c, name in take.items()]
-    )
+    return both.withColumn("_near", step(_TAKE).over(inside)).filter(~F.col(_GHOST)).select(*out)
 
 
 def previous_in_key(
@@ -62,13 +103,16 @@ def previous_in_key(
     at: str,
     take: Mapping[str, str],
     ties: Sequence[str] = (),
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Values of the row before, as ``{column: name of its previous value}``.
 
-    ``(at, *ties)`` must order the rows of a key totally; ``at`` is never NULL.
+    ``(at, *ties)`` must order the rows of a key totally; ``at`` is never NULL.  ``hot`` takes what
+    ``crowded`` said about these rows or a superset of them.
     """
-    return _beside(df, keys, at, ties, take, width, back=True)
+    return _beside(df, keys, at, ties, take, width, _resolve(hot, df, keys, max_rows), back=True)
 
 
 def next_in_key(
@@ -77,10 +121,12 @@ def next_in_key(
     at: str,
     take: Mapping[str, str],
     ties: Sequence[str] = (),
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Values of the row after; see ``previous_in_key``."""
-    return _beside(df, keys, at, ties, take, width, back=False)
+    return _beside(df, keys, at, ties, take, width, _resolve(hot, df, keys, max_rows), back=False)
 
 
 def time_delta(
@@ -89,10 +135,12 @@ def time_delta(
     at: str,
     ties: Sequence[str] = (),
     name: str = "delta_s",
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Whole seconds since the key's previous event; 0 for its first."""
-    seen = previous_in_key(df, keys, at, {at: "_prev_at"}, ties, width)
+    seen = previous_in_key(df, keys, at, {at: "_prev_at"}, ties, width, max_rows, hot)
     gap = F.coalesce(seconds_between("_prev_at", at), F.lit(0).cast("bigint"))
     return seen.withColumn(name, gap).drop("_prev_at")
 
@@ -106,34 +154,41 @@ def running_total(
     ties: Sequence[str] = (),
     peers: bool = False,
     scale: int = 2,
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Running exact sum per key.  ``peers`` counts rows of the same instant together (RANGE frame)."""
-    rows = df.withColumns({_CELL: cell_of(at, width), "_tick": epoch_us(at), "_v": minor(value, scale)})
+    hot = _resolve(hot, df, keys, max_rows)
+    order = [at] if peers else [at, *ties]
+
+    def frame(spec):
+        return spec.rangeBetween(*_UP_TO_HERE) if peers else spec.rowsBetween(*_UP_TO_HERE)
+
+    if hot is None:
+        total = F.sum(minor(value, scale)).over(frame(W.partitionBy(*keys).orderBy(*order)))
+        return df.withColumn(name, major(total, scale))
+    rows = _placed(df.withColumn("_v", minor(value, scale)), keys, cell_of(at, width), hot)
     ghosts = _carry_totals(rows, keys, "_v")
-    order = ["_tick"] if peers else ["_tick", *ties]
-    frame = W.partitionBy(*keys, _CELL).orderBy(F.col(_GHOST).desc(), *order)
-    if peers:
-        frame = frame.rangeBetween(W.unboundedPreceding, W.currentRow)
-    else:
-        frame = frame.rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = frame(W.partitionBy(*keys, _CELL).orderBy(F.col(_GHOST).desc(), *order))
     both = rows.withColumn(_GHOST, F.lit(False)).unionByName(ghosts, allowMissingColumns=True)
     return (
-        both.withColumn(name, major(F.sum("_v").over(frame), scale))
+        both.withColumn(name, major(F.sum("_v").over(inside), scale))
         .filter(~F.col(_GHOST))
         .select(*df.columns, name)
     )
 
 
 def _carry_totals(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """One ghost per (key, cell) with the sum of all earlier cells, placed before the cell's rows."""
+    """One ghost per (hot key, cell) with the sum of all earlier cells, placed before the cell's rows."""
     before = W.partitionBy(*keys).orderBy(_CELL).rowsBetween(W.unboundedPreceding, -1)
     return (
-        rows.groupBy(*keys, _CELL)
+        rows.filter(_HOT)
+        .groupBy(*keys, _CELL)
         .agg(F.sum(value).alias("_total"))
         .withColumn(value, F.sum("_total").over(before))
         .filter(F.col(value).isNotNull())
-        .select(*keys, _CELL, value, (F.col(_CELL) - 1).alias("_tick"), F.lit(True).alias(_GHOST))
+        .select(*keys, _CELL, value, F.lit(True).alias(_GHOST))
     )
 
 
@@ -145,44 +200,41 @@ def rolling_sum(
     span: timedelta,
     name: str,
     scale: int = 2,
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Sum over the trailing ``span`` up to and including the row, on whole seconds, exact to ``scale``.
 
-    A row enters the balance at its second and leaves it one second after its span, so the rolling sum
-    is a running total of entries and expiries.  Cells may be far shorter than the span.
+    Ordinary keys use a RANGE frame.  For hot ones a row enters a balance at its second and leaves it one
+    second after its span, so the rolling sum is a running total of entries and expiries, and cells may
+    be far shorter than the span.
     """
-    lifetime = width_us(span) // 1_000_000 + 1
-    tick = epoch_s(at)
-    rows = df.withColumns({"_now": tick, "_amount": minor(value, scale)})
-    moves = F.array(
-        F.struct(F.lit(0).alias("leaves"), F.col("_now").alias("tick"), F.col("_amount").alias("delta")),
-        F.struct(
-            F.lit(1).alias("leaves"),
-            (F.col("_now") + lifetime).alias("tick"),
-            (-F.col("_amount")).alias("delta"),
-        ),
-    )
+    seconds = width_us(span) // 1_000_000
+    hot = _resolve(hot, df, keys, max_rows)
+    timed = df.withColumns({"_tick": epoch_s(at), "_v": minor(value, scale)})
+    if hot is None:
+        frame = W.partitionBy(*keys).orderBy("_tick").rangeBetween(-seconds, 0)
+        return timed.withColumn(name, major(F.sum("_v").over(frame), scale)).select(*df.columns, name)
     cell = F.col("_tick") - F.pmod("_tick", F.lit(width_us(width) // 1_000_000))
-    ledger = (
-        rows.withColumn("_move", F.explode(moves))
-        .withColumns(
-            {
-                "_leaves": F.col("_move.leaves"),
-                "_tick": F.col("_move.tick"),
-                "_delta": F.col("_move.delta"),
-            }
-        )
-        .withColumn(_CELL, cell)
+    enters = F.struct(F.lit(False).alias("leaves"), F.col("_tick").alias("tick"), F.col("_v").alias("v"))
+    leaves = F.struct(
+        F.lit(True).alias("leaves"), (F.col("_tick") + seconds + 1).alias("tick"), (-F.col("_v")).alias("v")
+    )
+    moves = (
+        timed.withColumn("_move", F.explode(F.array(enters, leaves)))
+        .withColumns({"_leaves": F.col("_move.leaves"), "_tick": F.col("_move.tick"), "_v": F.col("_move.v")})
+        .drop("_move")
     )
-    ghosts = _carry_totals(ledger, keys, "_delta")
+    ledger = _placed(moves, keys, cell, hot)
+    ghosts = _carry_totals(ledger, keys, "_v")
     both = ledger.withColumn(_GHOST, F.lit(False)).unionByName(ghosts, allowMissingColumns=True)
-    frame = (
-        W.partitionBy(*keys, _CELL).orderBy("_tick").rangeBetween(W.unboundedPreceding, W.currentRow)
+    inside = (
+        W.partitionBy(*keys, _CELL).orderBy(F.col(_GHOST).desc(), "_tick").rangeBetween(*_UP_TO_HERE)
     )
     return (
-        both.withColumn(name, major(F.sum("_delta").over(frame), scale))
-        .filter(~F.col(_GHOST) & (F.col("_leaves") == 0))
+        both.withColumn(name, major(F.sum("_v").over(inside), scale))
+        .filter(~F.col(_GHOST) & ~F.col("_leaves"))
         .select(*df.columns, name)
     )
 
@@ -343,18 +395,21 @@ def versions(
     at: str,
     attrs: Sequence[str],
     ties: Sequence[str] = (),
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """SCD2 history of a snapshot feed: one half-open row per run of equal attribute values.
 
     A replayed value opens no version, a value that comes back does.  NULL is a value.
     """
-    seen = previous_in_key(df, keys, at, {at: "_prev_at", **{a: f"_prev_{a}" for a in attrs}}, ties, width)
+    hot = crowded(df, keys, max_rows)
+    take = {at: "_prev_at", **{a: f"_prev_{a}" for a in attrs}}
+    seen = previous_in_key(df, keys, at, take, ties, width, hot=hot)
     same = same_values([(F.col(a), F.col(f"_prev_{a}")) for a in attrs])
     starts = seen.filter(F.col("_prev_at").isNull() | ~same).select(
         *keys, F.col(at).alias("effective_from"), *ties, *attrs
     )
-    closed = close_next(starts, keys, "effective_from", ties, width)
+    closed = close_next(starts, keys, "effective_from", ties, width, hot=hot)
     return closed.drop(*ties) if ties else closed
 
 
@@ -363,11 +418,13 @@ def close_next(
     keys: Sequence[str],
     start: str,
     ties: Sequence[str] = (),
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
     end: str = "effective_to",
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Each row ends where the key's next one starts; the open one is current."""
-    out = next_in_key(df, keys, start, {start: end}, ties, width)
+    out = next_in_key(df, keys, start, {start: end}, ties, width, max_rows, hot)
     return out.withColumn("is_current", F.col(end).isNull())
 
 
@@ -379,7 +436,9 @@ def last_known(
     since: str,
     take: Sequence[str],
     ties: Sequence[str] = (),
-    width: timedelta = timedelta(days=1),
+    width: timedelta = DAY,
+    max_rows: int = MAX_ROWS,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """As-of lookup: per fact the history row with the latest ``since <= at``, if there is one.
 
@@ -387,34 +446,35 @@ def last_known(
     with many facts and many history rows costs their sum, not their product.
     """
     payload = F.struct(*[F.col(c).alias(c) for c in take])
-    order = F.struct(since, *ties)
     marks = history.select(
         *keys,
-        cell_of(since, width).alias(_CELL),
         epoch_us(since).alias("_tick"),
-        order.alias("_rank"),
+        F.struct(since, *ties).alias("_rank"),
         payload.alias(_TAKE),
+        F.lit(1).alias("_kind"),
     )
-    rows = facts.withColumns({_CELL: cell_of(at, width), "_tick": epoch_us(at)})
-    edges = marks.groupBy(*keys, _CELL).agg(F.max_by(_TAKE, "_rank").alias(_TAKE))
-    touched = rows.select(*keys, _CELL).distinct().unionByName(edges, allowMissingColumns=True)
-    before = W.partitionBy(*keys).orderBy(_CELL).rangeBetween(W.unboundedPreceding, -1)
-    ghosts = (
-        touched.withColumn(_TAKE, F.last(_TAKE, ignorenulls=True).over(before))
-        .filter(F.col(_TAKE).isNotNull())
-        .groupBy(*keys, _CELL)
-        .agg(F.any_value(_TAKE).alias(_TAKE))
-        .withColumns({"_tick": F.col(_CELL) - 1, "_kind": F.lit(0)})
-    )
-    merged = (
-        rows.withColumn("_kind", F.lit(2))
-        .unionByName(marks.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(ghosts, allowMissingColumns=True)
-    )
+    rows = facts.withColumns({"_tick": epoch_us(at), "_kind": F.lit(2)})
+    merged = rows.unionByName(marks, allowMissingColumns=True)
+    hot = _resolve(hot, merged, keys, max_rows)
+    parts = list(keys)
+    if hot is not None:
+        step = F.lit(width_us(width))
+        placed = _placed(merged, keys, F.col("_tick") - F.pmod("_tick", step), hot)
+        before = W.partitionBy(*keys).orderBy(_CELL).rowsBetween(W.unboundedPreceding, -1)
+        ghosts = (
+            placed.filter(_HOT)
+            .groupBy(*keys, _CELL)
+            .agg(F.max_by(_TAKE, "_rank").alias("_edge"))
+            .withColumn(_TAKE, F.last("_edge", ignorenulls=True).over(before))
+            .filter(F.col(_TAKE).isNotNull())
+            .select(*keys, _CELL, _TAKE, F.lit(0).alias("_kind"))
+        )
+        merged = placed.unionByName(ghosts, allowMissingColumns=True)
+        parts.append(_CELL)
     inside = (
-        W.partitionBy(*keys, _CELL)
-        .orderBy("_tick", "_kind", F.col("_rank").asc_nulls_first())
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy(*parts)
+        .orderBy(F.col("_kind") != 0, "_tick", "_kind", F.col("_rank").asc_nulls_first())
+        .rowsBetween(*_UP_TO_HERE)
     )
     return (
         merged.withColumn("_known", F.last(_TAKE, ignorenulls=True).over(inside))

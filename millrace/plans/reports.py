@@ -14,7 +14,7 @@ from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
 from ..operators.skew import salted_agg, salted_join
-from ..operators.timeline import time_delta
+from ..operators.timeline import crowded, time_delta
 from ..sources.layout import write_partitioned
 from ..sources.snapshots import snapshot_diff
 
@@ -100,19 +100,16 @@ def publish_sensor_daily(readings: DataFrame, path: str) -> None:
 
 
 def region_revenue(transactions: DataFrame, stores: DataFrame) -> DataFrame:
-    """Revenue per region, stores nobody knows under UNKNOWN.
-
-    Facts shrink to one row per store before they meet the dimension.
-    """
-    per_store = transactions.groupBy("store_id").agg(F.sum("amount").alias("_amount"))
-    placed = enrich(per_store, stores, "store_id", {"region": "UNKNOWN"})
-    return placed.groupBy("region").agg(F.sum("_amount").alias("revenue"))
+    """Revenue per region, stores nobody knows under UNKNOWN."""
+    placed = enrich(transactions, stores, "store_id", {"region": "UNKNOWN"})
+    return placed.groupBy("region").agg(F.sum("amount").alias("revenue"))
 
 
 def user_journey(clicks: DataFrame, width: timedelta = timedelta(days=1)) -> DataFrame:
     """Each click once, with the seconds since the user's previous one."""
     once = keep_latest(clicks, ["event_id"], ["click_time"])
-    deltas = time_delta(once, ["user_id"], "click_time", ["event_id"], "time_diff_sec", width)
+    hot = crowded(clicks, ["user_id"])
+    deltas = time_delta(once, ["user_id"], "click_time", ["event_id"], "time_diff_sec", width, hot=hot)
     return deltas.select("event_id", "user_id", "click_time", "time_diff_sec")
 
 

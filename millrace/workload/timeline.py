@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ..functions.values import exact_sum, major, minor
-from ..operators import ranking, timeline
+from ..operators import ranking, skew, timeline
 from ..plans import facts, reports, serving
 from ..sources.tables import sql
 from .registry import Given, query
@@ -361,6 +361,94 @@ def last_known_view(t: Given):
     )
 
 
+# ---------------------------------------------------------------- a third of all events on one user
+
+
+def _folded(t: Given):
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))
+    events = t.events.withColumn("user_id", user.cast("bigint"))
+    return events, skew.hot_keys(events, "user_id", share=0.05)
+
+
+_FOLDED = """
+WITH folded AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)
+"""
+
+
+@query(
+    "skewed_next_event",
+    _FOLDED
+    + """
+SELECT event_id, user_id, lead(event_type) OVER w AS next_type, lag(event_id) OVER w AS prev_id
+FROM folded WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+""",
+)
+def skewed_next_event(t: Given):
+    events, hot = _folded(t)
+    slim = events.select("event_id", "user_id", "ts", "event_type")
+    near = timeline.next_in_key(slim, ["user_id"], "ts", {"event_type": "next_type"}, ["event_id"], hot=hot)
+    both = timeline.previous_in_key(near, ["user_id"], "ts", {"event_id": "prev_id"}, ["event_id"], hot=hot)
+    return both.select("event_id", "user_id", "next_type", "prev_id")
+
+
+@query(
+    "skewed_rolling_7d",
+    _FOLDED
+    + """
+SELECT event_id, user_id,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER (
+         PARTITION BY user_id ORDER BY epoch_us(ts) // 1000000
+         RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_7d_spend
+FROM folded
+""",
+)
+def skewed_rolling_7d(t: Given):
+    events, hot = _folded(t)
+    slim = events.select("event_id", "user_id", "ts", "value")
+    rolled = timeline.rolling_sum(
+        slim, ["user_id"], "ts", "value", timedelta(days=7), "rolling_7d_spend", hot=hot
+    )
+    return rolled.select("event_id", "user_id", "rolling_7d_spend")
+
+
+@query(
+    "skewed_running_balance",
+    _FOLDED
+    + """
+SELECT event_id, user_id,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER (
+         PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance
+FROM folded
+""",
+)
+def skewed_running_balance(t: Given):
+    events, hot = _folded(t)
+    slim = events.select("event_id", "user_id", "ts", "value")
+    total = timeline.running_total(slim, ["user_id"], "ts", "value", "balance", ["event_id"], hot=hot)
+    return total.select("event_id", "user_id", "balance")
+
+
+@query(
+    "skewed_last_known",
+    _FOLDED
+    + """
+, views AS (SELECT user_id, ts, value FROM folded WHERE event_type = 'view')
+SELECT b.event_id, b.user_id, v.value AS view_value
+FROM (SELECT * FROM folded WHERE event_type = 'purchase') b
+ASOF LEFT JOIN views v ON v.user_id = b.user_id AND v.ts <= b.ts
+""",
+)
+def skewed_last_known(t: Given):
+    events, hot = _folded(t)
+    views = events.filter(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("seen_at"), F.col("value").alias("view_value")
+    )
+    buys = events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    return timeline.last_known(
+        buys, views, ["user_id"], "ts", "seen_at", ["view_value"], ["view_value"], hot=hot
+    ).drop("ts")
+
+
 @query(
     "keep_latest_order",
     """

@@ -91,7 +91,10 @@ def brute_region(fact_at, spans, resolve):
 @pytest.mark.parametrize("resolve", ["repair", "rank"])
 @pytest.mark.parametrize("direct", [True, False, None])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_interval_join(spark, resolve, direct, seed):
+@pytest.mark.parametrize("max_rows", [10, 1000])
+def test_interval_join(spark, resolve, direct, seed, max_rows):
+    if direct is not False and max_rows == 10:
+        pytest.skip("only the merge looks for hot keys")
     r = random.Random(seed)
     base = datetime(2025, 1, 1)
     dim, used = [], set()
@@ -105,7 +108,7 @@ def test_interval_join(spark, resolve, direct, seed):
     f = spark.createDataFrame(facts, "id int, k int, at timestamp_ntz")
     d = spark.createDataFrame(dim, "k int, lo timestamp_ntz, hi timestamp_ntz, name string")
     got = intervals.interval_join(
-        f, d, ["k"], "at", "lo", "hi", {"name": "UNKNOWN"}, resolve, ["id"], ["name"], timedelta(hours=30), direct
+        f, d, ["k"], "at", "lo", "hi", {"name": "UNKNOWN"}, resolve, ["id"], ["name"], timedelta(hours=30), direct, max_rows
     )
     want = {
         i: brute_region(at, [(lo, hi, n) for dk, lo, hi, n in dim if dk == k], resolve) for i, k, at in facts

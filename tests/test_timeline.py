@@ -33,11 +33,12 @@ def by_key(data):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("width", [timedelta(hours=3), timedelta(days=30)])
-def test_neighbours(spark, seed, width):
+@pytest.mark.parametrize("max_rows", [0, 40, 1000])
+def test_neighbours(spark, seed, width, max_rows):
     data = make(seed)
     df = spark.createDataFrame(data, DDL)
-    prev = timeline.previous_in_key(df, ["k"], "at", {"id": "p", "v": "pv"}, ["id"], width)
-    nxt = timeline.next_in_key(df, ["k"], "at", {"id": "n"}, ["id"], width)
+    prev = timeline.previous_in_key(df, ["k"], "at", {"id": "p", "v": "pv"}, ["id"], width, max_rows)
+    nxt = timeline.next_in_key(df, ["k"], "at", {"id": "n"}, ["id"], width, max_rows)
     want_prev, want_next = {}, {}
     for seq in by_key(data).values():
         for a, b in zip([None, *seq], seq):
@@ -51,18 +52,27 @@ def test_neighbours(spark, seed, width):
 def test_neighbour_carries_null_values(spark):
     data = [(1, ts("2025-01-01 10:00:00"), 1, None), (1, ts("2025-01-05 10:00:00"), 2, 3.0)]
     df = spark.createDataFrame(data, DDL)
-    out = timeline.previous_in_key(df, ["k"], "at", {"id": "p", "v": "pv"}, ["id"])
-    assert {r["id"]: (r["p"], r["pv"]) for r in out.collect()} == {1: (None, None), 2: (1, None)}
+    for max_rows in (0, 100):
+        out = timeline.previous_in_key(df, ["k"], "at", {"id": "p", "v": "pv"}, ["id"], max_rows=max_rows)
+        assert {r["id"]: (r["p"], r["pv"]) for r in out.collect()} == {1: (None, None), 2: (1, None)}
+
+
+def test_crowded_names_only_hot_keys(spark):
+    df = spark.createDataFrame([(1,)] * 5 + [(None,)] * 4 + [(2,)], "k int")
+    assert rows(timeline.crowded(df, ["k"], 4)) == [(1,)]
+    assert rows(timeline.crowded(df, ["k"], 3)) == [(1,), (None,)]
+    assert timeline.crowded(df, ["k"], 5) is None and timeline.crowded(df.limit(0), ["k"]) is None
 
 
 @pytest.mark.parametrize("seed", [3, 4])
-def test_running_and_rolling(spark, seed):
+@pytest.mark.parametrize("max_rows", [0, 40, 1000])
+def test_running_and_rolling(spark, seed, max_rows):
     data = make(seed)
     df = spark.createDataFrame(data, DDL)
     width = timedelta(hours=5)
-    rowwise = timeline.running_total(df, ["k"], "at", "v", "s", ["id"], width=width)
-    peers = timeline.running_total(df, ["k"], "at", "v", "s", peers=True, width=width)
-    rolled = timeline.rolling_sum(df, ["k"], "at", "v", timedelta(days=1), "s", width=width)
+    rowwise = timeline.running_total(df, ["k"], "at", "v", "s", ["id"], width=width, max_rows=max_rows)
+    peers = timeline.running_total(df, ["k"], "at", "v", "s", peers=True, width=width, max_rows=max_rows)
+    rolled = timeline.rolling_sum(df, ["k"], "at", "v", timedelta(days=1), "s", width=width, max_rows=max_rows)
     want_row, want_peer, want_roll = {}, {}, {}
     for seq in by_key(data).values():
         cents = [round(r[3] * 100) for r in seq]
@@ -180,19 +190,20 @@ def test_versions(spark):
         ("p", day("2025-02-09"), "toys", 40.0, None, True),
         ("q", day("2025-01-02"), "food", 1.0, None, True),
     ]
-    for width in (timedelta(days=2), timedelta(days=365)):
-        got = timeline.versions(df, ["p"], "at", ["cat", "price"], width=width)
+    for max_rows in (0, 2, 100):
+        got = timeline.versions(df, ["p"], "at", ["cat", "price"], width=timedelta(days=2), max_rows=max_rows)
         same(got, want, "p string, effective_from date, cat string, price double, effective_to date, is_current boolean")
 
 
 @pytest.mark.parametrize("seed", [8, 9])
-def test_last_known(spark, seed):
+@pytest.mark.parametrize("max_rows", [0, 50, 1000])
+def test_last_known(spark, seed, max_rows):
     r = random.Random(seed)
     facts = make(seed, 150)
     history = [(r.choice([1, 1, 2, None]), BASE + timedelta(minutes=15 * r.randrange(600)), i) for i in range(60)]
     f = spark.createDataFrame(facts, DDL)
     h = spark.createDataFrame(history, "k int, since timestamp_ntz, hid int")
-    got = timeline.last_known(f, h, ["k"], "at", "since", ["hid"], ["hid"], timedelta(hours=7))
+    got = timeline.last_known(f, h, ["k"], "at", "since", ["hid"], ["hid"], timedelta(hours=7), max_rows)
     want = {}
     for k, at, i, _ in facts:
         seen = [(s, hid) for hk, s, hid in history if hk == k and s <= at]
