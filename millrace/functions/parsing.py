@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # What a human writes around a number, and what a plain number looks like.
 MONEY_NOISE = r"[$,\s]"
+MONEY_MARKS = "$, \t\r\n\f\u000b"
 PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
 WHOLE_NUMBER = r"^[+-]?[0-9]+(\.0*)?$"
 MONEY_MASKS = ("S$999999999999999.99", "S999999999999999.99")
@@ -23,13 +24,13 @@ def parse_money(c: str | Column, route: str = "cast") -> Column:
     ``regex``  the same behind a plain-number gate, so exponents and ``NaN`` are rejected.
     ``mask``   number masks; takes what ``regex`` takes, up to 15 whole and 2 decimal digits.
     """
-    bare = F.regexp_replace(_col(c), MONEY_NOISE, "")
     if route == "cast":
-        return bare.try_cast("double")
+        return F.regexp_replace(_col(c), MONEY_NOISE, "").try_cast("double")
     if route == "regex":
+        bare = F.translate(_col(c), MONEY_MARKS, "")
         return F.when(bare.rlike(PLAIN_NUMBER), bare.try_cast("double"))
     if route == "mask":
-        text = F.regexp_replace(_col(c), r"[,\s]", "")
+        text = F.translate(_col(c), MONEY_MARKS.replace("$", ""), "")
         parsed = [F.try_to_number(text, F.lit(mask)).cast("double") for mask in MONEY_MASKS]
         return F.coalesce(*parsed)
     raise ValueError(f"unknown route {route!r}")

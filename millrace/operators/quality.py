@@ -47,7 +47,7 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
     found = schema_problems(df, gates.ddl) if gates.ddl else []
     aggs = [F.count(F.lit(1)).alias("rows")]
     if gates.unique:
-        aggs.append(F.count_distinct(F.struct(*gates.unique)).alias("grains"))
+        aggs.append(_grains(gates.unique).alias("grains"))
     for i, c in enumerate(gates.not_null):
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{i}"))
     for i, cond in enumerate(gates.violations.values()):
@@ -71,6 +71,15 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
     return found
 
 
+def _grains(keys: Sequence[str]) -> Column:
+    """Distinct keys, NULL being one of the values."""
+    if len(keys) > 1:
+        return F.count_distinct(F.struct(*keys))
+    (key,) = keys
+    null = F.coalesce(F.max(F.when(F.col(key).isNull(), 1)), F.lit(0))
+    return F.count_distinct(key) + null
+
+
 def check(df: DataFrame, gates: Gates) -> DataFrame:
     found = problems(df, gates)
     if found:

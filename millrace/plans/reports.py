@@ -71,12 +71,11 @@ def ingestion_report(raw: DataFrame, money_route: str = "regex") -> DataFrame:
 
     A value that does not parse is NULL, and NULL is the only definition of a bad one.
     """
-    amount = parse_money("amount_raw", money_route)
     parsed = raw.select(
         "source",
-        F.when(~F.isnan(amount), amount).alias("_amount"),
+        parse_money("amount_raw", money_route).alias("_read"),
         parse_count("units_raw").alias("_units"),
-    )
+    ).withColumn("_amount", F.nullif("_read", F.lit(float("nan"))))
     net, units = F.try_sum(minor("_amount")), F.sum("_units")
     return parsed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_records"),

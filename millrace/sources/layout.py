@@ -12,14 +12,16 @@ def write_partitioned(
     """Write one file per partition folder; a rerun replaces only the folders it produces.
 
     A folder holding a large share of the rows would be one task.  ``spread`` names a stable integer
-    column whose remainder splits every folder over ``files_per_folder`` tasks.
+    column whose remainder splits every folder over ``files_per_folder`` tasks.  The number of tasks is
+    fixed to the session's, or small folders would be packed into one task that writes them in turn.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if files_per_folder == 1:
-        placed = df.repartition(*keys)
+        placed = df.repartition(tasks, *keys)
     else:
         if spread is None:
             raise ValueError("name the column to spread by")
-        placed = df.repartition(*keys, F.pmod(F.col(spread), F.lit(files_per_folder)))
+        placed = df.repartition(tasks, *keys, F.pmod(F.col(spread), F.lit(files_per_folder)))
     (
         placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
