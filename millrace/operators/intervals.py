@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_us, width_us
 from ..functions.values import in_interval
-from .timeline import MAX_ROWS, last_known, next_in_key
+from .skew import MAX_ROWS
+from .timeline import last_known, next_in_key
 
 
 def close_intervals(
@@ -178,4 +179,6 @@ def exclude_intervals(
     kept = placed.join(
         closed, hit & (F.col("_cell") == F.col("_w_cell")) & (F.col(at) < F.col("_hi")), "left_anti"
     )
+    if windows.filter(F.col(hi).isNull()).isEmpty():
+        return kept.select(*fact.columns)
     return kept.join(forever, hit, "left_anti").select(*fact.columns)

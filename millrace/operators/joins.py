@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import MAX_ROWS, crowded, flag_keys
+
 
 def broadcast_within(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that the side has at most ``max_rows`` rows.
@@ -115,6 +117,36 @@ def sentinel_join(
     return a.join(b, [*rest, "_filled"], how).drop("_filled")
 
 
+def join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    max_rows: int = MAX_ROWS,
+    n: int = 64,
+) -> DataFrame:
+    """Equi-join for a right side that is itself an aggregate or a window result.
+
+    AQE splits a skewed join only where both sides come straight out of a shuffle; below an aggregate it
+    cannot.  So the left side is asked for keys with more than ``max_rows`` rows.  Those, and only those,
+    are spread over n salts taken from the row's own values, with their right rows repeated.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how!r} would show repeated right rows")
+    keys = list(keys)
+    hot = crowded(left, keys, max_rows)
+    if hot is None:
+        return left.join(right, keys, how)
+    plain = [c for c, kind in left.dtypes if "map<" not in kind and kind != "variant"]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(n)).cast("int")
+    a = flag_keys(left, hot, keys, "_hot").withColumn(
+        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    )
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    b = flag_keys(right, hot, keys, "_hot").withColumn("_salt", F.explode(every))
+    return a.drop("_hot").join(b.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+
+
 def lookup_chain(fact: DataFrame, hops: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Follow fact -> dim -> config.  Each hop is ``(table, key, columns to take)``.
 
@@ -127,12 +159,21 @@ def lookup_chain(fact: DataFrame, hops: Sequence[tuple[DataFrame, str, Sequence[
 
 
 def rollup_then_join(
-    fact: DataFrame, many: DataFrame, key: str | Sequence[str], aggs: Mapping[str, Column]
+    fact: DataFrame,
+    many: DataFrame,
+    key: str | Sequence[str],
+    aggs: Mapping[str, Column],
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Bring the many side to one row per key first, so the join cannot fan out."""
+    """Bring the many side to one row per key first, so the join cannot fan out.
+
+    Give ``max_rows`` where one key may hold very many facts (see ``join_spread``).
+    """
     keys = [key] if isinstance(key, str) else list(key)
     one = many.groupBy(*keys).agg(*[e.alias(name) for name, e in aggs.items()])
-    return fact.join(one, keys, "left")
+    if max_rows is None:
+        return fact.join(one, keys, "left")
+    return join_spread(fact, one, keys, "left", max_rows)
 
 
 def split_complement(all_rows: DataFrame, published: DataFrame, key: str, status: str) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .joins import join_spread
+from .skew import MAX_ROWS
+
 
 def _sortable(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]
@@ -84,6 +87,7 @@ def top_n(
     rank: str = "dense",
     name: str = "rnk",
     ties: Sequence[str] = (),
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Rows in the top n per key, largest ``by`` first.
 
@@ -91,7 +95,7 @@ def top_n(
     ``dense``   n distinct values, with everybody who has one of them.
     ``rank``    competition ranks up to n.
     The two forms with ties rank the distinct values of a key and give the rows their rank by joining
-    on (key, value): a value shared by very many rows is never sorted in one task.
+    on (key, value): a value shared by very many rows is never sorted, nor joined, in one task.
     """
     if rank == "row":
         rest = [c for c in _sortable(df) if c not in keys and c != by and c not in ties]
@@ -114,4 +118,5 @@ def top_n(
         ranked = values.withColumn(name, (ahead + 1).cast("int")).filter(F.col(name) <= n)
     else:
         raise ValueError(f"unknown rank {rank!r}")
-    return df.join(ranked.select(*keys, by, name), [*keys, by]).select(*df.columns, name)
+    found = join_spread(df, ranked.select(*keys, by, name), [*keys, by], "inner", max_rows)
+    return found.select(*df.columns, name)

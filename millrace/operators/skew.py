@@ -1,4 +1,4 @@
-"""Salting: spread a hot key over several tasks without changing the result."""
+"""Hot keys: find them, and spread them over several tasks without changing the result."""
 
 from __future__ import annotations
 
@@ -9,6 +9,34 @@ from pyspark.sql import functions as F
 
 from ..functions.values import major, minor
 
+MAX_ROWS = 1_000_000
+MAX_BROADCAST = 100_000
+
+
+def crowded(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows, or None if no key has.
+
+    One combinable count over the key columns decides.  There are at most ``rows / max_rows`` such keys;
+    they carry a broadcast hint while they number no more than ``MAX_BROADCAST``.
+    A caller that filters ``df`` further may hand the same answer on: the set only shrinks.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    many = F.col("_n") > max_rows
+    found = counts.agg(F.count_if(many)).first()[0]
+    if not found:
+        return None
+    hot = counts.filter(many).select(*keys)
+    return F.broadcast(hot) if found <= MAX_BROADCAST else hot
+
+
+def flag_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """Rows of hot keys marked true, all others NULL; NULL is a key like any other."""
+    named = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(flag))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    return df.join(named, cond, "left").drop(*[f"_h_{k}" for k in keys])
+
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys holding at least ``share`` of all rows: never more than ``1 / share``, so they broadcast."""

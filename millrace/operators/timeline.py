@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_s, epoch_us, seconds_between, width_us
 from ..functions.values import major, minor, same_values
+from .joins import join_spread
+from .skew import MAX_ROWS, crowded, flag_keys
 
-MAX_ROWS = 1_000_000
-MAX_BROADCAST = 100_000
 AUTO = "auto"
 DAY = timedelta(days=1)
 
@@ -31,33 +31,13 @@ _CELL, _GHOST, _TAKE, _HOT = "_cell", "_ghost", "_take", "_hot"
 _UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
 
 
-def crowded(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, or None if no key has.
-
-    One combinable count over the key columns decides.  There are at most ``rows / max_rows`` such keys;
-    they carry a broadcast hint while they number no more than ``MAX_BROADCAST``.
-    A caller that filters ``df`` further may hand the same answer on: the set only shrinks.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    many = F.col("_n") > max_rows
-    found = counts.agg(F.count_if(many)).first()[0]
-    if not found:
-        return None
-    hot = counts.filter(many).select(*keys)
-    return F.broadcast(hot) if found <= MAX_BROADCAST else hot
-
-
 def _resolve(hot: DataFrame | None | str, df: DataFrame, keys: Sequence[str], max_rows: int):
     return crowded(df, keys, max_rows) if isinstance(hot, str) else hot
 
 
 def _placed(df: DataFrame, keys: Sequence[str], cell: Column, hot: DataFrame) -> DataFrame:
     """Rows with their cell; every ordinary key has a single cell."""
-    named = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(_HOT))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-    flagged = df.join(named, cond, "left").drop(*[f"_h_{k}" for k in keys])
+    flagged = flag_keys(df, hot, keys, _HOT)
     return flagged.withColumn(_CELL, F.when(F.col(_HOT), cell).otherwise(F.lit(0)))
 
 
@@ -320,14 +300,20 @@ def native_sessions(df: DataFrame, keys: Sequence[str], at: str, gap: timedelta)
 
 
 def label_sessions(
-    df: DataFrame, keys: Sequence[str], at: str, gap: timedelta, name: str = "session_start"
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    gap: timedelta,
+    name: str = "session_start",
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Every event with the start of its session.  Rows meet their label on (key, cell)."""
     cells = _gap_cells(df, keys, at, gap, {})
     tags = _session_labels(cells, keys, gap, "start").select(
         *keys, _CELL, F.col("_session").alias(name)
     )
-    return df.withColumn(_CELL, cell_of(at, gap)).join(tags, [*keys, _CELL]).drop(_CELL)
+    rows = df.withColumn(_CELL, cell_of(at, gap))
+    return join_spread(rows, tags, [*keys, _CELL], "inner", max_rows).drop(_CELL)
 
 
 def longest_streak(df: DataFrame, keys: Sequence[str], day: str, name: str = "longest_streak") -> DataFrame:

@@ -13,8 +13,8 @@ from ..functions.values import count_where, exact_avg, exact_sum, major, minor
 from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
-from ..operators.skew import salted_agg, salted_join
-from ..operators.timeline import crowded, time_delta
+from ..operators.skew import crowded, salted_agg, salted_join
+from ..operators.timeline import time_delta
 from ..sources.layout import write_partitioned
 from ..sources.snapshots import snapshot_diff
 

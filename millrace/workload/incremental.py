@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.values import exact_sum
 from ..operators import intervals, joins
 from ..plans import facts, serving
+from ..session import materialise
 from .registry import Given, query
 
 # ---------------------------------------------------------------- subscriptions
@@ -35,8 +36,8 @@ def _subscription_inputs(t: Given):
         F.when(~gone, F.col("o_totalprice")).alias("mrr"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("change_ts"),
     )
-    catalog = t.orders.select(F.col("o_orderpriority").alias("plan")).distinct()
-    return current, changes, catalog.withColumn("mrr", F.length("plan") * F.lit(1.5))
+    plans = t.orders.select(F.col("o_orderpriority").alias("plan")).distinct()
+    return current, changes, materialise(plans.withColumn("mrr", F.length("plan") * F.lit(1.5)))
 
 
 _SUBSCRIPTIONS = """
@@ -422,7 +423,9 @@ def _campaign_inputs(t: Given):
         F.col("ts").alias("event_ts_utc"),
         F.col("value").alias("spend_usd"),
     )
-    slots = t.events.select((F.col("user_id") % 50).alias("p"), (F.col("user_id") % 7).alias("c")).distinct()
+    slots = materialise(
+        t.events.select((F.col("user_id") % 50).alias("p"), (F.col("user_id") % 7).alias("c")).distinct()
+    )
     placements = slots.select(
         F.concat(F.lit("P"), F.col("p")).alias("placement_id"),
         F.concat(F.lit("M"), F.col("p") % 5).alias("market_code"),

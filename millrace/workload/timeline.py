@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.values import exact_sum, major, minor
 from ..operators import ranking, skew, timeline
 from ..plans import facts, reports, serving
+from ..session import materialise
 from ..sources.tables import sql
 from .registry import Given, query
 
@@ -54,11 +55,8 @@ def app_sessions(t: Given):
         F.col("ts").alias("event_ts"),
         F.col("event_type").alias("event_name"),
     )
-    catalog = (
-        t.events.select(F.col("event_type").alias("event_name"))
-        .distinct()
-        .withColumn("is_engagement", F.col("event_name") != "error")
-    )
+    names = t.events.select(F.col("event_type").alias("event_name")).distinct()
+    catalog = materialise(names.withColumn("is_engagement", F.col("event_name") != "error"))
     kind = F.col("c_custkey") % 3
     devices = t.customer.filter(F.col("c_custkey") % 5 != 0).select(
         F.col("c_custkey").cast("string").alias("device_id"),

@@ -149,6 +149,24 @@ def test_exclusion_is_half_open_and_never_fans_out(spark):
     assert rows(closed_only.select("id")) == [(3,), (4,), (9,)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_changes_nothing(spark, how):
+    left = spark.createDataFrame([(k, i) for k in (1, 1, 1, 2, 3, None, None) for i in range(5)], "k int, id int")
+    right = spark.createDataFrame([(1, "a"), (3, "b"), (4, "c"), (None, "d")], "k int, v string")
+    want = rows(left.join(right, ["k"], how))
+    for max_rows in (4, 9, 100):
+        assert rows(joins.join_spread(left, right, ["k"], how, max_rows, n=4)) == want
+    with pytest.raises(ValueError):
+        joins.join_spread(left, right, ["k"], "full_outer")
+
+
+def test_rollup_of_hot_facts(spark):
+    fact = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 99)], "o int, i int")
+    many = spark.createDataFrame([(1, 5), (1, 6)], "o int, r int")
+    got = joins.rollup_then_join(fact, many, "o", {"r": F.sum("r")}, max_rows=10)
+    assert rows(got) == rows(joins.rollup_then_join(fact, many, "o", {"r": F.sum("r")}))
+
+
 def hot_orders(spark):
     data = [(i, "hot", f"p{i % 4}", 1.25) for i in range(12)] + [(100, "cold", "p0", 2.5), (101, "lost", "p1", 9.0)]
     return spark.createDataFrame(data, "order_id int, customer_id string, product string, amount double")

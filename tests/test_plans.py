@@ -74,8 +74,7 @@ def test_ingestion_report_is_one_shuffle(given):
 
 def test_upsert_by_rank(given):
     df = incremental.cdc_upsert(given)
-    catalog = 1  # the price list is a distinct over orders here
-    assert shuffles(df) - catalog <= 2 and plan(df).count("FileScan") == 3
+    assert shuffles(df) <= 2 and plan(df).count("FileScan") == 3
     assert "WindowGroupLimit" in plan(df)
 
 
@@ -93,7 +92,7 @@ def test_device_hours(given):
 
 
 def test_campaign_report(given):
-    derived = 4  # placements and flights are distinct over events here
+    derived = 2  # the flights and placements are distinct over a small table here
     assert shuffles(incremental.local_day_campaign(given)) <= 1 + derived
 
 
