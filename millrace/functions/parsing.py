@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The formats a day may come in.
+DAY_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd")
+
 # What a human writes around a number, and what a plain number looks like.
 MONEY_NOISE = r"[$,\s]"
 MONEY_MARKS = "$, \t\r\n\f\u000b"
@@ -42,7 +45,7 @@ def parse_count(c: str | Column) -> Column:
     return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("double").try_cast("int"))
 
 
-def parse_day(c: str | Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "yyyy/MM/dd")) -> Column:
+def parse_day(c: str | Column, formats: tuple[str, ...] = DAY_FORMATS) -> Column:
     """Date from the first format that fits."""
     text = _col(c)
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("date")

@@ -19,21 +19,26 @@ def n_params(payload: str) -> Column:
 
 
 def param(payload: str, key: str, default: str = UNKNOWN) -> Column:
-    """Upper-cased value of ``key``; the default only when the key is absent."""
-    bag = F.str_to_map(F.coalesce(F.col(payload), F.lit("")), F.lit("&"), F.lit("="))
-    return F.coalesce(F.upper(F.try_element_at(bag, F.lit(key))), F.lit(default))
+    """Upper-cased value of ``key``; the default only when the key is absent.
+
+    A repeated key counts with its last value, and text without ``=`` is no key.
+    """
+    lead = f"{key}="
+    own = F.filter(F.split(F.coalesce(F.col(payload), F.lit("")), "&"), lambda p: p.startswith(lead))
+    value = F.substring(F.try_element_at(own, F.lit(-1)), len(lead) + 1, 1 << 30)
+    return F.coalesce(F.upper(value), F.lit(default))
 
 
 def _pairs(payload: str | None) -> dict[str, str]:
     if not payload:
         return {}
-    return dict((p + "=").split("=", 2)[:2] for p in payload.split("&"))
+    return dict(p.split("=", 1) for p in payload.split("&") if "=" in p)
 
 
 def _summary(payload: str | None) -> tuple[int, str]:
     if not payload:
         return 0, UNKNOWN
-    return len(payload.split("&")), _pairs(payload).get("tier", UNKNOWN.lower()).upper()
+    return len(payload.split("&")), _pairs(payload).get("tier", UNKNOWN).upper()
 
 
 def payload_udfs():

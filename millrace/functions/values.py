@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ def _col(c: str | Column) -> Column:
 
 
 def minor(c: str | Column, scale: int = 2) -> Column:
-    """A money column in whole minor units (cents for scale 2).
+    """A money value in whole minor units (cents for scale 2), for integer arithmetic and window sums.
 
-    Integers add up the same in any order, as fast as doubles and several times faster than decimals.
-    A total over 9.2e18 units is an error under ANSI, never a wrong number.
+    Integers add up the same in any order.  A total over 9.2e18 units is an error under ANSI, never a
+    wrong number.
     """
     return F.rint(_col(c) * F.lit(float(10**scale))).cast("bigint")
 
@@ -27,17 +28,36 @@ def major(units: Column, scale: int = 2) -> Column:
     return units / F.lit(float(10**scale))
 
 
-def exact_sum(c: str | Column, scale: int = 2, wide: bool = False) -> Column:
-    """Order-independent sum.  ``wide`` adds decimals, for totals that outgrow 9.2e18 minor units."""
-    units = minor(c, scale)
-    return major(F.sum(units.cast("decimal(18,0)") if wide else units).cast("double"), scale)
+def sum_parts(c: str | Column) -> tuple[Column, Column]:
+    """Two integer aggregates: whole units, and millionths of what is left over.
+
+    They are as fast as a sum of doubles and several times faster than a sum of decimals, do not depend
+    on the order of the rows, and neither can overflow on any real table.
+    """
+    value = _col(c)
+    whole = F.floor(value)
+    return F.sum(whole), F.sum(F.rint((value - whole) * F.lit(1e6)).cast("bigint"))
+
+
+def join_parts(whole: Column, millionths: Column) -> Column:
+    """The decimal that ``sum_parts`` took apart."""
+    return whole.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+
+
+def exact_total(c: str | Column) -> Column:
+    """Sum of doubles as a decimal, exact to six places in any row order."""
+    return join_parts(*sum_parts(c))
+
+
+def exact_sum(c: str | Column, digits: int | None = None) -> Column:
+    """``exact_total`` as double, rounded half up if ``digits`` is given."""
+    total = exact_total(c)
+    return (total if digits is None else F.round(total, digits)).cast("double")
 
 
-def exact_avg(c: str | Column, scale: int = 6, digits: int = 2, wide: bool = False) -> Column:
-    """Order-independent average, rounded half up."""
-    units = minor(c, scale)
-    total = F.sum(units.cast("decimal(18,0)") if wide else units).cast("double")
-    return F.round(total / (F.count(_col(c)) * F.lit(float(10**scale))), digits)
+def exact_avg(c: str | Column, digits: int = 2) -> Column:
+    """Average rounded half up, the same in any row order."""
+    return F.round(exact_total(c) / F.count(_col(c)), digits).cast("double")
 
 
 def bucketize(c: str | Column, edges: Sequence, labels: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import major, minor
+from ..functions.values import exact_sum
 
 
 def _named(aggs: Mapping[str, Column]) -> list[Column]:
@@ -113,11 +113,10 @@ def pivot_multi(
 
 
 def pivot_by_condition(
-    df: DataFrame, keys: Sequence[str], col: str, values: Sequence[str], measure: str, scale: int = 2
+    df: DataFrame, keys: Sequence[str], col: str, values: Sequence[str], measure: str
 ) -> DataFrame:
     """Portable pivot: one conditional sum per value, in a single aggregate."""
-    units = minor(measure, scale)
     cells = [
-        major(F.coalesce(F.sum(F.when(F.col(col) == v, units)), F.lit(0)), scale).alias(v) for v in values
+        F.coalesce(exact_sum(F.when(F.col(col) == v, F.col(measure))), F.lit(0.0)).alias(v) for v in values
     ]
     return df.groupBy(*keys).agg(*cells)

@@ -103,8 +103,8 @@ def line_summary(
     total = F.aggregate(
         "_live",
         F.lit(0).cast("bigint"),
-        lambda acc, x: acc + x["qty"] * minor(x["unit_price"]),
-        lambda acc: major(acc),
+        lambda acc, x: acc + x["qty"] * minor(x["unit_price"], 6),
+        lambda acc: major(acc, 6),
     )
     return named.select(
         *ids,
@@ -125,7 +125,7 @@ def line_summary_exploded(
     live = F.col("_x.status") == active
     return rows.groupBy(*ids).agg(
         F.count_if(live).cast("int").alias("n_active"),
-        major(F.coalesce(F.sum(F.when(live, F.col("_x.qty") * minor("_x.unit_price"))), F.lit(0))).alias(
+        major(F.coalesce(F.sum(F.when(live, F.col("_x.qty") * minor("_x.unit_price", 6))), F.lit(0)), 6).alias(
             "active_total"
         ),
         F.coalesce(F.bool_or(live & (F.col("_x.qty") >= bulk)), F.lit(False)).alias("has_bulk"),

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 
+# What rounding each group's total to a double may lose of a sum.
+DOUBLE_NOISE = 1e-12
+
+
 class GateError(RuntimeError):
     """The data broke a publish gate."""
 
@@ -20,14 +24,14 @@ class Gates:
     """``unique``      the grain: no two rows share it (NULL counts as a value)
     ``not_null``    columns that are always set
     ``violations``  name -> condition that no row may meet
-    ``totals``      name -> (aggregate over the output, number it has to equal)
+    ``totals``      name -> (aggregate over the output, number it has to equal[, relative tolerance])
     ``ddl``         declared names, order and types of the output
     """
 
     unique: Sequence[str] = ()
     not_null: Sequence[str] = ()
     violations: Mapping[str, Column] = field(default_factory=dict)
-    totals: Mapping[str, tuple[Column, object]] = field(default_factory=dict)
+    totals: Mapping[str, tuple] = field(default_factory=dict)
     ddl: str | None = None
 
 
@@ -52,8 +56,8 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{i}"))
     for i, cond in enumerate(gates.violations.values()):
         aggs.append(F.count_if(cond).alias(f"bad_{i}"))
-    for i, (total, _) in enumerate(gates.totals.values()):
-        aggs.append(total.alias(f"total_{i}"))
+    for i, (total, *_) in enumerate(gates.totals.values()):
+        aggs.append(F.coalesce(total, F.lit(0)).alias(f"total_{i}"))
     if len(aggs) == 1:
         return found
     got = df.agg(*aggs).first()
@@ -65,12 +69,16 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
     for i, name in enumerate(gates.violations):
         if got[f"bad_{i}"] != 0:
             found.append(f"{name}: {got[f'bad_{i}']} rows")
-    for i, (name, (_, want)) in enumerate(gates.totals.items()):
-        if got[f"total_{i}"] != want:
+    for i, (name, (_, want, *slack)) in enumerate(gates.totals.items()):
+        if not _close(got[f"total_{i}"], want or 0, *slack):
             found.append(f"{name}: expected {want}, got {got[f'total_{i}']}")
     return found
 
 
+def _close(got, want, slack: float = 0.0) -> bool:
+    return got == want or abs(float(got) - float(want)) <= slack * abs(float(want))
+
+
 def _grains(keys: Sequence[str]) -> Column:
     """Distinct keys, NULL being one of the values."""
     if len(keys) > 1:
@@ -106,12 +114,6 @@ def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def total_units(units: str | Column) -> Column:
-    """Sum of whole minor units for a reconciliation gate; zero on empty input."""
-    value = F.col(units) if isinstance(units, str) else units
-    return F.coalesce(F.sum(value.cast("decimal(20,0)")), F.lit(0))
-
-
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Both hold the same rows with the same multiplicity: the rerun gate."""
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import major, minor
+from ..functions.values import join_parts, sum_parts
 
 MAX_ROWS = 1_000_000
 MAX_BROADCAST = 100_000
@@ -93,7 +93,6 @@ def salted_agg(
     sums: Mapping[str, str],
     distinct: Mapping[str, str] | None = None,
     route: str = "key",
-    scale: int = 2,
 ) -> DataFrame:
     """Two-phase aggregate: partial by (keys, salt), final by keys.
 
@@ -101,8 +100,11 @@ def salted_agg(
     ``key``  the distinct column joins the partial key; sizes stay bounded whatever the vocabulary.
     ``set``  a set per partial group, united at the end: for vocabularies that fit one array.
     """
-    parts = [F.sum(minor(c, scale)).alias(o) for o, c in sums.items()]
-    finals = [major(F.sum(o), scale).alias(o) for o in sums]
+    parts, finals = [], []
+    for out, c in sums.items():
+        for i, part in enumerate(sum_parts(c)):
+            parts.append(part.alias(f"_{i}_{out}"))
+        finals.append(join_parts(F.sum(f"_0_{out}"), F.sum(f"_1_{out}")).cast("double").alias(out))
     if not distinct:
         return df.groupBy(*keys, salt).agg(*parts).groupBy(*keys).agg(*finals)
     ((out, col),) = distinct.items()

@@ -179,7 +179,7 @@ def rolling_sum(
     value: str,
     span: timedelta,
     name: str,
-    scale: int = 2,
+    scale: int = 4,
     width: timedelta = DAY,
     max_rows: int = MAX_ROWS,
     hot: DataFrame | None | str = AUTO,
@@ -337,7 +337,7 @@ def trailing_avg(
     days: int,
     name: str,
     digits: int = 2,
-    scale: int = 2,
+    scale: int = 4,
 ) -> DataFrame:
     """Average over the trailing calendar days, missing days counting as zero.
 
@@ -355,7 +355,7 @@ def dense_trailing_avg(
     days: int,
     name: str,
     digits: int = 2,
-    scale: int = 2,
+    scale: int = 4,
 ) -> DataFrame:
     """The same number by filling the calendar of each key and counting rows instead of days."""
     bounds = df.groupBy(*keys).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import parse_count, parse_money
 from ..functions.timing import day_text
-from ..functions.values import count_where, exact_avg, exact_sum, major, minor
+from ..functions.values import count_where, exact_avg, exact_sum, exact_total, major, minor
 from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
@@ -27,7 +27,7 @@ def daily_activity(raw: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("user_id").alias("dau"),
             count_where(F.col("event_type") == "purchase").alias("purchase_count"),
-            exact_sum("price").alias("total_revenue"),
+            exact_sum("price", 2).alias("total_revenue"),
         )
         .orderBy("event_date")
     )
@@ -39,7 +39,7 @@ def device_signals(events: DataFrame, devices: DataFrame, rsd: float = 0.05) ->
         events.join(broadcast_within(devices.select("device_id", "device_model")), "device_id")
         .groupBy("device_model")
         .agg(
-            exact_avg("signal_strength", wide=True).alias("avg_signal"),
+            exact_avg("signal_strength").alias("avg_signal"),
             F.approx_count_distinct("event_id", rsd).alias("total_events"),
         )
     )
@@ -76,13 +76,13 @@ def ingestion_report(raw: DataFrame, money_route: str = "regex") -> DataFrame:
         parse_money("amount_raw", money_route).alias("_read"),
         parse_count("units_raw").alias("_units"),
     ).withColumn("_amount", F.nullif("_read", F.lit(float("nan"))))
-    net, units = F.try_sum(minor("_amount")), F.sum("_units")
+    net, units = exact_total("_amount"), F.sum("_units")
     return parsed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_records"),
         count_where(F.col("_amount").isNull()).alias("n_bad_amount"),
-        major(net).alias("net_amount"),
+        net.cast("double").alias("net_amount"),
         F.coalesce(units, F.lit(0)).alias("total_units"),
-        F.round(F.try_divide(net, units * 100), 2).alias("avg_unit_price"),
+        F.round(F.try_divide(net, units), 2).cast("double").alias("avg_unit_price"),
     )
 
 
@@ -139,5 +139,5 @@ def price_audit(latest: DataFrame, original: DataFrame) -> DataFrame:
         "product_id",
         "current_price",
         "original_price",
-        major(minor("current_price") - minor("original_price")).alias("price_diff"),
+        major(minor("current_price", 6) - minor("original_price", 6), 6).alias("price_diff"),
     )

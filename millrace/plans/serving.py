@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timing import day_text, local_time, stamp_text, utc_of_local_midnight
-from ..functions.values import between_days, count_where, exact_sum, major, minor, pct_change
+from ..functions.values import between_days, count_where, exact_sum, exact_total, minor, pct_change
 from ..operators.intervals import interval_join
 from ..operators.joins import drop_if_exists, keep_if_exists, rollup_then_join, spine
-from ..operators.quality import Gates, measure, publish, total_units
+from ..operators.quality import DOUBLE_NOISE, Gates, measure, publish
 from ..operators.ranking import keep_latest_counted
 from ..operators.timeline import trailing_avg, value_at_offset, versions
 from ..operators.upserts import apply_changes, latest_of_both
@@ -76,7 +76,7 @@ def region_daily(
         "order_id",
         "seller_id",
         "order_date",
-        (F.col("qty") * minor("unit_price")).alias("_gross"),
+        (F.col("qty") * F.col("unit_price")).alias("_gross"),
     )
     placed = interval_join(
         live,
@@ -90,23 +90,23 @@ def region_daily(
         fact_key=["order_id"],
     )
     netted = rollup_then_join(
-        placed, refunds, "order_id", {"_refund": F.sum(minor("refund_amount"))}
+        placed, refunds, "order_id", {"_refund": exact_sum("refund_amount")}
     )
-    before = measure(live, {"orders": F.count(F.lit(1)), "gross": total_units("_gross")})
-    gross = F.sum("_gross")
-    refund = F.coalesce(F.sum("_refund"), F.lit(0))
+    before = measure(live, {"orders": F.count(F.lit(1)), "gross": exact_total("_gross")})
+    gross = exact_total("_gross")
+    refund = F.coalesce(exact_total("_refund"), F.lit(0))
     out = netted.groupBy("order_date", "region").agg(
         F.count_distinct("order_id").alias("n_orders"),
-        major(gross).alias("gross_gmv"),
-        major(refund).alias("refund_amount"),
-        major(gross - refund).alias("net_gmv"),
+        gross.cast("double").alias("gross_gmv"),
+        refund.cast("double").alias("refund_amount"),
+        (gross - refund).cast("double").alias("net_gmv"),
     )
     gates = Gates(
         unique=["order_date", "region"],
         not_null=["order_date", "region"],
         totals={
             "orders": (F.coalesce(F.sum("n_orders"), F.lit(0)), before["orders"]),
-            "gross": (total_units(minor("gross_gmv")), before["gross"]),
+            "gross": (exact_total("gross_gmv"), before["gross"], DOUBLE_NOISE),
         },
         ddl=REGION_DAILY,
     )
@@ -202,7 +202,7 @@ def store_trend(daily: DataFrame) -> DataFrame:
     keys = ["store_id"]
     averaged = trailing_avg(daily, keys, "sale_date", "revenue", 7, "ma7")
     seen = value_at_offset(averaged, keys, "sale_date", "revenue", -1, "prev_day_revenue")
-    growth = pct_change(minor("revenue"), minor("prev_day_revenue"))
+    growth = pct_change(minor("revenue", 6), minor("prev_day_revenue", 6))
     return seen.withColumn("dod_growth_pct", growth).select(
         "store_id", "sale_date", "revenue", "ma7", "prev_day_revenue", "dod_growth_pct"
     )

@@ -23,7 +23,7 @@ def tumbling_sales(
         stream.withWatermark(at, lateness)
         .groupBy(F.window(at, window).alias("time_window"))
         .agg(
-            exact_sum(amount).alias("total_sales"),
+            exact_sum(amount, 2).alias("total_sales"),
             F.count(order).alias("order_count"),
         )
     )
@@ -43,7 +43,10 @@ def tumbling_sales_sql(
     return stream.sparkSession.sql(
         f"""
         SELECT window({at}, '{window}') AS time_window,
-               sum(CAST(rint({amount} * 100) AS BIGINT)) / 100D AS total_sales,
+               CAST(round(
+                 CAST(sum(floor({amount})) AS DECIMAL(20, 0))
+                 + CAST(sum(CAST(rint(({amount} - floor({amount})) * 1e6D) AS BIGINT)) AS DECIMAL(20, 0)) * 0.000001,
+                 2) AS DOUBLE) AS total_sales,
                count({order}) AS order_count
         FROM {view}
         GROUP BY window({at}, '{window}')

@@ -7,7 +7,7 @@ from helpers import rows, same
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from millrace.functions.values import count_where, exact_sum
+from millrace.functions.values import count_where, exact_avg, exact_sum, exact_total
 from millrace.operators import grouping, reshape
 
 LEVELS = {("r", "c"): "both", ("r",): "r", ("c",): "c", (): "all"}
@@ -141,6 +141,15 @@ def test_array_sorts_place_null_differently(spark):
     assert got["first"] == [None, "a", "b"] and got["last"] == ["a", "b", None]
 
 
+def test_exact_sum_of_small_and_large(spark):
+    df = spark.createDataFrame([(9.0e12,), (0.004,), (0.004,), (-0.000001,), (-7.25,), (None,)], "v double")
+    got = df.agg(exact_total("v").alias("t"), exact_sum("v", 2).alias("s"), exact_avg("v").alias("a")).first()
+    assert got["t"] == Decimal("8999999999992.757999") and got["s"] == 8999999999992.76
+    assert got["a"] == 1799999999998.55
+    empty = df.filter("v IS NULL").agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).first()
+    assert tuple(empty) == (None, None)
+
+
 def test_exact_sum_does_not_drift(spark):
     df = spark.createDataFrame([(0.1,)] * 10, "v double")
     assert df.agg(exact_sum("v").alias("s")).first()["s"] == float(Decimal("1.0"))

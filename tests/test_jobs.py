@@ -404,4 +404,4 @@ def test_journey_and_signals(spark):
     events = spark.createDataFrame([("1", "d", 1.005), ("2", "d", 2.0), ("2", "x", 2.0)], "event_id string, device_id string, signal_strength double")
     devices = spark.createDataFrame([("d", "M")], "device_id string, device_model string")
     got = reports.device_signals(events, devices)
-    same(got, [("M", 1.51, 2)], "device_model string, avg_signal double, total_events bigint")
+    same(got, [("M", 1.5, 2)], "device_model string, avg_signal double, total_events bigint")

@@ -5,6 +5,7 @@ from helpers import rows, same
 from pyspark.sql import functions as F
 
 from millrace import session
+from millrace.functions.values import exact_total
 from millrace.operators import quality
 from millrace.operators.quality import GateError, Gates
 from millrace.plans import reports
@@ -32,7 +33,7 @@ def test_each_gate_fires(spark, name, data, ddl, gates):
     if gates == "negative":
         gates = Gates(violations={"negative": F.col("v") < 0})
     if gates == "total":
-        gates = Gates(totals={"total": (quality.total_units("v"), 2)})
+        gates = Gates(totals={"total": (exact_total("v"), 2)})
     with pytest.raises(GateError, match=name):
         quality.publish(spark.createDataFrame(data, ddl), gates)
 
@@ -42,11 +43,11 @@ def test_gates_pass_on_valid_and_on_empty_input(spark):
         unique=["id"],
         not_null=["id", "v"],
         violations={"negative": F.col("v") < 0},
-        totals={"rows": (F.count(F.lit(1)), 2), "sum": (quality.total_units(F.col("v") * 2), 8)},
+        totals={"rows": (F.count(F.lit(1)), 2), "sum": (exact_total("v"), 4)},
         ddl=DDL,
     )
     same(quality.publish(good(spark), gates), rows(good(spark)), DDL)
-    empty = Gates(gates.unique, gates.not_null, gates.violations, {"rows": (F.count(F.lit(1)), 0), "sum": (quality.total_units("v"), 0)}, DDL)
+    empty = Gates(gates.unique, gates.not_null, gates.violations, {"rows": (F.count(F.lit(1)), 0), "sum": (exact_total("v"), 0)}, DDL)
     assert quality.publish(good(spark).limit(0), empty).count() == 0
     with pytest.raises(GateError, match="rows"):
         quality.check(good(spark).limit(0), gates)
