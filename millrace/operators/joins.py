@@ -26,6 +26,12 @@ def broadcast_within(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(dim) if seen <= max_rows else dim
 
 
+def broadcast_hint(dim: DataFrame, alias: str, max_rows: int = 100_000) -> str:
+    """The SQL hint for a relation's alias, or nothing if the relation is not within the bound."""
+    seen = dim.select(F.lit(1)).limit(max_rows + 1).count()
+    return f"/*+ BROADCAST({alias}) */" if seen <= max_rows else ""
+
+
 def enrich(
     fact: DataFrame, dim: DataFrame, on: str | Sequence[str], defaults: Mapping[str, object]
 ) -> DataFrame:

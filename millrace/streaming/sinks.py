@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ranking import keep_latest
 from ..operators.upserts import apply_changes
@@ -21,10 +23,24 @@ def _finish(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What the batches have written so far; a stream without any data has written nothing."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _by_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+
+
 def run_append(result: DataFrame, root: str) -> DataFrame:
     """Append mode into a parquet sink: only rows that can no longer change."""
     _finish(result.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out"), f"{root}/cp")
-    return result.sparkSession.read.schema(result.schema).parquet(f"{root}/out")
+    return _written(result.sparkSession, f"{root}/out", result.schema)
 
 
 def run_updates(result: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
@@ -35,7 +51,7 @@ def run_updates(result: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     _finish(result.writeStream.outputMode("update").foreachBatch(write), f"{root}/cp")
-    written = result.sparkSession.read.parquet(f"{root}/out")
+    written = _written(result.sparkSession, f"{root}/out", _by_batch(fields))
     return keep_latest(written, keys, ["batch"]).select(*fields.names)
 
 
@@ -58,7 +74,8 @@ def upserted(
     spark: SparkSession, seed: DataFrame, root: str, keys: Sequence[str], cols: Sequence[str], at: str, op: str = "op"
 ) -> DataFrame:
     """State after all deltas.  Tombstones are remembered, so an old change cannot revive a key."""
-    deltas = spark.read.parquet(f"{root}/delta").drop("batch")
+    shape = seed.select(*keys, F.lit("").alias(op), *cols, at).schema
+    deltas = _written(spark, f"{root}/delta", shape)
     return apply_changes(seed, deltas, keys, cols, at, op)
 
 
@@ -92,7 +109,8 @@ def run_resolution(
         last.append(batch_id)
 
     _finish(trips.writeStream.foreachBatch(write), f"{root}/cp")
-    history = spark.read.parquet(f"{root}/resolved")
+    shape = _by_batch(resolve_trips(spark.createDataFrame([], trips.select(*park).schema), *dims(spark)).schema)
+    history = _written(spark, f"{root}/resolved", shape)
     newest = max(last) if last else history.agg(F.max("batch")).first()[0]
     settled = (F.col("load_status") == "PUBLISHED") | (F.col("batch") == newest)
     return history.filter(settled).drop("batch")

@@ -8,6 +8,7 @@ from ..functions.values import any_of
 from ..operators import joins, skew
 from ..operators.rowwise import project
 from ..plans import reports, serving
+from ..sources.tables import sql
 from .registry import Given, query
 
 
@@ -76,6 +77,50 @@ def broadcast_report(t: Given):
     )
 
 
+_NATIONS = """
+SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
+FROM customer JOIN nation ON n_nationkey = c_nationkey
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')
+  AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 50 = 0)
+GROUP BY ALL
+"""
+
+
+@query("existence_sql", _NATIONS)
+def existence_sql(t: Given):
+    return sql(
+        t.spark,
+        f"""
+        SELECT {joins.broadcast_hint(t.nation, 'n')} n.n_name, count(*) AS n_customers,
+               CAST(sum(CAST(c.c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
+        FROM {{customer}} c JOIN {{nation}} n ON n.n_nationkey = c.c_nationkey
+        WHERE c.c_custkey IN (SELECT o_custkey FROM {{orders}} WHERE o_orderstatus = 'F')
+          AND NOT EXISTS (SELECT 1 FROM {{orders}} o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 50 = 0)
+        GROUP BY n.n_name
+        """,
+        customer=t.customer,
+        nation=t.nation,
+        orders=t.orders,
+    )
+
+
+@query("existence_joins_sql", _NATIONS)
+def existence_joins_sql(t: Given):
+    return sql(
+        t.spark,
+        """
+        SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
+        LEFT SEMI JOIN (SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'F') f ON f.o_custkey = c_custkey
+        LEFT ANTI JOIN (SELECT o_custkey FROM {orders} WHERE o_orderkey % 50 = 0) x ON x.o_custkey = c_custkey
+        GROUP BY n_name
+        """,
+        customer=t.customer,
+        nation=t.nation,
+        orders=t.orders,
+    )
+
+
 @query(
     "outreach_list",
     """

@@ -106,6 +106,23 @@ def test_upserts_by_batch_remember_deletes(spark, tmp_path):
     assert rows(twin) == rows(got)
 
 
+def test_streams_without_data(spark, tmp_path):
+    folder = str(tmp_path / "empty")
+    os.makedirs(folder)
+    sales = windows.open_window(windows.tumbling_sales(json_stream(spark, folder, SALE)))
+    assert sinks.run_append(sales, shared_dir(spark, "t")).count() == 0
+    assert sinks.run_updates(sales, shared_dir(spark, "t"), ["window_start"]).count() == 0
+    root = shared_dir(spark, "t")
+    seed = spark.createDataFrame([(1, "a", "02")], "k int, v string, at string")
+    sinks.run_upserts(json_stream(spark, folder, "k int, op string, v string, at string"), root, ["k"], ["v"], "at")
+    assert rows(sinks.upserted(spark, seed, root, ["k"], ["v"], "at")) == rows(seed)
+    ddl = "trip_id string, driver_id string, completed_ts string, fare_cents bigint, first_seen_date string"
+    drivers = spark.createDataFrame([], "driver_id string, fleet_id string")
+    commissions = spark.createDataFrame([], "fleet_id string, commission_pct int")
+    got = sinks.run_resolution(json_stream(spark, folder, ddl), shared_dir(spark, "t"), lambda s: (drivers, commissions))
+    assert got.count() == 0
+
+
 def test_park_and_replay(spark, tmp_path):
     folder = str(tmp_path / "trips")
 
