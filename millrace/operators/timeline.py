@@ -467,8 +467,3 @@ def last_known(
         .filter(F.col("_kind") == 2)
         .select(*facts.columns, *[F.col(f"_known.{c}").alias(c) for c in take])
     )
-
-
-def since_start(at: str | Column, start: str | Column) -> Column:
-    """Seconds into a session or an interval."""
-    return seconds_between(start, at)
