@@ -25,6 +25,7 @@ from .joins import join_spread
 from .skew import MAX_ROWS, crowded, flag_keys
 
 AUTO = "auto"
+SLIDE_ROWS = 5_000
 DAY = timedelta(days=1)
 
 _CELL, _GHOST, _TAKE, _HOT = "_cell", "_ghost", "_take", "_hot"
@@ -183,20 +184,22 @@ def rolling_sum(
     width: timedelta = DAY,
     max_rows: int = MAX_ROWS,
     hot: DataFrame | None | str = AUTO,
+    slide_rows: int = SLIDE_ROWS,
 ) -> DataFrame:
     """Sum over the trailing ``span`` up to and including the row, on whole seconds, exact to ``scale``.
 
-    Ordinary keys use a RANGE frame.  For hot ones a row enters a balance at its second and leaves it one
-    second after its span, so the rolling sum is a running total of entries and expiries, and cells may
-    be far shorter than the span.
+    A sliding frame adds up its rows again for every row, so it is kept for keys of at most
+    ``slide_rows`` rows.  If any key has more, a row enters a balance at its second and leaves it one
+    second after its span: the rolling sum is then a running total of entries and expiries, linear in
+    the rows, and hot keys are cut into cells that may be far shorter than the span.
     """
     seconds = width_us(span) // 1_000_000
-    hot = _resolve(hot, df, keys, max_rows)
     timed = df.withColumns({"_tick": epoch_s(at), "_v": minor(value, scale)})
-    if hot is None:
-        frame = W.partitionBy(*keys).orderBy("_tick").rangeBetween(-seconds, 0)
-        return timed.withColumn(name, major(F.sum("_v").over(frame), scale)).select(*df.columns, name)
-    cell = F.col("_tick") - F.pmod("_tick", F.lit(width_us(width) // 1_000_000))
+    if isinstance(hot, str):
+        if crowded(df, keys, min(slide_rows, max_rows)) is None:
+            frame = W.partitionBy(*keys).orderBy("_tick").rangeBetween(-seconds, 0)
+            return timed.withColumn(name, major(F.sum("_v").over(frame), scale)).select(*df.columns, name)
+        hot = crowded(df, keys, max_rows)
     enters = F.struct(F.lit(False).alias("leaves"), F.col("_tick").alias("tick"), F.col("_v").alias("v"))
     leaves = F.struct(
         F.lit(True).alias("leaves"), (F.col("_tick") + seconds + 1).alias("tick"), (-F.col("_v")).alias("v")
@@ -206,6 +209,11 @@ def rolling_sum(
         .withColumns({"_leaves": F.col("_move.leaves"), "_tick": F.col("_move.tick"), "_v": F.col("_move.v")})
         .drop("_move")
     )
+    if hot is None:
+        balance = W.partitionBy(*keys).orderBy("_tick").rangeBetween(*_UP_TO_HERE)
+        total = moves.withColumn(name, major(F.sum("_v").over(balance), scale))
+        return total.filter(~F.col("_leaves")).select(*df.columns, name)
+    cell = F.col("_tick") - F.pmod("_tick", F.lit(width_us(width) // 1_000_000))
     ledger = _placed(moves, keys, cell, hot)
     ghosts = _carry_totals(ledger, keys, "_v")
     both = ledger.withColumn(_GHOST, F.lit(False)).unionByName(ghosts, allowMissingColumns=True)

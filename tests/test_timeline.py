@@ -82,7 +82,8 @@ def test_running_and_rolling(spark, seed, max_rows):
             now = r[1].replace(microsecond=0)
             inside = [c for c, o in zip(cents, seq) if now - timedelta(days=1) <= o[1].replace(microsecond=0) <= now]
             want_roll[r[2]] = sum(inside) / 100
-    for df_out, want in ((rowwise, want_row), (peers, want_peer), (rolled, want_roll)):
+    balanced = timeline.rolling_sum(df, ["k"], "at", "v", timedelta(days=1), "s", width=width, slide_rows=10)
+    for df_out, want in ((rowwise, want_row), (peers, want_peer), (rolled, want_roll), (balanced, want_roll)):
         assert {r["id"]: r["s"] for r in df_out.collect()} == want
 
 
