@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import join_parts, sum_parts
 
-MAX_ROWS = 1_000_000
+MAX_ROWS = 2_000_000
 MAX_BROADCAST = 100_000
 
 
