@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin_session
-from . import packing, pieces, quality_rules, sharding
+from . import fingerprints, jaccard_join, language_model, packing, pieces, quality_rules, sharding, suffix_dedup
 from .common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, folder), table(spark, folder, "labels")).drop("text_key")
 
 
+@query
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_report(documents(spark, folder))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.judge(documents(spark, folder), table(spark, folder, "labels")).drop("text_key")
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
@@ -35,6 +45,17 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    like = jaccard_join.Likeness(words=4, percent=85)
+    return jaccard_join.link(documents(spark, folder), like).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, folder))
+
+
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
