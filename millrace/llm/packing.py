@@ -17,8 +17,10 @@ ties go to the first row by number; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import sys
+import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,53 +33,61 @@ from ..session import materialise
 #: Pieces of a group; of what a round releases, groups of this size are formed again.
 GROUP_ROWS = 20_000
 ROUNDS = 4
-#: Distinct words whose ids a task remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Distinct words whose ids a worker remembers before it starts afresh.
+REMEMBERED = 1_600_000
 _CHUNK = 2_000
 
 
 class WordIds:
     """Ids of whole texts from remembered ids of words between blanks.
 
-    The tokenizer never joins what blanks separate, so a text's ids are those of its words one after the other.  New
-    words are encoded many at a time, as one text, and told apart by the offsets of their tokens.
+    The tokenizer never joins what blanks separate, so a text's ids are those of its words one after the other, and it
+    lowers case itself, so ASCII capitals can be lowered before.  A comma or full stop behind a letter or digit at the
+    end of a word is a token of its own.  New words are encoded many at a time, as one text, and told apart by the
+    offsets of their tokens.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        # One memory for all tasks that the worker process runs: functions are shipped anew with each task.
+        memory = sys.modules.setdefault("_millrace_words", types.ModuleType("_millrace_words"))
+        self.known: dict[str, bytes] = memory.__dict__.setdefault(path, {})
+        self.known[""] = b""
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
+            self.known.clear()
+            self.known[""] = b""
+        ended = [w for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalnum() and w[-2].isascii()]
+        bare = {w[:-1] for w in ended} | {".", ","}
+        self._encode([w for w in bare.union(words).difference(ended) if w not in self.known])
+        self.known.update((w, self.known[w[:-1]] + self.known[w[-1]]) for w in ended)
+
+    def _encode(self, words: list[str]) -> None:
         for i in range(0, len(words), _CHUNK):
             part = words[i : i + _CHUNK]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            ids = np.array(found.ids, "<u4")
+            flat = np.array(found.ids, "<u4").tobytes()
             at = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.searchsorted(at, starts) * 4
-            flat = ids.tobytes()
-            self.known.update(zip(part, [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
+            cuts = (np.searchsorted(at, starts) * 4).tolist()
+            self.known.update(zip(part, [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids."""
+        # The strings of special tokens have their ids in small letters only.
+        texts = [t if "<|" in t else t.encode().lower().decode() for t in texts]
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                out.append(None)
-        if None in out:
-            missing = dict.fromkeys(w for words, o in zip(split, out) if o is None for w in words if w not in self.known)
-            known = len(self.known)
-            self.learn(list(missing))
-            if len(self.known) < known:  # started afresh: what earlier texts brought is gone
-                self.learn(list(dict.fromkeys(w for words, o in zip(split, out) if o is None for w in words if w not in self.known)))
-            out = [o if o is not None else b"".join(map(self.known.__getitem__, words)) for words, o in zip(split, out)]
-        return out
+        missing = {w for words in split for w in words}.difference(self.known)
+        if missing:
+            self.learn(missing)
+        try:
+            return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        except KeyError:  # the memory was cleared
+            self.learn({w for words in split for w in words})
+            return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, length: int, id: str = "doc_id", text: str = "text") -> DataFrame:
