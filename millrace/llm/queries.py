@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin_session
-from . import fingerprints, jaccard_join, language_model, packing, pieces, quality_rules, sharding, suffix_dedup
+from . import (
+    fingerprints,
+    jaccard_join,
+    language_model,
+    licenses,
+    packing,
+    pieces,
+    quality_rules,
+    quotations,
+    sharding,
+    suffix_dedup,
+)
 from .common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +56,16 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.link_quotations(table(spark, folder, "conversations"))
+
+
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     like = jaccard_join.Likeness(words=4, percent=85)
