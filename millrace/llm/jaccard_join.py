@@ -6,13 +6,14 @@ go to the end and the others are ordered by their hash, so the sample changes th
 
 1. Equal sets collapse into one node.  Nodes of equal prefix and size collapse into one group, so that one entry of the
    index stands for all of them.
-2. Groups that share a prefix token are candidates.  In the first round each group meets the first group of each of its
-   tokens, and each node the first node of its group: as many pairs as index entries.  Pairs that the sizes or the
-   positions of the common token rule out are dropped, the others expanded to their members and verified on the whole
-   sets.
-3. Most candidates are now in one component.  The second round takes the pairs of groups that meet in a token and still
-   have members in different components, filters, expands and verifies these members.  What stays out is already
-   reachable, so the components are those of all links.
+2. Groups that share a prefix token are candidates.  Where few groups share it all their pairs are, where many do each
+   group meets the first of them: a constant number of pairs for each index entry.  Sizes, positions and the number of
+   common prefix tokens bound what a pair can have in common; the pairs that may link are expanded to members, each
+   group being represented by its first node, and each node meets the first node of its group.
+3. Expanded pairs are verified on the whole sets.  Sets travel to tiles of their candidate cluster, not to pairs, so a
+   set that has many candidates travels once for each block of them.
+4. What meets in a crowded token or in a group and is not in one component by now is paired, filtered, expanded and
+   verified in a second round.  What stays out is already reachable, so the components are those of all links.
 
 Sets are compared by 64-bit hashes of shingles.  Nothing of all documents is collected; components are found by
 contraction.
@@ -38,6 +39,10 @@ from .graph import components
 
 _M = 0x9E3779B97F4A7C15
 _GROUP = 1_000_000
+#: Groups that share a token are all paired up to this number; beyond, the second round has what the first leaves.
+FEW = 8
+#: Sets of one block of a candidate cluster.
+BLOCK = 200
 #: One in so many documents is looked at for frequent tokens, and a token in so many of them is frequent.
 SAMPLE, FREQUENT, MOST_FREQUENT = 50, 6, 100_000
 
@@ -143,7 +148,7 @@ def frequent_tokens(docs: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, like: Likeness, frequent: np.ndarray) -> DataFrame:
-    """doc_id, text_key, n, node, grp, prefix."""
+    """doc_id, text_key, n, node, grp, rare (no frequent token in the prefix), prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,16 +156,17 @@ def _prefixes(docs: DataFrame, like: Likeness, frequent: np.ndarray) -> DataFram
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, z in _grouped(texts):
-                sizes, nodes, groups, prefixes = [], [], [], []
+                sizes, nodes, groups, prefixes, plain = [], [], [], [], []
                 for s in shingles.of(texts[a:z]):
                     n = len(s)
                     p = n - (like.percent * n + 99) // 100 + 1 if n else 0
-                    head = s
+                    head, rare = s, n
                     if len(last) and n:
                         at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                         often = last[at] == s
-                        head = np.concatenate([s[~often], s[often]])
+                        head, rare = np.concatenate([s[~often], s[often]]), n - int(often.sum())
                     head = head[:p]
+                    plain.append(rare >= p)
                     sizes.append(n)
                     nodes.append(_name(s, 1))
                     groups.append(_name(np.append(np.sort(head), np.uint64(n)), 2) if n else 0)
@@ -173,13 +179,14 @@ def _prefixes(docs: DataFrame, like: Likeness, frequent: np.ndarray) -> DataFram
                         pa.array(sizes, pa.int64()),
                         pa.array(nodes, pa.int64()),
                         pa.array(groups, pa.int64()),
+                        pa.array(plain, pa.bool_()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes), pa.int64())),
                     ],
-                    names=["doc_id", "text_key", "n", "node", "grp", "prefix"],
+                    names=["doc_id", "text_key", "n", "node", "grp", "rare", "prefix"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, text_key long, n long, node long, grp long, prefix array<long>"
+    ddl = f"doc_id {kind}, text_key long, n long, node long, grp long, rare boolean, prefix array<long>"
     return docs.select("doc_id", "text_key", "text").mapInArrow(run, ddl)
 
 
@@ -201,22 +208,49 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link."""
+    """Those of ``pairs`` (a, b) that link, by their whole sets.
+
+    Pairs of one candidate cluster are cut into tiles, a block of its nodes against a block; a set goes to the tiles
+    that need it.  A tile holds the sets of two blocks at most.
+    """
+    clusters = components(pairs)
+    sizes = materialise(clusters.groupBy("component").count(), label="sizes")
+    placed = clusters.join(sizes, "component").select(
+        "node",
+        "component",
+        F.pmod(F.xxhash64(F.lit(3), "node"), F.ceil(F.col("count") / BLOCK)).alias("block"),
+    )
+    placed = materialise(placed, label="placed")
+    one = placed.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
+    two = placed.select(F.col("node").alias("b"), F.col("block").alias("j"))
+    cut = pairs.distinct().join(one, "a").join(two, "b")
+    tiled = cut.select(F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("tile"), "a", "b")
+    tiled = materialise(tiled, label="tiles")
+    needed = tiled.select("tile", F.explode(F.array("a", "b")).alias("node")).distinct()
+    nothing = F.lit(None)
+    have = needed.join(sets, "node").select("tile", F.col("node").alias("a"), nothing.cast("long").alias("b"), "shingles")
+    ask = tiled.select("tile", "a", "b", nothing.cast("binary").alias("shingles"))
+    rows = have.unionByName(ask).repartition("tile").sortWithinPartitions("tile", F.col("b").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        now = None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                one, two = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = np.sort(np.concatenate([one, two]))
+            a, b = [], []
+            for tile, x, y, blob in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+                if tile != now:
+                    now, held = tile, {}
+                if y is None:
+                    held[x] = np.frombuffer(blob.as_py(), np.uint64)
+                    continue
+                both = np.sort(np.concatenate([held[x], held[y]]))
                 common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+                if 100 * common >= percent * (len(both) - common):
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    first = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    second = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    return pairs.join(first, "b").join(second, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,61 +258,99 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     percent = like.percent
     plain = docs.select(F.col(id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     rows = materialise(_prefixes(plain, like, frequent_tokens(plain, "text", like.words)), label="prefixes")
-    nodes = rows.where("n > 0").groupBy("node", "grp", "n").agg(F.min("doc_id").alias("first"), F.first("text_key").alias("any_key"))
-    nodes = materialise(nodes, label="nodes")
-    groups = nodes.groupBy("grp", "n").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
+    full = rows.where("n > 0")
+    nodes = materialise(full.groupBy("node", "grp", "n").agg(F.min("doc_id").alias("first")), label="nodes")
+    groups = nodes.groupBy("grp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
     groups = materialise(groups, label="groups")
-    heads = rows.where("n > 0").select("grp", "prefix").dropDuplicates(["grp"])
-    index = heads.join(groups.select("grp", "n"), "grp").select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-
-    # Entries of tokens that several groups share, next to the first of these groups.
+    # One entry for each token of a group's prefix; ``place`` holds size and position.
+    heads = full.select("grp", "n", "prefix").dropDuplicates(["grp"])
+    index = heads.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
+    index = index.select("token", "grp", (F.col("n") * (1 << 31) + F.col("pos")).alias("place"))
     by_token = Window.partitionBy("token")
-    lead = F.min(F.struct("grp", "n", "pos")).over(by_token)
-    shared = index.withColumn("lead", lead).withColumn("several", F.max("grp").over(by_token) > F.col("lead.grp"))
-    shared = materialise(shared.where("several").select("token", "grp", "n", "pos", "lead"), label="index")
-
-    def fits(n1, p1, n2, p2):
-        most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
-        return ((100 + percent) * most >= percent * (n1 + n2)) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
-
-    star = shared.where(F.col("grp") != F.col("lead.grp"))
-    star = star.where(fits(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos")))
-    star = star.select(F.col("lead.grp").alias("g"), F.col("grp").alias("h")).distinct()
+    shared = index.withColumn("width", F.count(F.lit(1)).over(by_token)).where("width > 1")
+    shared = materialise(shared, label="index")
+    few, crowd = shared.where(F.col("width") <= FEW).drop("width"), shared.where(F.col("width") > FEW).drop("width")
+
+    # What the bounds need to know of a group.
+    crowded = crowd.groupBy("grp").agg(F.count(F.lit(1)).alias("crowded"))
+    last = F.element_at("prefix", -1)
+    # Hashes are ordered as unsigned numbers, and frequent tokens come behind all others.
+    ends = full.select("grp", "n", F.size("prefix").alias("p"), F.struct(~F.col("rare"), last < 0, last).alias("end"))
+    facts = ends.dropDuplicates(["grp"]).join(crowded, "grp", "left").na.fill(0, ["crowded"])
+    facts = materialise(facts, label="facts")
+
+    def paired(one: DataFrame, two: DataFrame) -> DataFrame:
+        """grp1, grp2, place1, place2, common: pairs of entries, in both orders of a pair's ids just once."""
+        return one.join(two, "token").where("grp1 < grp2").select("grp1", "grp2", "place1", "place2")
+
+    def named(frame: DataFrame, k: int) -> DataFrame:
+        return frame.select("token", *[F.col(c).alias(f"{c}{k}") for c in frame.columns if c != "token"])
+
+    def possible(entries: DataFrame) -> DataFrame:
+        """grp1, grp2 of those pairs that can link: ``entries`` has grp1, grp2, place1, place2 and ``common``, the
+        number of common tokens that are not crowded."""
+        met = entries.groupBy("grp1", "grp2").agg(
+            F.sum("common").alias("common"), F.max("place1").alias("place1"), F.max("place2").alias("place2")
+        )
+        for k in (1, 2):
+            own = facts.select(*[F.col(c).alias(f"{c}{k}") for c in facts.columns])
+            met = met.join(own, f"grp{k}")
+        # Up to the smaller last token all common tokens are in both prefixes; beyond it, what is left of either set
+        # can be common.  How far the other prefix reaches there is at least the last token they share.
+        reach1 = F.when(F.col("end1") <= F.col("end2"), F.col("p1")).otherwise(F.pmod("place1", F.lit(1 << 31)) + 1)
+        reach2 = F.when(F.col("end2") <= F.col("end1"), F.col("p2")).otherwise(F.pmod("place2", F.lit(1 << 31)) + 1)
+        most = F.col("common") + F.least("crowded1", "crowded2") + F.least(F.col("n1") - reach1, F.col("n2") - reach2)
+        can = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
+        near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+        return met.where(can & near).select("grp1", "grp2")
+
+    everyone = paired(named(few, 1), named(few, 2)).withColumn("common", F.lit(1))
+    leads = crowd.withColumn("lead", F.min(F.struct("grp", "place")).over(by_token))
+    star = leads.where("lead.grp <> grp").select(
+        F.col("lead.grp").alias("grp1"), F.col("grp").alias("grp2"), F.col("lead.place").alias("place1"), F.col("place").alias("place2")
+    )
+    meetings = everyone.unionByName(star.withColumn("common", F.lit(0)))
     rep = groups.select("grp", "rep")
-    between = star.join(rep.select(F.col("grp").alias("g"), F.col("rep").alias("a")), "g")
-    between = between.join(rep.select(F.col("grp").alias("h"), F.col("rep").alias("b")), "h").select("a", "b")
+    between = materialise(possible(meetings), label="meetings")
+    between = between.join(rep.select(F.col("grp").alias("grp1"), F.col("rep").alias("a")), "grp1")
+    between = between.join(rep.select(F.col("grp").alias("grp2"), F.col("rep").alias("b")), "grp2").select("a", "b")
     within = nodes.join(groups.where("members > 1").select("grp", "rep"), "grp").where("node <> rep")
     first_pairs = between.unionByName(within.select(F.col("rep").alias("a"), F.col("node").alias("b")))
 
-    # Whole sets of all nodes that can still meet another.
-    meeting = shared.select("grp").unionByName(groups.where("members > 1").select("grp")).distinct()
-    wanted = nodes.join(meeting, "grp", "left_semi").select("node", F.col("first").alias("doc_id"))
-    chosen = wanted.select("doc_id").distinct()
-    sets = _sets(plain.join(chosen, plain["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi"), like.words)
-    sets = sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    sets = materialise(sets, label="sets")
-    links = materialise(_verified(first_pairs, sets, percent), label="links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Links among pairs of nodes."""
+        pairs = materialise(pairs, label="pairs")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = materialise(nodes.join(asked, "node", "left_semi").select("node", F.col("first").alias("doc_id")), label="wanted")
+        chosen = wanted.select("doc_id").distinct()
+        found = plain.join(chosen, plain["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
+        sets = _sets(found, like.words).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        return materialise(_verified(pairs, sets, percent), label="links")
+
+    links = verified(first_pairs)
     found = components(links)
 
-    # Second round: what meets in a token or a group and is still apart.
-    at = nodes.join(meeting, "grp", "left_semi").select("node", "grp").join(found, "node", "left")
+    # Second round: what meets in a crowded token, or is in a group, and is still apart.
+    at = nodes.select("node", "grp").join(found, "node", "left")
     at = materialise(at.select("node", "grp", F.coalesce("component", "node").alias("component")), label="members")
-    spans = at.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    here = shared.select("token", "grp", "n", "pos").join(spans, "grp")
-    here = here.withColumn("apart", F.min("lo").over(by_token) < F.max("hi").over(by_token)).where("apart")
-    here = materialise(here.drop("apart"), label="apart")
-    one = here.select(*[F.col(c).alias(f"{c}1") if c != "token" else F.col(c) for c in here.columns])
-    two = here.select(*[F.col(c).alias(f"{c}2") if c != "token" else F.col(c) for c in here.columns])
-    met = one.join(two, "token").where("grp1 < grp2 AND least(lo1, lo2) < greatest(hi1, hi2)")
-    met = met.where(fits(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"))).select("grp1", "grp2").distinct()
-    inside = spans.where("lo < hi").select(F.col("grp").alias("grp1"), F.col("grp").alias("grp2"))
+    spans = materialise(at.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), label="spans")
+    here = crowd.join(spans, "grp")
+    here = here.withColumn("apart", F.min("lo").over(by_token) < F.max("hi").over(by_token)).where("apart").drop("apart")
+    here = materialise(here, label="apart")
+    met = named(here, 1).join(named(here, 2), "token").where("grp1 < grp2 AND least(lo1, lo2) < greatest(hi1, hi2)")
+    met = met.groupBy("grp1", "grp2").agg(F.max("place1").alias("place1"), F.max("place2").alias("place2"))
+    small = everyone.groupBy("grp1", "grp2").agg(F.sum("common").alias("common"), F.max("place1").alias("q1"), F.max("place2").alias("q2"))
+    met = met.join(small, ["grp1", "grp2"], "left").select(
+        "grp1", "grp2", F.greatest("place1", "q1").alias("place1"), F.greatest("place2", "q2").alias("place2"), F.coalesce("common", F.lit(0)).alias("common")
+    )
+    apart = spans.where("lo < hi").select(F.col("grp").alias("grp1"), F.col("grp").alias("grp2"))
     left = at.select(F.col("grp").alias("grp1"), F.col("node").alias("x"), F.col("component").alias("cx"))
     right = at.select(F.col("grp").alias("grp2"), F.col("node").alias("y"), F.col("component").alias("cy"))
-    expanded = met.unionByName(inside).join(left, "grp1").join(right, "grp2").where("cx <> cy AND (grp1 <> grp2 OR x < y)")
+    both = materialise(possible(met).unionByName(apart), label="meetings")
+    expanded = both.join(left, "grp1").join(right, "grp2").where("cx <> cy AND (grp1 <> grp2 OR x < y)")
     second_pairs = materialise(expanded.select(F.col("x").alias("a"), F.col("y").alias("b")), label="pairs")
     if not second_pairs.isEmpty():
-        more = _verified(second_pairs, sets, percent)
-        found = components(links.unionByName(materialise(more, label="links")))
+        found = components(links.unionByName(verified(second_pairs)))
 
     # The smallest id of each component; components are hot keys, so ids are pre-aggregated and joined back.
     known = rows.select("doc_id", "text_key", "n", "node").join(found, "node", "left")
