@@ -276,7 +276,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, crowded:
     """doc_id, text_key, start, stop: ranges of repeated strings of documents (doc_id, text_key, text)."""
     triggers = materialise(_triggers(docs, length, reach), label="triggers")
     cores = triggers.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("full").alias("a"), F.max("full").alias("z"))
-    cores = cores.where("n > 1").select("core", (F.col("a") < F.col("z")).alias("mixed"))
+    # Written, so that the join reads two plain shuffles and Spark can split a core that copies share.
+    cores = materialise(cores.where("n > 1").select("core", (F.col("a") < F.col("z")).alias("mixed")), label="cores")
     again = materialise(triggers.join(cores, "core"), label="again")
     key = ["doc_id", "text_key"]
     span = [*key, F.col("start").cast("long"), (F.col("start") + F.col("hi") - F.col("lo") + length).cast("long").alias("stop")]
@@ -286,6 +287,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, crowded:
     twice = mixed.join(names.where("n > 1").select("core", "full"), ["core", "full"]).select(*span)
     # One row for each surrounding of a core; where all surroundings are settled already, none is needed.
     open_cores = names.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("least = 1")
+    open_cores = materialise(open_cores, label="open")
     open_ = mixed.join(names, ["core", "full"]).join(open_cores.select("core", "k"), "core")
     single = open_.where("n = 1")
     several = open_.where("n > 1").dropDuplicates(["core", "full"])
