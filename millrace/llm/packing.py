@@ -162,7 +162,7 @@ def _pack(length: int):
             # Open: the emptiest sequence, and with a gap all that are emptier than the gap's worth of sequences
             # could fill up.
             by_fill = np.argsort(fill, kind="stable")
-            n = 1 if gap == 0 else max(1, min(len(fill), 8 * gap + len(fill) // 10))
+            n = 1 if gap == 0 else max(8 * gap, len(fill) // 3)
             open_ = np.zeros(len(fill), bool)
             open_[by_fill[:n]] = True
             open_ &= fill < length
