@@ -7,11 +7,12 @@ go to the end and the others are ordered by their hash, so the sample changes th
 1. Equal sets collapse into one node.  Nodes of equal prefix and size collapse into one group, so that one entry of the
    index stands for all of them.
 2. Groups that share a prefix token are candidates.  Where few groups share it all their pairs are, where many do each
-   group meets the first of them: a constant number of pairs for each index entry.  Sizes, positions and the number of
+   group meets one of them, the one with most crowded tokens, for it is likely to be what the others are copies of: a
+   constant number of pairs for each index entry.  Sizes, positions and the number of
    common prefix tokens bound what a pair can have in common; the pairs that may link are expanded to members, each
    group being represented by its first node, and each node meets the first node of its group.
-3. Expanded pairs are verified on the whole sets.  Sets travel to tiles of their candidate cluster, not to pairs, so a
-   set that has many candidates travels once for each block of them.
+3. Expanded pairs are verified on the whole sets.  Sets travel to tiles of pairs of one cluster, not to pairs, so a set
+   that has many candidates travels once for each block of them.
 4. What meets in a crowded token or in a group and is not in one component by now is paired, filtered, expanded and
    verified in a second round.  What stays out is already reachable, so the components are those of all links.
 
@@ -30,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -41,10 +42,10 @@ _M = 0x9E3779B97F4A7C15
 _GROUP = 1_000_000
 #: Groups that share a token are all paired up to this number; beyond, the second round has what the first leaves.
 FEW = 8
-#: Sets of one block of a candidate cluster.
-BLOCK = 200
+#: Nodes of a block and pairs of a tile.
+BLOCK, TILE = 200, 10_000
 #: One in so many documents is looked at for frequent tokens, and a token in so many of them is frequent.
-SAMPLE, FREQUENT, MOST_FREQUENT = 50, 6, 100_000
+SAMPLE, FREQUENT, MOST_FREQUENT = 20, 3, 200_000
 
 
 @dataclass(frozen=True)
@@ -210,21 +211,20 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, by their whole sets.
 
-    Pairs of one candidate cluster are cut into tiles, a block of its nodes against a block; a set goes to the tiles
-    that need it.  A tile holds the sets of two blocks at most.
+    Sets travel to tiles of pairs.  A pair belongs to the smallest node that its smaller node is to meet, so the pairs of
+    a cluster share tiles; a tile that would hold too many pairs is cut into blocks of its nodes against blocks.  At most
+    ``TILE`` pairs, or those of two blocks of ``BLOCK`` nodes, share a tile on average.
     """
-    clusters = components(pairs)
-    sizes = materialise(clusters.groupBy("component").count(), label="sizes")
-    placed = clusters.join(sizes, "component").select(
-        "node",
-        "component",
-        F.pmod(F.xxhash64(F.lit(3), "node"), F.ceil(F.col("count") / BLOCK)).alias("block"),
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    both = ordered.select(F.col("a").alias("v"), F.col("b").alias("u"), F.lit(True).alias("own")).unionByName(
+        ordered.select(F.col("b").alias("v"), F.col("a").alias("u"), F.lit(False).alias("own"))
     )
-    placed = materialise(placed, label="placed")
-    one = placed.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
-    two = placed.select(F.col("node").alias("b"), F.col("block").alias("j"))
-    cut = pairs.distinct().join(one, "a").join(two, "b")
-    tiled = cut.select(F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("tile"), "a", "b")
+    low = both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("cluster"))
+    cut = ordered.join(materialise(low, label="clusters").withColumnRenamed("v", "a"), "a")
+    sizes = materialise(cut.groupBy("cluster").count(), label="sizes")
+    parts = F.ceil(F.greatest(F.sqrt(2 * F.col("count")) / BLOCK, F.col("count") / TILE))
+    place = lambda c: F.pmod(F.xxhash64(F.lit(3), c), parts)
+    tiled = cut.join(sizes, "cluster").select(F.xxhash64("cluster", place("a"), place("b")).alias("tile"), "a", "b")
     tiled = materialise(tiled, label="tiles")
     needed = tiled.select("tile", F.explode(F.array("a", "b")).alias("node")).distinct()
     nothing = F.lit(None)
@@ -286,9 +286,9 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     def named(frame: DataFrame, k: int) -> DataFrame:
         return frame.select("token", *[F.col(c).alias(f"{c}{k}") for c in frame.columns if c != "token"])
 
-    def possible(entries: DataFrame) -> DataFrame:
+    def possible(entries: DataFrame, rest: Column) -> DataFrame:
         """grp1, grp2 of those pairs that can link: ``entries`` has grp1, grp2, place1, place2 and ``common``, the
-        number of common tokens that are not crowded."""
+        number of common prefix tokens that it stands for; ``rest`` bounds how many there may be besides."""
         met = entries.groupBy("grp1", "grp2").agg(
             F.sum("common").alias("common"), F.max("place1").alias("place1"), F.max("place2").alias("place2")
         )
@@ -299,23 +299,23 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
         # can be common.  How far the other prefix reaches there is at least the last token they share.
         reach1 = F.when(F.col("end1") <= F.col("end2"), F.col("p1")).otherwise(F.pmod("place1", F.lit(1 << 31)) + 1)
         reach2 = F.when(F.col("end2") <= F.col("end1"), F.col("p2")).otherwise(F.pmod("place2", F.lit(1 << 31)) + 1)
-        most = F.col("common") + F.least("crowded1", "crowded2") + F.least(F.col("n1") - reach1, F.col("n2") - reach2)
+        most = F.col("common") + rest + F.least(F.col("n1") - reach1, F.col("n2") - reach2)
         can = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
         near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
         return met.where(can & near).select("grp1", "grp2")
 
     everyone = paired(named(few, 1), named(few, 2)).withColumn("common", F.lit(1))
-    leads = crowd.withColumn("lead", F.min(F.struct("grp", "place")).over(by_token))
-    star = leads.where("lead.grp <> grp").select(
-        F.col("lead.grp").alias("grp1"), F.col("grp").alias("grp2"), F.col("lead.place").alias("place1"), F.col("place").alias("place2")
-    )
+    central = crowd.join(facts.where("crowded > 0").select("grp", "crowded"), "grp")
+    leads = central.withColumn("lead", F.min(F.struct(-F.col("crowded"), "grp", "place")).over(by_token))
+    one, two = F.struct("lead.grp", "lead.place"), F.struct("grp", "place")
+    star = leads.where("lead.grp <> grp").select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y"))
+    star = star.select(F.col("x.grp").alias("grp1"), F.col("y.grp").alias("grp2"), F.col("x.place").alias("place1"), F.col("y.place").alias("place2"))
     meetings = everyone.unionByName(star.withColumn("common", F.lit(0)))
-    rep = groups.select("grp", "rep")
-    between = materialise(possible(meetings), label="meetings")
-    between = between.join(rep.select(F.col("grp").alias("grp1"), F.col("rep").alias("a")), "grp1")
-    between = between.join(rep.select(F.col("grp").alias("grp2"), F.col("rep").alias("b")), "grp2").select("a", "b")
+    between = materialise(possible(meetings, F.least("crowded1", "crowded2")), label="meetings")
+    between = between.join(groups.select(F.col("grp").alias("grp1"), F.col("rep").alias("a"), F.col("members").alias("m1")), "grp1")
+    between = between.join(groups.select(F.col("grp").alias("grp2"), F.col("rep").alias("b"), F.col("members").alias("m2")), "grp2")
     within = nodes.join(groups.where("members > 1").select("grp", "rep"), "grp").where("node <> rep")
-    first_pairs = between.unionByName(within.select(F.col("rep").alias("a"), F.col("node").alias("b")))
+    first_pairs = between.select("a", "b").unionByName(within.select(F.col("rep").alias("a"), F.col("node").alias("b")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among pairs of nodes."""
@@ -330,7 +330,8 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     links = verified(first_pairs)
     found = components(links)
 
-    # Second round: what meets in a crowded token, or is in a group, and is still apart.
+    # Second round: what meets in a crowded token or in a group, or has met through its representatives only, and is
+    # still apart.
     at = nodes.select("node", "grp").join(found, "node", "left")
     at = materialise(at.select("node", "grp", F.coalesce("component", "node").alias("component")), label="members")
     spans = materialise(at.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), label="spans")
@@ -338,15 +339,18 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     here = here.withColumn("apart", F.min("lo").over(by_token) < F.max("hi").over(by_token)).where("apart").drop("apart")
     here = materialise(here, label="apart")
     met = named(here, 1).join(named(here, 2), "token").where("grp1 < grp2 AND least(lo1, lo2) < greatest(hi1, hi2)")
-    met = met.groupBy("grp1", "grp2").agg(F.max("place1").alias("place1"), F.max("place2").alias("place2"))
-    small = everyone.groupBy("grp1", "grp2").agg(F.sum("common").alias("common"), F.max("place1").alias("q1"), F.max("place2").alias("q2"))
-    met = met.join(small, ["grp1", "grp2"], "left").select(
-        "grp1", "grp2", F.greatest("place1", "q1").alias("place1"), F.greatest("place2", "q2").alias("place2"), F.coalesce("common", F.lit(0)).alias("common")
+    # A pair that is apart is apart in every token it shares, so its crowded tokens are all here.
+    met = met.select("grp1", "grp2", "place1", "place2").withColumn("common", F.lit(1))
+    met = met.groupBy("grp1", "grp2").agg(
+        F.sum("common").alias("common"), F.max("place1").alias("place1"), F.max("place2").alias("place2")
     )
+    met = materialise(met, label="met")
+    known = everyone.join(met.select("grp1", "grp2"), ["grp1", "grp2"], "left_semi").select(*met.columns)
     apart = spans.where("lo < hi").select(F.col("grp").alias("grp1"), F.col("grp").alias("grp2"))
     left = at.select(F.col("grp").alias("grp1"), F.col("node").alias("x"), F.col("component").alias("cx"))
     right = at.select(F.col("grp").alias("grp2"), F.col("node").alias("y"), F.col("component").alias("cy"))
-    both = materialise(possible(met).unionByName(apart), label="meetings")
+    others = between.where("m1 > 1 OR m2 > 1").select("grp1", "grp2")
+    both = possible(met.unionByName(known), F.lit(0)).unionByName(apart).unionByName(others).distinct()
     expanded = both.join(left, "grp1").join(right, "grp2").where("cx <> cy AND (grp1 <> grp2 OR x < y)")
     second_pairs = materialise(expanded.select(F.col("x").alias("a"), F.col("y").alias("b")), label="pairs")
     if not second_pairs.isEmpty():
