@@ -105,3 +105,21 @@ def test_shingles_are_those_of_the_definition(corpus):
     assert [len(x) for x in one] == [len(shingles(t, 4)) for t in corpus]
     for t, x in zip(corpus, one):
         assert (s.of([t or ""])[0] == x).all()
+
+
+def test_members_of_groups_meet_though_their_representatives_do_not(spark, monkeypatch):
+    """Sets of one size and prefix whose other tokens differ: every member has to be tried, not only the first."""
+    monkeypatch.setattr(J, "frequent_tokens", lambda *_: np.zeros(0, np.uint64))
+    words = [f"w{i}" for i in range(400)]
+    order = sorted(words, key=lambda w: int(J.Shingles(1).of([w])[0][0]))
+    rng = np.random.default_rng(9)
+    rows = []
+    for size in (20, 21, 22):
+        head = order[:12]
+        for _ in range(8):
+            rows.append((len(rows), " ".join(head + list(rng.choice(order[200:215], size - 12, replace=False)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (70, 80, 85):
+        like = J.Likeness(1, percent)
+        out = J.link(docs, like).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected(rows, like)
