@@ -13,7 +13,7 @@ MONEY_NOISE = r"[$,\s]"
 MONEY_MARKS = "$, \t\r\n\f\u000b"
 PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
 WHOLE_NUMBER = r"^[+-]?[0-9]+(\.0*)?$"
-MONEY_MASKS = ("S$999999999999999.99", "S999999999999999.99")
+MONEY_MASKS = tuple(f"S{sign}{'9' * 28}.{'9' * 10}" for sign in ("$", ""))
 
 
 def _col(c: str | Column) -> Column:
@@ -25,7 +25,8 @@ def parse_money(c: str | Column, route: str = "cast") -> Column:
 
     ``cast``   strip noise, then ``try_cast``: also takes what Spark calls a double (``1e3``, ``NaN``).
     ``regex``  the same behind a plain-number gate, so exponents and ``NaN`` are rejected.
-    ``mask``   number masks; takes what ``regex`` takes, up to 15 whole and 2 decimal digits.
+    ``mask``   number masks, as wide as a decimal can be; takes what ``regex`` takes, and what is wider than
+               28 whole or 10 decimal digits goes through the gate of ``regex``.
     """
     if route == "cast":
         return F.regexp_replace(_col(c), MONEY_NOISE, "").try_cast("double")
@@ -35,7 +36,7 @@ def parse_money(c: str | Column, route: str = "cast") -> Column:
     if route == "mask":
         text = F.translate(_col(c), MONEY_MARKS.replace("$", ""), "")
         parsed = [F.try_to_number(text, F.lit(mask)).cast("double") for mask in MONEY_MASKS]
-        return F.coalesce(*parsed)
+        return F.coalesce(*parsed, parse_money(c, "regex"))
     raise ValueError(f"unknown route {route!r}")
 
 

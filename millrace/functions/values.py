@@ -15,12 +15,19 @@ def _col(c: str | Column) -> Column:
 
 
 def minor(c: str | Column, scale: int = 2) -> Column:
-    """A money value in whole minor units (cents for scale 2), for integer arithmetic and window sums.
+    """A value in whole units of its last decimal (cents for scale 2), for integer arithmetic and window sums.
 
-    Integers add up the same in any order.  A total over 9.2e18 units is an error under ANSI, never a
-    wrong number.
+    ``scale`` declares how many decimals the values have.  One that has more, or is no number, is an error,
+    never rounded away; what a double cannot hold of a decimal is not taken for a digit.  Integers add up
+    the same in any order, and a total over 9.2e18 units is an error under ANSI.
     """
-    return F.rint(_col(c) * F.lit(float(10**scale))).cast("bigint")
+    scaled = _col(c) * F.lit(float(10**scale))
+    unit = F.rint(scaled)
+    noise = F.greatest(F.lit(1e-3), F.abs(scaled) * F.lit(2.0**-50))
+    text = F.concat(F.lit(f"more than {scale} decimals: "), _col(c).cast("string"))
+    return F.when(scaled.isNull() | (F.abs(scaled - unit) <= noise), unit.cast("bigint")).otherwise(
+        F.raise_error(text).cast("bigint")
+    )
 
 
 def major(units: Column, scale: int = 2) -> Column:
@@ -28,36 +35,60 @@ def major(units: Column, scale: int = 2) -> Column:
     return units / F.lit(float(10**scale))
 
 
-def sum_parts(c: str | Column) -> tuple[Column, Column]:
-    """Two integer aggregates: whole units, and millionths of what is left over.
+#: Decimals a summed value may have unless the caller declares more; a finer value is an error.
+SUM_SCALE = 6
+
+
+def _finite(value: Column) -> Column:
+    return F.abs(value.cast("double")) < F.lit(float("inf"))
+
+
+def sum_parts(c: str | Column, scale: int = SUM_SCALE) -> tuple[Column, Column]:
+    """Two integer aggregates: whole units, and units of the last decimal of what is left over.
 
     They are as fast as a sum of doubles and several times faster than a sum of decimals, do not depend
-    on the order of the rows, and neither can overflow on any real table.
+    on the order of the rows, and neither can overflow on any real table.  NaN and infinities are left
+    out of both (see ``odd_part``).
     """
-    value = _col(c)
+    value = F.when(_finite(_col(c)), _col(c))
     whole = F.floor(value)
-    return F.sum(whole), F.sum(F.rint((value - whole) * F.lit(1e6)).cast("bigint"))
+    scaled = (value - whole) * F.lit(float(10**scale))
+    unit = F.rint(scaled)
+    noise = F.greatest(F.lit(1e-3), F.abs(value) * F.lit(2.0**-50 * 10**scale))
+    text = F.concat(F.lit(f"more than {scale} decimals: "), _col(c).cast("string"))
+    part = F.when(scaled.isNull() | (F.abs(scaled - unit) <= noise), unit.cast("bigint")).otherwise(
+        F.raise_error(text).cast("bigint")
+    )
+    return F.sum(whole), F.sum(part)
+
+
+def odd_part(c: str | Column) -> Column:
+    """Sum of the values that are no finite numbers; NULL without any.  Its result does not depend on the order."""
+    return F.sum(F.when(~_finite(_col(c)), _col(c).cast("double")))
 
 
-def join_parts(whole: Column, millionths: Column) -> Column:
+def join_parts(whole: Column, units: Column, scale: int = SUM_SCALE) -> Column:
     """The decimal that ``sum_parts`` took apart."""
-    return whole.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return whole.cast("decimal(20,0)") + units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
 
 
-def exact_total(c: str | Column) -> Column:
-    """Sum of doubles as a decimal, exact to six places in any row order."""
-    return join_parts(*sum_parts(c))
+def exact_total(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """Sum of finite doubles of at most ``scale`` decimals as a decimal, exact in any row order; any other value is
+    an error."""
+    odd = F.raise_error(F.lit("not a finite number")).cast("decimal(20,0)")
+    return F.when(odd_part(c).isNull(), join_parts(*sum_parts(c, scale), scale)).otherwise(odd)
 
 
-def exact_sum(c: str | Column, digits: int | None = None) -> Column:
-    """``exact_total`` as double, rounded half up if ``digits`` is given."""
-    total = exact_total(c)
-    return (total if digits is None else F.round(total, digits)).cast("double")
+def exact_sum(c: str | Column, digits: int | None = None, scale: int = SUM_SCALE) -> Column:
+    """The exact sum as double, rounded half up if ``digits`` is given; NaN if any value is."""
+    total = join_parts(*sum_parts(c, scale), scale)
+    return F.coalesce(odd_part(c), (total if digits is None else F.round(total, digits)).cast("double"))
 
 
-def exact_avg(c: str | Column, digits: int = 2) -> Column:
-    """Average rounded half up, the same in any row order."""
-    return F.round(exact_total(c) / F.count(_col(c)), digits).cast("double")
+def exact_avg(c: str | Column, digits: int = 2, scale: int = SUM_SCALE) -> Column:
+    """Average rounded half up, the same in any row order; NaN if any value is."""
+    total = join_parts(*sum_parts(c, scale), scale)
+    return F.coalesce(odd_part(c), F.round(total / F.count(_col(c)), digits).cast("double"))
 
 
 def bucketize(c: str | Column, edges: Sequence, labels: Sequence[str]) -> Column:

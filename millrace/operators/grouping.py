@@ -56,7 +56,8 @@ def multi_grain(
     """All requested grains in one scan and one shuffle.
 
     ``grains`` is ``cube``, ``rollup`` or the list of dimension subsets to emit.  A rolled-up dimension
-    shows its ALL label; a real NULL in the data stays NULL (or takes its ``null_labels`` entry).
+    shows its ALL label; a real NULL in the data stays NULL (or takes its ``null_labels`` entry).  Dimensions
+    are shown as text, whatever their type.
     """
     if grains == "cube":
         grouped = df.cube(*dims)
@@ -72,7 +73,7 @@ def multi_grain(
     shown = {}
     for d in dims:
         label = all_labels if isinstance(all_labels, str) else all_labels[d]
-        value = F.col(d)
+        value = F.col(d).cast("string")
         if null_labels and d in null_labels:
             value = F.coalesce(value, F.lit(null_labels[d]))
         shown[d] = F.when(F.col(f"_g_{d}") == 1, F.lit(label)).otherwise(value)

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import cell_of, epoch_us, width_us
 from ..functions.values import in_interval
-from .skew import MAX_ROWS
-from .timeline import last_known, next_in_key
+from .timeline import last_known, next_in_key, running_total
 
 
 def close_intervals(
@@ -35,16 +34,6 @@ def close_intervals(
     return near.withColumn(hi, F.least(hi, "_next_lo")).drop("_next_lo")
 
 
-def fits_direct(
-    dim: DataFrame, keys: Sequence[str], max_rows: int = 100_000, max_per_key: int = 64
-) -> bool:
-    """Whether a dimension is small enough to broadcast, and shallow enough to test every interval of
-    a key against each of its facts.  Looks at no more than ``max_rows + 1`` rows."""
-    depth = dim.select(*keys).limit(max_rows + 1).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n, deepest = depth.agg(F.sum("_n"), F.max("_n")).first()
-    return n is None or (n <= max_rows and deepest <= max_per_key)
-
-
 def interval_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -57,30 +46,35 @@ def interval_join(
     fact_key: Sequence[str] = (),
     ties: Sequence[str] = (),
     width: timedelta = timedelta(days=30),
-    direct: bool | None = None,
-    max_rows: int = MAX_ROWS,
+    direct: bool = False,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Attributes in effect at the fact's own time; ``take`` maps attribute -> default (None: NULL).
 
     ``repair``  an interval ends where the key's next one starts, so at most one covers a fact.
-    ``rank``    of the intervals that cover the fact, the latest start wins (ties by ``ties``, then the
-                attributes, largest first); needs the unique ``fact_key``.  An older interval shows
-                again once a newer one has ended, which ``repair`` rules out.
+    ``rank``    of the intervals that cover the fact, the latest start wins; needs the unique ``fact_key``.
+                An older interval shows again once a newer one has ended, which ``repair`` rules out.
 
-    A dimension that ``fits_direct`` is broadcast and joined on key and range.  Any other is merged
-    with the facts on one timeline, hot keys in cells of ``width``: no key meets all of its intervals.
+    Of equal starts the first by ``ties``, smallest first and NULL last, counts (default: the end, then the
+    attributes).  Times may come as timestamps, dates or ISO text, mixed as they like; all are compared as
+    instants.  A NULL in a key or a time matches nothing.
+
+    Facts and dimension are merged on one timeline, keys in ``hot`` in cells of ``width``: no key meets all of
+    its intervals.  ``direct`` joins on key and range instead, for dimensions with few intervals per key; both
+    forms give the same rows.
     """
     if resolve not in ("repair", "rank"):
         raise ValueError(f"unknown resolution {resolve!r}")
     attrs = list(take)
-    if direct is None:
-        direct = fits_direct(dim, keys)
+    side = _ranked(dim, keys, lo, hi, [*(ties or [hi]), *[a for a in attrs if a not in ties]], attrs)
+    timed = fact.withColumn("_at", F.col(at).cast("timestamp_ntz"))
     if direct:
-        found = _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties)
+        found = _direct(timed, side, keys, resolve, fact_key)
     elif resolve == "repair":
-        found = _merged(fact, dim, keys, at, lo, hi, attrs, ties, width, max_rows)
+        found = _merged(timed, side, keys, width, max_rows, hot)
     else:
-        found = _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width, max_rows)
+        found = _merged_rank(timed, side, keys, fact_key, width, max_rows, hot)
     out = [
         F.col(f"_hit.{a}").alias(a)
         if default is None
@@ -90,63 +84,67 @@ def interval_join(
     return found.select(*fact.columns, *out)
 
 
-def _hit(lo: str, ties: Sequence[str], attrs: Sequence[str]):
-    """What an interval gives, ordered as intervals are ranked."""
-    ranks = [F.col(c).alias(f"_rank{i}") for i, c in enumerate((lo, *ties))]
-    return F.struct(*ranks, *[F.col(a).alias(a) for a in attrs]).alias("_hit")
+def _ranked(dim: DataFrame, keys, lo: str, hi: str, ties: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+    """keys, ``_lo``, ``_hi``, ``_hit``: what an interval gives, ordered as intervals are ranked."""
+    start, end = (F.col(c).cast("timestamp_ntz") for c in (lo, hi))
+    worst_first = W.partitionBy(*keys, "_lo").orderBy(*[F.col(c).desc_nulls_first() for c in ties])
+    known = dim.withColumns({"_lo": start, "_hi": end}).filter(F.col("_lo").isNotNull())
+    numbered = known.withColumn("_no", F.row_number().over(worst_first))
+    hit = F.struct(F.col("_lo").alias("_rank0"), F.col("_no").alias("_rank1"), *[F.col(a).alias(a) for a in attrs])
+    return numbered.select(*keys, "_lo", "_hi", hit.alias("_hit"))
 
 
-def _direct(fact, dim, keys, at, lo, hi, attrs, resolve, fact_key, ties) -> DataFrame:
-    order = [*ties, *[a for a in attrs if a not in ties]]
-    side = close_intervals(dim, keys, lo, hi, order) if resolve == "repair" else dim
-    side = side.select(
-        *[F.col(k).alias(f"_d_{k}") for k in keys],
-        F.col(lo).alias("_lo"),
-        F.col(hi).alias("_hi"),
-        _hit(lo, ties, attrs),
-    )
-    cond = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
+def _direct(fact, side, keys, resolve, fact_key) -> DataFrame:
+    if resolve == "repair":
+        side = close_intervals(side, keys, "_lo", "_hi", ["_hit"])
+    side = side.withColumnsRenamed({k: f"_d_{k}" for k in keys})
+    cond = in_interval(F.col("_at"), F.col("_lo"), F.col("_hi"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_d_{k}"))
-    joined = fact.join(F.broadcast(side), cond, "left")
+    joined = fact.join(side, cond, "left")
     if resolve == "rank":
         latest = W.partitionBy(*fact_key).orderBy(F.col("_hit").desc_nulls_last())
         joined = joined.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1")
     return joined
 
 
-def _merged(fact, dim, keys, at, lo, hi, attrs, ties, width, max_rows) -> DataFrame:
+def _merged(fact, side, keys, width, max_rows, hot) -> DataFrame:
     """The last start at or before the fact, kept if its interval has not ended."""
-    history = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
-    seen = last_known(fact, history, keys, at, "_lo", ["_lo", "_hi", "_hit"], ["_hit"], width, max_rows)
-    covered = in_interval(F.col(at), F.col("_lo"), F.col("_hi"))
+    seen = last_known(fact, side, keys, "_at", "_lo", ["_lo", "_hi", "_hit"], ["_hit"], width, max_rows, hot)
+    covered = in_interval(F.col("_at"), F.col("_lo"), F.col("_hi"))
     return seen.withColumn("_hit", F.when(covered, F.col("_hit")))
 
 
-def _merged_rank(fact, dim, keys, at, lo, hi, attrs, fact_key, ties, width, max_rows) -> DataFrame:
+def _merged_rank(fact, side, keys, fact_key, width, max_rows, hot) -> DataFrame:
     """Of the open intervals only the last start counts, so they are looked up as of the fact; closed
-    ones are listed under the cells they touch.  The later of the two finds wins."""
-    tagged = dim.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), _hit(lo, ties, attrs))
-    still_open = tagged.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
-    seen = last_known(fact, still_open, keys, at, "_lo", ["_open"], ["_open"], width, max_rows)
-    closed = _listed(tagged, keys, "_lo", "_hi", width, ["_hit"])
-    cond = (F.col("_cell") == F.col("_w_cell")) & (F.col("_lo") <= F.col(at)) & (F.col(at) < F.col("_hi"))
+    ones are listed under the cells they touch.  The later of the two finds wins.
+
+    Only cells between the first and the last fact are listed, so an end in the far future costs no more
+    than one at the last fact.
+    """
+    still_open = side.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
+    seen = last_known(fact, still_open, keys, "_at", "_lo", ["_open"], ["_open"], width, max_rows, hot)
+    span = fact.agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    near = side.filter(F.col("_hi").isNotNull()).crossJoin(F.broadcast(span))  # one row
+    clipped = near.withColumns(
+        {"_first": F.greatest("_lo", "_from"), "_end": F.least("_hi", F.col("_to") + timedelta(microseconds=1))}
+    )
+    closed = _listed(clipped, keys, "_first", "_end", width, ["_lo", "_hi", "_hit"])
+    cond = (F.col("_cell") == F.col("_w_cell")) & (F.col("_lo") <= F.col("_at")) & (F.col("_at") < F.col("_hi"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_w_{k}"))
-    met = seen.withColumn("_cell", cell_of(at, width)).join(closed, cond, "left")
+    met = seen.withColumn("_cell", cell_of("_at", width)).join(closed, cond, "left")
     latest = W.partitionBy(*fact_key).orderBy(F.col("_hit").desc_nulls_last())
     best = met.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1")
     return best.withColumn("_hit", F.greatest("_hit", "_open"))
 
 
-def _listed(windows: DataFrame, keys, lo: str, hi: str, width: timedelta, keep: Sequence[str] = ()) -> DataFrame:
+def _listed(windows: DataFrame, keys, lo: str, hi: str, width: timedelta, keep: Sequence[str]) -> DataFrame:
     """Each non-empty closed window once under every cell it touches."""
     step = F.lit(width_us(width))
     last = epoch_us(hi) - 1
-    return windows.filter(F.col(hi).isNotNull() & (F.col(lo) < F.col(hi))).select(
+    return windows.filter(F.col(lo) < F.col(hi)).select(
         *[F.col(k).alias(f"_w_{k}") for k in keys],
-        F.col(lo).alias("_lo"),
-        F.col(hi).alias("_hi"),
         *keep,
         F.explode(F.sequence(cell_of(lo, width), last - F.pmod(last, step), step)).alias("_w_cell"),
     )
@@ -160,25 +158,28 @@ def exclude_intervals(
     lo: str,
     hi: str,
     width: timedelta = timedelta(days=1),
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Drop facts inside any of their own windows; an anti join, so nothing can fan out.
+    """Drop facts inside any of their own windows.
 
-    A closed window is listed under every cell it touches and meets only the facts of that cell.
-    Open windows of a key together cover everything from the earliest start on: one row per key.
+    Facts and windows share one timeline per key: a window opens at its start and closes at its end, and a
+    fact with a window open behind it goes.  That is two rows per window however long it is, and nothing
+    can fan out.  Keys in ``hot`` are worked in cells of ``width``.  A NULL in a key, a start or the fact's
+    time matches nothing; a window that ends before it starts is empty.
     """
-    closed = _listed(windows, keys, lo, hi, width)
-    forever = (
-        windows.filter(F.col(hi).isNull())
-        .groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys])
-        .agg(F.min(lo).alias("_lo"))
-    )
-    hit = F.col(at) >= F.col("_lo")
+    start, end = (F.col(c).cast("timestamp_ntz") for c in (lo, hi))
+    real = start.isNotNull() & (end.isNull() | (start < end))
     for k in keys:
-        hit = hit & (F.col(k) == F.col(f"_w_{k}"))
-    placed = fact.withColumn("_cell", cell_of(at, width))
-    kept = placed.join(
-        closed, hit & (F.col("_cell") == F.col("_w_cell")) & (F.col(at) < F.col("_hi")), "left_anti"
+        real = real & F.col(k).isNotNull()
+    opens = F.struct(start.alias("_tick"), F.lit(1).cast("bigint").alias("_move"))
+    closes = F.struct(end.alias("_tick"), F.lit(-1).cast("bigint").alias("_move"))
+    moves = windows.filter(real).select(*keys, F.explode(F.array(opens, closes)).alias("_m"))
+    moves = moves.select(*keys, "_m.*", F.lit(0).alias("_kind")).filter(F.col("_tick").isNotNull())
+    timed = fact.withColumns(
+        {"_tick": F.col(at).cast("timestamp_ntz"), "_move": F.lit(0).cast("bigint"), "_kind": F.lit(1)}
     )
-    if windows.filter(F.col(hi).isNull()).isEmpty():
-        return kept.select(*fact.columns)
-    return kept.join(forever, hit, "left_anti").select(*fact.columns)
+    # Facts without a time sort before every window.
+    line = timed.unionByName(moves, allowMissingColumns=True)
+    total = running_total(line, keys, "_tick", "_move", "_open", ["_kind"], scale=0, width=width, max_rows=max_rows, hot=hot)
+    return total.filter((F.col("_kind") == 1) & (F.col("_open") == 0)).select(*fact.columns)

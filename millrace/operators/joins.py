@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import MAX_ROWS, crowded, flag_keys
+from .skew import crowded, flag_keys
 
 
 def broadcast_within(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -128,19 +128,22 @@ def join_spread(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
     n: int = 64,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join for a right side that is itself an aggregate or a window result.
 
     AQE splits a skewed join only where both sides come straight out of a shuffle; below an aggregate it
-    cannot.  So the left side is asked for keys with more than ``max_rows`` rows.  Those, and only those,
-    are spread over n salts taken from the row's own values, with their right rows repeated.
+    cannot.  The keys in ``hot`` (or, with ``max_rows``, those that a census of the left side finds to have
+    more rows), and only those, are spread over n salts taken from the row's own values, with their right
+    rows repeated.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how!r} would show repeated right rows")
     keys = list(keys)
-    hot = crowded(left, keys, max_rows)
+    if hot is None and max_rows is not None:
+        hot = crowded(left, keys, max_rows)
     if hot is None:
         return left.join(right, keys, how)
     plain = [c for c, kind in left.dtypes if "map<" not in kind and kind != "variant"]

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 
 # What rounding each group's total to a double may lose of a sum.
@@ -24,7 +25,8 @@ class Gates:
     """``unique``      the grain: no two rows share it (NULL counts as a value)
     ``not_null``    columns that are always set
     ``violations``  name -> condition that no row may meet
-    ``totals``      name -> (aggregate over the output, number it has to equal[, relative tolerance])
+    ``totals``      name -> (aggregate over the output, number it has to equal[, relative tolerance]); the
+                    number may be a function, asked after the output was written (see ``counted``)
     ``ddl``         declared names, order and types of the output
     """
 
@@ -70,8 +72,9 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
         if got[f"bad_{i}"] != 0:
             found.append(f"{name}: {got[f'bad_{i}']} rows")
     for i, (name, (_, want, *slack)) in enumerate(gates.totals.items()):
-        if not _close(got[f"total_{i}"], want or 0, *slack):
-            found.append(f"{name}: expected {want}, got {got[f'total_{i}']}")
+        number = (want() if callable(want) else want) or 0
+        if not _close(got[f"total_{i}"], number, *slack):
+            found.append(f"{name}: expected {number}, got {got[f'total_{i}']}")
     return found
 
 
@@ -95,13 +98,40 @@ def check(df: DataFrame, gates: Gates) -> DataFrame:
     return df
 
 
-def publish(df: DataFrame, gates: Gates, label: str = "publish") -> DataFrame:
+def publish(df: DataFrame, gates: Gates, label: str = "publish", to: str | None = None) -> DataFrame:
     """Write once, check what was written, hand out exactly that.
 
     The gates read the staged columns they need; the job itself never runs twice, and a source that
     moves meanwhile cannot make the checked rows differ from the published ones.
+
+    With ``to`` the checked rows are promoted to that path, in place of what it held, and the stage is
+    removed, on success as on failure.  Without it the stage is what is handed out.
     """
-    return check(materialise(df, "table", label), gates)
+    staged = materialise(df, "table", label)
+    if to is None:
+        return check(staged, gates)
+    try:
+        check(staged, gates).write.mode("overwrite").parquet(to)
+    finally:
+        discard(staged)
+    return df.sparkSession.read.schema(staged.schema).parquet(to)
+
+
+def counted(df: DataFrame, aggs: Mapping[str, Column]):
+    """``df``, and a function that gives its numbers as they were in the run that read it.
+
+    Ask after an action over ``df`` is through.  Where that run had no need to read it at all, because nothing
+    could come of it (an empty side of a join), the numbers are computed when asked for.
+    """
+    seen, numbers = Observation(), [e.alias(name) for name, e in aggs.items()]
+
+    def ask(name: str):
+        try:
+            return seen.get[name]
+        except Py4JJavaError:
+            return df.agg(*numbers).first()[name]
+
+    return df.observe(seen, *numbers), ask
 
 
 def measure(df: DataFrame, aggs: Mapping[str, Column]):

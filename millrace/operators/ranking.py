@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import join_spread
-from .skew import MAX_ROWS
 
 
 def _sortable(df: DataFrame) -> list[str]:
@@ -32,12 +31,17 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 def keep_latest_counted(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count: str = "n_versions"
 ) -> DataFrame:
-    """The same survivor next to how many rows its key had, in one combinable aggregate."""
-    rest = [c for c in _sortable(df) if c not in keys and c not in order]
-    best = F.max(F.struct(*order, *rest)).alias("_best")
-    kept = df.groupBy(*keys).agg(best, F.count(F.lit(1)).alias(count))
-    cols = [F.col(f"_best.{c}").alias(c) for c in df.columns if c in order or c in rest]
-    return kept.select(*keys, *cols, count)
+    """The same survivor next to how many rows its key had.
+
+    The survivor comes from a rank that is limited per task, the count from a hash aggregate over the keys
+    alone: a maximum of whole rows would sort all of them before the shuffle.
+    """
+    kept = keep_latest(df, keys, order)
+    counts = df.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(count))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+    return kept.join(counts, same).select(*keys, *[c for c in kept.columns if c not in keys], count)
 
 
 def best_known(df: DataFrame, keys: Sequence[str], order: Sequence[Column], known: str) -> DataFrame:
@@ -56,11 +60,11 @@ def argbest(
 
     Rows whose first order value is NULL never win.
     """
-    rank = [o.alias(f"_o{i}") for i, o in enumerate(order)]
-    packed = F.struct(*rank, *payload)
-    pick = F.max if how == "max" else F.min
-    best = df.filter(order[0].isNotNull()).groupBy(*keys).agg(pick(packed).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
+    ranks = [*order, *[F.col(c) for c in payload]]
+    by = [o.desc_nulls_last() if how == "max" else o.asc_nulls_first() for o in ranks]
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(*by))
+    best = df.filter(order[0].isNotNull()).withColumn("_rn", first).filter("_rn = 1")
+    return best.select(*keys, *payload)
 
 
 def argbest_or_default(
@@ -87,15 +91,16 @@ def top_n(
     rank: str = "dense",
     name: str = "rnk",
     ties: Sequence[str] = (),
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Rows in the top n per key, largest ``by`` first.
 
     ``row``     exactly n rows (``ties`` then all columns decide).
     ``dense``   n distinct values, with everybody who has one of them.
     ``rank``    competition ranks up to n.
-    The two forms with ties rank the distinct values of a key and give the rows their rank by joining
-    on (key, value): a value shared by very many rows is never sorted, nor joined, in one task.
+    One scan and one shuffle, with a partial limit per task before it.  Where a single value may be shared by
+    more rows than a task can sort, ``max_rows`` makes the two forms with ties rank the distinct values of a
+    key first and give the rows their rank by joining on (key, value), such values spread.
     """
     if rank == "row":
         rest = [c for c in _sortable(df) if c not in keys and c != by and c not in ties]
@@ -103,6 +108,11 @@ def top_n(
         window = W.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
     ordered = W.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last())
+    if rank not in ("dense", "rank"):
+        raise ValueError(f"unknown rank {rank!r}")
+    if max_rows is None:
+        number = F.dense_rank() if rank == "dense" else F.rank()
+        return df.filter(F.col(by).isNotNull()).withColumn(name, number.over(ordered)).filter(F.col(name) <= n)
     values = (
         df.filter(F.col(by).isNotNull())
         .groupBy(*keys, by)
@@ -112,11 +122,9 @@ def top_n(
     )
     if rank == "dense":
         ranked = values.withColumn(name, F.col("_dense"))
-    elif rank == "rank":
+    else:
         above = ordered.rowsBetween(W.unboundedPreceding, -1)
         ahead = F.coalesce(F.sum("_cnt").over(above), F.lit(0).cast("bigint"))
         ranked = values.withColumn(name, (ahead + 1).cast("int")).filter(F.col(name) <= n)
-    else:
-        raise ValueError(f"unknown rank {rank!r}")
     found = join_spread(df, ranked.select(*keys, by, name), [*keys, by], "inner", max_rows)
     return found.select(*df.columns, name)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import join_parts, sum_parts
+from ..functions.values import join_parts, odd_part, sum_parts
 
 MAX_ROWS = 2_000_000
 MAX_BROADCAST = 100_000
@@ -61,6 +61,8 @@ def salted_join(
     ``salt_from=None`` takes random salts instead.  With ``hot`` (see ``hot_keys``, which bounds its
     size) only those keys are spread and repeated; every other key stays on salt 0.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how!r} would show repeated dimension rows")
     salt = keep_salt or "_salt"
     if salt_from is None:
         spread = F.floor(F.rand() * n).cast("int")
@@ -104,7 +106,9 @@ def salted_agg(
     for out, c in sums.items():
         for i, part in enumerate(sum_parts(c)):
             parts.append(part.alias(f"_{i}_{out}"))
-        finals.append(join_parts(F.sum(f"_0_{out}"), F.sum(f"_1_{out}")).cast("double").alias(out))
+        parts.append(odd_part(c).alias(f"_odd_{out}"))
+        total = join_parts(F.sum(f"_0_{out}"), F.sum(f"_1_{out}")).cast("double")
+        finals.append(F.coalesce(F.sum(f"_odd_{out}"), total).alias(out))
     if not distinct:
         return df.groupBy(*keys, salt).agg(*parts).groupBy(*keys).agg(*finals)
     ((out, col),) = distinct.items()

@@ -1,7 +1,8 @@
 """Ordered operators on one key's timeline that do not need a hot key in one task.
 
-A window partitioned by the key alone is one shuffle and right for every key of ordinary size.  Keys
-with more rows than ``max_rows`` (see ``crowded``) get their timeline cut into fixed-width cells and are
+A window partitioned by the key alone is one shuffle and right for every key of ordinary size; it is what
+every operator does unless told otherwise.  The keys handed in as ``hot`` (or, with ``max_rows``, those that
+a census finds to have more rows, see ``crowded``) get their timeline cut into fixed-width cells and are
 worked per (key, cell).  What crosses a cell border travels as one summary row per (key, cell): the last
 event, the running total, the last known value.  Only those summaries are windowed by the hot key, and a
 key has at most ``time span / width`` of them.
@@ -22,18 +23,16 @@ from pyspark.sql import functions as F
 from ..functions.timing import cell_of, epoch_s, epoch_us, seconds_between, width_us
 from ..functions.values import major, minor, same_values
 from .joins import join_spread
-from .skew import MAX_ROWS, crowded, flag_keys
+from .skew import crowded, flag_keys
 
-AUTO = "auto"
-SLIDE_ROWS = 5_000
 DAY = timedelta(days=1)
 
 _CELL, _GHOST, _TAKE, _HOT = "_cell", "_ghost", "_take", "_hot"
 _UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
 
 
-def _resolve(hot: DataFrame | None | str, df: DataFrame, keys: Sequence[str], max_rows: int):
-    return crowded(df, keys, max_rows) if isinstance(hot, str) else hot
+def _resolve(hot: DataFrame | None, df: DataFrame, keys: Sequence[str], max_rows: int | None):
+    return crowded(df, keys, max_rows) if hot is None and max_rows is not None else hot
 
 
 def _placed(df: DataFrame, keys: Sequence[str], cell: Column, hot: DataFrame) -> DataFrame:
@@ -85,8 +84,8 @@ def previous_in_key(
     take: Mapping[str, str],
     ties: Sequence[str] = (),
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Values of the row before, as ``{column: name of its previous value}``.
 
@@ -103,8 +102,8 @@ def next_in_key(
     take: Mapping[str, str],
     ties: Sequence[str] = (),
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Values of the row after; see ``previous_in_key``."""
     return _beside(df, keys, at, ties, take, width, _resolve(hot, df, keys, max_rows), back=False)
@@ -117,8 +116,8 @@ def time_delta(
     ties: Sequence[str] = (),
     name: str = "delta_s",
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Whole seconds since the key's previous event; 0 for its first."""
     seen = previous_in_key(df, keys, at, {at: "_prev_at"}, ties, width, max_rows, hot)
@@ -136,8 +135,8 @@ def running_total(
     peers: bool = False,
     scale: int = 2,
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Running exact sum per key.  ``peers`` counts rows of the same instant together (RANGE frame)."""
     hot = _resolve(hot, df, keys, max_rows)
@@ -182,24 +181,23 @@ def rolling_sum(
     name: str,
     scale: int = 4,
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
-    slide_rows: int = SLIDE_ROWS,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
+    slide: bool = False,
 ) -> DataFrame:
     """Sum over the trailing ``span`` up to and including the row, on whole seconds, exact to ``scale``.
 
-    A sliding frame adds up its rows again for every row, so it is kept for keys of at most
-    ``slide_rows`` rows.  If any key has more, a row enters a balance at its second and leaves it one
-    second after its span: the rolling sum is then a running total of entries and expiries, linear in
-    the rows, and hot keys are cut into cells that may be far shorter than the span.
+    A row enters a balance at its second and leaves it one second after its span: the rolling sum is a running
+    total of entries and expiries, linear in the rows, and hot keys are cut into cells that may be far shorter
+    than the span.  ``slide`` takes a sliding frame instead, which adds up its rows again for every row: for
+    short keys only.
     """
     seconds = width_us(span) // 1_000_000
     timed = df.withColumns({"_tick": epoch_s(at), "_v": minor(value, scale)})
-    if isinstance(hot, str):
-        if crowded(df, keys, min(slide_rows, max_rows)) is None:
-            frame = W.partitionBy(*keys).orderBy("_tick").rangeBetween(-seconds, 0)
-            return timed.withColumn(name, major(F.sum("_v").over(frame), scale)).select(*df.columns, name)
-        hot = crowded(df, keys, max_rows)
+    if slide:
+        frame = W.partitionBy(*keys).orderBy("_tick").rangeBetween(-seconds, 0)
+        return timed.withColumn(name, major(F.sum("_v").over(frame), scale)).select(*df.columns, name)
+    hot = _resolve(hot, df, keys, max_rows)
     enters = F.struct(F.lit(False).alias("leaves"), F.col("_tick").alias("tick"), F.col("_v").alias("v"))
     leaves = F.struct(
         F.lit(True).alias("leaves"), (F.col("_tick") + seconds + 1).alias("tick"), (-F.col("_v")).alias("v")
@@ -313,7 +311,7 @@ def label_sessions(
     at: str,
     gap: timedelta,
     name: str = "session_start",
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Every event with the start of its session.  Rows meet their label on (key, cell)."""
     cells = _gap_cells(df, keys, at, gap, {})
@@ -390,13 +388,14 @@ def versions(
     attrs: Sequence[str],
     ties: Sequence[str] = (),
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """SCD2 history of a snapshot feed: one half-open row per run of equal attribute values.
 
     A replayed value opens no version, a value that comes back does.  NULL is a value.
     """
-    hot = crowded(df, keys, max_rows)
+    hot = _resolve(hot, df, keys, max_rows)
     take = {at: "_prev_at", **{a: f"_prev_{a}" for a in attrs}}
     seen = previous_in_key(df, keys, at, take, ties, width, hot=hot)
     same = same_values([(F.col(a), F.col(f"_prev_{a}")) for a in attrs])
@@ -414,8 +413,8 @@ def close_next(
     ties: Sequence[str] = (),
     width: timedelta = DAY,
     end: str = "effective_to",
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Each row ends where the key's next one starts; the open one is current."""
     out = next_in_key(df, keys, start, {start: end}, ties, width, max_rows, hot)
@@ -431,10 +430,11 @@ def last_known(
     take: Sequence[str],
     ties: Sequence[str] = (),
     width: timedelta = DAY,
-    max_rows: int = MAX_ROWS,
-    hot: DataFrame | None | str = AUTO,
+    max_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """As-of lookup: per fact the history row with the latest ``since <= at``, if there is one.
+    """As-of lookup: per fact the history row with the latest ``since <= at``, if there is one.  A NULL in a
+    key is never known.
 
     Facts and history are merged on one timeline, so no fact-history pair is ever emitted, and a key
     with many facts and many history rows costs their sum, not their product.
@@ -470,8 +470,11 @@ def last_known(
         .orderBy(F.col("_kind") != 0, "_tick", "_kind", F.col("_rank").asc_nulls_first())
         .rowsBetween(*_UP_TO_HERE)
     )
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
     return (
-        merged.withColumn("_known", F.last(_TAKE, ignorenulls=True).over(inside))
+        merged.withColumn("_known", F.when(keyed, F.last(_TAKE, ignorenulls=True).over(inside)))
         .filter(F.col("_kind") == 2)
         .select(*facts.columns, *[F.col(f"_known.{c}").alias(c) for c in take])
     )

@@ -13,7 +13,7 @@ from ..functions.values import count_where, exact_avg, exact_sum, exact_total, m
 from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
-from ..operators.skew import crowded, salted_agg, salted_join
+from ..operators.skew import salted_agg, salted_join
 from ..operators.timeline import time_delta
 from ..sources.layout import write_partitioned
 from ..sources.snapshots import snapshot_diff
@@ -94,8 +94,9 @@ def sensor_daily(readings: DataFrame) -> DataFrame:
     )
 
 
-def publish_sensor_daily(readings: DataFrame, path: str) -> None:
-    write_partitioned(sensor_daily(readings), path, ["sensor_type", "date"])
+def publish_sensor_daily(readings: DataFrame, path: str, spread: str | None = None, files_per_folder: int = 1) -> None:
+    """``spread`` and ``files_per_folder`` cut large folders into several files (see ``write_partitioned``)."""
+    write_partitioned(sensor_daily(readings), path, ["sensor_type", "date"], spread, files_per_folder)
 
 
 def region_revenue(transactions: DataFrame, stores: DataFrame) -> DataFrame:
@@ -104,10 +105,9 @@ def region_revenue(transactions: DataFrame, stores: DataFrame) -> DataFrame:
     return placed.groupBy("region").agg(F.sum("amount").alias("revenue"))
 
 
-def user_journey(clicks: DataFrame, width: timedelta = timedelta(days=1)) -> DataFrame:
-    """Each click once, with the seconds since the user's previous one."""
+def user_journey(clicks: DataFrame, width: timedelta = timedelta(days=1), hot: DataFrame | None = None) -> DataFrame:
+    """Each click once, with the seconds since the user's previous one; users in ``hot`` are worked in cells."""
     once = keep_latest(clicks, ["event_id"], ["click_time"])
-    hot = crowded(clicks, ["user_id"])
     deltas = time_delta(once, ["user_id"], "click_time", ["event_id"], "time_diff_sec", width, hot=hot)
     return deltas.select("event_id", "user_id", "click_time", "time_diff_sec")
 

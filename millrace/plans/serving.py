@@ -11,11 +11,12 @@ from ..functions.timing import day_text, local_time, stamp_text, utc_of_local_mi
 from ..functions.values import between_days, count_where, exact_sum, exact_total, minor, pct_change
 from ..operators.intervals import interval_join
 from ..operators.joins import drop_if_exists, keep_if_exists, rollup_then_join, spine
-from ..operators.quality import DOUBLE_NOISE, Gates, measure, publish
+from ..operators.quality import DOUBLE_NOISE, Gates, counted, measure, publish
 from ..operators.ranking import keep_latest_counted
 from ..operators.timeline import trailing_avg, value_at_offset, versions
 from ..operators.upserts import apply_changes, latest_of_both
 
+# Names, order and types of the published columns.
 SUBSCRIPTION = "subscription_id string, plan string, status string, mrr double, updated_at string"
 REGION_DAILY = (
     "order_date string, region string, n_orders bigint, gross_gmv double, "
@@ -66,7 +67,11 @@ def current_catalog(updates: DataFrame) -> DataFrame:
 
 
 def region_daily(
-    orders: DataFrame, seller_region: DataFrame, refunds: DataFrame, resolve: str = "repair"
+    orders: DataFrame,
+    seller_region: DataFrame,
+    refunds: DataFrame,
+    resolve: str = "repair",
+    direct: bool = False,
 ) -> DataFrame:
     """Gross and net GMV per order date and region of the assignment in effect that day.
 
@@ -78,6 +83,7 @@ def region_daily(
         "order_date",
         (F.col("qty") * F.col("unit_price")).alias("_gross"),
     )
+    live, before = counted(live, {"orders": F.count(F.lit(1)), "gross": exact_total("_gross")})
     placed = interval_join(
         live,
         seller_region.select("seller_id", "region", "valid_from", "valid_to"),
@@ -88,11 +94,11 @@ def region_daily(
         {"region": "UNKNOWN"},
         resolve=resolve,
         fact_key=["order_id"],
+        direct=direct,
     )
     netted = rollup_then_join(
         placed, refunds, "order_id", {"_refund": exact_sum("refund_amount")}
     )
-    before = measure(live, {"orders": F.count(F.lit(1)), "gross": exact_total("_gross")})
     gross = exact_total("_gross")
     refund = F.coalesce(exact_total("_refund"), F.lit(0))
     out = netted.groupBy("order_date", "region").agg(
@@ -105,8 +111,8 @@ def region_daily(
         unique=["order_date", "region"],
         not_null=["order_date", "region"],
         totals={
-            "orders": (F.coalesce(F.sum("n_orders"), F.lit(0)), before["orders"]),
-            "gross": (exact_total("gross_gmv"), before["gross"], DOUBLE_NOISE),
+            "orders": (F.coalesce(F.sum("n_orders"), F.lit(0)), lambda: before("orders")),
+            "gross": (exact_total("gross_gmv"), lambda: before("gross"), DOUBLE_NOISE),
         },
         ddl=REGION_DAILY,
     )

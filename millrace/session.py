@@ -6,6 +6,7 @@ executor is written to the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -46,6 +47,15 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+def discard(staged: DataFrame) -> None:
+    """Remove the folder behind a frame that ``materialise`` wrote."""
+    spark = staged.sparkSession
+    folder = os.path.dirname(staged.inputFiles()[0]) if staged.inputFiles() else None
+    if folder and "/millrace/" in folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, how: str = "table", label: str = "stage") -> DataFrame:
     """Compute a forked intermediate once.
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.quality import Gates, check, counted
 from ..operators.ranking import keep_latest
 from ..operators.upserts import apply_changes
 from ..plans.facts import resolve_trips
@@ -87,30 +88,38 @@ def run_resolution(
     """Park and replay: each batch offers its own trips and everything still pending.
 
     The dimensions are read anew per batch.  Returns all published trips and what is pending at the end.
+    A trip that is sent again, in its batch or a later one, is the trip it was: the first that landed counts,
+    within a batch the smallest row.  Trips without an id cannot be told apart, so each of them is kept.
+    Every batch settles exactly the trips it was offered, or fails before it is committed.
     """
     spark = trips.sparkSession
     last: list[int] = []
     park = ["trip_id", "driver_id", "completed_ts", "fare_cents", "first_seen_date"]
+    shape = trips.select(*park).schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        offered = batch.select(*park)
+        batch.select(*park).write.mode("overwrite").parquet(f"{root}/landed/batch={batch_id}")
+        landed = session.read.schema(_by_batch(shape)).parquet(f"{root}/landed")
+        fresh = landed.filter(F.col("batch") == batch_id)
+        earlier = landed.filter(F.col("batch") < batch_id)
+        named = fresh.filter(F.col("trip_id").isNotNull()).join(earlier.select("trip_id"), "trip_id", "left_anti")
+        once = keep_latest(named.select(*park), ["trip_id"], [F.col(c).asc_nulls_last() for c in park[1:]])
+        offered = once.unionByName(fresh.filter(F.col("trip_id").isNull()).select(*park))
         if batch_id > 0:
-            held = session.read.schema(offered.schema).parquet(f"{root}/pending/batch={batch_id - 1}")
-            offered = offered.unionByName(held)
-        resolved = resolve_trips(offered, *dims(session))
+            held = session.read.schema(settled_shape).parquet(f"{root}/resolved/batch={batch_id - 1}")
+            offered = offered.unionByName(held.filter(F.col("load_status") == "PENDING").select(*park))
+        offered, before = counted(offered, {"rows": F.count(F.lit(1))})
         staged = f"{root}/resolved/batch={batch_id}"
-        resolved.write.mode("overwrite").partitionBy("load_status").parquet(staged)
-        done = session.read.schema(resolved.schema).parquet(staged)
-        waiting = done.filter(F.col("load_status") == "PENDING").select("trip_id")
-        offered.join(waiting, "trip_id", "left_semi").write.mode("overwrite").parquet(
-            f"{root}/pending/batch={batch_id}"
-        )
+        resolve_trips(offered, *dims(session), keep=["completed_ts"]).write.mode("overwrite").parquet(staged)
+        settled = session.read.schema(settled_shape).parquet(staged)
+        gates = Gates(totals={"offered trips": (F.count(F.lit(1)), lambda: before("rows"))})
+        check(settled, gates)
         last.append(batch_id)
 
+    settled_shape = resolve_trips(spark.createDataFrame([], shape), *dims(spark), keep=["completed_ts"]).schema
     _finish(trips.writeStream.foreachBatch(write), f"{root}/cp")
-    shape = _by_batch(resolve_trips(spark.createDataFrame([], trips.select(*park).schema), *dims(spark)).schema)
-    history = _written(spark, f"{root}/resolved", shape)
+    history = _written(spark, f"{root}/resolved", _by_batch(settled_shape))
     newest = max(last) if last else history.agg(F.max("batch")).first()[0]
-    settled = (F.col("load_status") == "PUBLISHED") | (F.col("batch") == newest)
-    return history.filter(settled).drop("batch")
+    done = (F.col("load_status") == "PUBLISHED") | (F.col("batch") == newest)
+    return history.filter(done).drop("batch", "completed_ts")

@@ -11,7 +11,7 @@ from ..functions.values import exact_sum
 from ..operators import intervals, joins
 from ..plans import facts, serving
 from ..session import materialise
-from .registry import Given, query
+from .registry import Given, TWINS, query
 
 # ---------------------------------------------------------------- subscriptions
 
@@ -79,7 +79,7 @@ WITH both_sides AS (
   SELECT c_custkey AS customer_id, c_name AS email, c_mktsegment AS tier, TIMESTAMP '1997-06-01' AS updated_at
   FROM customer
   UNION ALL
-  SELECT o_custkey, 'order-' || o_orderkey, o_orderpriority, o_orderdate FROM orders WHERE o_orderkey % 3 = 0
+  SELECT o_custkey, 'order-' || o_orderkey, o_orderpriority, o_orderdate FROM orders
 )
 SELECT * FROM both_sides
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC, email DESC, tier DESC) = 1
@@ -92,7 +92,7 @@ def scd1_upsert(t: Given):
         F.col("c_mktsegment").alias("tier"),
         F.lit("1997-06-01").cast("timestamp_ntz").alias("updated_at"),
     )
-    delta = t.orders.filter(F.col("o_orderkey") % 3 == 0).select(
+    delta = t.orders.select(
         F.col("o_custkey").alias("customer_id"),
         F.concat(F.lit("order-"), F.col("o_orderkey")).alias("email"),
         F.col("o_orderpriority").alias("tier"),
@@ -133,6 +133,12 @@ WITH assigned AS (
   SELECT c_custkey, 'R' || (c_nationkey + 1), '1998-01-01', NULL FROM customer WHERE c_custkey % 8 <> 0
   UNION ALL
   SELECT c_custkey, 'PROMO', '1999-01-01', '1999-07-01' FROM customer WHERE c_custkey % 4 = 1
+  UNION ALL
+  SELECT c_custkey, 'LATE', '1999-01-01', '9999-12-31' FROM customer WHERE c_custkey % 12 = 1
+  UNION ALL
+  SELECT c_custkey, 'ALSO', '1999-01-01', '9999-12-31' FROM customer WHERE c_custkey % 24 = 1
+), sellers AS (
+  SELECT *, CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS seller FROM orders
 )
 """
 
@@ -158,13 +164,22 @@ def _assigned(t: Given):
         F.lit("1999-01-01").alias("valid_from"),
         F.lit("1999-07-01").alias("valid_to"),
     )
-    return first.unionByName(second).unionByName(promo)
+
+    def endless(name: str, share: int):
+        """Starts with the promotion; closed, in the far future."""
+        some = base.filter(F.col("c_custkey") % share == 1)
+        return some.select("seller_id", *[F.lit(v).alias(c) for c, v in (("region", name), ("valid_from", "1999-01-01"), ("valid_to", "9999-12-31"))])
+
+    every = first.unionByName(second).unionByName(promo).unionByName(endless("LATE", 12))
+    # A NULL seller meets no order, not even one without a seller.
+    nobody = every.limit(1).withColumn("seller_id", F.lit(None).cast("string"))
+    return every.unionByName(endless("ALSO", 24)).unionByName(nobody)
 
 
 def _seller_orders(t: Given):
     return t.orders.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("seller_id"),
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")).cast("string").alias("seller_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
         (F.col("o_orderkey") % 5 + 1).cast("int").alias("qty"),
         F.col("o_totalprice").alias("unit_price"),
@@ -183,16 +198,16 @@ def _refunds(t: Given):
 
 _REGION_TAIL = """
 , live AS (
-  SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+  SELECT o_orderkey, seller, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
          (o_orderkey % 5 + 1) * CAST(o_totalprice AS DECIMAL(18, 2)) AS gross
-  FROM orders WHERE o_orderkey % 10 <> 0
+  FROM sellers WHERE o_orderkey % 10 <> 0
 ), refunded AS (
   SELECT l_orderkey, sum(CAST(l_quantity AS DECIMAL(18, 2))) AS refund
   FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL
 ), placed AS (
   SELECT l.*, a.region FROM live l LEFT JOIN side a
-    ON a.k = l.o_custkey AND a.valid_from <= l.order_date AND (a.valid_to IS NULL OR l.order_date < a.valid_to)
-  QUALIFY row_number() OVER (PARTITION BY l.o_orderkey ORDER BY a.valid_from DESC NULLS LAST, a.region DESC) = 1
+    ON a.k = l.seller AND a.valid_from <= l.order_date AND (a.valid_to IS NULL OR l.order_date < a.valid_to)
+  QUALIFY row_number() OVER (PARTITION BY l.o_orderkey ORDER BY a.valid_from DESC NULLS LAST, a.valid_to NULLS LAST, a.region) = 1
 )
 SELECT order_date, coalesce(region, 'UNKNOWN') AS region, count(DISTINCT o_orderkey) AS n_orders,
        CAST(sum(gross) AS DOUBLE) AS gross_gmv,
@@ -208,7 +223,7 @@ GROUP BY 1, 2
     _ASSIGNED
     + """, side AS (
   SELECT k, region, valid_from,
-         least(coalesce(valid_to, '9999'), coalesce(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from), '9999'))
+         least(coalesce(valid_to, '99999'), coalesce(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from, valid_to DESC NULLS FIRST, region DESC), '99999'))
            AS valid_to
   FROM assigned
 )"""
@@ -225,17 +240,20 @@ def effective_region_rank(t: Given):
 
 _PLACED = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, coalesce(a.region, 'UNKNOWN') AS region
-FROM orders LEFT JOIN side a ON a.k = o_custkey AND a.valid_from <= strftime(o_orderdate, '%Y-%m-%d')
+FROM sellers LEFT JOIN side a ON a.k = seller AND a.valid_from <= strftime(o_orderdate, '%Y-%m-%d')
   AND (a.valid_to IS NULL OR strftime(o_orderdate, '%Y-%m-%d') < a.valid_to)
-QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY a.valid_from DESC NULLS LAST, a.region DESC) = 1
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY a.valid_from DESC NULLS LAST, a.valid_to NULLS LAST, a.region) = 1
 """
 
 
-def _place(t: Given, resolve: str):
-    """The form for dimensions too large or too deep to broadcast."""
+def _place(t: Given, resolve: str, direct: bool):
+    """``direct`` also mixes ISO days of orders with timestamps of assignments."""
+    dim = _assigned(t)
+    if direct:
+        dim = dim.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("valid_from", "valid_to")})
     placed = intervals.interval_join(
         _seller_orders(t),
-        _assigned(t),
+        dim,
         ["seller_id"],
         "order_date",
         "valid_from",
@@ -243,7 +261,7 @@ def _place(t: Given, resolve: str):
         {"region": "UNKNOWN"},
         resolve=resolve,
         fact_key=["order_id"],
-        direct=False,
+        direct=direct,
     )
     return placed.select("order_id", "region")
 
@@ -253,19 +271,39 @@ def _place(t: Given, resolve: str):
     _ASSIGNED
     + """, side AS (
   SELECT k, region, valid_from,
-         least(coalesce(valid_to, '9999'), coalesce(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from), '9999'))
+         least(coalesce(valid_to, '99999'), coalesce(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from, valid_to DESC NULLS FIRST, region DESC), '99999'))
            AS valid_to
   FROM assigned
 )"""
     + _PLACED,
 )
 def interval_merge_repair(t: Given):
-    return _place(t, "repair")
+    return _place(t, "repair", direct=False)
 
 
 @query("interval_merge_rank", _ASSIGNED + ", side AS (SELECT * FROM assigned)" + _PLACED)
 def interval_merge_rank(t: Given):
-    return _place(t, "rank")
+    return _place(t, "rank", direct=False)
+
+
+@query("interval_direct_repair", TWINS["interval_merge_repair"])
+def interval_direct_repair(t: Given):
+    return _place(t, "repair", direct=True)
+
+
+@query("interval_direct_rank", TWINS["interval_merge_rank"])
+def interval_direct_rank(t: Given):
+    return _place(t, "rank", direct=True)
+
+
+@query("effective_region_direct", TWINS["effective_region_gmv"])
+def effective_region_direct(t: Given):
+    return serving.region_daily(_seller_orders(t), _assigned(t), _refunds(t), direct=True)
+
+
+@query("effective_region_rank_direct", TWINS["effective_region_rank"])
+def effective_region_rank_direct(t: Given):
+    return serving.region_daily(_seller_orders(t), _assigned(t), _refunds(t), resolve="rank", direct=True)
 
 
 @query(
@@ -273,14 +311,17 @@ def interval_merge_rank(t: Given):
     _ASSIGNED
     + """
 SELECT CAST(k AS VARCHAR) AS seller_id, region, valid_from,
-       CASE WHEN least(coalesce(valid_to, '9999'), coalesce(nxt, '9999')) <> '9999'
-            THEN least(coalesce(valid_to, '9999'), coalesce(nxt, '9999')) END AS valid_to
-FROM (SELECT *, lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from) AS nxt FROM assigned)
+       CASE WHEN least(coalesce(valid_to, '99999'), coalesce(nxt, '99999')) <> '99999'
+            THEN least(coalesce(valid_to, '99999'), coalesce(nxt, '99999')) END AS valid_to
+FROM (
+  SELECT *, lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from) AS nxt FROM assigned WHERE region NOT IN ('LATE', 'ALSO')
+)
 """,
 )
 def interval_repair(t: Given):
+    some = _assigned(t).filter("seller_id IS NOT NULL AND region NOT IN ('LATE', 'ALSO')")
     return intervals.close_intervals(
-        _assigned(t), ["seller_id"], "valid_from", "valid_to", width=timedelta(days=365)
+        some, ["seller_id"], "valid_from", "valid_to", width=timedelta(days=365)
     )
 
 

@@ -363,12 +363,15 @@ def ingestion_report_mask(t: Given):
     "parse_money_cast",
     _RAW
     + """
-SELECT l_orderkey, l_linenumber, CASE WHEN kind = 6 THEN 1000.0 ELSE cents / 100.0 END AS amount FROM parsed WHERE kind <> 5
+SELECT l_orderkey, l_linenumber, CASE WHEN kind = 6 THEN 1000.0 WHEN kind <> 5 THEN cents / 100.0 END AS amount,
+       kind = 5 AS is_nan FROM parsed
 """,
 )
 def parse_money_cast(t: Given):
-    raw = _raw(t).filter((F.col("l_orderkey") + F.col("l_linenumber")) % 10 != 5)
-    return raw.select("l_orderkey", "l_linenumber", parsing.parse_money("amount_raw").alias("amount"))
+    """The cast route takes NaN for a number, the others do not."""
+    parsed = _raw(t).withColumn("amount", parsing.parse_money("amount_raw"))
+    known = F.when(~F.isnan("amount"), F.col("amount"))
+    return parsed.select("l_orderkey", "l_linenumber", known.alias("amount"), F.coalesce(F.isnan("amount"), F.lit(False)).alias("is_nan"))
 
 
 _AMOUNTS = _RAW + "SELECT l_orderkey, l_linenumber, cents / 100.0 AS amount FROM parsed"
@@ -386,6 +389,24 @@ def parse_money_mask(t: Given):
     return _raw(t).select("l_orderkey", "l_linenumber", amount.alias("amount"))
 
 
+@query(
+    "parse_money_wide",
+    """
+SELECT l_orderkey, l_linenumber, CAST(l_orderkey || '0000000000000000.125' AS DOUBLE) AS whole,
+       CAST('0.' || l_linenumber || '00000000001' AS DOUBLE) AS fine FROM lineitem
+""",
+)
+def parse_money_wide(t: Given):
+    """More digits than a mask for money would have, before and behind the point."""
+    texts = t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.concat(F.lit("$"), "l_orderkey", F.lit("0000000000000000.125")).alias("whole"),
+        F.concat(F.lit("0."), "l_linenumber", F.lit("00000000001")).alias("fine"),
+    )
+    return texts.withColumns({c: parsing.parse_money(c, "mask") for c in ("whole", "fine")})
+
+
 @query("parse_count", _RAW + "SELECT l_orderkey, l_linenumber, units FROM parsed")
 def parse_count(t: Given):
     return _raw(t).select("l_orderkey", "l_linenumber", parsing.parse_count("units_raw").alias("units"))

@@ -337,6 +337,44 @@ def scd2_history(t: Given):
     return timeline.versions(feed, ["user_id"], "ts", ["event_type", "big"], ["event_id"], DAY)
 
 
+@query(
+    "product_history",
+    """
+WITH feed AS (
+  SELECT l_partkey AS product_id, l_shipdate AS changed_at, min(l_returnflag) AS category,
+         min(CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END) AS price
+  FROM lineitem GROUP BY ALL
+), seen AS (
+  SELECT *, lag(changed_at) OVER w AS prev_at, lag(category) OVER w AS prev_category, lag(price) OVER w AS prev_price
+  FROM feed WINDOW w AS (PARTITION BY product_id ORDER BY changed_at)
+), starts AS (
+  SELECT * FROM seen WHERE prev_at IS NULL OR category IS DISTINCT FROM prev_category OR price IS DISTINCT FROM prev_price
+)
+SELECT product_id, changed_at AS effective_from, lead(changed_at) OVER w AS effective_to, category, price,
+       lead(changed_at) OVER w IS NULL AS is_current
+FROM starts WINDOW w AS (PARTITION BY product_id ORDER BY changed_at)
+""",
+)
+def product_history(t: Given):
+    feed = t.lineitem.groupBy(F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("changed_at")).agg(
+        F.min("l_returnflag").alias("category"), F.min(F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity"))).alias("price")
+    )
+    return serving.product_history(feed)
+
+
+@query(
+    "fine_running_total",
+    """
+SELECT event_id, CAST(sum(CAST(event_id % 100000 AS DECIMAL(38, 0))) OVER (PARTITION BY user_id ORDER BY ts, event_id) / 100000 AS DOUBLE) AS total
+FROM events
+""",
+)
+def fine_running_total(t: Given):
+    """Five decimals by declaration."""
+    fine = t.events.select("event_id", "user_id", "ts", ((F.col("event_id") % 100000) / 1e5).alias("fine"))
+    return timeline.running_total(fine, ["user_id"], "ts", "fine", "total", ["event_id"], scale=5).select("event_id", "total")
+
+
 @query(
     "last_known_view",
     """

@@ -89,7 +89,7 @@ def brute_region(fact_at, spans, resolve):
 
 
 @pytest.mark.parametrize("resolve", ["repair", "rank"])
-@pytest.mark.parametrize("direct,max_rows", [(True, 1000), (None, 1000), (False, 1000), (False, 10)])
+@pytest.mark.parametrize("direct,max_rows", [(True, None), (False, None), (False, 1000), (False, 10)])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_interval_join(spark, resolve, direct, seed, max_rows):
     r = random.Random(seed)
@@ -113,12 +113,28 @@ def test_interval_join(spark, resolve, direct, seed, max_rows):
     assert {x["id"]: x["name"] for x in got.collect()} == want
 
 
-def test_interval_size_check(spark):
-    deep = spark.range(70).select(F.lit(1).alias("k"))
-    assert intervals.fits_direct(spark.range(70).withColumnRenamed("id", "k"), ["k"])
-    assert not intervals.fits_direct(deep, ["k"], max_per_key=64)
-    assert not intervals.fits_direct(deep, ["k"], max_rows=10, max_per_key=100)
-    assert intervals.fits_direct(deep.limit(0), ["k"])
+@pytest.mark.parametrize("resolve", ["repair", "rank"])
+def test_interval_forms_agree_on_nulls_mixed_types_ties_and_far_ends(spark, resolve):
+    dim = [
+        ("a", "2025-01-01 00:00:00", None, "z"),
+        ("a", "2025-01-01 00:00:00", None, "b"),  # equal starts and ends: the smaller name
+        ("b", "2025-01-01 00:00:00", "9999-12-31 00:00:00", "far"),
+        ("b", "2025-02-01 00:00:00", "2025-02-10 00:00:00", "short"),
+        ("b", "2025-03-01 00:00:00", None, "open"),
+        ("b", "2025-03-01 00:00:00", "2025-03-05 00:00:00", "closed"),  # equal starts: the end that comes first
+        (None, "2025-01-01 00:00:00", None, "nobody"),
+    ]
+    facts = [(1, "a", "2025-01-01"), (2, None, "2025-01-05"), (3, "b", "2025-02-05"), (4, "b", "2025-02-20")]
+    facts += [(5, "b", "2025-03-02"), (6, "c", "2025-01-02"), (7, "a", None), (8, "a", "2024-12-31")]
+    f = spark.createDataFrame(facts, "id int, k string, at string")
+    d = spark.createDataFrame(dim, "k string, lo string, hi string, name string")
+    want = {1: "b", 2: "UNKNOWN", 3: "short", 4: "far" if resolve == "rank" else "UNKNOWN", 5: "closed", 6: "UNKNOWN", 7: "UNKNOWN", 8: "UNKNOWN"}
+    days = f.withColumn("at", F.col("at").cast("date"))
+    for fact in (f, days):
+        for dims in (d, d.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("lo", "hi")})):
+            for form in ({"direct": True}, {}, {"max_rows": 1}):
+                got = intervals.interval_join(fact, dims, ["k"], "at", "lo", "hi", {"name": "UNKNOWN"}, resolve, ["id"], **form)
+                assert {x["id"]: x["name"] for x in got.collect()} == want
 
 
 def test_close_intervals_routes_agree(spark):
@@ -144,6 +160,11 @@ def test_exclusion_is_half_open_and_never_fans_out(spark):
     assert rows(got.select("id")) == [(3,), (9,)]
     closed_only = intervals.exclude_intervals(f, w.filter("hi IS NOT NULL"), ["d"], "at", "lo", "hi")
     assert rows(closed_only.select("id")) == [(3,), (4,), (9,)]
+    far = spark.createDataFrame([("d", ts("2025-04-01 09:15:00"), ts("9999-12-31 00:00:00")), (None, ts("2020-01-01 00:00:00"), None)], w.schema)
+    more = f.unionByName(spark.createDataFrame([(20, None, ts("2025-04-01 09:10:00")), (21, "d", None)], f.schema))
+    for form in ({}, {"max_rows": 1}):
+        got = intervals.exclude_intervals(more, far, ["d"], "at", "lo", "hi", timedelta(hours=1), **form)
+        assert rows(got.select("id")) == [(0,), (1,), (9,), (20,), (21,)]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

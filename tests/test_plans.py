@@ -10,7 +10,7 @@ from millrace.operators import grouping, joins, nested, ranking, timeline
 from millrace.plans import facts, reports, serving
 from millrace.workload import aggregates, incremental, nested as nested_workload
 from millrace.workload import timeline as timeline_workload
-from millrace.workload.registry import Given
+from millrace.workload.registry import QUERIES, Given
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -145,3 +145,21 @@ def test_no_cross_joins(given):
 def test_pivot_reads_two_columns(given):
     df = grouping.pivot_sum(given.orders, ["o_orderstatus"], "o_orderpriority", ["1-URGENT"], F.count(F.lit(1)))
     assert "ReadSchema: struct<o_orderstatus:string,o_orderpriority:string>" in plan(df)
+
+
+def test_ordered_operators_start_no_job_and_scan_once(spark, given):
+    tracker = spark.sparkContext.statusTracker()
+    # The feed of user_journey is a table and its resent rows; top_customers reads the nations as well.
+    scans = {"rolling_7d": 1, "user_journey": 2, "scd2_history": 1, "top_customers": 2}
+    for name, n in scans.items():
+        group = f"calling {name}"
+        spark.sparkContext.setJobGroup(group, name)
+        df = QUERIES[name](spark, given.folder)
+        assert not tracker.getJobIdsForGroup(group), name
+        assert plan(df).count("FileScan ") == n, name
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_best_rows_do_not_sort_before_the_shuffle(spark, given):
+    for name in ("current_catalog", "argmax_order"):
+        assert "SortAggregate" not in plan(QUERIES[name](spark, given.folder)), name

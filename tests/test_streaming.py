@@ -4,6 +4,7 @@ import json
 import os
 
 from helpers import rows, same, ts
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.upserts import apply_changes
@@ -148,5 +149,45 @@ def test_park_and_replay(spark, tmp_path):
         ("t3", "PUBLISHED", 800),
         ("t4", "PENDING", None),
     }
+    assert len(calls) >= 2
     everything = resolve_trips(spark.read.schema(ddl).json(folder), *dims(spark))
     assert rows(everything.select("trip_id", "load_status")) == rows(got.select("trip_id", "load_status"))
+
+
+def test_resent_trips_null_ids_and_a_restart(spark, tmp_path):
+    folder, root = str(tmp_path / "trips"), shared_dir(spark, "t")
+
+    def trip(i, driver, fare=1000):
+        return {"trip_id": i, "driver_id": driver, "completed_ts": "2025-01-01 10:00:00", "fare_cents": fare, "first_seen_date": "2025-01-02"}
+
+    ddl = "trip_id string, driver_id string, completed_ts string, fare_cents bigint, first_seen_date string"
+    commissions = spark.createDataFrame([("f", 20)], "fleet_id string, commission_pct int")
+    known = {"a"}
+
+    def dims(session):
+        return session.createDataFrame([(d, "f") for d in sorted(known)], "driver_id string, fleet_id string"), commissions
+
+    def broken(session):
+        raise RuntimeError("lost in the middle of a batch")
+
+    def run(source):
+        return sinks.run_resolution(json_stream(spark, folder, ddl, files_per_batch=1), root, source)
+
+    land(folder, "a.json", [trip("t1", "a"), trip("t1", "a"), trip("t2", "b"), trip(None, "b")], 1000)
+    first = run(dims)
+    assert rows(first.select("trip_id", "load_status")) == rows(spark.createDataFrame([(None, "PENDING"), ("t1", "PUBLISHED"), ("t2", "PENDING")], "a string, b string"))
+    land(folder, "b.json", [trip("t1", "a", 7), trip("t2", "b", 7), trip(None, "a")], 2000)
+    calls = []
+
+    def fails_once(session):
+        calls.append(1)
+        return broken(session) if len(calls) == 2 else dims(session)
+
+    with pytest.raises(Exception, match="lost in the middle"):
+        run(fails_once)
+    known.add("b")
+    for _ in range(2):
+        got = run(dims)
+        assert rows(got.select("trip_id", "load_status", "driver_earning_cents")) == rows(
+            spark.createDataFrame([(None, "PUBLISHED", 800), (None, "PUBLISHED", 800), ("t1", "PUBLISHED", 800), ("t2", "PUBLISHED", 800)], "a string, b string, c bigint")
+        )

@@ -82,7 +82,7 @@ def test_running_and_rolling(spark, seed, max_rows):
             now = r[1].replace(microsecond=0)
             inside = [c for c, o in zip(cents, seq) if now - timedelta(days=1) <= o[1].replace(microsecond=0) <= now]
             want_roll[r[2]] = sum(inside) / 100
-    balanced = timeline.rolling_sum(df, ["k"], "at", "v", timedelta(days=1), "s", width=width, slide_rows=10)
+    balanced = timeline.rolling_sum(df, ["k"], "at", "v", timedelta(days=1), "s", width=width, slide=True)
     for df_out, want in ((rowwise, want_row), (peers, want_peer), (rolled, want_roll), (balanced, want_roll)):
         assert {r["id"]: r["s"] for r in df_out.collect()} == want
 
@@ -208,7 +208,7 @@ def test_last_known(spark, seed, max_rows):
     got = timeline.last_known(f, h, ["k"], "at", "since", ["hid"], ["hid"], timedelta(hours=7), max_rows)
     want = {}
     for k, at, i, _ in facts:
-        seen = [(s, hid) for hk, s, hid in history if hk == k and s <= at]
+        seen = [(s, hid) for hk, s, hid in history if hk is not None and hk == k and s <= at]
         want[i] = max(seen)[1] if seen else None
     assert {x["id"]: x["hid"] for x in got.collect()} == want
 
