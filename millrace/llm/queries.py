@@ -19,11 +19,15 @@ from . import (
     quotations,
     sharding,
     suffix_dedup,
+    twins,
 )
 from .common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op1_quality_rules": twins.QUALITY_RULES,
+    "op8_ngram_jaccard_join": twins.JACCARD_JOIN,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
