@@ -16,20 +16,24 @@ from pyspark.sql import functions as F
 from .skew import crowded, flag_keys
 
 
-def broadcast_within(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most ``max_rows`` rows.
+def _within(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Looks at no more than ``max_rows + 1`` rows; bytes are those of the rows written out."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    n, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
-    The count stops after ``max_rows + 1`` rows.  A larger side is returned without a hint, so the
-    join falls back to a shuffle that AQE can balance.
+
+def broadcast_within(dim: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring that the side has at most ``max_rows`` rows and ``max_bytes``.
+
+    A larger side is returned without a hint, so the join falls back to a shuffle that AQE can balance.
     """
-    seen = dim.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(dim) if seen <= max_rows else dim
+    return F.broadcast(dim) if _within(dim, max_rows, max_bytes) else dim
 
 
-def broadcast_hint(dim: DataFrame, alias: str, max_rows: int = 100_000) -> str:
-    """The SQL hint for a relation's alias, or nothing if the relation is not within the bound."""
-    seen = dim.select(F.lit(1)).limit(max_rows + 1).count()
-    return f"/*+ BROADCAST({alias}) */" if seen <= max_rows else ""
+def broadcast_hint(dim: DataFrame, alias: str, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> str:
+    """The SQL hint for a relation's alias, or nothing if the relation is not within the bounds."""
+    return f"/*+ BROADCAST({alias}) */" if _within(dim, max_rows, max_bytes) else ""
 
 
 def enrich(

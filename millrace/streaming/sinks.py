@@ -57,27 +57,51 @@ def run_updates(result: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
 
 
 def run_upserts(
-    changes: DataFrame, root: str, keys: Sequence[str], cols: Sequence[str], at: str, op: str = "op"
+    changes: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    at: str,
+    op: str = "op",
+    compact_every: int = 16,
 ) -> None:
     """Collapse each micro-batch to the last change per key and keep it as a delta.
 
-    A batch costs its own size, never the size of the state; ``upserted`` merges on read.
+    A batch costs its own size, never the size of the state; ``upserted`` merges on read.  Every
+    ``compact_every`` batches all deltas so far are folded into one base, so a read meets one base and fewer
+    deltas than that, however long the stream has run.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        last = keep_latest(batch.select(*keys, op, *cols, at), keys, [at])
+        shape = batch.select(*keys, op, *cols, at).schema
+        last = keep_latest(batch.select(*shape.names), keys, [at])
         last.write.mode("overwrite").parquet(f"{root}/delta/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            folded = keep_latest(_deltas(batch.sparkSession, root, shape, batch_id), keys, [at])
+            folded.write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
 
     _finish(changes.writeStream.foreachBatch(write), f"{root}/cp")
 
 
+def _deltas(spark: SparkSession, root: str, shape: T.StructType, until: int | None = None) -> DataFrame:
+    """Changes so far (before batch ``until`` ended): the newest base and the deltas after it."""
+    named = lambda name: T.StructType([*shape.fields, T.StructField(name, T.LongType())])
+    bases = _written(spark, f"{root}/base", named("upto"))
+    deltas = _written(spark, f"{root}/delta", named("batch"))
+    if until is not None:  # a base of this very batch is what is being written anew
+        bases, deltas = bases.filter(F.col("upto") < until), deltas.filter(F.col("batch") <= until)
+    newest = bases.agg(F.max("upto")).first()[0]
+    newest = -1 if newest is None else newest
+    old = bases.filter(F.col("upto") == newest).select(*shape.names)
+    return old.unionByName(deltas.filter(F.col("batch") > newest).select(*shape.names))
+
+
 def upserted(
     spark: SparkSession, seed: DataFrame, root: str, keys: Sequence[str], cols: Sequence[str], at: str, op: str = "op"
 ) -> DataFrame:
-    """State after all deltas.  Tombstones are remembered, so an old change cannot revive a key."""
+    """State after all changes.  Tombstones are remembered, so an old change cannot revive a key."""
     shape = seed.select(*keys, F.lit("").alias(op), *cols, at).schema
-    deltas = _written(spark, f"{root}/delta", shape)
-    return apply_changes(seed, deltas, keys, cols, at, op)
+    return apply_changes(seed, _deltas(spark, root, shape), keys, cols, at, op)
 
 
 def run_resolution(

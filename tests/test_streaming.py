@@ -105,6 +105,13 @@ def test_upserts_by_batch_remember_deletes(spark, tmp_path):
         same(got, [(1, "c", "07"), (3, "n", "01")], "k int, v string, at string")
     twin = apply_changes(seed, spark.read.schema(ddl).json(folder), ["k"], ["v"], "at")
     assert rows(twin) == rows(got)
+    folded = shared_dir(spark, "t")
+    land(folder, "c.json", [{"k": 3, "op": "D", "at": "02"}], 3000)
+    for _ in range(2):
+        sinks.run_upserts(json_stream(spark, folder, ddl, files_per_batch=1), folded, ["k"], ["v"], "at", compact_every=2)
+        got = sinks.upserted(spark, seed, folded, ["k"], ["v"], "at")
+        same(got, [(1, "c", "07")], "k int, v string, at string")
+    assert spark.read.parquet(f"{folded}/base").select("upto").distinct().count() == 1
 
 
 def test_streams_without_data(spark, tmp_path):
