@@ -11,14 +11,15 @@ from ..session import materialise
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b), both long; a component is named after one of its nodes.
 
-    Each round every node steps to the neighbour of lowest random rank, if that is lower than its own; edges between
-    what became one node vanish.  Ranks are drawn anew each round, so paths and chains shrink by a constant factor as
-    well.  Edges and steps stay distributed; only "any edges left?" reaches the driver.
+    Each round every node steps to the neighbour of lowest rank, if that is lower than its own; edges between what became
+    one node vanish.  A rank is a hash of the node, the same in all rounds: the star of a large cluster is gone after two
+    of them, and paths, whose nodes have ranks in random order, shrink by a constant factor each time.  Edges and steps
+    stay distributed; only "any edges left?" reaches the driver.
     """
     left = materialise(edges.select("a", "b").where("a <> b").distinct(), label="edges")
     steps: list[DataFrame] = []
     while not left.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(F.lit(len(steps)), c).alias("r"), F.col(c).alias("node"))  # noqa: E731, B023
+        rank = lambda c: F.struct(F.xxhash64(F.lit(11), c).alias("r"), F.col(c).alias("node"))
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min(rank("b")).alias("low"))
         step = low.select(F.col("a").alias("node"), F.least(F.col("low"), rank("a"))["node"].alias("to"))
