@@ -323,7 +323,7 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = materialise(nodes.join(asked, "node", "left_semi").select("node", F.col("first").alias("doc_id")), label="wanted")
         chosen = wanted.select("doc_id").distinct()
-        found = plain.join(chosen, plain["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
+        found = plain.join(chosen.hint("merge"), plain["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
         sets = _sets(found, like.words).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
         return materialise(_verified(pairs, sets, percent), label="links")
 
@@ -372,7 +372,7 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", t
     rows = materialise(rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), label="kept")
     keyed = docs.withColumn("_k", text_key(text))
     hit = keyed[id].eqNullSafe(rows["_id"]) & (keyed["_k"] == rows["_key"])
-    out = keyed.join(rows.distinct(), hit, "left_semi")
+    out = keyed.join(rows.distinct().hint("merge"), hit, "left_semi")
     if not rows.where("_id IS NOT NULL").groupBy("_id", "_key").count().where("count > 1").isEmpty():
         # Repeated rows: one stays.
         out = out.where(F.col(id).isNotNull()).dropDuplicates([id, "_k"]).unionByName(out.where(F.col(id).isNull()))

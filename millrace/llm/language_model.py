@@ -181,7 +181,8 @@ def judge(
         F.coalesce(F.col(lang).cast("string"), F.lit("\x00")).alias("lang"),
         F.col(text).alias("text"),
     )
-    orders = fit(spark, narrow.join(trusted, "doc_id", "left_semi").select("text"))
+    # The ids of trusted documents grow with the corpus: never broadcast, the same join at every size.
+    orders = fit(spark, narrow.join(trusted.hint("merge"), "doc_id", "left_semi").select("text"))
     if orders is None:
         empty = F.coalesce(F.octet_length("text"), F.lit(0))
         return narrow.select(
@@ -207,4 +208,4 @@ def keep_fluent(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     verdicts = judge(docs, labels, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     keyed = docs.withColumn("_k", text_key(text))
     hit = keyed[id].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
-    return keyed.join(verdicts.distinct(), hit, "left_semi").drop("_k")
+    return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k")

@@ -256,4 +256,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     body, id = options.get("text", "text"), options.get("id", "doc_id")
     keyed = docs.withColumn("_k", text_key(body))
     hit = keyed[id].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
-    return keyed.join(verdicts.distinct(), hit, "left_semi").drop("_k")
+    return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k")

@@ -292,7 +292,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, crowded:
     single = open_.where("n = 1")
     several = open_.where("n > 1").dropDuplicates(["core", "full"])
     entries = single.unionByName(several).groupBy(*key).agg(F.collect_list(F.struct("start", "lo", "hi", "core", "n", "k")).alias("entries"))
-    near = docs.join(entries, _same_document(docs, entries)).select(docs["doc_id"], docs["text_key"], "text", "entries")
+    near = docs.join(entries.hint("merge"), _same_document(docs, entries)).select(docs["doc_id"], docs["text_key"], "text", "entries")
     near = near.dropDuplicates(key) if _repeated_rows(docs) else near
     around = materialise(_surroundings(near, length, reach), label="surroundings")
     counts = open_cores.select("core", "k")
@@ -322,7 +322,7 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
 
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     lists = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return docs.join(lists, _same_document(docs, lists), "left").drop(lists["doc_id"]).drop(lists["text_key"])
+    return docs.join(lists.hint("merge"), _same_document(docs, lists), "left").drop(lists["doc_id"]).drop(lists["text_key"])
 
 
 def dedup_report(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
