@@ -1,13 +1,20 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
+"""Quality by perplexity under interpolated modified Kneser-Ney models of trusted text: words over their spelling.
 
-The model is over bytes, of order three: every text has it, in any language and script, and its size has a proven bound
-of 256 ** 3 entries, whatever the corpus.  Counts come from all trusted documents.  They are sharded by n-gram and stay
-in Spark: continuation counts, context totals and discounts are aggregates, and each order takes its lower-order
-probability by a join on the suffix and its total by a join on the context.  What was never seen takes the context's
-remaining mass times the lower order.  The finished tables, at most 64 MB as 32-bit numbers, go to the tasks that score.
+The word model is of order three, over words between blanks.  Counts come from all trusted documents.  They are sharded
+by n-gram and stay in Spark; continuation counts, context totals and discounts are aggregates.  What a word has not been
+seen after takes the context's remaining mass times the lower order, and the lowest order takes the word's spelling.
+Spelling and blanks are scored by a model over bytes, of order three as well, whose at most 256 ** 3 entries go to the
+tasks that score.
 
-A document is kept when its perplexity is at most the ``quantile`` of the trusted documents of its language, times
-``slack``.  Languages with fewer than ``least`` trusted documents share the quantile of all.
+The word model grows with the corpus and reaches no task whole.  Documents are dealt to blocks; a block asks for each of
+its distinct n-grams and contexts once, the questions and the counts meet in shards of the n-grams' hashes, and the
+answers return to the block.  N-grams are told apart by 64 bits.
+
+Trusted documents would look better than others under a model that has counted them.  So texts are dealt to two halves
+by their hash, each half has a word model, and every document is judged by that of the other half.
+
+A document is kept when its perplexity per byte is at most the ``quantile`` of the trusted documents of its language,
+times ``slack``.  Languages with fewer than ``least`` trusted documents share the quantile of all.
 
 Defined cases: an empty or null text has no perplexity and is not kept; null languages are a language; repeated rows are
 judged alike, repeated labels count once; without trusted documents nothing can be judged and all texts but empty ones
@@ -17,10 +24,11 @@ are kept, without perplexity; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -30,6 +38,10 @@ SYMBOLS = 256
 #: Languages with a threshold of their own, those with most trusted documents; others share one.
 LANGUAGES = 64
 _GROUP = 1_000_000
+#: Bytes of text in a block, and the least number of blocks and of shards.
+BLOCK, LEAST_BLOCKS = 8 << 20, 256
+_START, _EMPTY = 0x5BD1E995CA6D2C4A, 0x2F0B4C47E39A1D6E
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
 def _keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +173,194 @@ def perplexities(docs: DataFrame, orders: list[Order], text: str) -> DataFrame:
     return docs.select(*keep, text).mapInArrow(run, f"{ddl}, n_bytes long, perplexity double")
 
 
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _rotated_column(c: Column, by: int) -> Column:
+    return F.shiftleft(c, by).bitwiseOR(F.shiftrightunsigned(c, 64 - by))
+
+
+def _key(*words: np.ndarray) -> np.ndarray:
+    """Of one to three words: hashes, rotated by their distance from the last."""
+    key = words[-1]
+    for i, w in enumerate(reversed(words[:-1]), 1):
+        key = key ^ _rotated(w, 21 * i)
+    return key
+
+
+def _key_column(*words: str) -> Column:
+    key = F.col(words[-1])
+    for i, w in enumerate(reversed(words[:-1]), 1):
+        key = key.bitwiseXOR(_rotated_column(F.col(w), 21 * i))
+    return key
+
+
+#: Hashes of each word's second and first predecessor and of itself, with the model in the last bit; owner and bytes.
+Words = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _words(texts: list[bytes], models: np.ndarray) -> Words:
+    """(u, v, w, owner, begins, stops) of all words; positions as in the texts with a line feed between two."""
+    raw = b"\n".join(texts)
+    inside = ~_BLANK[np.frombuffer(raw, np.uint8)]
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    begins, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    names = pa.array(raw.split(), pa.binary()).dictionary_encode()
+    digests = b"".join(blake2b(x, digest_size=8).digest() for x in names.dictionary.to_pylist())
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    owner = np.searchsorted(np.cumsum(sizes) - sizes, begins, side="right") - 1
+    model = models.astype(np.uint64)[owner]
+    w = (np.frombuffer(digests, np.uint64)[names.indices.to_numpy()] & ~np.uint64(1)) | model
+    start = np.uint64(_START) | model
+    v, u = start.copy(), start.copy()
+    v[1:] = np.where(owner[1:] == owner[:-1], w[:-1], v[1:])
+    u[2:] = np.where(owner[2:] == owner[:-2], w[:-2], u[2:])
+    return u, v, w, owner, begins, stops
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """u, v, w, n: word trigrams by model, over all rows of (text, model)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            models = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, part in _grouped([t or "" for t in batch.column(0).to_pylist()]):
+                u, v, w, *_ = _words(part, models[a : a + len(part)])
+                _, at, n = np.unique(_key(u, v, w), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x[at].view(np.int64)) for x in (u, v, w)), pa.array(n, pa.int64())], names=["u", "v", "w", "n"]
+                )
+
+    return texts.mapInArrow(run, "u long, v long, w long, n long").groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
+
+
+def fit_words(texts: DataFrame) -> DataFrame:
+    """key, num, total, held: of every seen n-gram its discounted count, and as a context its sum and what it keeps for
+    the unseen.  ``texts``: text, model."""
+    three = materialise(count_words(texts), label="words3")
+    two = materialise(three.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n")), label="words2")
+    one = materialise(two.groupBy("w").agg(F.count(F.lit(1)).alias("n")), label="words1")
+    empty = F.lit(_EMPTY).bitwiseOR(F.col("w").bitwiseAND(F.lit(1)))
+    tables = []
+    for counts, words, context in (
+        (three, ("u", "v", "w"), _key_column("u", "v")),
+        (two, ("v", "w"), F.col("v")),
+        (one, ("w",), empty),
+    ):
+        d1, d2, d3 = _discounts(counts)
+        off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        none = F.lit(0.0)
+        tables.append(counts.select(_key_column(*words).alias("key"), (F.col("n") - off).alias("num"), none.alias("total"), none.alias("held")))
+        sums = counts.groupBy(context.alias("key")).agg(F.sum("n").cast("double").alias("total"), F.sum(off).alias("held"))
+        tables.append(sums.select("key", none.alias("num"), "total", "held"))
+    # Only trigrams are no context of a longer one.
+    rest = tables[1]
+    for t in tables[2:]:
+        rest = rest.unionByName(t)
+    return tables[0].unionByName(rest.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("num", "total", "held")]))
+
+
+def _parts(u: np.ndarray, v: np.ndarray, w: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(context, key) per order, the lowest first."""
+    empty = np.uint64(_EMPTY) | (w & np.uint64(1))
+    return [(empty, w), (v, _key(v, w)), (_key(u, v), _key(u, v, w))]
+
+
+_ANSWER = np.dtype([("key", "<u8"), ("num", "<f8"), ("total", "<f8"), ("held", "<f8")])
+
+
+def fluency(docs: DataFrame, model: DataFrame, orders: list[Order], text: str, folds: Column) -> DataFrame:
+    """``docs`` without the text, with ``n_bytes`` and ``perplexity`` per byte, by words over spelling."""
+    keep = [c for c in docs.columns if c != text]
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    n = max(LEAST_BLOCKS, -(-size // BLOCK))
+    names = [f"k{i}" for i in range(len(keep))]
+    dealt = docs.select(
+        F.pmod(F.xxhash64(*keep), F.lit(n)).cast("int").alias("block"),
+        (F.lit(1) - folds).alias("model"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        *[F.col(c).alias(k) for c, k in zip(keep, names)],
+    )
+    shared = docs.sparkSession.sparkContext.broadcast({"orders": orders})
+
+    def texts_of(table: pa.Table) -> Iterator[tuple[list[bytes], Words]]:
+        models = table.column("model").to_numpy()
+        for a, part in _grouped(table.column("text").to_pylist()):
+            yield part, _words(part, models[a : a + len(part)])
+
+    def ask(table: pa.Table) -> pa.Table:
+        found = [np.unique(np.concatenate([x for pair in _parts(*w[:3]) for x in pair])) for _, w in texts_of(table)]
+        keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        shard = ((keys >> np.uint64(1)) % np.uint64(n)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        shards, first = np.unique(shard[order], return_index=True)
+        blobs = [x.tobytes() for x in np.split(keys[order], first[1:])] if len(keys) else []
+        block = table.column("block")[0].as_py()
+        return pa.table({"shard": pa.array(shards, pa.int32()), "block": pa.array([block] * len(shards), pa.int32()), "keys": pa.array(blobs, pa.binary())})
+
+    def answer(asked: pa.Table, counts: pa.Table) -> pa.Table:
+        known = np.empty(counts.num_rows, _ANSWER)
+        for c in _ANSWER.names:
+            x = counts.column(c).to_numpy()
+            known[c] = x.view(np.uint64) if c == "key" else x
+        known.sort(order="key")
+        blocks, blobs = [], []
+        if len(known):
+            for block, blob in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist()):
+                keys = np.frombuffer(blob, np.uint64)
+                at = np.minimum(np.searchsorted(known["key"], keys), len(known) - 1)
+                hit = known[at[known["key"][at] == keys]]
+                if len(hit):
+                    blocks.append(block)
+                    blobs.append(hit.tobytes())
+        return pa.table({"block": pa.array(blocks, pa.int32()), "found": pa.array(blobs, pa.binary())})
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if "logs" not in shared.value:
+            shared.value["logs"] = log_table(shared.value["orders"])
+        logs = shared.value["logs"]
+        known = np.frombuffer(b"".join(answers.column("found").to_pylist()), _ANSWER)
+        known = known[np.argsort(known["key"])]
+
+        def rows(keys: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(keys), _ANSWER)
+            if len(known):
+                at = np.minimum(np.searchsorted(known["key"], keys), len(known) - 1)
+                hit = known["key"][at] == keys
+                out[hit] = known[at[hit]]
+            return out
+
+        sizes, values = [], []
+        for part, (u, v, w, owner, begins, stops) in texts_of(table):
+            keys, ends = _keys(part)
+            spelled = np.concatenate([[0.0], np.cumsum(logs[keys], dtype=np.float64)])
+            lengths = np.diff(ends, prepend=0)
+            total = np.diff(spelled[ends], prepend=0.0)
+            # Positions of words count a line feed per text before; spelling does not.
+            spelling = spelled[stops - owner] - spelled[begins - owner]
+            p = np.exp(spelling)
+            for context, key in _parts(u, v, w):
+                seen, c = rows(key), rows(context)
+                some = c["total"] > 0
+                over = np.where(some, c["total"], 1)
+                p = np.where(some, seen["num"] / over + c["held"] / over * p, p)
+            # A word too long for its spelling to be a number has not been seen either.
+            better = np.where(p > 0, np.log(np.maximum(p, 1e-300)), spelling)
+            total = total + np.bincount(owner, better - spelling, minlength=len(part))
+            sizes.extend(lengths.tolist())
+            values.extend(np.where(lengths > 0, np.exp(-total / np.maximum(lengths, 1)), np.nan).tolist())
+        got = {k: table.column(k) for k in names}
+        return pa.table(got | {"n_bytes": pa.array(sizes, pa.int64()), "perplexity": pa.array(values, pa.float64(), from_pandas=True)})
+
+    asked = dealt.select("block", "model", "text").groupBy("block").applyInArrow(ask, "shard int, block int, keys binary")
+    sharded = model.select(F.pmod(F.shiftrightunsigned("key", 1), F.lit(n)).cast("int").alias("shard"), *_ANSWER.names)
+    found = asked.groupBy("shard").cogroup(sharded.groupBy("shard")).applyInArrow(answer, "block int, found binary")
+    ddl = ", ".join(f"{k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(keep, names))
+    scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, f"{ddl}, n_bytes long, perplexity double")
+    return scored.select(*[F.col(k).alias(c) for c, k in zip(keep, names)], "n_bytes", "perplexity")
+
+
 def judge(
     docs: DataFrame,
     labels: DataFrame,
@@ -182,14 +382,16 @@ def judge(
         F.col(text).alias("text"),
     )
     # The ids of trusted documents grow with the corpus: never broadcast, the same join at every size.
-    orders = fit(spark, narrow.join(trusted.hint("merge"), "doc_id", "left_semi").select("text"))
+    good = narrow.join(trusted.hint("merge"), "doc_id", "left_semi")
+    orders = fit(spark, good.select("text"))
     if orders is None:
         empty = F.coalesce(F.octet_length("text"), F.lit(0))
         return narrow.select(
             "doc_id", "text_key", empty.cast("long").alias("n_bytes"), F.lit(None).cast("double").alias("perplexity"),
             F.lit(None).cast("double").alias("threshold"), (empty > 0).alias("kept"),
         )
-    scores = materialise(perplexities(narrow, orders, "text"), label="perplexities")
+    fold = F.pmod("text_key", F.lit(2))
+    scores = materialise(fluency(narrow, fit_words(good.select("text", fold.alias("model"))), orders, "text", fold), label="perplexities")
     known = scores.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("cut")
     own = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= least)

@@ -90,3 +90,84 @@ def test_defined_cases(spark, docs, no_docs):
     assert kept.columns == docs.columns and kept.where("text IS NULL OR text = ''").count() == 0
     assert L.judge(no_docs, none).count() == 0
     assert L.keep_fluent(no_docs, every).count() == 0
+
+
+def chained(rng, follow, n):
+    at, out = int(rng.integers(len(follow))), []
+    for _ in range(n):
+        out.append(at)
+        at = int(rng.choice(follow[at]))
+    return out
+
+
+def test_word_salad_and_repeated_words_are_not_kept(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdeilmnorst"), rng.integers(3, 8))) for _ in range(200)]
+    follow = (np.arange(200)[:, None] + rng.integers(1, 200, (200, 3))) % 200  # never itself
+    good = [[words[k] for k in chained(rng, follow, 100)] for _ in range(400)]
+    salad = [list(rng.permutation(t)) for t in good[:50]]
+    stuck = [[t[0]] * 100 for t in good[50:80]]
+    rows = [(i, " ".join(t), "en", int(i < 400)) for i, t in enumerate(good + salad + stuck)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, good long")
+    labels = docs.where("good = 1 AND doc_id % 2 = 0").select("doc_id", F.col("good").alias("quality"), F.lit(0).cast("long").alias("toxic"))
+    out = L.judge(docs.drop("good"), labels).join(docs.select("doc_id", "good"), "doc_id")
+    assert out.where("kept AND good = 0").count() == 0
+    assert out.where("NOT kept AND good = 1").count() <= 6
+
+
+def brute_words(texts, spelled):
+    """Log of the probability of each word's place, from the definition; ``spelled`` gives that of the spelling."""
+    three = Counter()
+    for t in texts:
+        w = ["<s>", "<s>", *t.split()]
+        three.update(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    two = Counter(g[1:] for g in three)
+    tables = []
+    for c in (Counter(g[1:] for g in two), two, three):
+        n = Counter(c.values())
+        n1, n2, n3, n4 = (n[i] for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
+        raw = [i - (i + 1) * y * (b / a) if a else i / 2 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        d = [min(max(x, 0.1), i) for i, x in enumerate(raw, 1)]
+        total, held = Counter(), Counter()
+        for g, k in c.items():
+            total[g[:-1]] += k
+            held[g[:-1]] += d[min(k, 3) - 1]
+        tables.append((c, d, total, held))
+
+    def p(g):
+        if not g:
+            return spelled
+        c, d, total, held = tables[len(g) - 1]
+        h = g[:-1]
+        if not total[h]:
+            return p(g[1:])
+        k = c[g]
+        return ((k - d[min(k, 3) - 1]) if k else 0) / total[h] + held[h] / total[h] * p(g[1:])
+
+    return p
+
+
+def test_word_probabilities_agree_with_the_definition(spark):
+    texts = ["the cat sat on the mat", "the cat sat", "the bat", "a cat sat on a hat", "été là", ""]
+    df = spark.createDataFrame([(t, 1) for t in texts], "text string, model int")
+    orders, model = L.fit(spark, df.select("text")), L.fit_words(df)
+    logs = L.log_table(orders)
+    asked = ["the cat sat on a mat", "zebra  the cat\n", " ", "", "on"]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.perplexity) for r in L.fluency(docs, model, orders, "text", F.lit(0)).collect()}
+    for i, t in enumerate(asked):
+        b, at, total = b"\0\0" + t.encode(), 0, 0.0
+        each = [float(logs[int.from_bytes(b[k : k + 3], "big")]) for k in range(len(b) - 2)]
+        words, spelled = ["<s>", "<s>", *t.split()], {}
+        for k, w in enumerate(t.split()):
+            at = t.index(w, at)
+            spelled[k] = range(at, at + len(w))
+            at += len(w)
+        total = sum(each) - sum(each[j] for r in spelled.values() for j in r)
+        for k, r in spelled.items():
+            total += math.log(brute_words(texts, math.exp(sum(each[j] for j in r)))(tuple(words[k : k + 3])))
+        if t:
+            assert got[i][0] == len(t) and math.isclose(got[i][1], math.exp(-total / len(t)), rel_tol=1e-6), t
+        else:
+            assert got[i] == (0, None)
