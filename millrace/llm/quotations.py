@@ -1,10 +1,11 @@
 """Messages linked to what they quote, and conversations in the order of replies, without the quotes.
 
-A line's quote level is the number of ``>`` before it.  Consecutive lines of one level form a passage; passages and their
-lines are normalised (case, blanks) and hashed, and so are the paragraphs, lines and the whole own text of every
-message.  A quoted hash belongs to the latest message of the same conversation that is earlier and has the hash among its
+A line's quote level is the number of ``>`` before it.  Consecutive lines of one level, up to a blank one, form a passage.
+The text of a level, its passages, their lines and their sentences are normalised (case, blanks) and hashed, quoted and
+own ones alike, so wrapping is no matter and parts of a line are found.  For parts of sentences, runs of ``RUN`` words are
+hashed and winnowed: quotes that share ``RUN + WINDOW - 1`` words in a row share one of them.  A quoted hash belongs to the latest message of the same conversation that is earlier and has the hash among its
 own: found by one sort of each (conversation, hash), never by pairs.  A message answers the message that the words of its
-lowest quoted level come from most; the later one of equals.  Parents are always earlier, so replies form trees; their
+lowest quoted level come from most, each word counted once; the later one of equals.  Parents are always earlier, so replies form trees; their
 roots and depths come from pointer jumping.
 
 Only DataFrame operations.  Nothing is gathered per conversation: the result is one row per message, whose order within
@@ -24,6 +25,7 @@ from ..session import materialise
 
 _MARKS = r"^(?:[ \t]*>)+[ ]?"
 _QUOTED = r"(?m)^[ \t]*>"
+RUN, WINDOW = 8, 4
 
 
 def _normal(text: Column) -> Column:
@@ -42,21 +44,49 @@ def _parsed(text: Column) -> Column:
     return F.transform(F.split(text, "\r?\n", -1), line)
 
 
+def _winnowed(words: Column) -> Column:
+    """Hash and position of the runs of words that are least within some ``WINDOW`` of them."""
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size(words) - RUN),
+        lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, RUN)).alias("unit"), i.alias("from")),
+    )
+    windows = F.sequence(F.lit(0), F.greatest(F.size(words) - RUN + 1 - WINDOW, F.lit(0)))
+    picks = F.transform(windows, lambda i: F.array_min(F.slice(runs, i + 1, WINDOW)))
+    return F.when(F.size(words) >= RUN, F.array_distinct(picks))
+
+
 def _units(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, level, unit (hash), words: passages and lines.  ``lines``: keys, pos, level, normal."""
+    """keys, level, unit (hash), from, to: the words of the level's text that each unit is; 0 for own units.
+    ``lines``: keys, pos, level, normal."""
     ordered = Window.partitionBy(*keys).orderBy("pos")
     before = F.lag("level").over(ordered)
     blank_before = F.lag("normal").over(ordered) == ""
-    starts = F.when(before.isNull() | (before != F.col("level")) | (blank_before & (F.col("level") == 0)), 1).otherwise(0)
+    starts = F.when(before.isNull() | (before != F.col("level")) | blank_before, 1).otherwise(0)
     runs = lines.withColumn("new", starts).withColumn("passage", F.sum("new").over(ordered))
-    filled = runs.where("normal <> ''")
-    passages = filled.groupBy(*keys, "level", "passage").agg(F.sort_array(F.collect_list(F.struct("pos", "normal"))).alias("x"))
-    texts = passages.select(*keys, "level", F.array_join(F.transform("x", lambda x: x["normal"]), " ").alias("t"))
-    own = filled.where("level = 0").groupBy(*keys, "level").agg(F.sort_array(F.collect_list(F.struct("pos", "normal"))).alias("x"))
-    whole = own.select(*keys, "level", F.array_join(F.transform("x", lambda x: x["normal"]), " ").alias("t"))
-    every = texts.unionByName(whole).unionByName(filled.select(*keys, "level", F.col("normal").alias("t")))
-    words = F.size(F.split("t", " "))
-    return every.select(*keys, "level", F.xxhash64("t", F.length("t")).alias("unit"), words.alias("words")).distinct()
+    n = F.size(F.split("normal", " ")).cast("long")
+    within = Window.partitionBy(*keys, "level").orderBy("pos")
+    filled = runs.where("normal <> ''").withColumn("to", F.sum(n).over(within)).withColumn("from", F.col("to") - n)
+
+    def joined(*by: str) -> DataFrame:
+        parts = F.sort_array(F.collect_list(F.struct("pos", "normal"))).alias("x")
+        grouped = filled.groupBy(*keys, "level", *by).agg(parts, F.min("from").alias("from"), F.max("to").alias("to"))
+        return grouped.withColumn("t", F.array_join(F.transform("x", lambda x: x["normal"]), " ")).drop("x")
+
+    passages, whole = joined("passage"), joined()
+    parts = passages.select(*keys, "level", "passage", "from", F.posexplode(F.split("t", r"(?<=[.!?])[ ]", -1)).alias("s", "t"))
+    m = F.size(F.split("t", " ")).cast("long")
+    end = F.sum(m).over(Window.partitionBy(*keys, "level", "passage").orderBy("s"))
+    sentences = parts.withColumn("to", F.col("from") + end).withColumn("from", F.col("to") - m)
+    texts = [d.select(*keys, "level", "t", "from", "to") for d in (whole, passages, sentences, filled.withColumnRenamed("normal", "t"))]
+    every = texts[0]
+    for d in texts[1:]:
+        every = every.unionByName(d)
+    every = every.select(*keys, "level", F.xxhash64("t", F.length("t")).alias("unit"), "from", "to")
+    picked = whole.select(*keys, "level", F.explode(_winnowed(F.split("t", " "))).alias("p"))
+    start = F.col("p.from").cast("long")
+    every = every.unionByName(picked.select(*keys, "level", "p.unit", start.alias("from"), (start + RUN).alias("to")))
+    place = [F.when(F.col("level") > 0, F.col(c)).otherwise(0).alias(c) for c in ("from", "to")]
+    return every.select(*keys, "level", "unit", *place).distinct()
 
 
 def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -84,7 +114,11 @@ def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
     when = Window.partitionBy("conv", "unit").orderBy("turn", own.cast("int"), "mid").rowsBetween(Window.unboundedPreceding, -1)
     source = F.last(F.when(own, F.struct("turn", "mid")), ignorenulls=True).over(when)
     matched = units.withColumn("source", source).where("level > 0 AND source IS NOT NULL")
-    votes = matched.groupBy("conv", "mid", "level", "source").agg(F.sum("words").alias("weight"))
+    # Units overlap: a word counts once.
+    along = Window.partitionBy("conv", "mid", "level", "source").orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("to").over(along), F.lit(0))
+    matched = matched.withColumn("fresh", F.greatest(F.col("to") - F.greatest("from", reach), F.lit(0)))
+    votes = matched.groupBy("conv", "mid", "level", "source").agg(F.sum("fresh").alias("weight"))
     best = F.max(F.struct(-F.col("level"), F.col("weight"), F.col("source"))).alias("best")
     parents = votes.groupBy("conv", "mid").agg(best)
     parents = parents.select("conv", "mid", F.col("best.source.turn").alias("parent_turn"), F.col("best.source.mid").alias("up"))

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from millrace.llm import quotations as Q
@@ -64,3 +66,19 @@ def test_long_chain_and_order(spark):
 def test_empty_table(spark):
     out = Q.link_quotations(frame(spark, []))
     assert out.count() == 0 and "clash" not in out.columns
+
+
+def test_wrapped_paragraphs_sentences_and_parts_of_them(spark):
+    a = "The first paragraph is one long line of many words, which a mail program will wrap when somebody quotes it. It ends here."
+    b = "Here the second paragraph begins, and it is long enough to be wrapped at seventy-two columns as well, without any doubt."
+    wrap = lambda t: "\n".join("> " + x for x in textwrap.wrap(t, 72))
+    rows = [
+        (1, 0, "user", f"{a}\n\n{b}"),
+        (1, 1, "assistant", f"{wrap(a)}\n>\n{wrap(b)}\n\nAgreed with both."),
+        (1, 2, "user", "> It ends here.\nDoes it?"),
+        (1, 3, "user", "> and it is long enough to be wrapped at seventy-two columns as well\nNo."),
+        (1, 4, "user", f"{wrap(a + ' ' + b)}\nBoth in one."),
+        (1, 5, "user", "> it is wrapped as well\nNot said by anybody."),
+    ]
+    tree = {r.turn: (r.parent_turn, r.depth) for r in Q.link_quotations(frame(spark, rows)).collect()}
+    assert tree == {0: (None, 0), 1: (0, 1), 2: (0, 1), 3: (0, 1), 4: (0, 1), 5: (None, 0)}
