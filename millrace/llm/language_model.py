@@ -31,12 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_within
 from ..session import materialise
 from .common import text_key
 
 SYMBOLS = 256
-#: Languages with a threshold of their own, those with most trusted documents; others share one.
-LANGUAGES = 64
 _GROUP = 1_000_000
 #: Bytes of text in a block, and the least number of blocks and of shards.
 BLOCK, LEAST_BLOCKS = 8 << 20, 256
@@ -395,11 +394,10 @@ def judge(
     known = scores.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("cut")
     own = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= least)
-    own = own.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    threshold = F.lit(known.agg(cut).first()["cut"])
-    for row in own:
-        threshold = F.when(F.col("lang") == row["lang"], row["cut"]).otherwise(threshold)
-    scores = scores.withColumn("threshold", threshold * F.lit(slack))
+    own = materialise(own.select("lang", "cut"), label="thresholds")
+    pooled = F.lit(known.agg(cut).first()["cut"])
+    scores = scores.join(broadcast_within(own), "lang", "left")
+    scores = scores.withColumn("threshold", F.coalesce("cut", pooled) * F.lit(slack))
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
     return scores.select("doc_id", "text_key", "n_bytes", "perplexity", "threshold", kept.alias("kept"))
 

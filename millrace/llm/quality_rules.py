@@ -14,7 +14,7 @@ All of it is DataFrame operations: no Python runs on the executors.
 
 Defined cases: a null text has no words; a null stratum is a stratum of its own; documents without words fail the base
 rules; repeated rows are repeated in the result; repeated labels count once each; without labels only the base rules
-decide; an empty table gives an empty result.
+decide; a stratum without labels has no cutoffs and only the base rules decide; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_within
 from ..session import materialise
 from .common import text_key, text_of, words_of
 
@@ -36,9 +37,6 @@ RULES = {
     "exclamations": ("n_exclamations", "n_words"),
 }
 CUTOFFS = (900, 700, 500, 400, 300, 200, 150, 100, 70, 50, 30, 20)
-#: Strata with cutoffs of their own: those with most labels.  All others share one pooled stratum, so the table of
-#: cutoffs that reaches the driver has at most ``STRATA + 1`` times as many rows as there are rules.
-STRATA = 64
 _POS = (1 << 30) - 1
 
 
@@ -192,23 +190,14 @@ def certify(holdout: DataFrame, stratum: str, good: str, control: Risk = Risk())
     return best.select(stratum, "rule", F.col("b.cutoff").alias("cutoff"))
 
 
-def verdict(measured: DataFrame, cutoffs: DataFrame, stratum: Column, pooled: str) -> Column:
-    """True where no certified rule rejects.  ``cutoffs`` is bounded (see ``STRATA``) and becomes literals."""
-    found: dict[str, dict[str, int]] = {r: {} for r in RULES}
-    for s, rule, cutoff in cutoffs.collect():
-        found[rule][s] = cutoff
+def verdict(measured: DataFrame, cutoffs: DataFrame, stratum: str) -> tuple[DataFrame, Column]:
+    """``measured`` with its strata's cutoffs, one column per rule, and what is true where no certified rule rejects."""
+    cells = [F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
+    wide = materialise(cutoffs.groupBy(stratum).agg(*cells), label="cutoffs")
     kept = F.lit(True)
-    for rule, by in found.items():
-        if by:
-            names = F.create_map(*[F.lit(x) for pair in by.items() for x in pair])
-            kept = kept & ~F.coalesce(share(rule) >= F.get(F.map_values(F.map_filter(names, lambda k, _: k == stratum)), F.lit(0)), F.lit(False))
-    return kept
-
-
-def strata_of(labelled: DataFrame, stratum: str, most: int = STRATA) -> list[str]:
-    """The strata with most labels, at most ``most`` of them."""
-    ranked = labelled.groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(most)
-    return [r[0] for r in ranked.select(stratum).collect()]
+    for r in RULES:
+        kept = kept & ~F.coalesce(share(r) >= F.col(f"_cut_{r}"), F.lit(False))
+    return measured.join(broadcast_within(wide), stratum, "left"), kept
 
 
 def apply_rules(
@@ -230,11 +219,9 @@ def apply_rules(
     measured = materialise(measure(narrow, "_body"), label="measured")
     known = labels.select(F.col(id).alias("doc_id"), F.col(quality).alias("_good")).where(F.col("_good").isNotNull())
     holdout = measured.where(~base_failed()).join(known, "doc_id")
-    own = strata_of(holdout, "_stratum")
-    pool = F.when(F.col("_stratum").isin(own), F.col("_stratum")).otherwise("*") if own else F.lit("*")
-    cutoffs = certify(holdout.withColumn("_stratum", pool), "_stratum", "_good", control)
-    fine = verdict(measured, cutoffs, pool, "*")
-    return measured.select(
+    cutoffs = certify(holdout, "_stratum", "_good", control)
+    judged, fine = verdict(measured, cutoffs, "_stratum")
+    return judged.select(
         "doc_id",
         "text_key",
         "n_words",

@@ -171,3 +171,13 @@ def test_word_probabilities_agree_with_the_definition(spark):
             assert got[i][0] == len(t) and math.isclose(got[i][1], math.exp(-total / len(t)), rel_tol=1e-6), t
         else:
             assert got[i] == (0, None)
+
+
+def test_more_than_64_languages_have_thresholds_of_their_own(spark):
+    rng = np.random.default_rng(7)
+    rows = [(10 * k + i, " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(10 + k)), f"l{k}") for k in range(70) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).cast("long").alias("quality"), F.lit(0).cast("long").alias("toxic"))
+    out = L.judge(docs, labels, least=2).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    worst = {k: max(r.perplexity for r in out if r.lang == k) for k in {r.lang for r in out}}
+    assert all(math.isclose(r.threshold, 1.25 * worst[r.lang]) for r in out)

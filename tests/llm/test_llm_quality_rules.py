@@ -69,3 +69,19 @@ def test_filter_keeps_columns_and_empty_tables(spark, docs, no_docs):
     kept = Q.keep_good(docs, labels)
     assert kept.columns == docs.columns
     assert all(brute(r.text)[0] >= 50 for r in kept.collect())
+
+
+def test_more_than_64_strata_have_cutoffs_of_their_own(spark):
+    def text(i, sign):
+        return " ".join(f"w{i}x{j}{sign if j % 2 else ''}" for j in range(60))
+
+    rows = [(100 * k + i, text(i, "***" if i >= 30 or k == 70 else ""), f"l{k:02}", int(i < 30)) for k in range(70) for i in range(36)]
+    # One language whose good documents look as bad ones do elsewhere, with fewest labels; one without labels.
+    rows += [(8000 + i, text(i, "***"), "odd", 1) for i in range(26)]
+    rows += [(9000 + i, text(i, "***"), "new", None) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality long")
+    labels = docs.select("doc_id", "quality", F.lit(0).cast("long").alias("toxic"))
+    out = Q.apply_rules(docs.drop("quality"), labels, control=Q.Risk(risk=0.3)).join(docs.select("doc_id", "quality", "lang"), "doc_id")
+    assert out.where("NOT kept AND quality = 1").count() == 0
+    assert out.where("kept AND quality = 0").count() == 0
+    assert out.where("kept AND lang = 'new'").count() == 5
