@@ -37,3 +37,21 @@ def test_frames(spark, docs, no_docs):
     assert sorted(((r.doc_id or 0, r.paragraph, r.family, r.confirmed) for r in out)) == [(0, 0, "gpl", True), (1, 1, "cc-by-nc", True), (1, 1, "cc-by-nc", True)]
     assert L.scan(docs).where("confirmed").count() == 0
     assert L.scan(no_docs).count() == 0
+
+
+def test_other_licences_are_not_taken_for_their_neighbours(classifier):
+    head = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as published by the Free Software Foundation"
+    cases = {
+        head.format("library", "Lesser"): "lgpl",
+        head.format("program", "Affero"): "agpl",
+        "Licensed under CC BY-ND 4.0.": "cc-by-nd",
+        "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa",
+        "Made available under the terms of the Eclipse Public License v. 2.0": "epl",
+        "Released under the ISC License.": "isc",
+        "Licensed under the Business Source License 1.1.": "bsl",
+    }
+    for text, family in cases.items():
+        assert [x[1] for x in classifier.judge(text) if x[-1]] == [family], text
+    held = ["Licensed under the European Union Public Licence, version 1.2.", "Released under the Academic Free License 3.0.", "Licensed under the Open Software License 3.0.", "Released under the Microsoft Public License."]
+    for text in held:
+        assert not [x for x in classifier.judge(text) if x[-1]], text
