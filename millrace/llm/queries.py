@@ -13,12 +13,15 @@ from . import (
     jaccard_join,
     language_model,
     licenses,
+    merkle,
     packing,
+    periodic,
     pieces,
     quality_rules,
     quotations,
     sharding,
     suffix_dedup,
+    token_files,
     twins,
 )
 from .common import documents, table
@@ -84,3 +87,18 @@ def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verify_documents(documents(spark, folder))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digest(documents(spark, folder))
+
+
+@query
+def op13_token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
