@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {
     "op1_quality_rules": twins.QUALITY_RULES,
     "op8_ngram_jaccard_join": twins.JACCARD_JOIN,
+    "op11_merkle_manifest": twins.MERKLE_MANIFEST,
 }
 
 

