@@ -1,11 +1,12 @@
 """Best-fit packing whose sequence counts are certified by lower bounds.
 
-Documents become token counts, only longer ones are cut.  Pieces are dealt to groups of bounded size; each group runs
-best-fit decreasing and compares its number of sequences with a lower bound from dual feasible functions: for each
-threshold ``t`` the sizes above ``L - t`` count as whole sequences, those below ``t`` as nothing and the rest by their
-share.  A group that meets its bound is certified and closed but for its emptiest sequence.  Groups with a gap release
-their emptiest sequences, and all groups their last one; what is released is dealt anew to fewer groups and packed
-again, until a round gains nothing or one group is left.
+Documents become token counts, only longer ones are cut.  Pieces are dealt to groups of bounded size, each batch by
+falling size, so that all groups have large and small pieces alike.  Each group runs best-fit decreasing.  Lower bounds
+come from dual feasible functions: for each threshold ``t`` the sizes above ``L - t`` count as whole sequences, those below
+``t`` as nothing and the rest by their share.  The bound of the whole table needs only its histogram of at most ``L``
+lengths, and certifies the total; each group's own bound is handed out beside it.  While the total is above the bound, the
+emptier half of each group's sequences, but no full one, is dealt anew to fewer groups and packed again, until the total
+meets the bound, a round gains nothing or one group is left.
 
 The packer works on sizes of 1 to ``L``; which piece has which size matters to nobody, so a round moves rows of three
 numbers, never text or ids.
@@ -21,6 +22,8 @@ import sys
 import types
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +35,6 @@ from ..session import materialise
 
 #: Pieces of a group; of what a round releases, groups of this size are formed again.
 GROUP_ROWS = 20_000
-ROUNDS = 4
 #: Distinct words whose ids a worker remembers before it starts afresh.
 REMEMBERED = 1_600_000
 _CHUNK = 2_000
@@ -140,9 +142,11 @@ def best_fit_decreasing(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.
 
 def lower_bound(sizes: np.ndarray, length: int) -> int:
     """The best bound of the dual feasible functions over all thresholds up to half a sequence."""
-    if not len(sizes):
-        return 0
-    count = np.bincount(sizes, minlength=length + 1)
+    return histogram_bound(np.bincount(sizes, minlength=length + 1), length)
+
+
+def histogram_bound(count: np.ndarray, length: int) -> int:
+    """The same from the number of pieces of each size from 0 to ``length``."""
     amount = np.cumsum(count * np.arange(length + 1))
     number = np.cumsum(count)
     t = np.arange(0, length // 2 + 1)
@@ -151,28 +155,45 @@ def lower_bound(sizes: np.ndarray, length: int) -> int:
     return int(np.max(large + -(-middle // length)))
 
 
-def _pack(length: int):
+def _deal(groups: int, turn: int):
+    """A group for each piece: every stretch of as many pieces of falling size as there are groups goes to all of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            rng = np.random.default_rng((turn, int(pdf["row"].iat[0])))
+            n = len(pdf)
+            # The last stretch is a random choice of the groups, like all others in random order.
+            grp = np.concatenate([rng.permutation(groups) for _ in range(n // groups)] + [rng.choice(groups, n % groups, replace=False)])
+            out = np.empty(n, np.int64)
+            out[np.argsort(-pdf["length"].to_numpy(), kind="stable")] = grp
+            yield pd.DataFrame({"row": pdf["row"], "length": pdf["length"], "grp": out})
+
+    return run
+
+
+def _pack(length: int, base: int, room: int):
+    """Sequences of group g are numbered from ``base + g * room``; ``begins`` says which row is the first of its own."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for pdf in _groups(batches, held):
             sizes = pdf["length"].to_numpy()
             where, offsets = best_fit_decreasing(sizes, length)
             fill = np.bincount(where, weights=sizes).astype(np.int64)
-            gap = len(fill) - lower_bound(sizes, length)
-            # Open: the emptiest sequence, and with a gap all that are emptier than the gap's worth of sequences
-            # could fill up.
-            by_fill = np.argsort(fill, kind="stable")
-            n = 1 if gap == 0 else max(8 * gap, len(fill) // 3)
             open_ = np.zeros(len(fill), bool)
-            open_[by_fill[:n]] = True
+            open_[np.argsort(fill, kind="stable")[: -(-len(fill) // 2)]] = True
             open_ &= fill < length
             yield pd.DataFrame(
                 {
+                    "grp": pdf["grp"],
                     "row": pdf["row"],
                     "length": sizes,
-                    "sequence": pdf["base"] + where,
+                    "sequence": base + pdf["grp"] * room + where,
                     "offset": offsets,
                     "open": open_[where],
+                    "bound": lower_bound(sizes, length),
                 }
             )
 
@@ -194,33 +215,57 @@ def _groups(batches: Iterator[pd.DataFrame], held: list[pd.DataFrame]) -> Iterat
         yield pd.concat(held, ignore_index=True)
 
 
-def pack(rows: DataFrame, length: int, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
+@dataclass(frozen=True)
+class Packing:
+    """``placed``: row, sequence, offset.  ``groups``: turn, grp, sequences, closed, bound of each group of each round.
+    ``sequences`` are all there are, ``bound`` what any packing of the rows needs at least."""
+
+    placed: DataFrame
+    groups: DataFrame
+    sequences: int
+    bound: int
+
+
+def pack(rows: DataFrame, length: int, group_rows: int = GROUP_ROWS, rounds: int | None = None) -> DataFrame:
     """row, sequence, offset for ``rows`` of (row, length): row numbers are distinct, lengths from 1 to ``length``."""
+    return certified(rows, length, group_rows, rounds).placed
+
+
+def certified(rows: DataFrame, length: int, group_rows: int = GROUP_ROWS, rounds: int | None = None) -> Packing:
+    """The packing with its certificate; ``rounds`` ends it early where a caller wants that."""
     todo = rows.select("row", F.col("length").cast("long"))
-    done: list[DataFrame] = []
-    n, base = todo.count(), 0
-    for turn in range(rounds):
+    sizes = todo.groupBy("length").count().collect()
+    count = np.zeros(length + 1, np.int64)
+    count[[r[0] for r in sizes]] = [r[1] for r in sizes]
+    bound, n = histogram_bound(count, length), int(count.sum())
+    placed: list[DataFrame] = []
+    reports: list[DataFrame] = []
+    base, closed, before, turn = 0, 0, None, 0
+    while True:
         groups = max(1, math.ceil(n / group_rows))
-        # Sequences of a round are numbered from base + group * room: a group opens as many as it has rows at most.
-        grp = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups))
-        room = 4 * group_rows
-        dealt = todo.withColumn("grp", grp).withColumn("base", F.lit(base) + F.col("grp") * room)
+        # A group opens as many sequences as it has rows at most; dealing is even but for the last stretch of each batch.
+        room = n
+        dealt = todo.mapInPandas(_deal(groups, turn), "row long, length long, grp long")
         dealt = dealt.repartition(groups, "grp").sortWithinPartitions("grp", "row")
-        packed = dealt.mapInPandas(_pack(length), "row long, length long, sequence long, offset long, open boolean")
+        packed = dealt.mapInPandas(
+            _pack(length, base, room), "grp long, row long, length long, sequence long, offset long, open boolean, bound long"
+        )
         packed = materialise(packed, label="packed")
-        base += groups * room
-        if groups == 1 or turn == rounds - 1:
-            done.append(packed)
+        first = F.col("offset") == 0
+        report = packed.groupBy(F.lit(turn).alias("turn"), "grp").agg(
+            F.count_if(first).alias("sequences"), F.count_if(first & ~F.col("open")).alias("closed"), F.max("bound").alias("bound")
+        )
+        reports.append(report)
+        opened, shut, left = report.agg(F.sum("sequences"), F.sum("closed")).first()[:2] + (packed.where("open").count(),)
+        total = closed + (opened or 0)
+        base, turn = base + groups * room, turn + 1
+        if groups == 1 or left == 0 or total <= bound or (before is not None and total >= before) or turn == rounds:
+            placed.append(packed)
             break
-        done.append(packed.where(~F.col("open")))
+        placed.append(packed.where(~F.col("open")))
         todo = packed.where("open").select("row", "length")
-        n = todo.count()
-        if n == 0:
-            break
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.select("row", "sequence", "offset")
+        closed, before, n = closed + shut, total, left
+    return Packing(reduce(DataFrame.unionByName, placed).select("row", "sequence", "offset"), reduce(DataFrame.unionByName, reports), total, bound)
 
 
 def pack_documents(
@@ -230,16 +275,27 @@ def pack_documents(
     id: str = "doc_id",
     text: str = "text",
     group_rows: int = GROUP_ROWS,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece, and of the table the number of sequences
+    and the lower bound that certifies it."""
     pieces = pieces_of(docs, tokenizer, length, id, text).withColumn("row", F.monotonically_increasing_id())
     pieces = materialise(pieces, label="pieces")
     whole = pieces.where(F.col("length") == length)
     part = pieces.where(F.col("length") < length)
-    packed = pack(part, length, group_rows, rounds)
+    result = certified(part, length, group_rows, rounds)
+    full = whole.count()
     # A full piece is a sequence of its own; numbers below zero are not given to others.
     alone = whole.select("*", (-1 - F.col("row")).alias("sequence"), F.lit(0).cast("long").alias("offset"))
-    both = part.join(packed, "row").select(*alone.columns).unionByName(alone)
+    both = part.join(result.placed, "row").select(*alone.columns).unionByName(alone)
     return both.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", F.col("sequence").alias("sequence_id"), "offset"
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        F.col("sequence").alias("sequence_id"),
+        "offset",
+        F.lit(result.sequences + full).cast("long").alias("n_sequences"),
+        F.lit(result.bound + full).cast("long").alias("lower_bound"),
     )

@@ -349,22 +349,23 @@ def dedup_report(docs: DataFrame, id: str = "doc_id", text: str = "text", length
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """The documents with what is left of their texts; bytes of characters that were cut apart go as well."""
-    plain = docs.select(F.col(id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-    spans = repeats(plain, length)
-    keyed = docs.withColumnRenamed(id, "doc_id").withColumn("text_key", text_key(text))
-    rows = _with_spans(keyed, spans).withColumnRenamed("doc_id", id)
     names = docs.columns
     place = names.index(text)
+    # Working names throughout: the columns of the documents may have any.
+    held = [f"c{i}" for i in range(len(names))]
+    keyed = docs.toDF(*held).select(*held, F.col(f"c{names.index(id)}").alias("doc_id"), text_key(f"c{place}").alias("text_key"))
+    spans = repeats(keyed.select("doc_id", "text_key", F.col(f"c{place}").alias("text")), length)
+    rows = _with_spans(keyed, spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for t, spans_ in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist()):
+            for t, spans_ in zip(batch.column(place).to_pylist(), batch.column(len(held)).to_pylist()):
                 if t is not None and spans_:
                     t = _cut(t.encode(), [(s["start"], s["stop"]) for s in spans_])[0].decode(errors="ignore")
                 texts.append(t)
-            columns = list(batch.columns[: len(names)])
+            columns = list(batch.columns[: len(held)])
             columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=held)
 
-    return rows.select(*names, "spans").mapInArrow(run, docs.schema)
+    return rows.select(*held, "spans").mapInArrow(run, docs.toDF(*held).schema).toDF(*names)

@@ -85,3 +85,27 @@ def test_groups_exchange_what_is_open(spark):
     many = check(out, 100)
     where, _ = P.best_fit_decreasing(np.array(sizes), 100)
     assert many <= (where.max() + 1) * 1.02 + 2
+
+
+def test_certificates(spark, docs):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 60, 4000).tolist()
+    rows = spark.createDataFrame(list(enumerate(sizes)), "row long, length long").repartition(3)
+    found = P.certified(rows, 100, group_rows=300)
+    assert check(found.placed.join(rows, "row").withColumnRenamed("sequence", "sequence_id").collect(), 100) == found.sequences
+    assert found.bound == P.lower_bound(np.array(sizes), 100)
+    where, _ = P.best_fit_decreasing(np.array(sizes), 100)
+    assert found.bound <= found.sequences <= 1.005 * (where.max() + 1) + 1
+    groups = found.groups.collect()
+    assert {r.turn for r in groups} > {0} and all(r.closed <= r.sequences and r.bound <= r.sequences for r in groups)
+    last = max(r.turn for r in groups)
+    assert sum(r.sequences if r.turn == last else r.closed for r in groups) == found.sequences
+    out = P.pack_documents(docs, TOKENIZER, length=128).collect()
+    assert {(r.n_sequences, True) for r in out} == {(len({r.sequence_id for r in out}), out[0].lower_bound <= out[0].n_sequences)}
+
+
+def test_dealing_is_even_by_size(spark):
+    rows = spark.createDataFrame([(i, 90 if i % 3 else 10) for i in range(3000)], "row long, length long").coalesce(1)
+    out = rows.mapInPandas(P._deal(10, 0), "row long, length long, grp long").collect()
+    for size, n in ((90, 200), (10, 100)):
+        assert all(abs(c - n) <= 1 for c in Counter(r.grp for r in out if r.length == size).values())
