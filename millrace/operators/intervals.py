@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.timing import cell_of, epoch_us, width_us
 from ..functions.values import in_interval
+from .dyadic import highest_cover
 from .timeline import last_known, next_in_key, running_total
 
 
@@ -53,15 +53,16 @@ def interval_join(
     """Attributes in effect at the fact's own time; ``take`` maps attribute -> default (None: NULL).
 
     ``repair``  an interval ends where the key's next one starts, so at most one covers a fact.
-    ``rank``    of the intervals that cover the fact, the latest start wins; needs the unique ``fact_key``.
-                An older interval shows again once a newer one has ended, which ``repair`` rules out.
+    ``rank``    of the intervals that cover the fact, the latest start wins.  An older interval shows again once a
+                newer one has ended, which ``repair`` rules out.  The direct form needs the unique ``fact_key``.
 
     Of equal starts the first by ``ties``, smallest first and NULL last, counts (default: the end, then the
     attributes).  Times may come as timestamps, dates or ISO text, mixed as they like; all are compared as
     instants.  A NULL in a key or a time matches nothing.
 
     Facts and dimension are merged on one timeline, keys in ``hot`` in cells of ``width``: no key meets all of
-    its intervals.  ``direct`` joins on key and range instead, for dimensions with few intervals per key; both
+    its intervals.  For ``rank`` the dimension is first brought to one winner from each start or end on, over dyadic
+    cells: logarithmically many rows per interval, however long it is and however many overlap.  ``direct`` joins on key and range instead, for dimensions with few intervals per key; both
     forms give the same rows.
     """
     if resolve not in ("repair", "rank"):
@@ -74,7 +75,7 @@ def interval_join(
     elif resolve == "repair":
         found = _merged(timed, side, keys, width, max_rows, hot)
     else:
-        found = _merged_rank(timed, side, keys, fact_key, width, max_rows, hot)
+        found = _merged_rank(timed, side, keys, width, max_rows, hot)
     out = [
         F.col(f"_hit.{a}").alias(a)
         if default is None
@@ -115,39 +116,10 @@ def _merged(fact, side, keys, width, max_rows, hot) -> DataFrame:
     return seen.withColumn("_hit", F.when(covered, F.col("_hit")))
 
 
-def _merged_rank(fact, side, keys, fact_key, width, max_rows, hot) -> DataFrame:
-    """Of the open intervals only the last start counts, so they are looked up as of the fact; closed
-    ones are listed under the cells they touch.  The later of the two finds wins.
-
-    Only cells between the first and the last fact are listed, so an end in the far future costs no more
-    than one at the last fact.
-    """
-    still_open = side.filter(F.col("_hi").isNull()).select(*keys, "_lo", F.col("_hit").alias("_open"))
-    seen = last_known(fact, still_open, keys, "_at", "_lo", ["_open"], ["_open"], width, max_rows, hot)
-    span = fact.agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
-    near = side.filter(F.col("_hi").isNotNull()).crossJoin(F.broadcast(span))  # one row
-    clipped = near.withColumns(
-        {"_first": F.greatest("_lo", "_from"), "_end": F.least("_hi", F.col("_to") + timedelta(microseconds=1))}
-    )
-    closed = _listed(clipped, keys, "_first", "_end", width, ["_lo", "_hi", "_hit"])
-    cond = (F.col("_cell") == F.col("_w_cell")) & (F.col("_lo") <= F.col("_at")) & (F.col("_at") < F.col("_hi"))
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_w_{k}"))
-    met = seen.withColumn("_cell", cell_of("_at", width)).join(closed, cond, "left")
-    latest = W.partitionBy(*fact_key).orderBy(F.col("_hit").desc_nulls_last())
-    best = met.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1")
-    return best.withColumn("_hit", F.greatest("_hit", "_open"))
-
-
-def _listed(windows: DataFrame, keys, lo: str, hi: str, width: timedelta, keep: Sequence[str]) -> DataFrame:
-    """Each non-empty closed window once under every cell it touches."""
-    step = F.lit(width_us(width))
-    last = epoch_us(hi) - 1
-    return windows.filter(F.col(lo) < F.col(hi)).select(
-        *[F.col(k).alias(f"_w_{k}") for k in keys],
-        *keep,
-        F.explode(F.sequence(cell_of(lo, width), last - F.pmod(last, step), step)).alias("_w_cell"),
-    )
+def _merged_rank(fact, side, keys, width, max_rows, hot) -> DataFrame:
+    """Which interval wins from each of its key's starts and ends on, looked up as of the fact."""
+    steps = highest_cover(side, keys, "_lo", "_hi", "_hit", "_since")
+    return last_known(fact, steps, keys, "_at", "_since", ["_hit"], [], width, max_rows, hot)
 
 
 def exclude_intervals(

@@ -296,6 +296,40 @@ def interval_direct_rank(t: Given):
     return _place(t, "rank", direct=True)
 
 
+_DECADES = """
+WITH spans AS (
+  SELECT c_custkey AS k, 'N' || c_nationkey AS tier, DATE '1970-01-01' + CAST(c_custkey % 4000 AS INTEGER) AS lo,
+         DATE '2000-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS hi FROM customer
+  UNION ALL
+  SELECT c_custkey, c_mktsegment, DATE '1960-06-01' + CAST(7 * (c_custkey % 900) AS INTEGER),
+         CASE WHEN c_custkey % 5 <> 0 THEN DATE '1996-01-01' + CAST(c_custkey % 700 AS INTEGER) END FROM customer
+  UNION ALL
+  SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(1 + o_orderkey % 400 AS INTEGER) FROM orders
+)
+SELECT o_orderkey, tier FROM orders LEFT JOIN spans ON k = o_custkey AND lo <= CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER)
+  AND (hi IS NULL OR CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) < hi)
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY lo DESC NULLS LAST, hi NULLS LAST, tier) = 1
+"""
+
+
+@query("interval_decades_rank", _DECADES)
+def interval_decades_rank(t: Given):
+    """Closed intervals of thirty years under short ones that overlap, each order asking for some day after its own."""
+    orders, customer = t.orders, t.customer
+    day = F.col("o_orderdate").cast("date")
+    shifted = lambda text, days: F.date_add(F.lit(text).cast("date"), days.cast("int"))
+    key = F.col("c_custkey")
+    parts = [
+        customer.select(key.alias("k"), F.concat(F.lit("N"), "c_nationkey").alias("tier"), shifted("1970-01-01", key % 4000).alias("lo"), shifted("2000-01-01", key % 3000).alias("hi")),
+        customer.select(key, "c_mktsegment", shifted("1960-06-01", 7 * (key % 900)), F.when(key % 5 != 0, shifted("1996-01-01", key % 700))),
+        orders.select("o_custkey", "o_orderpriority", day, F.date_add(day, (1 + F.col("o_orderkey") % 400).cast("int"))),
+    ]
+    spans = parts[0].union(parts[1]).union(parts[2])
+    asked = orders.select("o_orderkey", F.col("o_custkey").alias("k"), F.date_add(day, (F.col("o_orderkey") % 90).cast("int")).alias("at"))
+    found = intervals.interval_join(asked, spans, ["k"], "at", "lo", "hi", {"tier": None}, resolve="rank", ties=["hi"])
+    return found.select("o_orderkey", "tier")
+
+
 @query("effective_region_direct", TWINS["effective_region_gmv"])
 def effective_region_direct(t: Given):
     return serving.region_daily(_seller_orders(t), _assigned(t), _refunds(t), direct=True)

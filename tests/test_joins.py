@@ -7,7 +7,7 @@ import pytest
 from helpers import rows, same, ts
 from pyspark.sql import functions as F
 
-from millrace.operators import intervals, joins, skew
+from millrace.operators import dyadic, intervals, joins, skew
 
 
 def test_enrich_keeps_orphans_and_drops_unused_members(spark):
@@ -208,3 +208,42 @@ def test_salting_changes_nothing(spark, hot, route):
 
 def test_hot_keys_are_few(spark):
     assert rows(skew.hot_keys(hot_orders(spark), "customer_id", 0.5)) == [("hot",)]
+
+
+def test_cells_make_up_the_interval(spark):
+    r = random.Random(5)
+    spans = [(a, a + r.randrange(1, 3000)) for a in (r.randrange(-2000, 2000) for _ in range(300))]
+    spans += [(0, 1 << 20), (-(1 << 20), 1 << 20), (-1, 1), (-1, 0), (0, 1), (-7, (1 << 50) + 3)]
+    df = spark.createDataFrame(spans, "a bigint, b bigint")
+    for a, b, cells in df.select("a", "b", dyadic.cells(F.col("a"), F.col("b"), F.lit(58))).collect():
+        parts = sorted((c.cell << c.level, (c.cell + 1) << c.level) for c in cells)
+        assert parts[0][0] == a and parts[-1][1] == b and all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
+        assert len(parts) <= 2 * max(1, (b - a).bit_length())
+
+
+def test_decades_at_one_day_grain_take_logarithmically_many_rows(spark):
+    start = datetime(1971, 3, 2)
+    rows = [(k, start + timedelta(days=k), start + timedelta(days=k + 365 * 30), f"n{k}") for k in range(50)]
+    dim = spark.createDataFrame(rows, "k int, lo timestamp_ntz, hi timestamp_ntz, name string")
+    sized = dyadic.measured(dim, "lo", "hi")
+    assert {(r["_unit"] // 86_400_000_000, r["_top"]) for r in sized.collect()} == {(1, 14)}
+    assert dyadic.cell_rows(sized, ["k"], ["name"]).count() <= 50 * 2 * 14
+    hourly = dim.withColumn("hi", F.col("hi") + F.expr("INTERVAL 1 HOUR"))
+    assert {r["_unit"] // 3_600_000_000 for r in dyadic.measured(hourly, "lo", "hi").collect()} == {1}
+
+
+def test_many_that_overlap_meet_one_row_per_level(spark):
+    """A thousand nested intervals of one key: an instant asks its levels, and every answer is the innermost."""
+    base = datetime(2025, 1, 1)
+    dim = [(1, base + timedelta(minutes=i), base + timedelta(minutes=4000 - i), f"n{i:04d}") for i in range(1000)]
+    facts = [(i, 1, base + timedelta(minutes=i, seconds=30)) for i in range(-5, 4010, 37)]
+    f = spark.createDataFrame(facts, "id int, k int, at timestamp_ntz")
+    d = spark.createDataFrame(dim, "k int, lo timestamp_ntz, hi timestamp_ntz, name string")
+    got = intervals.interval_join(f, d, ["k"], "at", "lo", "hi", {"name": None}, "rank")
+    want = {i: max([n for _, lo, hi, n in dim if lo <= at < hi], default=None) for i, _, at in facts}
+    assert {r["id"]: r["name"] for r in got.collect()} == want
+    side = d.withColumn("_hit", F.struct("lo", "name"))
+    steps = dyadic.highest_cover(side, ["k"], "lo", "hi", "_hit", "since")
+    assert steps.count() == len({x for _, lo, hi, _ in dim for x in (lo, hi)})
+    empty = intervals.interval_join(f, d.limit(0), ["k"], "at", "lo", "hi", {"name": "none"}, "rank")
+    assert {r["name"] for r in empty.collect()} == {"none"}
