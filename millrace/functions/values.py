@@ -72,6 +72,18 @@ def join_parts(whole: Column, units: Column, scale: int = SUM_SCALE) -> Column:
     return whole.cast("decimal(20,0)") + units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
 
 
+def exact_parts(c: str | Column, scale: int = SUM_SCALE) -> list[Column]:
+    """The three aggregates that an exact sum consists of; sums of them over groups are those of all rows."""
+    return [*sum_parts(c, scale), odd_part(c)]
+
+
+def exact_value(whole: Column, units: Column, odd: Column, scale: int = SUM_SCALE, digits: int | None = None, over: Column | None = None) -> Column:
+    """What ``exact_sum`` makes of its parts, or ``exact_avg`` with a count to divide them by."""
+    total = join_parts(whole, units, scale)
+    total = total if over is None else total / over
+    return F.coalesce(odd, (total if digits is None else F.round(total, digits)).cast("double"))
+
+
 def exact_total(c: str | Column, scale: int = SUM_SCALE) -> Column:
     """Sum of finite doubles of at most ``scale`` decimals as a decimal, exact in any row order; any other value is
     an error."""
@@ -81,14 +93,12 @@ def exact_total(c: str | Column, scale: int = SUM_SCALE) -> Column:
 
 def exact_sum(c: str | Column, digits: int | None = None, scale: int = SUM_SCALE) -> Column:
     """The exact sum as double, rounded half up if ``digits`` is given; NaN if any value is."""
-    total = join_parts(*sum_parts(c, scale), scale)
-    return F.coalesce(odd_part(c), (total if digits is None else F.round(total, digits)).cast("double"))
+    return exact_value(*exact_parts(c, scale), scale=scale, digits=digits)
 
 
 def exact_avg(c: str | Column, digits: int = 2, scale: int = SUM_SCALE) -> Column:
     """Average rounded half up, the same in any row order; NaN if any value is."""
-    total = join_parts(*sum_parts(c, scale), scale)
-    return F.coalesce(odd_part(c), F.round(total / F.count(_col(c)), digits).cast("double"))
+    return exact_value(*exact_parts(c, scale), scale=scale, digits=digits, over=F.count(_col(c)))
 
 
 def bucketize(c: str | Column, edges: Sequence, labels: Sequence[str]) -> Column:

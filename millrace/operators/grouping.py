@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import exact_sum
+from .lattice import Measure, grains_of, grain_number, rolled_up
 
 
 def _named(aggs: Mapping[str, Column]) -> list[Column]:
@@ -46,19 +47,31 @@ def level_label(dims: Sequence[str], levels: Mapping[frozenset[str] | tuple[str,
 def multi_grain(
     df: DataFrame,
     dims: Sequence[str],
-    aggs: Mapping[str, Column],
+    aggs: Mapping[str, Column | Measure],
     grains: str | Sequence[Sequence[str]] = "cube",
     levels: Mapping[tuple[str, ...], str] | None = None,
     all_labels: str | Mapping[str, str] = "ALL",
     null_labels: Mapping[str, str] | None = None,
     level: str = "level",
 ) -> DataFrame:
-    """All requested grains in one scan and one shuffle.
+    """All requested grains in one scan.
 
     ``grains`` is ``cube``, ``rollup`` or the list of dimension subsets to emit.  A rolled-up dimension
     shows its ALL label; a real NULL in the data stays NULL (or takes its ``null_labels`` entry).  Dimensions
     are shown as text, whatever their type.
+
+    Measures of ``lattice`` are worked out once per group of the finest grain and rolled up from there.  Plain
+    aggregates take Spark's own grouping sets, which repeat every row for each grain: for those that cannot be merged.
     """
+    if all(isinstance(a, Measure) for a in aggs.values()):
+        raw = rolled_up(df, dims, aggs, grains)
+        asked, kept = grains_of(dims, grains), {frozenset(k): v for k, v in (levels or {}).items()}
+        if levels:
+            named = F.create_map(*[F.lit(x) for g in asked for x in (grain_number(dims, g), kept.get(frozenset(g)))])
+            raw = raw.withColumn(level, named[F.col("grain_id").cast("int")])
+        bit = lambda i: F.col("grain_id").bitwiseAND(F.lit(1 << (len(dims) - 1 - i))) != 0
+        shown = {d: _shown(d, bit(i), all_labels, null_labels) for i, d in enumerate(dims)}
+        return raw.withColumns(shown).select(*dims, *aggs, *([level] if levels else []), "grain_id")
     if grains == "cube":
         grouped = df.cube(*dims)
     elif grains == "rollup":
@@ -70,16 +83,17 @@ def multi_grain(
         extra.append(level_label(dims, levels).alias(level))
     bits = [F.grouping(d).alias(f"_g_{d}") for d in dims]
     raw = grouped.agg(*_named(aggs), *extra, F.grouping_id().alias("grain_id"), *bits)
-    shown = {}
-    for d in dims:
-        label = all_labels if isinstance(all_labels, str) else all_labels[d]
-        value = F.col(d).cast("string")
-        if null_labels and d in null_labels:
-            value = F.coalesce(value, F.lit(null_labels[d]))
-        shown[d] = F.when(F.col(f"_g_{d}") == 1, F.lit(label)).otherwise(value)
+    shown = {d: _shown(d, F.col(f"_g_{d}") == 1, all_labels, null_labels) for d in dims}
     return raw.withColumns(shown).drop(*[f"_g_{d}" for d in dims])
 
 
+def _shown(d: str, rolled: Column, all_labels: str | Mapping[str, str], null_labels: Mapping[str, str] | None) -> Column:
+    value = F.col(d).cast("string")
+    if null_labels and d in null_labels:
+        value = F.coalesce(value, F.lit(null_labels[d]))
+    return F.when(rolled, F.lit(all_labels if isinstance(all_labels, str) else all_labels[d])).otherwise(value)
+
+
 def cube_then_filter(
     df: DataFrame, dims: Sequence[str], aggs: Mapping[str, Column], drop_ids: Sequence[int]
 ) -> DataFrame:

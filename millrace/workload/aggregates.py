@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import day_text
 from ..functions.values import count_where, exact_avg, exact_sum, minor
-from ..operators import grouping, ranking, reshape
+from ..operators import grouping, lattice, ranking, reshape
 from ..plans import reports
 from ..sources.tables import cache_view, sql
 from .registry import Given, query
@@ -193,7 +193,7 @@ def cube_report(t: Given):
     return grouping.multi_grain(
         _sales(t).withColumn("units", F.col("o_orderkey") % 9 + 1),
         ["region", "category"],
-        {"total_units": F.sum("units")},
+        {"total_units": lattice.total("units")},
         levels={
             ("region", "category"): "region+category",
             ("region",): "region",
@@ -223,12 +223,11 @@ def _measures():
     return {name: make("amount") for name, make in _MEASURES.items()}
 
 
-@query("grouping_sets_report", _SETS)
-def grouping_sets_report(t: Given):
+def _sets_report(t: Given, measures):
     return grouping.multi_grain(
         _sales(t),
         ["region", "category"],
-        _measures(),
+        measures,
         grains=[["region", "category"], ["region"], ["category"]],
         levels={
             ("region", "category"): "region_category",
@@ -238,6 +237,58 @@ def grouping_sets_report(t: Given):
     ).select("level", "region", "category", "total_amount", "big_orders")
 
 
+@query("grouping_sets_report", _SETS)
+def grouping_sets_report(t: Given):
+    """One shuffle, every row repeated for each grain: for grains that shrink little."""
+    return _sets_report(t, _measures())
+
+
+@query("grouping_sets_lattice", _SETS)
+def grouping_sets_lattice(t: Given):
+    """The same rolled up from the groups of the finest grain."""
+    return _sets_report(t, {"total_amount": lattice.exact("amount"), "big_orders": lattice.rows_where(F.col("amount") >= 100000)})
+
+
+_SHIPMENTS = """
+SELECT CASE WHEN grouping(line) = 1 THEN 'ALL' ELSE CAST(line AS VARCHAR) END AS line,
+       CASE WHEN grouping(month) = 1 THEN 'ALL' ELSE CAST(month AS VARCHAR) END AS month,
+       CASE WHEN grouping(flag) = 1 THEN 'ALL' ELSE flag END AS flag,
+       count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue,
+       CAST(min(l_quantity) AS DOUBLE) AS least, CAST(max(l_quantity) AS DOUBLE) AS most,
+       count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, CAST(grouping(line, month, flag) AS BIGINT) AS grain_id
+FROM (SELECT *, l_linenumber AS line, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+             CASE WHEN l_orderkey % 11 <> 0 THEN l_returnflag END AS flag FROM lineitem)
+GROUP BY {grains}
+"""
+
+
+def _shipments(t: Given, grains):
+    rows = t.lineitem.withColumns(
+        {"line": F.col("l_linenumber"), "month": F.trunc("l_shipdate", "month"), "flag": F.when(F.col("l_orderkey") % 11 != 0, F.col("l_returnflag"))}
+    )
+    quantity = F.col("l_quantity").cast("double")
+    measures = {
+        "n_lines": lattice.rows(),
+        "revenue": lattice.exact("l_extendedprice"),
+        "least": lattice.low("quantity"),
+        "most": lattice.high("quantity"),
+        "suppliers": lattice.distinct("l_suppkey"),
+        "parts": lattice.distinct("l_partkey"),
+    }
+    return grouping.multi_grain(rows.withColumn("quantity", quantity), ["line", "month", "flag"], measures, grains)
+
+
+@query("lattice_cube", _SHIPMENTS.format(grains="CUBE (line, month, flag)"))
+def lattice_cube(t: Given):
+    """Eight grains over an int, a date and a dimension with NULLs, with two distinct counts."""
+    return _shipments(t, "cube")
+
+
+@query("lattice_rollup", _SHIPMENTS.format(grains="ROLLUP (line, month, flag)"))
+def lattice_rollup(t: Given):
+    return _shipments(t, "rollup")
+
+
 @query("cube_then_filter", _SETS)
 def cube_then_filter(t: Given):
     raw = grouping.cube_then_filter(_sales(t), ["region", "category"], _measures(), drop_ids=[3])
@@ -278,7 +329,7 @@ def rollup_report(t: Given):
     report = grouping.multi_grain(
         _sales(t),
         ["region", "category"],
-        {"total_revenue": exact_sum("amount")},
+        {"total_revenue": lattice.exact("amount")},
         grains="rollup",
         all_labels={"region": "ALL_REGIONS", "category": "ALL_CATEGORIES"},
     ).withColumnRenamed("grain_id", "agg_level_id")
