@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 
 from .timing import whole_div
 
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: What a double may be off a decimal, as a part of the value: a few units in its last place, and never more.
+NOISE = 2.0**-50
+
+
 def minor(c: str | Column, scale: int = 2) -> Column:
     """A value in whole units of its last decimal (cents for scale 2), for integer arithmetic and window sums.
 
@@ -23,7 +28,7 @@ def minor(c: str | Column, scale: int = 2) -> Column:
     """
     scaled = _col(c) * F.lit(float(10**scale))
     unit = F.rint(scaled)
-    noise = F.greatest(F.lit(1e-3), F.abs(scaled) * F.lit(2.0**-50))
+    noise = F.abs(scaled) * F.lit(NOISE)
     text = F.concat(F.lit(f"more than {scale} decimals: "), _col(c).cast("string"))
     return F.when(scaled.isNull() | (F.abs(scaled - unit) <= noise), unit.cast("bigint")).otherwise(
         F.raise_error(text).cast("bigint")
@@ -51,10 +56,11 @@ def sum_parts(c: str | Column, scale: int = SUM_SCALE) -> tuple[Column, Column]:
     out of both (see ``odd_part``).
     """
     value = F.when(_finite(_col(c)), _col(c))
-    whole = F.floor(value)
+    # Cut towards zero: what is left over is exact, also of a small negative value.
+    whole = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value))
     scaled = (value - whole) * F.lit(float(10**scale))
     unit = F.rint(scaled)
-    noise = F.greatest(F.lit(1e-3), F.abs(value) * F.lit(2.0**-50 * 10**scale))
+    noise = F.abs(value) * F.lit(NOISE * 10**scale)
     text = F.concat(F.lit(f"more than {scale} decimals: "), _col(c).cast("string"))
     part = F.when(scaled.isNull() | (F.abs(scaled - unit) <= noise), unit.cast("bigint")).otherwise(
         F.raise_error(text).cast("bigint")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import join_parts, odd_part, sum_parts
+from .states import vocabulary
 
 MAX_ROWS = 2_000_000
 MAX_BROADCAST = 100_000
+#: Keys that a task may count at once.
+MOST_COUNTERS = 1 << 19
 
 
 def crowded(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
@@ -38,11 +42,27 @@ def flag_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) ->
     return df.join(named, cond, "left").drop(*[f"_h_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys holding at least ``share`` of all rows: never more than ``1 / share``, so they broadcast."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).first()[0]
-    return F.broadcast(counts.filter(F.col("_n") >= F.lit(share * total)).select(key))
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, verify: bool = False) -> DataFrame:
+    """Keys holding at least ``share`` of all rows, found in one pass over the key column.
+
+    Each task keeps counters for a bounded number of keys, which are merged (the frequent-items sketch behind
+    ``approx_top_k``).  With m counters an estimate is at most ``3.5 / m`` of all rows off, and m is at least ``16 / share``:
+    every key of that share is found, none below half of it is handed out, and there are at most ``2 / share`` of them, so
+    they broadcast.  That is exact enough to spread keys by; ``verify`` counts the candidates, and only them, in a second
+    pass.  NULL meets nothing in a join and is never hot.
+    """
+    counters = 1 << max(6, math.ceil(math.log2(16 / share)))
+    if counters > MOST_COUNTERS:
+        raise ValueError(f"a share of {share} is too small to track")
+    top = F.call_function("approx_top_k", F.col(key), F.lit(math.ceil(2 / share) + 1), F.lit(counters))
+    found, total = df.agg(top, F.count(F.lit(1))).first()
+    likely = [r for r in found or [] if r["item"] is not None and r["count"] >= share * total]
+    kind = df.schema[key].dataType.simpleString()
+    hot = df.sparkSession.createDataFrame([(r["item"],) for r in likely], f"`{key}` {kind}")
+    if verify and likely:
+        counts = df.join(F.broadcast(hot), key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.filter(F.col("_n") >= F.lit(share * total)).select(key)
+    return F.broadcast(hot)
 
 
 def salted_join(
@@ -95,13 +115,18 @@ def salted_agg(
     sums: Mapping[str, str],
     distinct: Mapping[str, str] | None = None,
     route: str = "key",
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """Two-phase aggregate: partial by (keys, salt), final by keys.
 
     ``sums`` maps output -> column (exact decimal sums), ``distinct`` output -> column (one entry).
     ``key``  the distinct column joins the partial key; sizes stay bounded whatever the vocabulary.
-    ``set``  a set per partial group, united at the end: for vocabularies that fit one array.
+    ``set``  a bitmap over the numbered values per partial group, united at the end: a state of bounded size whatever a
+             key holds.  ``values`` are the numbered values (see ``states.vocabulary``; found if not given); more of
+             them than fit a bitmap take the other route.
     """
+    if route not in ("key", "set"):
+        raise ValueError(f"unknown route {route!r}")
     parts, finals = [], []
     for out, c in sums.items():
         for i, part in enumerate(sum_parts(c)):
@@ -112,11 +137,10 @@ def salted_agg(
     if not distinct:
         return df.groupBy(*keys, salt).agg(*parts).groupBy(*keys).agg(*finals)
     ((out, col),) = distinct.items()
-    if route == "key":
+    numbered = (values or vocabulary(df, col)) if route == "set" else None
+    if numbered is None:
         partial = df.groupBy(*keys, salt, col).agg(*parts)
         return partial.groupBy(*keys).agg(*finals, F.count_distinct(col).alias(out))
-    if route == "set":
-        partial = df.groupBy(*keys, salt).agg(*parts, F.collect_set(col).alias("_set"))
-        united = F.size(F.array_distinct(F.flatten(F.collect_list("_set"))))
-        return partial.groupBy(*keys).agg(*finals, united.cast("bigint").alias(out))
-    raise ValueError(f"unknown route {route!r}")
+    coded = df.join(F.broadcast(numbered), col, "left")
+    partial = coded.groupBy(*keys, salt).agg(*parts, F.bitmap_construct_agg("_no").alias("_bits"))
+    return partial.groupBy(*keys).agg(*finals, F.bitmap_count(F.bitmap_or_agg("_bits")).alias(out))

@@ -14,6 +14,7 @@ from ..operators.joins import broadcast_within, enrich, null_safe_join
 from ..operators.ranking import keep_latest
 from ..operators.rowwise import clean_events, in_range
 from ..operators.skew import salted_agg, salted_join
+from ..operators.states import vocabulary
 from ..operators.timeline import time_delta
 from ..sources.layout import write_partitioned
 from ..sources.snapshots import snapshot_diff
@@ -128,6 +129,8 @@ def salted_customer_summary(
         {"total_amount": "amount"},
         {"n_products": "product"},
         route=route,
+        # Numbered before the join, where the column alone is read.
+        values=vocabulary(orders, "product") if route == "set" else None,
     )
     return out.select("customer_id", "segment", "total_amount", "n_products")
 

@@ -104,8 +104,8 @@ def scd1_upsert(t: Given):
 @query(
     "merge_states",
     """
-WITH placed AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderkey % 40 = 0 GROUP BY ALL),
-held AS (SELECT c_custkey AS k, CAST(0 AS BIGINT) AS n FROM customer WHERE c_custkey % 3 <> 0)
+WITH placed AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL),
+held AS (SELECT c_custkey AS k, CAST(0 AS BIGINT) AS n FROM customer WHERE c_acctbal >= 0)
 SELECT coalesce(p.k, h.k) AS k, coalesce(p.n, h.n) AS n,
        CASE WHEN p.k IS NULL THEN 'old' WHEN h.k IS NULL THEN 'new' ELSE 'both' END AS origin
 FROM placed p FULL OUTER JOIN held h ON h.k = p.k
@@ -113,11 +113,11 @@ FROM placed p FULL OUTER JOIN held h ON h.k = p.k
 )
 def merge_states(t: Given):
     new = (
-        t.orders.filter(F.col("o_orderkey") % 40 == 0)
+        t.orders.filter(F.col("o_orderstatus") == "P")
         .groupBy(F.col("o_custkey").alias("k"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    old = t.customer.filter(F.col("c_custkey") % 3 != 0).select(
+    old = t.customer.filter(F.col("c_acctbal") >= 0).select(
         F.col("c_custkey").alias("k"), F.lit(0).cast("bigint").alias("n")
     )
     return joins.merge_states(old, new, ["k"], ["n"])

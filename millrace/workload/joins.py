@@ -81,7 +81,7 @@ _NATIONS = """
 SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
 FROM customer JOIN nation ON n_nationkey = c_nationkey
 WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')
-  AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 50 = 0)
+  AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '2-HIGH' AND o_orderstatus = 'P')
 GROUP BY ALL
 """
 
@@ -95,7 +95,7 @@ def existence_sql(t: Given):
                CAST(sum(CAST(c.c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
         FROM {{customer}} c JOIN {{nation}} n ON n.n_nationkey = c.c_nationkey
         WHERE c.c_custkey IN (SELECT o_custkey FROM {{orders}} WHERE o_orderstatus = 'F')
-          AND NOT EXISTS (SELECT 1 FROM {{orders}} o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 50 = 0)
+          AND NOT EXISTS (SELECT 1 FROM {{orders}} o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '2-HIGH' AND o.o_orderstatus = 'P')
         GROUP BY n.n_name
         """,
         customer=t.customer,
@@ -112,7 +112,7 @@ def existence_joins_sql(t: Given):
         SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
         FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
         LEFT SEMI JOIN (SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'F') f ON f.o_custkey = c_custkey
-        LEFT ANTI JOIN (SELECT o_custkey FROM {orders} WHERE o_orderkey % 50 = 0) x ON x.o_custkey = c_custkey
+        LEFT ANTI JOIN (SELECT o_custkey FROM {orders} WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P') x ON x.o_custkey = c_custkey
         GROUP BY n_name
         """,
         customer=t.customer,
@@ -125,7 +125,7 @@ def existence_joins_sql(t: Given):
     "outreach_list",
     """
 SELECT c_custkey AS cust_id, 'N' || c_nationkey AS country FROM customer
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 7 = 0)
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
   AND NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 AND user_id = c_custkey)
 """,
 )
@@ -133,7 +133,7 @@ def outreach_list(t: Given):
     customers = t.customer.select(
         F.col("c_custkey").alias("cust_id"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("country")
     )
-    orders = t.orders.filter(F.col("o_orderkey") % 7 == 0).select(F.col("o_custkey").alias("cust_id"))
+    orders = t.orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")).select(F.col("o_custkey").alias("cust_id"))
     complaints = t.events.filter(F.col("event_type") == "error").select(
         F.col("event_id").alias("complaint_id"), _fill("user_id", 3, "event_id").alias("cust_id")
     )

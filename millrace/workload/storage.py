@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..functions.values import exact_sum
-from ..operators import joins, quality
+from ..operators import joins, quality, states
 from ..plans import reports
 from ..session import materialise, shared_dir
 from ..sources import layout, snapshots
@@ -210,6 +212,35 @@ def rolling_uv(t: Given):
     return windows.rolling_uv(clicks, "url", "ts", "user_id").orderBy("url", "window_start")
 
 
+@query(
+    "rolling_uv_states",
+    """
+WITH days AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d, user_id FROM events),
+spread AS (SELECT event_type, user_id, d - CAST(i AS INTEGER) AS s FROM days, (SELECT unnest(range(7)) AS i))
+SELECT event_type AS url, CAST(s AS TIMESTAMP) AS window_start, CAST(s + 7 AS TIMESTAMP) AS window_end,
+       count(DISTINCT user_id) AS rolling_uv, true AS near_exact
+FROM spread GROUP BY ALL
+""",
+)
+def rolling_uv_states(t: Given):
+    """Weeks of users from stored days.  Two loads, by the parity of the hour, each read their events once and add their
+    states to the store; the report reads states only."""
+    day, week = timedelta(days=1), timedelta(days=7)
+    path, keys = shared_dir(t.spark, "uv_states"), ["url", "slide"]
+    for load in (0, 1):
+        some = t.events.filter(F.hour("ts") % 2 == load).select(F.col("event_type").alias("url"), "user_id", states.slide_of("ts", day))
+        states.bitmap_states(some, keys, "user_id").write.parquet(f"{path}/bitmaps/load={load}")
+        states.sketch_states(some, keys, "user_id").write.parquet(f"{path}/sketches/load={load}")
+    grain = ["url", "window_start", "window_end"]
+    bitmaps = states.bitmap_union(t.spark.read.parquet(f"{path}/bitmaps"), keys)
+    sketches = states.sketch_union(t.spark.read.parquet(f"{path}/sketches"), keys)
+    exact = states.bitmap_counts(states.windows_of(bitmaps, week, day), grain, "rolling_uv")
+    likely = states.sketch_counts(states.windows_of(sketches, week, day), grain, "likely")
+    # Three standard errors of 2 ** 12 registers, and at least one user.
+    near = F.abs(F.col("likely") - F.col("rolling_uv")) <= F.greatest(F.lit(1.0), 3 * 1.04 / 64 * F.col("rolling_uv"))
+    return exact.join(likely, grain, "full_outer").select(*grain, "rolling_uv", F.coalesce(near, F.lit(False)).alias("near_exact"))
+
+
 @query(
     "rolling_uv_stream",
     """

@@ -1,7 +1,9 @@
 """Sums that keep every declared decimal, and dimensions of any type."""
 
 import math
+import random
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from helpers import rows
@@ -24,6 +26,33 @@ def test_small_values_are_summed_or_refused(spark):
     assert noisy.agg(exact_sum("v")).first()[0] == 3703701.6
 
 
+@pytest.mark.parametrize("v", [4e-10, -4e-10, 9e-6, -9e-6, 1e-17, 1e-300, 123456.0000009])
+def test_nothing_is_rounded_away(spark, v):
+    """Either the declared decimals hold the value and the sum is exact, or there is an error."""
+    df = spark.range(1000).select(F.lit(v).alias("v"))
+    for scale in (2, 6):
+        if round(v, scale) != v:
+            for bad in (df.agg(exact_sum("v", scale=scale)), df.agg(exact_avg("v", scale=scale)), df.select(minor("v", scale)), df.agg(exact_total("v", scale))):
+                with pytest.raises(PySparkException, match=f"more than {scale} decimals"):
+                    bad.collect()
+    digits = {4e-10: 10, 9e-6: 6, 123456.0000009: 7}.get(abs(v))
+    if digits:
+        assert df.agg(exact_sum("v", scale=digits)).first()[0] == round(1000 * v, digits)
+        assert df.select(minor("v", digits).alias("u")).agg(F.sum("u")).first()[0] == 1000 * round(v * 10**digits)
+        timed = df.withColumn("k", F.lit(1)).withColumn("at", F.lit("2025-01-01").cast("timestamp_ntz"))
+        total = timeline.running_total(timed, ["k"], "at", "v", "t", scale=digits)
+        assert total.agg(F.max(F.abs("t"))).first()[0] == abs(1000 * round(v * 10**digits)) / 10**digits
+
+
+def test_what_doubles_do_not_hold_is_no_digit(spark):
+    r = random.Random(4)
+    values = [round(r.choice([1, -1]) * r.random() * 10 ** r.randrange(0, 9), r.randrange(0, 7)) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    want = sum((Decimal(repr(v)) for v in values), Decimal(0))
+    assert df.agg(exact_total("v")).first()[0] == want
+    assert df.select(minor("v", 6).alias("u")).agg(F.sum("u")).first()[0] == int(want * 10**6)
+
+
 def test_not_finite_values_show(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "v double")
     assert all(math.isnan(x) for x in df.agg(exact_sum("v"), exact_avg("v"), exact_sum("v", 2)).first())

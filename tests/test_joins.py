@@ -7,7 +7,7 @@ import pytest
 from helpers import rows, same, ts
 from pyspark.sql import functions as F
 
-from millrace.operators import dyadic, intervals, joins, skew
+from millrace.operators import dyadic, intervals, joins, skew, states
 
 
 def test_enrich_keeps_orphans_and_drops_unused_members(spark):
@@ -210,6 +210,71 @@ def test_hot_keys_are_few(spark):
     assert rows(skew.hot_keys(hot_orders(spark), "customer_id", 0.5)) == [("hot",)]
 
 
+@pytest.mark.parametrize("verify", [False, True])
+def test_hot_keys_among_far_more_keys_than_counters(spark, verify):
+    """A key of the share is always found, one below half of it never, and only the column is read, once."""
+    n, share = 60_000, 0.02
+    id = F.col("id")
+    key = F.when(id % 3 == 0, "third").when(id % 50 == 1, "edge").when(id % 125 == 2, "below").when(id % 17 == 4, None)
+    df = spark.range(n).select(key.otherwise(id.cast("string")).alias("k"), F.lit(1).alias("other"))
+    exact = {r["k"]: r["count"] for r in df.groupBy("k").count().collect() if r["k"] is not None}
+    got = {r["k"] for r in skew.hot_keys(df, "k", share, verify).collect()}
+    due = {k for k, c in exact.items() if c >= share * n}
+    assert due <= got and all(exact[k] >= share * n / 2 for k in got) and len(got) <= 2 / share
+    if verify:
+        assert got == due
+    assert skew.hot_keys(df.limit(0), "k", share, verify).count() == 0
+    with pytest.raises(ValueError):
+        skew.hot_keys(df, "k", 1e-6)
+
+
+def test_set_route_counts_in_bitmaps(spark):
+    data = [(i, "hot" if i % 3 else "cold", None if i % 11 == 0 else f"p{i % 700}", 1.0) for i in range(3000)]
+    orders = spark.createDataFrame(data, "order_id int, customer_id string, product string, amount double").withColumn("salt", F.col("order_id") % 4)
+    args = (["customer_id"], "salt", {"total": "amount"}, {"n": "product"})
+    want = rows(orders.groupBy("customer_id").agg(F.sum("amount").alias("total"), F.count_distinct("product").alias("n")))
+    by_set = skew.salted_agg(orders, *args, route="set")
+    assert rows(by_set) == want == rows(skew.salted_agg(orders, *args, route="key"))
+    plan = by_set._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "bitmap_construct_agg" in plan
+    # Too many values for one bitmap: the other route, the same rows.
+    assert states.vocabulary(orders, "product", most=50) is None and states.vocabulary(orders, "product").count() == 700
+    with pytest.raises(ValueError):
+        skew.salted_agg(orders, *args, route="bag")
+
+
+def test_states_merge_in_any_order(spark):
+    data = [(f"k{i % 3}", None if i % 4 == 0 else (i * 7919) % 100_000 - 50_000) for i in range(4000)] + [("none", None)]
+    df = spark.createDataFrame(data, "k string, v bigint")
+    want = rows(df.groupBy("k").agg(F.count_distinct("v").alias("n")))
+    halves = [states.bitmap_states(df.filter(F.xxhash64("v") % 2 == s), ["k"], "v") for s in (0, 1, -1)]
+    merged = states.bitmap_union(halves[2].unionByName(halves[0]), ["k"]).unionByName(halves[1]).unionByName(halves[0])
+    assert rows(states.bitmap_counts(merged, ["k"], "n")) == want
+    whole = states.bitmap_states(df, ["k"], "v")
+    assert whole.agg(F.max(F.length("bits"))).first()[0] == states.BITS // 8
+    sketches = [states.sketch_states(df.filter(F.xxhash64("v") % 2 == s), ["k"], "v") for s in (0, 1, -1)]
+    both = sketches[0].unionByName(sketches[1]).unionByName(sketches[2]).unionByName(sketches[0])
+    for (k, n), (_, likely) in zip(want[:3], rows(states.sketch_counts(both, ["k"], "n"))):
+        assert abs(n - likely) <= max(1, 3 * 1.04 / 64 * n), k
+
+
+def test_windows_of_states_repeat_states_only(spark):
+    base = datetime(2024, 2, 27)
+    df = spark.createDataFrame([("a", base + timedelta(hours=5 * i), i % 9) for i in range(60)], "k string, at timestamp_ntz, u bigint")
+    day = timedelta(days=1)
+    slides = df.withColumn("slide", states.slide_of("at", day))
+    kept = states.bitmap_states(slides, ["k", "slide"], "u")
+    out = states.bitmap_counts(states.windows_of(kept, 3 * day, day), ["k", "window_start", "window_end"], "n")
+    want = {}
+    for r in df.collect():
+        first = datetime(r["at"].year, r["at"].month, r["at"].day)
+        for i in range(3):
+            want.setdefault(first - i * day, set()).add(r["u"])
+    assert {(r["window_start"], r["window_end"], r["n"]) for r in out.collect()} == {(s, s + 3 * day, len(u)) for s, u in want.items()}
+    with pytest.raises(ValueError):
+        states.windows_of(kept, timedelta(hours=25), day)
+
+
 def test_cells_make_up_the_interval(spark):
     r = random.Random(5)
     spans = [(a, a + r.randrange(1, 3000)) for a in (r.randrange(-2000, 2000) for _ in range(300))]

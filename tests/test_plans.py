@@ -163,3 +163,14 @@ def test_ordered_operators_start_no_job_and_scan_once(spark, given):
 def test_best_rows_do_not_sort_before_the_shuffle(spark, given):
     for name in ("current_catalog", "argmax_order"):
         assert "SortAggregate" not in plan(QUERIES[name](spark, given.folder)), name
+
+
+def test_hot_summary_scans_the_facts_twice(given, spark):
+    """Once for the heavy keys, the key column only, and once for the summary; no census of all keys."""
+    from millrace.operators import skew
+
+    orders = given.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("product"), F.col("o_totalprice").alias("amount"))
+    dim = given.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    df = reports.salted_customer_summary(orders, dim, n=8, hot=skew.hot_keys(orders, "customer_id", 0.05))
+    text = plan(df)
+    assert text.count("orders.parquet") == 1 and "partial_count(1)" not in text
