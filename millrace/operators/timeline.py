@@ -245,6 +245,11 @@ def _gap_cells(
     )
 
 
+def cell_summaries(df: DataFrame, keys: Sequence[str], at: str, gap: timedelta) -> DataFrame:
+    """keys, ``_first``, ``_last`` and ``_n`` of each cell of the gap's width."""
+    return _gap_cells(df, keys, at, gap, {}).drop(_CELL)
+
+
 def _session_labels(cells: DataFrame, keys: Sequence[str], gap: timedelta, label: str) -> DataFrame:
     """Number the sessions of a key, or name each by its start, over the cell summaries."""
     order = W.partitionBy(*keys).orderBy(_CELL)

@@ -19,12 +19,17 @@ from ..operators.upserts import apply_changes
 from ..plans.facts import resolve_trips
 
 
-def _finish(writer, checkpoint: str) -> None:
+#: Keyed state beyond an executor's memory: kept on its disk, its changes in the checkpoint.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def finish(writer, checkpoint: str) -> None:
+    """Everything that is there now, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What the batches have written so far; a stream without any data has written nothing."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -34,14 +39,14 @@ def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _by_batch(schema: T.StructType) -> T.StructType:
+def by_batch(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
 
 
 def run_append(result: DataFrame, root: str) -> DataFrame:
     """Append mode into a parquet sink: only rows that can no longer change."""
-    _finish(result.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out"), f"{root}/cp")
-    return _written(result.sparkSession, f"{root}/out", result.schema)
+    finish(result.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out"), f"{root}/cp")
+    return written(result.sparkSession, f"{root}/out", result.schema)
 
 
 def run_updates(result: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
@@ -51,9 +56,9 @@ def run_updates(result: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
-    _finish(result.writeStream.outputMode("update").foreachBatch(write), f"{root}/cp")
-    written = _written(result.sparkSession, f"{root}/out", _by_batch(fields))
-    return keep_latest(written, keys, ["batch"]).select(*fields.names)
+    finish(result.writeStream.outputMode("update").foreachBatch(write), f"{root}/cp")
+    rows = written(result.sparkSession, f"{root}/out", by_batch(fields))
+    return keep_latest(rows, keys, ["batch"]).select(*fields.names)
 
 
 def run_upserts(
@@ -80,14 +85,14 @@ def run_upserts(
             folded = keep_latest(_deltas(batch.sparkSession, root, shape, batch_id), keys, [at])
             folded.write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
 
-    _finish(changes.writeStream.foreachBatch(write), f"{root}/cp")
+    finish(changes.writeStream.foreachBatch(write), f"{root}/cp")
 
 
 def _deltas(spark: SparkSession, root: str, shape: T.StructType, until: int | None = None) -> DataFrame:
     """Changes so far (before batch ``until`` ended): the newest base and the deltas after it."""
     named = lambda name: T.StructType([*shape.fields, T.StructField(name, T.LongType())])
-    bases = _written(spark, f"{root}/base", named("upto"))
-    deltas = _written(spark, f"{root}/delta", named("batch"))
+    bases = written(spark, f"{root}/base", named("upto"))
+    deltas = written(spark, f"{root}/delta", named("batch"))
     if until is not None:  # a base of this very batch is what is being written anew
         bases, deltas = bases.filter(F.col("upto") < until), deltas.filter(F.col("batch") <= until)
     newest = bases.agg(F.max("upto")).first()[0]
@@ -104,6 +109,20 @@ def upserted(
     return apply_changes(seed, _deltas(spark, root, shape), keys, cols, at, op)
 
 
+def first_landings(stream: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Of each key the row that landed first, within a batch the smallest; rows without a key are all kept.
+
+    The state holds each key's first row under the time of its batch, which a batch that runs again keeps.  A key is handed
+    out by the batch that first saw it and never again, and a batch touches the keys of its own rows only.
+    """
+    ranked = [x for c in cols for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    first = F.min(F.struct("_landed", *ranked)).alias("_first")
+    known = stream.filter(F.col(key).isNotNull()).withColumn("_landed", F.current_timestamp()).groupBy(key).agg(first)
+    fresh = known.filter(F.col("_first._landed") == F.current_timestamp())
+    fresh = fresh.select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
+    return fresh.unionByName(stream.filter(F.col(key).isNull()).select(key, *cols))
+
+
 def run_resolution(
     trips: DataFrame,
     root: str,
@@ -114,6 +133,7 @@ def run_resolution(
     The dimensions are read anew per batch.  Returns all published trips and what is pending at the end.
     A trip that is sent again, in its batch or a later one, is the trip it was: the first that landed counts,
     within a batch the smallest row.  Trips without an id cannot be told apart, so each of them is kept.
+    Which ids were seen is keyed state: a batch reads its own trips and what is pending, never older landings.
     Every batch settles exactly the trips it was offered, or fails before it is committed.
     """
     spark = trips.sparkSession
@@ -123,13 +143,9 @@ def run_resolution(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        batch.select(*park).write.mode("overwrite").parquet(f"{root}/landed/batch={batch_id}")
-        landed = session.read.schema(_by_batch(shape)).parquet(f"{root}/landed")
-        fresh = landed.filter(F.col("batch") == batch_id)
-        earlier = landed.filter(F.col("batch") < batch_id)
-        named = fresh.filter(F.col("trip_id").isNotNull()).join(earlier.select("trip_id"), "trip_id", "left_anti")
-        once = keep_latest(named.select(*park), ["trip_id"], [F.col(c).asc_nulls_last() for c in park[1:]])
-        offered = once.unionByName(fresh.filter(F.col("trip_id").isNull()).select(*park))
+        # Written once: a second look at the batch would run the state's step again.
+        batch.write.mode("overwrite").parquet(f"{root}/landed/batch={batch_id}")
+        offered = session.read.schema(shape).parquet(f"{root}/landed/batch={batch_id}")
         if batch_id > 0:
             held = session.read.schema(settled_shape).parquet(f"{root}/resolved/batch={batch_id - 1}")
             offered = offered.unionByName(held.filter(F.col("load_status") == "PENDING").select(*park))
@@ -142,8 +158,14 @@ def run_resolution(
         last.append(batch_id)
 
     settled_shape = resolve_trips(spark.createDataFrame([], shape), *dims(spark), keep=["completed_ts"]).schema
-    _finish(trips.writeStream.foreachBatch(write), f"{root}/cp")
-    history = _written(spark, f"{root}/resolved", _by_batch(settled_shape))
+    fresh = first_landings(trips.select(*park), "trip_id", park[1:])
+    was = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        finish(fresh.writeStream.outputMode("update").foreachBatch(write), f"{root}/cp")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", was)
+    history = written(spark, f"{root}/resolved", by_batch(settled_shape))
     newest = max(last) if last else history.agg(F.max("batch")).first()[0]
     done = (F.col("load_status") == "PUBLISHED") | (F.col("batch") == newest)
     return history.filter(done).drop("batch", "completed_ts")

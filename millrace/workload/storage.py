@@ -12,7 +12,7 @@ from ..plans import reports
 from ..session import materialise, shared_dir
 from ..sources import layout, snapshots
 from ..sources.tables import date_axis, json_stream
-from ..streaming import sinks, windows
+from ..streaming import accounted, sinks, windows
 from .incremental import PAYOUTS, payout_dims, trips
 from .registry import Given, query
 
@@ -339,3 +339,60 @@ def resolve_stream(t: Given):
         return drivers, commissions
 
     return sinks.run_resolution(stream, shared_dir(t.spark, "payouts"), dims)
+
+
+_STRAGGLERS = """
+WITH sent AS (
+  SELECT *, CASE WHEN event_id % 97 = 0 THEN 3 WHEN ts < TIMESTAMP '2024-01-12' THEN 1 ELSE 2 END AS load FROM events
+), marks AS (
+  SELECT 1 AS load, TIMESTAMP '0001-01-01' AS mark
+  UNION ALL SELECT 2, max(ts) - INTERVAL 3 DAY FROM sent WHERE load = 1
+  UNION ALL SELECT 3, max(ts) - INTERVAL 3 DAY FROM sent WHERE load < 3
+), judged AS (
+  SELECT s.*, mark, ts < mark AS late FROM sent s JOIN marks USING (load)
+)
+"""
+
+
+def _straggling(t: Given) -> accounted.Accounted:
+    """The events in three loads, the last one of stragglers from all times, as sessions with three days of lateness."""
+    load = F.when(F.col("event_id") % 97 == 0, 3).when(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz"), 1).otherwise(2)
+    sent = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("at"), load.alias("load"))
+    path = shared_dir(t.spark, "loads")
+    for i in (1, 2, 3):
+        # One batch is one load: as many files each, later loads written later.
+        sent.filter(F.col("load") == i).drop("load").repartition(2, "user_id").write.mode("append").parquet(path)
+    stream = t.spark.readStream.schema("event_id bigint, user_id bigint, at timestamp_ntz").option("maxFilesPerTrigger", 2).parquet(path)
+    return accounted.run_sessions(stream, shared_dir(t.spark, "sessions"), ["user_id"], "at", timedelta(hours=6), timedelta(days=3))
+
+
+@query(
+    "session_stream",
+    _STRAGGLERS
+    + """, steps AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM judged WHERE NOT late
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+), tagged AS (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM steps
+)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n FROM tagged GROUP BY user_id, session
+""",
+)
+def session_stream(t: Given):
+    return _straggling(t).rows
+
+
+@query(
+    "late_rows",
+    _STRAGGLERS + "SELECT event_id, user_id, ts AS at, mark AS watermark, 'behind the watermark' AS reason FROM judged WHERE late",
+)
+def late_rows(t: Given):
+    return _straggling(t).late.select("event_id", "user_id", "at", "watermark", "reason")
+
+
+@query(
+    "late_accounts",
+    _STRAGGLERS + "SELECT load, count(*) AS n_in, count(*) FILTER (late) AS n_late, count(*) FILTER (NOT late) AS n_counted FROM judged GROUP BY load",
+)
+def late_accounts(t: Given):
+    return _straggling(t).accounts.select((F.col("batch") + 1).cast("int").alias("load"), "n_in", "n_late", "n_counted")

@@ -2,16 +2,19 @@
 
 import json
 import os
+import random
+from datetime import datetime, timedelta
 
 from helpers import rows, same, ts
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators.timeline import gap_sessions
 from millrace.operators.upserts import apply_changes
 from millrace.plans.facts import resolve_trips
 from millrace.session import shared_dir
 from millrace.sources.tables import json_stream, parquet_stream
-from millrace.streaming import sinks, windows
+from millrace.streaming import accounted, sinks, windows
 
 SALE = "order_id string, event_time timestamp, amount double"
 
@@ -198,3 +201,118 @@ def test_resent_trips_null_ids_and_a_restart(spark, tmp_path):
         assert rows(got.select("trip_id", "load_status", "driver_earning_cents")) == rows(
             spark.createDataFrame([(None, "PUBLISHED", 800), (None, "PUBLISHED", 800), ("t1", "PUBLISHED", 800), ("t2", "PUBLISHED", 800)], "a string, b string, c bigint")
         )
+
+
+def test_tumbling_accounts_for_what_spark_drops(spark, tmp_path):
+    folder = sales_folder(tmp_path)
+    land(folder, "e.json", [{"order_id": "none", "amount": 1.0}], 5000)
+    minutes = lambda n: timedelta(minutes=n)
+    stream = json_stream(spark, folder, SALE, files_per_batch=1)
+    found = accounted.run_tumbling(stream, shared_dir(spark, "t"), "event_time", "amount", minutes(10), minutes(20))
+    own = json_stream(spark, folder, SALE, files_per_batch=1).filter("event_time IS NOT NULL")
+    spark_s = sinks.run_updates(windows.open_window(windows.tumbling_sales(own)), shared_dir(spark, "t"), ["window_start", "window_end"])
+    clock = lambda c: F.date_format(c, "HH:mm").alias(c)
+    ours = found.rows.select(clock("window_start"), clock("window_end"), "total", "n")
+    assert rows(ours) == rows(spark_s.select(clock("window_start"), clock("window_end"), "total_sales", "order_count"))
+    assert rows(found.late.select("order_id", "reason")) == [("late", "behind the watermark"), ("none", "no time")]
+    assert all(r["n_in"] == r["n_late"] + r["n_counted"] for r in found.accounts.collect())
+    assert found.accounts.agg(F.sum("n_in"), F.sum("n_late")).first() == (8, 2)
+
+
+VISIT = "id int, k string, at timestamp"
+
+
+def visits(seed, n=240):
+    """Files whose rows come in disorder: near ones, some far behind, some between two sessions that are open."""
+    r, out = random.Random(seed), []
+    for f in range(6):
+        for i in range(n // 6):
+            minute = f * 60 + r.randrange(60) - (r.choice([0, 0, 0, 15, 90, 200]))
+            out.append((f, {"id": len(out), "k": r.choice("ab"), "at": str(datetime(2025, 2, 1, 12) + timedelta(minutes=minute, seconds=r.choice([0, 30])))}))
+    return out
+
+
+def in_order(folder, sent):
+    for f in sorted({f for f, _ in sent}):
+        land(folder, f"{f}.json", [v for g, v in sent if g == f], 1000 + f)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sessions_on_a_stream_are_those_of_the_rows_on_time(spark, tmp_path, seed):
+    folder, root = str(tmp_path / "visits"), shared_dir(spark, "s")
+    sent = visits(seed)
+    in_order(folder, sent)
+    gap, lateness = timedelta(minutes=7), timedelta(minutes=40)
+    found = accounted.run_sessions(json_stream(spark, folder, VISIT, files_per_batch=1), root, ["k"], "at", gap, lateness)
+    late, top = set(), None
+    for f in range(6):
+        mine = [v for g, v in sent if g == f]
+        late |= {v["id"] for v in mine if top and ts(v["at"]) < top - lateness}
+        top = max([ts(v["at"]) for v in mine] + ([top] if top else []))
+    assert late and {r["id"] for r in found.late.collect()} == late
+    on_time = spark.createDataFrame([(v["id"], v["k"], ts(v["at"])) for _, v in sent if v["id"] not in late], "id int, k string, at timestamp_ntz")
+    want = gap_sessions(on_time, ["k"], "at", gap).select("k", "session_start", "session_end", F.col("n_events").alias("n"))
+    assert rows(found.rows) == rows(want)
+    closed = spark.read.parquet(f"{root}/closed")
+    assert closed.count() > 0 and rows(closed.select(*want.columns).exceptAll(want)) == []
+
+
+def test_a_late_row_joins_two_open_sessions_and_a_lost_batch_changes_nothing(spark, tmp_path, monkeypatch):
+    folder, root = str(tmp_path / "visits"), shared_dir(spark, "s")
+    base = datetime(2025, 2, 1, 12)
+    visit = lambda i, minute: {"id": i, "k": "a", "at": str(base + timedelta(minutes=minute))}
+    land(folder, "0.json", [visit(0, 0), visit(1, 12)], 1000)
+    land(folder, "1.json", [visit(2, 6)], 2000)
+    land(folder, "2.json", [visit(3, 300), visit(4, 1)], 3000)
+    land(folder, "3.json", [visit(5, 2)], 4000)
+
+    def go():
+        stream = json_stream(spark, folder, VISIT, files_per_batch=1)
+        return accounted.run_sessions(stream, root, ["k"], "at", timedelta(minutes=7), timedelta(minutes=30))
+
+    honest, calls = accounted.check, []
+
+    def fails(df, gates):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost in the middle")
+        return honest(df, gates)
+
+    monkeypatch.setattr(accounted, "check", fails)
+    with pytest.raises(Exception, match="lost in the middle"):
+        go()
+    monkeypatch.setattr(accounted, "check", honest)
+    for _ in range(2):
+        found = go()
+        assert rows(found.rows.select("session_start", "session_end", "n")) == [
+            (base, base + timedelta(minutes=12), 4),
+            (base + timedelta(minutes=300), base + timedelta(minutes=300), 1),
+        ]
+        assert [r["id"] for r in found.late.collect()] == [5]
+        assert rows(found.accounts.select("batch", "n_in", "n_late", "n_counted")) == [(0, 2, 0, 2), (1, 1, 0, 1), (2, 2, 0, 2), (3, 1, 1, 0)]
+
+
+def test_accounts_of_a_stream_without_data(spark, tmp_path):
+    folder = str(tmp_path / "none")
+    os.makedirs(folder)
+    found = accounted.run_sessions(json_stream(spark, folder, VISIT), shared_dir(spark, "s"), ["k"], "at", timedelta(minutes=7), timedelta(hours=1))
+    assert found.rows.count() == found.late.count() == found.accounts.count() == 0
+
+
+def test_a_batch_of_trips_reads_its_own_landing_only(spark, tmp_path):
+    """Which ids were seen is state: what older landings hold now makes no difference."""
+    folder, root = str(tmp_path / "trips"), shared_dir(spark, "t")
+    trip = lambda i, fare: {"trip_id": i, "driver_id": "a", "completed_ts": "2025-01-01 10:00:00", "fare_cents": fare, "first_seen_date": "2025-01-02"}
+    ddl = "trip_id string, driver_id string, completed_ts string, fare_cents bigint, first_seen_date string"
+
+    def dims(session):
+        return session.createDataFrame([("a", "f")], "driver_id string, fleet_id string"), session.createDataFrame([("f", 20)], "fleet_id string, commission_pct int")
+
+    land(folder, "a.json", [trip("t1", 1000), trip("t1", 900)], 1000)
+    sinks.run_resolution(json_stream(spark, folder, ddl, files_per_batch=1), root, dims)
+    other = spark.createDataFrame([("t2", "a", "x", 1, "y")], ddl)
+    other.write.mode("overwrite").parquet(f"{root}/landed/batch=0")
+    land(folder, "b.json", [trip("t1", 5), trip("t2", 2000)], 2000)
+    got = sinks.run_resolution(json_stream(spark, folder, ddl, files_per_batch=1), root, dims)
+    assert rows(got.select("trip_id", "driver_earning_cents")) == [("t1", 720), ("t2", 1600)]
+    assert rows(spark.read.schema(ddl).parquet(f"{root}/landed/batch=1").select("trip_id")) == [("t2",)]
