@@ -30,3 +30,13 @@ def words_of(text: Column) -> Column:
 def text_key(column: str) -> Column:
     """64 bits of a text, so that repeated ids with different texts stay apart; null and empty differ."""
     return F.xxhash64(F.col(column), F.length(F.col(column)))
+
+
+def kept_rows(docs: DataFrame, verdicts: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text key are among ``verdicts`` (_id, _key), with all columns, whatever their names."""
+    names = docs.columns
+    held = [f"c{i}" for i in range(len(names))]
+    key, body = held[names.index(id)], held[names.index(text)]
+    keyed = docs.toDF(*held).withColumn("_k", text_key(body))
+    hit = keyed[key].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
+    return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k").toDF(*names)

@@ -175,24 +175,27 @@ def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text
     order = [F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")]
     ranged = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     ranged = ranged.repartitionByRange(F.desc_nulls_last("doc_id")).sortWithinPartitions(*order)
+    ranged = ranged.withColumn("part", F.spark_partition_id())
     names = [x.split()[0] for x in _DDL.split(", ")]
     types = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
     kinds = [types[x.split()[1]] for x in _DDL.split(", ")]
 
-    def result(keys, columns, at: str, texts: list[str | None]) -> pa.RecordBatch:
+    def result(keys, columns, at: str, texts: list[str | None], part: int) -> pa.RecordBatch:
         arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
         n = len(texts)
         return pa.RecordBatch.from_arrays(
-            [keys, *arrays, pa.array([at] * n, pa.string()), pa.array(texts, pa.string())], names=["doc_id", *names, "at", "text"]
+            [keys, *arrays, pa.array([at] * n, pa.string()), pa.array(texts, pa.string()), pa.array([part] * n, pa.int32())],
+            names=["doc_id", *names, "at", "text", "part"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, nothing = Fingerprints(), [[None]] * len(names)
-        held_keys, held = None, None  # the last document so far, whose successor is not known yet
+        held_keys, held, part = None, None, 0  # the last document so far, whose successor is not known yet
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             if held is None and texts:
-                yield result(keys.slice(0, 1), nothing, "first", texts[:1])
+                part = batch.column(2)[0].as_py()
+                yield result(keys.slice(0, 1), nothing, "first", texts[:1], part)
             if held is not None:
                 keys, texts = pa.concat_arrays([held_keys, keys]), [held, *texts]
             a = 0
@@ -201,24 +204,21 @@ def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text
                 while z < len(texts) - 1 and (z == a or chars + len(texts[z]) <= _GROUP_CHARS):
                     chars += len(texts[z])
                     z += 1
-                yield result(keys.slice(a, z - a), _rows(prints, texts[a:z], texts[z]), "inside", [None] * (z - a))
+                yield result(keys.slice(a, z - a), _rows(prints, texts[a:z], texts[z]), "inside", [None] * (z - a), part)
                 a = z
             if texts:
                 held_keys, held = keys.slice(len(texts) - 1, 1), texts[-1]
         if held is not None:
-            yield result(held_keys, nothing, "last", [held])
-
-    found = materialise(ranged.mapInArrow(run, f"doc_id {kind}, {_DDL}, at string, text string"), label="fingerprints")
-    # Partitions hold disjoint ranges of ids; as many first and last documents as there are partitions.
-    edges = found.where("at <> 'inside'").select("doc_id", "at").collect()
-    falling = lambda at: sorted({r[0] for r in edges if r[1] == at}, key=lambda i: (i is None, -(i or 0)))
-    firsts, lasts = falling("first"), falling("last")
-    spark = docs.sparkSession
-    pairs = spark.createDataFrame(list(zip(lasts, [*firsts[1:], *firsts[:1]], range(len(lasts)))), f"one {kind}, two {kind}, pair int")
-    last = found.where("at = 'last'").select(F.col("doc_id").alias("one"), F.col("text").alias("a"))
-    first = found.where("at = 'first'").select(F.col("doc_id").alias("two"), F.col("text").alias("b"))
-    met = F.broadcast(pairs).join(last, last["one"].eqNullSafe(pairs["one"])).select(last["one"].alias("doc_id"), "two", "a")
-    met = met.join(first, met["two"].eqNullSafe(first["two"])).select("doc_id", "a", "b")
+            yield result(held_keys, nothing, "last", [held], part)
+
+    found = materialise(ranged.mapInArrow(run, f"doc_id {kind}, {_DDL}, at string, text string, part int"), label="fingerprints")
+    # Partitions hold ranges of ids in falling order, and as many first and last documents as there are of them.
+    parts = sorted(r[0] for r in found.where("at = 'first'").select("part").collect())
+    pairs = list(zip(parts, [*parts[1:], *parts[:1]]))
+    pairs = docs.sparkSession.createDataFrame(pairs, "part int, following int")
+    last = found.where("at = 'last'").select("part", "doc_id", F.col("text").alias("a"))
+    first = found.where("at = 'first'").select(F.col("part").alias("following"), F.col("text").alias("b"))
+    met = last.join(F.broadcast(pairs), "part").join(first, "following").select("doc_id", "a", "b")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Fingerprints()

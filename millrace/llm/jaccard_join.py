@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import text_key
+from .common import kept_rows, text_key
 from .graph import components
 
 _M = 0x9E3779B97F4A7C15
@@ -370,10 +370,13 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", t
     component with an id holds them."""
     rows = link(docs, like, id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = materialise(rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), label="kept")
-    keyed = docs.withColumn("_k", text_key(text))
-    hit = keyed[id].eqNullSafe(rows["_id"]) & (keyed["_k"] == rows["_key"])
-    out = keyed.join(rows.distinct().hint("merge"), hit, "left_semi")
-    if not rows.where("_id IS NOT NULL").groupBy("_id", "_key").count().where("count > 1").isEmpty():
-        # Repeated rows: one stays.
-        out = out.where(F.col(id).isNotNull()).dropDuplicates([id, "_k"]).unionByName(out.where(F.col(id).isNull()))
-    return out.drop("_k")
+    out = kept_rows(docs, rows, id, text)
+    if rows.where("_id IS NOT NULL").groupBy("_id", "_key").count().where("count > 1").isEmpty():
+        return out
+    # Repeated rows: one stays.
+    names = docs.columns
+    held = [f"c{i}" for i in range(len(names))]
+    key, body = held[names.index(id)], held[names.index(text)]
+    plain = out.toDF(*held).withColumn("_k", text_key(body))
+    once = plain.where(F.col(key).isNotNull()).dropDuplicates([key, "_k"]).unionByName(plain.where(F.col(key).isNull()))
+    return once.drop("_k").toDF(*names)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_within
 from ..session import materialise
-from .common import text_key
+from .common import kept_rows, text_key
 
 SYMBOLS = 256
 _GROUP = 1_000_000
@@ -404,8 +404,5 @@ def judge(
 
 def keep_fluent(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns."""
-    id, text = options.get("id", "doc_id"), options.get("text", "text")
     verdicts = judge(docs, labels, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    keyed = docs.withColumn("_k", text_key(text))
-    hit = keyed[id].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
-    return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k")
+    return kept_rows(docs, verdicts, options.get("id", "doc_id"), options.get("text", "text"))

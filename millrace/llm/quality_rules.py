@@ -13,8 +13,8 @@ nothing.
 All of it is DataFrame operations: no Python runs on the executors.
 
 Defined cases: a null text has no words; a null stratum is a stratum of its own; documents without words fail the base
-rules; repeated rows are repeated in the result; repeated labels count once each; without labels only the base rules
-decide; a stratum without labels has no cutoffs and only the base rules decide; an empty table gives an empty result.
+rules; repeated rows are repeated in the result, but a document counts once among the labelled; repeated labels are one
+label and an id whose labels disagree has none; without labels only the base rules decide; a stratum without labels has no cutoffs and only the base rules decide; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_within
 from ..session import materialise
-from .common import text_key, text_of, words_of
+from .common import kept_rows, text_key, text_of, words_of
 
 #: name -> (numerator, denominator), both columns of ``measure``.
 RULES = {
@@ -218,7 +218,10 @@ def apply_rules(
     )
     measured = materialise(measure(narrow, "_body"), label="measured")
     known = labels.select(F.col(id).alias("doc_id"), F.col(quality).alias("_good")).where(F.col("_good").isNotNull())
-    holdout = measured.where(~base_failed()).join(known, "doc_id")
+    # The binomial bound needs independent documents: an id speaks once, and not at all where its labels disagree.
+    agreed = known.groupBy("doc_id").agg(F.min("_good").alias("_good"), F.max("_good").alias("_high"))
+    agreed = agreed.where(F.col("_good") == F.col("_high")).drop("_high")
+    holdout = measured.where(~base_failed()).join(agreed, "doc_id").dropDuplicates(["doc_id", "text_key", "_stratum"])
     cutoffs = certify(holdout, "_stratum", "_good", control)
     judged, fine = verdict(measured, cutoffs, "_stratum")
     return judged.select(
@@ -240,7 +243,4 @@ def apply_rules(
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns; documents with a null id are judged as well."""
     verdicts = apply_rules(docs, labels, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    body, id = options.get("text", "text"), options.get("id", "doc_id")
-    keyed = docs.withColumn("_k", text_key(body))
-    hit = keyed[id].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
-    return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k")
+    return kept_rows(docs, verdicts, options.get("id", "doc_id"), options.get("text", "text"))

@@ -41,6 +41,8 @@ CROWDED = 20_000
 _BLOCK = 128
 _GROUP = 1_000_000
 _ROWS = 40_000
+#: Rows of crowded cores whose strings are named together.
+_NAMED_ROWS = 200
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -243,22 +245,32 @@ def _by_suffix_arrays(rows: DataFrame, length: int, reach: int) -> DataFrame:
 def _by_names(rows: DataFrame, length: int, reach: int) -> DataFrame:
     """The same for crowded cores, one row per string: names are counted, so no group meets in one task."""
 
+    width = reach - 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, k_, name, again = [], [], [], []
-            for i, (lo, hi, left, right) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lo", "hi", "left", "right")))):
-                for k in range(lo, hi + 1):
-                    at.append(i)
-                    k_.append(batch.column("start")[i].as_py() + hi - k)
-                    digest = hashlib.blake2b(left[len(left) - k :] + right[: reach - 1 - k], digest_size=8, salt=k.to_bytes(4, "big")).digest()
-                    name.append(int.from_bytes(digest, "big", signed=True))
-                    again.append(k)
-            rows_ = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(rows_) for c in ("doc_id", "text_key", "core", "n")]
-                + [pa.array(again, pa.int32()), pa.array(name, pa.int64()), pa.array(k_, pa.int64())],
-                names=["doc_id", "text_key", "core", "n", "k", "name", "start"],
-            )
+        for whole in batches:
+            # At most ``reach`` strings come of a row.
+            for first in range(0, whole.num_rows, _NAMED_ROWS):
+                batch = whole.slice(first, _NAMED_ROWS)
+                lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("lo", "hi"))
+                around = [x + y for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())]
+                begins = np.cumsum([0] + [len(x) for x in around])[:-1]
+                # The string with k bytes left of the trigger is the window that begins hi - k bytes into the surroundings.
+                number = hi - lo + 1
+                at = np.repeat(np.arange(len(hi)), number)
+                into = np.arange(len(at)) - np.repeat(np.cumsum(number) - number, number)
+                with np.errstate(over="ignore"):
+                    block = _names(np.frombuffer(b"".join(around), np.uint8))[1]
+                    place, name = begins[at] + into, np.zeros(len(at), np.uint64)
+                    for k in range(0, width, _BLOCK):
+                        name = _mix(name * np.uint64(0x9FB21C651E98DF25) + block[place + min(k, width - _BLOCK)])
+                rows_ = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(rows_) for c in ("doc_id", "text_key", "core", "n")]
+                    + [pa.array((hi[at] - into).astype(np.int32)), pa.array(name.view(np.int64))]
+                    + [pa.array(batch.column("start").to_numpy().astype(np.int64)[at] + into)],
+                    names=["doc_id", "text_key", "core", "n", "k", "name", "start"],
+                )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     strings = rows.mapInArrow(run, f"doc_id {kind}, text_key long, core long, n long, k int, name long, start long")
@@ -306,6 +318,14 @@ def _repeated_rows(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty()
 
 
+def _span_lists(column: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """The spans of one document after the other; never those of a whole batch as objects."""
+    starts, stops = (column.values.field(k).to_numpy() for k in (0, 1))
+    offsets, missing = column.offsets.to_numpy(), column.is_null().to_numpy(zero_copy_only=False)
+    for i, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        yield [] if missing[i] else list(zip(starts[a:z].tolist(), stops[a:z].tolist()))
+
+
 def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     """What is left, and how many runs were removed."""
     kept, runs, at = [], 0, 0
@@ -333,9 +353,9 @@ def dedup_report(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                b = (t or "").encode()
-                kept, runs = _cut(b, [(s["start"], s["stop"]) for s in spans or []])
+            for t, spans in zip(batch.column(1), _span_lists(batch.column(2))):
+                b = (t.as_py() or "").encode()
+                kept, runs = _cut(b, spans)
                 out.append((len(b), len(b) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
             columns = [list(c) for c in zip(*out)] or [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -360,9 +380,10 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for t, spans_ in zip(batch.column(place).to_pylist(), batch.column(len(held)).to_pylist()):
+            for t, spans_ in zip(batch.column(place), _span_lists(batch.column(len(held)))):
+                t = t.as_py()
                 if t is not None and spans_:
-                    t = _cut(t.encode(), [(s["start"], s["stop"]) for s in spans_])[0].decode(errors="ignore")
+                    t = _cut(t.encode(), spans_)[0].decode(errors="ignore")
                 texts.append(t)
             columns = list(batch.columns[: len(held)])
             columns[place] = pa.array(texts, columns[place].type)

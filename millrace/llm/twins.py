@@ -29,7 +29,7 @@ WITH RECURSIVE texts AS (
 ), covered AS (
   SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM repeated) GROUP BY rid
 ), measured AS (
-  SELECT s.doc_id, s.lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  SELECT s.doc_id, s.lang, md5(t) AS tk, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
          CAST(len(l) AS BIGINT) AS n_lines,
@@ -39,7 +39,9 @@ WITH RECURSIVE texts AS (
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {_SHARES} FROM measured
 ), holdout AS (
-  SELECT j.*, quality FROM judged j JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IS NOT NULL
+  SELECT DISTINCT ON (doc_id, lang, tk) j.*, quality
+  FROM judged j JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id HAVING min(quality) = max(quality)) USING (doc_id)
+  WHERE NOT base_failed
 ), counts AS (
   SELECT lang, rule, cutoff,
          count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality = 1 AND hit) AS k_good,

@@ -61,3 +61,13 @@ def test_one_document(spark):
     row = P.fingerprint_documents(spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")).collect()
     assert [(r.doc_id, r.near_next) for r in row] == [(5, 1.0)]
     assert row[0].edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
+
+
+def test_ids_of_any_type(spark, rows):
+    texts = [r[1] or "" for r in rows][:20]
+    df = spark.createDataFrame([(f"id{i:03}", t) for i, t in enumerate(texts)] + [(None, "last")], "doc_id string, text string")
+    got = {r.doc_id: r.edited_sha256 for r in P.fingerprint_documents(df.repartition(4)).collect()}
+    falling = [*reversed(texts), "last"]
+    for i, t, f in zip([*(f"id{i:03}" for i in reversed(range(20))), None], falling, falling[1:] + falling[:1]):
+        third = len(t) // 3
+        assert got[i] == hashlib.sha256((t[: len(t) - third] + f[:third]).encode()).hexdigest()

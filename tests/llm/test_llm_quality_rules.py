@@ -85,3 +85,21 @@ def test_more_than_64_strata_have_cutoffs_of_their_own(spark):
     assert out.where("NOT kept AND quality = 1").count() == 0
     assert out.where("kept AND quality = 0").count() == 0
     assert out.where("kept AND lang = 'new'").count() == 5
+
+
+def test_repeated_and_conflicting_labels_change_nothing(spark):
+    """A hundred good labels certify nothing at one per cent, and neither do they ten times over."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "en") for i in range(100)]
+    rows += [(500 + i, " ".join(f"w{i}y{j}***" for j in range(60)), "en") for i in range(50)]
+    docs = spark.createDataFrame(rows + rows[:40], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[0] < 500)) for r in rows], "doc_id long, quality long")
+    many = labels
+    for _ in range(9):
+        many = many.unionByName(labels)
+    torn = labels.unionByName(labels.where("doc_id >= 500").withColumn("quality", F.lit(1).cast("long")))
+    for some in (labels, many, torn):
+        assert Q.apply_rules(docs, some).where("NOT kept").count() == 0
+    loose = Q.Risk(risk=0.1)
+    once, often = (sorted(map(tuple, Q.apply_rules(docs, some, control=loose).collect())) for some in (labels, many))
+    assert once == often and sum(not r[8] for r in once) == 50
+    assert Q.apply_rules(docs, torn, control=loose).where("NOT kept").count() == 0
