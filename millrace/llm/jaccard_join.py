@@ -14,7 +14,8 @@ go to the end and the others are ordered by their hash, so the sample changes th
 3. Expanded pairs are verified on the whole sets.  Sets travel to tiles of pairs of one cluster, not to pairs, so a set
    that has many candidates travels once for each block of them.
 4. What meets in a crowded token or in a group and is not in one component by now is paired, filtered, expanded and
-   verified in a second round.  What stays out is already reachable, so the components are those of all links.
+   verified in a second round.  Pairs are made in their first common token only, by bands of sizes, where the smaller set
+   has it early enough for the rests of both to suffice.  What stays out is already reachable, so the components are those of all links.
 
 Sets are compared by 64-bit hashes of shingles.  Nothing of all documents is collected; components are found by
 contraction.
@@ -26,6 +27,7 @@ different nodes; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -253,6 +255,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _first_meetings(entries: DataFrame, percent: int) -> DataFrame:
+    """grp1, grp2 of the groups that are apart and may link, found in the first token they have in common.
+
+    ``entries``: token, grp, place, lo, hi.  Behind the first common token at most what is left of the shorter rest can be
+    common, so of a pair the one of smaller size must have that token early, and late entries never meet each other.
+    Sizes that may link lie in the same band or the next one: the larger set offers itself to both.
+    """
+    n, left = F.shiftright("place", 31), F.shiftright("place", 31) - F.pmod("place", F.lit(1 << 31))
+    # A little wider than the ratio of sizes, so that rounding cannot put two bands between sizes that may link.
+    band = F.floor(F.log(n.cast("double")) / (1.001 * math.log(100 / percent))).cast("long") if percent < 100 else n
+    sized = entries.select("token", "grp", "lo", "hi", n.alias("n"), left.alias("left"), band.alias("band"))
+    small = sized.where((100 + percent) * F.col("left") >= 2 * percent * F.col("n"))
+    large = sized.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
+    named = lambda frame, k: frame.select("token", "band", *[F.col(c).alias(f"{c}{k}") for c in ("grp", "lo", "hi", "n", "left")])
+    below = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("grp1") < F.col("grp2")))
+    near = 100 * F.col("n1") >= percent * F.col("n2")
+    room = (100 + percent) * F.least("left1", "left2") >= percent * (F.col("n1") + F.col("n2"))
+    apart = F.least("lo1", "lo2") < F.greatest("hi1", "hi2")
+    met = named(small, 1).join(named(large, 2), ["token", "band"]).where(below & near & room & apart)
+    return met.select(F.least("grp1", "grp2").alias("grp1"), F.greatest("grp1", "grp2").alias("grp2")).distinct()
+
+
 def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_key, n_shingles, component_id: one row per document."""
     percent = like.percent
@@ -338,19 +362,21 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     here = crowd.join(spans, "grp")
     here = here.withColumn("apart", F.min("lo").over(by_token) < F.max("hi").over(by_token)).where("apart").drop("apart")
     here = materialise(here, label="apart")
-    met = named(here, 1).join(named(here, 2), "token").where("grp1 < grp2 AND least(lo1, lo2) < greatest(hi1, hi2)")
-    # A pair that is apart is apart in every token it shares, so its crowded tokens are all here.
-    met = met.select("grp1", "grp2", "place1", "place2").withColumn("common", F.lit(1))
-    met = met.groupBy("grp1", "grp2").agg(
-        F.sum("common").alias("common"), F.max("place1").alias("place1"), F.max("place2").alias("place2")
-    )
-    met = materialise(met, label="met")
-    known = everyone.join(met.select("grp1", "grp2"), ["grp1", "grp2"], "left_semi").select(*met.columns)
+    met = materialise(_first_meetings(here, percent), label="met")
+    # What candidates have in common, counted on their whole prefixes.
+    asked = met.select(F.explode(F.array("grp1", "grp2")).alias("grp")).distinct()
+    whole = full.join(asked, "grp", "left_semi").dropDuplicates(["grp"]).select("grp", "n", "prefix")
+    whole = materialise(whole, label="whole")
+    for k in (1, 2):
+        met = met.join(whole.select(*[F.col(c).alias(f"{c}{k}") for c in whole.columns]), f"grp{k}")
+    met = met.withColumn("both", F.array_intersect("prefix1", "prefix2")).withColumn("last", F.element_at("both", -1))
+    place = lambda k: F.col(f"n{k}") * (1 << 31) + F.array_position(f"prefix{k}", F.col("last")) - 1
+    met = met.select("grp1", "grp2", place(1).alias("place1"), place(2).alias("place2"), F.size("both").alias("common"))
     apart = spans.where("lo < hi").select(F.col("grp").alias("grp1"), F.col("grp").alias("grp2"))
     left = at.select(F.col("grp").alias("grp1"), F.col("node").alias("x"), F.col("component").alias("cx"))
     right = at.select(F.col("grp").alias("grp2"), F.col("node").alias("y"), F.col("component").alias("cy"))
     others = between.where("m1 > 1 OR m2 > 1").select("grp1", "grp2")
-    both = possible(met.unionByName(known), F.lit(0)).unionByName(apart).unionByName(others).distinct()
+    both = possible(met, F.lit(0)).unionByName(apart).unionByName(others).distinct()
     expanded = both.join(left, "grp1").join(right, "grp2").where("cx <> cy AND (grp1 <> grp2 OR x < y)")
     second_pairs = materialise(expanded.select(F.col("x").alias("a"), F.col("y").alias("b")), label="pairs")
     if not second_pairs.isEmpty():

@@ -295,15 +295,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, crowded:
     span = [*key, F.col("start").cast("long"), (F.col("start") + F.col("hi") - F.col("lo") + length).cast("long").alias("stop")]
     plain = again.where("NOT mixed").select(*span)
     mixed = again.where("mixed").drop("mixed")
-    names = materialise(mixed.groupBy("core", "full").agg(F.count(F.lit(1)).alias("n")), label="names")
+    # Where a name occurs once its row is the one that stands for it; of others any will do.
+    one = F.min(F.struct("doc_id", "text_key", "start", "lo", "hi")).alias("one")
+    names = materialise(mixed.groupBy("core", "full").agg(F.count(F.lit(1)).alias("n"), one), label="names")
     twice = mixed.join(names.where("n > 1").select("core", "full"), ["core", "full"]).select(*span)
     # One row for each surrounding of a core; where all surroundings are settled already, none is needed.
     open_cores = names.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("least = 1")
     open_cores = materialise(open_cores, label="open")
-    open_ = mixed.join(names, ["core", "full"]).join(open_cores.select("core", "k"), "core")
-    single = open_.where("n = 1")
-    several = open_.where("n > 1").dropDuplicates(["core", "full"])
-    entries = single.unionByName(several).groupBy(*key).agg(F.collect_list(F.struct("start", "lo", "hi", "core", "n", "k")).alias("entries"))
+    open_ = names.join(open_cores.select("core", "k"), "core").select("one.*", "core", "n", "k")
+    entries = open_.groupBy(*key).agg(F.collect_list(F.struct("start", "lo", "hi", "core", "n", "k")).alias("entries"))
     near = docs.join(entries.hint("merge"), _same_document(docs, entries)).select(docs["doc_id"], docs["text_key"], "text", "entries")
     near = near.dropDuplicates(key) if _repeated_rows(docs) else near
     around = materialise(_surroundings(near, length, reach), label="surroundings")

@@ -1,8 +1,10 @@
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import graph
 from millrace.llm import jaccard_join as J
@@ -123,3 +125,25 @@ def test_members_of_groups_meet_though_their_representatives_do_not(spark, monke
         like = J.Likeness(1, percent)
         out = J.link(docs, like).collect()
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected(rows, like)
+
+
+def test_first_meetings_lose_no_pair(spark):
+    """Every pair that may link by sizes and by its first common token is met; late entries alone make no pairs."""
+    r = random.Random(12)
+    rows = []
+    for g in range(150):
+        n = r.choice([1, 2, 3, 5, 8, 20, 21, 22, 23, 24, 40, 100, 147, 147, 147, 173])
+        p = n - -(-85 * n // 100) + 1
+        for token in r.sample(range(12), min(12, p)):
+            rows.append((token, g, n * (1 << 31) + r.randrange(p), g, g))
+    df = spark.createDataFrame(rows, "token long, grp long, place long, lo long, hi long")
+    for percent in (80, 85, 100):
+        want = set()
+        for t, g, x, *_ in rows:
+            for u, h, y, *_ in rows:
+                (n, i), (m, j) = divmod(x, 1 << 31), divmod(y, 1 << 31)
+                if t == u and g < h and 100 * min(n, m) >= percent * max(n, m) and (100 + percent) * min(n - i, m - j) >= percent * (n + m):
+                    want.add((g, h))
+        assert {tuple(x) for x in J._first_meetings(df, percent).collect()} == want and want
+    joined = df.withColumns({"lo": F.lit(1), "hi": F.lit(1)})
+    assert J._first_meetings(joined, 85).count() == 0
