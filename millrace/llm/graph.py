@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,6 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     left = materialise(edges.select("a", "b").where("a <> b").distinct(), label="edges")
     steps: list[DataFrame] = []
+    past = [left]
     while not left.isEmpty():
         rank = lambda c: F.struct(F.xxhash64(F.lit(11), c).alias("r"), F.col(c).alias("node"))
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,10 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
         moved = left.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
         moved = moved.join(step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b").where("x <> y")
         left = materialise(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), label="edges")
+        past.append(left)
     if not steps:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
+        return edges.sparkSession.createDataFrame([], "node long, component long")
     out = steps[-1].select("node", F.col("to").alias("component"))
     for step in reversed(steps[:-1]):
         later = out.select(F.col("node").alias("to"), "component")
         out = step.join(later, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
-    return materialise(out, label="components")
+    out = materialise(out, label="components")
+    for table in [*past, *steps]:
+        discard(table)
+    return out

@@ -28,7 +28,7 @@ different nodes; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .common import kept_rows, text_key
 from .graph import components
 
@@ -210,7 +210,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, shingles binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, staged: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, by their whole sets.
 
     Sets travel to tiles of pairs.  A pair belongs to the smallest node that its smaller node is to meet, so the pairs of
@@ -222,12 +222,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ordered.select(F.col("b").alias("v"), F.col("a").alias("u"), F.lit(False).alias("own"))
     )
     low = both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("cluster"))
-    cut = ordered.join(materialise(low, label="clusters").withColumnRenamed("v", "a"), "a")
-    sizes = materialise(cut.groupBy("cluster").count(), label="sizes")
+    cut = ordered.join(staged(low, "clusters").withColumnRenamed("v", "a"), "a")
+    sizes = staged(cut.groupBy("cluster").count(), "sizes")
     parts = F.ceil(F.greatest(F.sqrt(2 * F.col("count")) / BLOCK, F.col("count") / TILE))
     place = lambda c: F.pmod(F.xxhash64(F.lit(3), c), parts)
     tiled = cut.join(sizes, "cluster").select(F.xxhash64("cluster", place("a"), place("b")).alias("tile"), "a", "b")
-    tiled = materialise(tiled, label="tiles")
+    tiled = staged(tiled, "tiles")
     needed = tiled.select("tile", F.explode(F.array("a", "b")).alias("node")).distinct()
     nothing = F.lit(None)
     have = needed.join(sets, "node").select("tile", F.col("node").alias("a"), nothing.cast("long").alias("b"), "shingles")
@@ -282,17 +282,24 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     percent = like.percent
     plain = docs.select(F.col(id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     rows = materialise(_prefixes(plain, like, frequent_tokens(plain, "text", like.words)), label="prefixes")
+    tables: list[DataFrame] = []
+
+    def staged(frame: DataFrame, label: str) -> DataFrame:
+        """Written to the shared folder until the components are known."""
+        tables.append(materialise(frame, label=label))
+        return tables[-1]
+
     full = rows.where("n > 0")
-    nodes = materialise(full.groupBy("node", "grp", "n").agg(F.min("doc_id").alias("first")), label="nodes")
+    nodes = staged(full.groupBy("node", "grp", "n").agg(F.min("doc_id").alias("first")), "nodes")
     groups = nodes.groupBy("grp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
-    groups = materialise(groups, label="groups")
+    groups = staged(groups, "groups")
     # One entry for each token of a group's prefix; ``place`` holds size and position.
     heads = full.select("grp", "n", "prefix").dropDuplicates(["grp"])
     index = heads.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
     index = index.select("token", "grp", (F.col("n") * (1 << 31) + F.col("pos")).alias("place"))
     by_token = Window.partitionBy("token")
     shared = index.withColumn("width", F.count(F.lit(1)).over(by_token)).where("width > 1")
-    shared = materialise(shared, label="index")
+    shared = staged(shared, "index")
     few, crowd = shared.where(F.col("width") <= FEW).drop("width"), shared.where(F.col("width") > FEW).drop("width")
 
     # What the bounds need to know of a group.
@@ -301,7 +308,7 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     # Hashes are ordered as unsigned numbers, and frequent tokens come behind all others.
     ends = full.select("grp", "n", F.size("prefix").alias("p"), F.struct(~F.col("rare"), last < 0, last).alias("end"))
     facts = ends.dropDuplicates(["grp"]).join(crowded, "grp", "left").na.fill(0, ["crowded"])
-    facts = materialise(facts, label="facts")
+    facts = staged(facts, "facts")
 
     def paired(one: DataFrame, two: DataFrame) -> DataFrame:
         """grp1, grp2, place1, place2, common: pairs of entries, in both orders of a pair's ids just once."""
@@ -335,7 +342,7 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     star = leads.where("lead.grp <> grp").select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y"))
     star = star.select(F.col("x.grp").alias("grp1"), F.col("y.grp").alias("grp2"), F.col("x.place").alias("place1"), F.col("y.place").alias("place2"))
     meetings = everyone.unionByName(star.withColumn("common", F.lit(0)))
-    between = materialise(possible(meetings, F.least("crowded1", "crowded2")), label="meetings")
+    between = staged(possible(meetings, F.least("crowded1", "crowded2")), "meetings")
     between = between.join(groups.select(F.col("grp").alias("grp1"), F.col("rep").alias("a"), F.col("members").alias("m1")), "grp1")
     between = between.join(groups.select(F.col("grp").alias("grp2"), F.col("rep").alias("b"), F.col("members").alias("m2")), "grp2")
     within = nodes.join(groups.where("members > 1").select("grp", "rep"), "grp").where("node <> rep")
@@ -343,13 +350,13 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among pairs of nodes."""
-        pairs = materialise(pairs, label="pairs")
+        pairs = staged(pairs, "pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = materialise(nodes.join(asked, "node", "left_semi").select("node", F.col("first").alias("doc_id")), label="wanted")
+        wanted = staged(nodes.join(asked, "node", "left_semi").select("node", F.col("first").alias("doc_id")), "wanted")
         chosen = wanted.select("doc_id").distinct()
         found = plain.join(chosen.hint("merge"), plain["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
         sets = _sets(found, like.words).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-        return materialise(_verified(pairs, sets, percent), label="links")
+        return staged(_verified(pairs, sets, percent, staged), "links")
 
     links = verified(first_pairs)
     found = components(links)
@@ -357,16 +364,16 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     # Second round: what meets in a crowded token or in a group, or has met through its representatives only, and is
     # still apart.
     at = nodes.select("node", "grp").join(found, "node", "left")
-    at = materialise(at.select("node", "grp", F.coalesce("component", "node").alias("component")), label="members")
-    spans = materialise(at.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), label="spans")
+    at = staged(at.select("node", "grp", F.coalesce("component", "node").alias("component")), "members")
+    spans = staged(at.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "spans")
     here = crowd.join(spans, "grp")
     here = here.withColumn("apart", F.min("lo").over(by_token) < F.max("hi").over(by_token)).where("apart").drop("apart")
-    here = materialise(here, label="apart")
-    met = materialise(_first_meetings(here, percent), label="met")
+    here = staged(here, "apart")
+    met = staged(_first_meetings(here, percent), "met")
     # What candidates have in common, counted on their whole prefixes.
     asked = met.select(F.explode(F.array("grp1", "grp2")).alias("grp")).distinct()
     whole = full.join(asked, "grp", "left_semi").dropDuplicates(["grp"]).select("grp", "n", "prefix")
-    whole = materialise(whole, label="whole")
+    whole = staged(whole, "whole")
     for k in (1, 2):
         met = met.join(whole.select(*[F.col(c).alias(f"{c}{k}") for c in whole.columns]), f"grp{k}")
     met = met.withColumn("both", F.array_intersect("prefix1", "prefix2")).withColumn("last", F.element_at("both", -1))
@@ -378,9 +385,12 @@ def link(docs: DataFrame, like: Likeness = Likeness(), id: str = "doc_id", text:
     others = between.where("m1 > 1 OR m2 > 1").select("grp1", "grp2")
     both = possible(met, F.lit(0)).unionByName(apart).unionByName(others).distinct()
     expanded = both.join(left, "grp1").join(right, "grp2").where("cx <> cy AND (grp1 <> grp2 OR x < y)")
-    second_pairs = materialise(expanded.select(F.col("x").alias("a"), F.col("y").alias("b")), label="pairs")
+    second_pairs = staged(expanded.select(F.col("x").alias("a"), F.col("y").alias("b")), "pairs")
     if not second_pairs.isEmpty():
+        tables.append(found)
         found = components(links.unionByName(verified(second_pairs)))
+    for table in tables:
+        discard(table)
 
     # The smallest id of each component; components are hot keys, so ids are pre-aggregated and joined back.
     known = rows.select("doc_id", "text_key", "n", "node").join(found, "node", "left")
