@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,18 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, id: str, text: str) -> DataF
     keyed = docs.toDF(*held).withColumn("_k", text_key(body))
     hit = keyed[key].eqNullSafe(verdicts["_id"]) & (keyed["_k"] == verdicts["_key"])
     return keyed.join(verdicts.distinct().hint("merge"), hit, "left_semi").drop("_k").toDF(*names)
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it has ended, not when the driver happens to collect garbage.
+
+    For chains of large stages that are each written to the shared folder.  A frame that is run a second time shuffles anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if was is None else spark.conf.set(name, was)

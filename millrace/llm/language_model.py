@@ -32,13 +32,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_within
-from ..session import materialise
-from .common import kept_rows, text_key
+from ..session import discard, materialise
+from .common import kept_rows, swept, text_key
 
 SYMBOLS = 256
 _GROUP = 1_000_000
 #: Bytes of text in a block, and the least number of blocks and of shards.
 BLOCK, LEAST_BLOCKS = 8 << 20, 256
+#: Blocks are scored in so many turns, at every size: that part of texts, questions and answers is on the disks at once.
+ROUNDS = 4
 _START, _EMPTY = 0x5BD1E995CA6D2C4A, 0x2F0B4C47E39A1D6E
 _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
@@ -234,14 +236,23 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "u long, v long, w long, n long").groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
 
 
+def _shards(frame: DataFrame, text: str) -> int:
+    size = frame.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return max(LEAST_BLOCKS, -(-size // BLOCK))
+
+
 def fit_words(texts: DataFrame) -> DataFrame:
-    """key, num, total, held: of every seen n-gram its discounted count, and as a context its sum and what it keeps for
-    the unseen.  ``texts``: text, model."""
+    """shard, shards, and as arrays sorted by key, num, total, held: of every seen n-gram its discounted count, and as a
+    context its sum and what it keeps for the unseen.  ``texts``: text, model.
+
+    Written to the shared folder; the counts it comes from are removed.
+    """
+    n = _shards(texts, "text")
     three = materialise(count_words(texts), label="words3")
     two = materialise(three.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n")), label="words2")
     one = materialise(two.groupBy("w").agg(F.count(F.lit(1)).alias("n")), label="words1")
     empty = F.lit(_EMPTY).bitwiseOR(F.col("w").bitwiseAND(F.lit(1)))
-    tables = []
+    rows = None
     for counts, words, context in (
         (three, ("u", "v", "w"), _key_column("u", "v")),
         (two, ("v", "w"), F.col("v")),
@@ -250,14 +261,32 @@ def fit_words(texts: DataFrame) -> DataFrame:
         d1, d2, d3 = _discounts(counts)
         off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         none = F.lit(0.0)
-        tables.append(counts.select(_key_column(*words).alias("key"), (F.col("n") - off).alias("num"), none.alias("total"), none.alias("held")))
+        seen = counts.select(_key_column(*words).alias("key"), (F.col("n") - off).alias("num"), none.alias("total"), none.alias("held"))
         sums = counts.groupBy(context.alias("key")).agg(F.sum("n").cast("double").alias("total"), F.sum(off).alias("held"))
-        tables.append(sums.select("key", none.alias("num"), "total", "held"))
-    # Only trigrams are no context of a longer one.
-    rest = tables[1]
-    for t in tables[2:]:
-        rest = rest.unionByName(t)
-    return tables[0].unionByName(rest.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("num", "total", "held")]))
+        both = seen.unionByName(sums.select("key", none.alias("num"), "total", "held"))
+        rows = both if rows is None else rows.unionByName(both)
+
+    def pack(table: pa.Table) -> pa.Table:
+        keys, at = np.unique(table.column("key").to_numpy().view(np.uint64), return_inverse=True)
+        # What an n-gram is as such and what it is as a context come as two rows.
+        known = np.empty(len(keys), _ANSWER)
+        known["key"] = keys
+        for c in _ANSWER.names[1:]:
+            known[c] = np.bincount(at, table.column(c).to_numpy(), len(keys))
+        return pa.table(
+            {
+                "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
+                "shards": pa.array([n], pa.int32()),
+                "entries": pa.array([_packed(known)], pa.binary()),
+            }
+        )
+
+    shard = F.pmod(F.shiftrightunsigned("key", 1), F.lit(n)).cast("int").alias("shard")
+    packed = rows.select(shard, *_ANSWER.names).groupBy("shard").applyInArrow(pack, "shard int, shards int, entries binary")
+    packed = materialise(packed, label="words")
+    for counts in (three, two, one):
+        discard(counts)
+    return packed
 
 
 def _parts(u: np.ndarray, v: np.ndarray, w: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -269,14 +298,29 @@ def _parts(u: np.ndarray, v: np.ndarray, w: np.ndarray) -> list[tuple[np.ndarray
 _ANSWER = np.dtype([("key", "<u8"), ("num", "<f8"), ("total", "<f8"), ("held", "<f8")])
 
 
+def _packed(known: np.ndarray) -> bytes:
+    """Column by column, which compresses: most n-grams have the same count and are no context."""
+    return b"".join(known[c].tobytes() for c in _ANSWER.names)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = len(blob) // _ANSWER.itemsize
+    known, at = np.empty(n, _ANSWER), 0
+    for c in _ANSWER.names:
+        known[c] = np.frombuffer(blob, _ANSWER[c], n, at)
+        at += n * _ANSWER[c].itemsize
+    return known
+
+
 def fluency(docs: DataFrame, model: DataFrame, orders: list[Order], text: str, folds: Column) -> DataFrame:
     """``docs`` without the text, with ``n_bytes`` and ``perplexity`` per byte, by words over spelling."""
     keep = [c for c in docs.columns if c != text]
-    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    n = max(LEAST_BLOCKS, -(-size // BLOCK))
+    n = _shards(docs, text)
+    shards = model.agg(F.max("shards")).first()[0] or 1
     names = [f"k{i}" for i in range(len(keep))]
+    # Repeats of one row go to different blocks.
     dealt = docs.select(
-        F.pmod(F.xxhash64(*keep), F.lit(n)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(*keep, F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("block"),
         (F.lit(1) - folds).alias("model"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         *[F.col(c).alias(k) for c, k in zip(keep, names)],
@@ -291,19 +335,15 @@ def fluency(docs: DataFrame, model: DataFrame, orders: list[Order], text: str, f
     def ask(table: pa.Table) -> pa.Table:
         found = [np.unique(np.concatenate([x for pair in _parts(*w[:3]) for x in pair])) for _, w in texts_of(table)]
         keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-        shard = ((keys >> np.uint64(1)) % np.uint64(n)).astype(np.int32)
+        shard = ((keys >> np.uint64(1)) % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
-        shards, first = np.unique(shard[order], return_index=True)
+        asked, first = np.unique(shard[order], return_index=True)
         blobs = [x.tobytes() for x in np.split(keys[order], first[1:])] if len(keys) else []
         block = table.column("block")[0].as_py()
-        return pa.table({"shard": pa.array(shards, pa.int32()), "block": pa.array([block] * len(shards), pa.int32()), "keys": pa.array(blobs, pa.binary())})
+        return pa.table({"shard": pa.array(asked, pa.int32()), "block": pa.array([block] * len(asked), pa.int32()), "keys": pa.array(blobs, pa.binary())})
 
     def answer(asked: pa.Table, counts: pa.Table) -> pa.Table:
-        known = np.empty(counts.num_rows, _ANSWER)
-        for c in _ANSWER.names:
-            x = counts.column(c).to_numpy()
-            known[c] = x.view(np.uint64) if c == "key" else x
-        known.sort(order="key")
+        known = _unpacked(counts.column("entries")[0].as_py() if counts.num_rows else b"")
         blocks, blobs = [], []
         if len(known):
             for block, blob in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist()):
@@ -312,14 +352,14 @@ def fluency(docs: DataFrame, model: DataFrame, orders: list[Order], text: str, f
                 hit = known[at[known["key"][at] == keys]]
                 if len(hit):
                     blocks.append(block)
-                    blobs.append(hit.tobytes())
+                    blobs.append(_packed(hit))
         return pa.table({"block": pa.array(blocks, pa.int32()), "found": pa.array(blobs, pa.binary())})
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         if "logs" not in shared.value:
             shared.value["logs"] = log_table(shared.value["orders"])
         logs = shared.value["logs"]
-        known = np.frombuffer(b"".join(answers.column("found").to_pylist()), _ANSWER)
+        known = np.concatenate([np.empty(0, _ANSWER), *[_unpacked(x) for x in answers.column("found").to_pylist()]])
         known = known[np.argsort(known["key"])]
 
         def rows(keys: np.ndarray) -> np.ndarray:
@@ -352,11 +392,16 @@ def fluency(docs: DataFrame, model: DataFrame, orders: list[Order], text: str, f
         got = {k: table.column(k) for k in names}
         return pa.table(got | {"n_bytes": pa.array(sizes, pa.int64()), "perplexity": pa.array(values, pa.float64(), from_pandas=True)})
 
-    asked = dealt.select("block", "model", "text").groupBy("block").applyInArrow(ask, "shard int, block int, keys binary")
-    sharded = model.select(F.pmod(F.shiftrightunsigned("key", 1), F.lit(n)).cast("int").alias("shard"), *_ANSWER.names)
-    found = asked.groupBy("shard").cogroup(sharded.groupBy("shard")).applyInArrow(answer, "block int, found binary")
     ddl = ", ".join(f"{k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(keep, names))
-    scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, f"{ddl}, n_bytes long, perplexity double")
+    scored = None
+    for turn in range(ROUNDS):
+        # Both sides read the same columns, so that the texts are dealt once.
+        now = dealt.where(F.col("block") % ROUNDS == turn).groupBy("block")
+        asked = now.applyInArrow(ask, "shard int, block int, keys binary")
+        found = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(answer, "block int, found binary")
+        part = now.cogroup(found.groupBy("block")).applyInArrow(score, f"{ddl}, n_bytes long, perplexity double")
+        part = materialise(part, label="perplexities")
+        scored = part if scored is None else scored.unionByName(part)
     return scored.select(*[F.col(k).alias(c) for c, k in zip(keep, names)], "n_bytes", "perplexity")
 
 
@@ -390,7 +435,10 @@ def judge(
             F.lit(None).cast("double").alias("threshold"), (empty > 0).alias("kept"),
         )
     fold = F.pmod("text_key", F.lit(2))
-    scores = materialise(fluency(narrow, fit_words(good.select("text", fold.alias("model"))), orders, "text", fold), label="perplexities")
+    with swept(spark):
+        model = fit_words(good.select("text", fold.alias("model")))
+        scores = fluency(narrow, model, orders, "text", fold)
+    discard(model)
     known = scores.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("cut")
     own = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= least)
