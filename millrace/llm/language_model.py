@@ -39,7 +39,7 @@ SYMBOLS = 256
 _GROUP = 1_000_000
 #: Bytes of text in a block, and the least number of blocks and of shards.
 BLOCK, LEAST_BLOCKS = 8 << 20, 256
-#: Blocks are scored in so many turns, at every size: that part of texts, questions and answers is on the disks at once.
+#: Shards are packed and blocks scored in so many turns, at every size: that part of what is shuffled is on the disks at once.
 ROUNDS = 4
 _START, _EMPTY = 0x5BD1E995CA6D2C4A, 0x2F0B4C47E39A1D6E
 _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -281,9 +281,13 @@ def fit_words(texts: DataFrame) -> DataFrame:
             }
         )
 
-    shard = F.pmod(F.shiftrightunsigned("key", 1), F.lit(n)).cast("int").alias("shard")
-    packed = rows.select(shard, *_ANSWER.names).groupBy("shard").applyInArrow(pack, "shard int, shards int, entries binary")
-    packed = materialise(packed, label="words")
+    shard = F.pmod(F.shiftrightunsigned("key", 1), F.lit(n)).cast("int")
+    packed = None
+    for turn in range(ROUNDS):
+        now = rows.withColumn("shard", shard).where(F.col("shard") % ROUNDS == turn)
+        now = now.groupBy("shard").applyInArrow(pack, "shard int, shards int, entries binary")
+        now = materialise(now, label="words")
+        packed = now if packed is None else packed.unionByName(now)
     for counts in (three, two, one):
         discard(counts)
     return packed
@@ -438,7 +442,7 @@ def judge(
     with swept(spark):
         model = fit_words(good.select("text", fold.alias("model")))
         scores = fluency(narrow, model, orders, "text", fold)
-    discard(model)
+        discard(model)
     known = scores.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("cut")
     own = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= least)
