@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import discard, materialise
+from .fingerprint import Fingerprint, parts, same_multiset
 
 
 # What rounding each group's total to a double may lose of a sum.
@@ -28,6 +29,7 @@ class Gates:
     ``totals``      name -> (aggregate over the output, number it has to equal[, relative tolerance]); the
                     number may be a function, asked after the output was written (see ``counted``)
     ``ddl``         declared names, order and types of the output
+    ``rerun_of``    fingerprint of an earlier run over the same input, which this one has to repeat
     """
 
     unique: Sequence[str] = ()
@@ -35,6 +37,7 @@ class Gates:
     violations: Mapping[str, Column] = field(default_factory=dict)
     totals: Mapping[str, tuple] = field(default_factory=dict)
     ddl: str | None = None
+    rerun_of: Fingerprint | None = None
 
 
 def schema_problems(df: DataFrame, ddl: str) -> list[str]:
@@ -60,6 +63,8 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
         aggs.append(F.count_if(cond).alias(f"bad_{i}"))
     for i, (total, *_) in enumerate(gates.totals.values()):
         aggs.append(F.coalesce(total, F.lit(0)).alias(f"total_{i}"))
+    if gates.rerun_of:
+        aggs.append(F.struct(*parts(df)).alias("mark"))
     if len(aggs) == 1:
         return found
     got = df.agg(*aggs).first()
@@ -75,6 +80,8 @@ def problems(df: DataFrame, gates: Gates) -> list[str]:
         number = (want() if callable(want) else want) or 0
         if not _close(got[f"total_{i}"], number, *slack):
             found.append(f"{name}: expected {number}, got {got[f'total_{i}']}")
+    if gates.rerun_of and gates.rerun_of != Fingerprint(tuple(df.dtypes), *got["mark"]):
+        found.append(f"rerun: {gates.rerun_of.rows} rows before, {got['rows']} now, and not the same")
     return found
 
 
@@ -121,19 +128,26 @@ def counted(df: DataFrame, aggs: Mapping[str, Column]):
     """``df``, and a function that gives its numbers as they were in the run that read it.
 
     Ask after an action over ``df`` is through.  Where that run had no need to read it at all, because nothing
-    could come of it (an empty side of a join), the numbers are computed when asked for.
+    could come of it (an empty side of a join), the numbers are computed when asked for.  Any other failure is one.
     """
     seen, numbers = Observation(), [e.alias(name) for name, e in aggs.items()]
 
     def ask(name: str):
         try:
             return seen.get[name]
-        except Py4JJavaError:
+        except Py4JJavaError as e:
+            if not _unseen(e):
+                raise
             return df.agg(*numbers).first()[name]
 
     return df.observe(seen, *numbers), ask
 
 
+def _unseen(e: Py4JJavaError) -> bool:
+    """The run was through and had left the observed rows out."""
+    return e.java_exception.getClass().getName() == "java.lang.AssertionError"
+
+
 def measure(df: DataFrame, aggs: Mapping[str, Column]):
     """Several whole-table numbers in one pass, as one row."""
     return df.agg(*[e.alias(name) for name, e in aggs.items()]).first()
@@ -145,5 +159,11 @@ def row_count(df: DataFrame) -> int:
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
-    """Both hold the same rows with the same multiplicity: the rerun gate."""
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Both hold the same rows with the same multiplicity: the rerun gate, one aggregate per side."""
+    return same_multiset(a, b)
+
+
+def differing_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """What ``same_rows`` found: rows with how many more of them ``a`` holds than ``b``."""
+    both = a.withColumn("_more", F.lit(1)).unionByName(b.withColumn("_more", F.lit(-1)))
+    return both.groupBy(*a.columns).agg(F.sum("_more").alias("surplus")).filter("surplus <> 0")

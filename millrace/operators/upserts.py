@@ -27,9 +27,7 @@ def apply_changes(
     ``outer``  the batch collapsed first, then a full outer join.
     """
     if route == "union":
-        held = current.select(*keys, F.lit("S").alias(op), *cols, at, F.lit(1).alias("_held"))
-        batch = changes.select(*keys, op, *cols, at, F.lit(0).alias("_held"))
-        last = keep_latest(held.unionByName(batch), keys, [at, "_held"])
+        last = apply_changes_kept(current.withColumn(op, F.lit("S")), changes, keys, cols, at, op)
         return last.filter(F.col(op) != delete).select(*keys, *cols, at)
     if route == "outer":
         batch = keep_latest(changes.select(*keys, op, *cols, at), keys, [at])
@@ -45,6 +43,15 @@ def apply_changes(
     raise ValueError(f"unknown route {route!r}")
 
 
+def apply_changes_kept(
+    current: DataFrame, changes: DataFrame, keys: Sequence[str], cols: Sequence[str], at: str, op: str = "op"
+) -> DataFrame:
+    """The same with tombstones: both sides have ``op``, and a deleted key stays with the time of its deletion."""
+    held = current.select(*keys, op, *cols, at, F.lit(1).alias("_held"))
+    batch = changes.select(*keys, op, *cols, at, F.lit(0).alias("_held"))
+    return keep_latest(held.unionByName(batch), keys, [at, "_held"]).drop("_held")
+
+
 def latest_of_both(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """SCD1 snapshot: the latest row per key of the old snapshot and the delta."""
     return keep_latest(history.unionByName(delta), keys, [at])

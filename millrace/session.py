@@ -48,12 +48,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 
 def discard(staged: DataFrame) -> None:
-    """Remove the folder behind a frame that ``materialise`` wrote."""
+    """Remove the folders behind a frame of what ``materialise`` wrote, a union of several included."""
     spark = staged.sparkSession
-    folder = os.path.dirname(staged.inputFiles()[0]) if staged.inputFiles() else None
-    if folder and "/millrace/" in folder:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {os.path.dirname(f) for f in staged.inputFiles()}:
+        if "/millrace/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, how: str = "table", label: str = "stage") -> DataFrame:

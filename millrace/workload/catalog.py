@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, incremental, joins, nested, storage, timeline  # noqa: F401
+from . import aggregates, folders, incremental, joins, nested, storage, timeline  # noqa: F401
 from .registry import QUERIES, TWINS
 
 __all__ = ["QUERIES", "TWINS"]
