@@ -13,7 +13,8 @@ its conversation is (``root_turn``, ``depth``, ``turn``): each message after the
 
 Defined cases: a null text is empty; messages without conversation or turn are never linked and start a thread of their
 own; repeated rows are repeated, with the same links; quotes of nothing known are removed from the text and not linked; a
-message of quotes only has an empty text; an empty table gives an empty result.
+line that announces a quote ("On ... wrote:") goes with it, what follows the mark of a forwarded message is one level of quotes
+more, and the headers there are linked to nothing; a message of quotes only has an empty text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
+from .common import swept
 
 _MARKS = r"^(?:[ \t]*>)+[ ]?"
 _QUOTED = r"(?m)^[ \t]*>"
+# Lines that mail programs put before what they quote or forward, and the headers of a forwarded message.
+_WROTE = r"^[ \t]*On\b.{1,300}\bwrote:[ \t]*$"
+_FORWARDED = r"^[ \t]*-{2,}[ \t]*(?:Original|Forwarded) [Mm]essage[ \t]*-{2,}[ \t]*$"
+_HEADER = r"^[ \t]*(?:From|Sent|Date|To|Cc|Subject|Reply-To):"
 RUN, WINDOW = 8, 4
 
 
@@ -32,16 +38,24 @@ def _normal(text: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(text, r"\s+", " ")))
 
 
-def _parsed(text: Column) -> Column:
-    """Lines with level, text behind the marks, and normalised text."""
+def _with_lines(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``lines`` of their ``body``: level, text behind the marks, normalised text, and whether the line
+    only announces a quote.  The arrays are columns of their own, so that no line splits the text anew."""
 
-    def line(x: Column) -> Column:
+    def line(x: Column, i: Column) -> Column:
         marks = F.regexp_extract(x, _MARKS, 0)
         body = F.regexp_replace(x, _MARKS, "")
-        level = F.char_length(F.regexp_replace(marks, "[^>]", ""))
-        return F.struct(level.alias("level"), body.alias("body"), _normal(body).alias("normal"))
+        behind = (F.col("mark") > 0) & (i + 1 >= F.col("mark"))
+        level = F.char_length(F.regexp_replace(marks, "[^>]", "")) + behind.cast("int")
+        then, later = (F.coalesce(F.get("raw", i + k), F.lit("")) for k in (1, 2))
+        quoted = then.rlike(_QUOTED) | ((F.trim(then) == "") & later.rlike(_QUOTED))
+        note = (behind & ((i + 1 == F.col("mark")) | x.rlike(_HEADER))) | (~behind & x.rlike(_WROTE) & quoted)
+        level = F.when(note, F.greatest(level, F.lit(1))).otherwise(level)
+        return F.struct(level.alias("level"), body.alias("body"), F.when(note, "").otherwise(_normal(body)).alias("normal"), note.alias("note"))
 
-    return F.transform(F.split(text, "\r?\n", -1), line)
+    split = messages.withColumn("raw", F.split("body", "\r?\n", -1))
+    marked = split.withColumn("mark", F.array_position(F.transform("raw", lambda x: x.rlike(_FORWARDED)), True).cast("int"))
+    return marked.withColumn("lines", F.transform("raw", line)).drop("raw", "mark")
 
 
 def _winnowed(words: Column) -> Column:
@@ -99,14 +113,39 @@ def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
         body.alias("body"),
         F.xxhash64(F.col(conv), F.col(turn), F.col(role), body, F.length(body)).alias("mid"),
     )
-    linkable = plain.where("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", "mid", "body").dropDuplicates(["conv", "turn", "mid"])
+    with swept(messages.sparkSession):
+        tree = _tree(plain)
+    out = _with_lines(plain).join(tree, ["conv", "mid"], "left")
+    unquoted = F.trim(F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n"))
+    quoted = F.size(F.filter("lines", lambda x: (x["level"] > 0) & ~x["note"]))
+    clean = F.regexp_replace(F.regexp_replace(unquoted, r"^\s+", ""), r"\s+$", "")
+    out = out.withColumn("clean", F.when(quoted > 0, clean).otherwise(F.col("body")))
+    return out.select(
+        F.col("conv").alias("conv_id"),
+        "turn",
+        "role",
+        F.col("clean").alias("text"),
+        "parent_turn",
+        F.coalesce("root_turn", "turn").alias("root_turn"),
+        F.coalesce("depth", F.lit(0)).alias("depth"),
+        quoted.alias("n_quoted_lines"),
+        F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), F.col("clean"), F.lit("\n<|end|>")).alias("formatted"),
+    )
+
+
+def _tree(plain: DataFrame) -> DataFrame:
+    """conv, mid, parent_turn, root_turn, depth of the messages that answer one."""
     keys = ["conv", "turn", "mid"]
-    # Conversations in which somebody quotes.
-    quoting = linkable.where(F.col("body").rlike(_QUOTED)).select("conv").distinct()
-    active = linkable.join(quoting, "conv", "left_semi")
-    lines = active.select(*keys, F.posexplode(_parsed(F.col("body"))).alias("pos", "line"))
-    lines = lines.select(*keys, "pos", "line.level", "line.normal")
+    linkable = plain.where("conv IS NOT NULL AND turn IS NOT NULL").select(*keys, "body")
+    # Conversations in which somebody quotes, written first: a small number of them needs no shuffle of the texts.
+    quotes = F.col("body").rlike(_QUOTED) | F.col("body").rlike("(?m)" + _FORWARDED)
+    quoting = materialise(linkable.where(quotes).select("conv").distinct(), label="quoting")
+    active = _with_lines(linkable.join(quoting, "conv", "left_semi"))
+    lines = active.select(*keys, F.posexplode("lines").alias("pos", "line")).select(*keys, "pos", "line.level", "line.normal")
+    # Repeats of a message go here; only lines of quoting conversations are shuffled, once.
+    lines = materialise(lines.distinct(), label="lines")
     units = materialise(_units(lines, keys), label="units")
+    discard(lines)
 
     # Per conversation and hash, in the order of turns: the latest earlier message that has it among its own.  Own units
     # of a turn sort behind the quotes of the same turn.
@@ -144,20 +183,4 @@ def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
         if jumped.where("moved").isEmpty():
             break
 
-    tree = parents.drop("up").join(jumps.drop("up"), ["conv", "mid"])
-    out = plain.withColumn("lines", _parsed(F.col("body"))).join(tree, ["conv", "mid"], "left")
-    unquoted = F.trim(F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n"))
-    quoted = F.size(F.filter("lines", lambda x: x["level"] > 0))
-    clean = F.regexp_replace(F.regexp_replace(unquoted, r"^\s+", ""), r"\s+$", "")
-    out = out.withColumn("clean", F.when(quoted > 0, clean).otherwise(F.col("body")))
-    return out.select(
-        F.col("conv").alias("conv_id"),
-        "turn",
-        "role",
-        F.col("clean").alias("text"),
-        "parent_turn",
-        F.coalesce("root_turn", "turn").alias("root_turn"),
-        F.coalesce("depth", F.lit(0)).alias("depth"),
-        quoted.alias("n_quoted_lines"),
-        F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), F.col("clean"), F.lit("\n<|end|>")).alias("formatted"),
-    )
+    return parents.drop("up").join(jumps.drop("up"), ["conv", "mid"])

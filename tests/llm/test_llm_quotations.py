@@ -1,3 +1,4 @@
+import random
 import textwrap
 
 import pytest
@@ -82,3 +83,44 @@ def test_wrapped_paragraphs_sentences_and_parts_of_them(spark):
     ]
     tree = {r.turn: (r.parent_turn, r.depth) for r in Q.link_quotations(frame(spark, rows)).collect()}
     assert tree == {0: (None, 0), 1: (0, 1), 2: (0, 1), 3: (0, 1), 4: (0, 1), 5: (None, 0)}
+
+
+def test_announcing_lines_and_forwarded_messages(spark):
+    rows = [
+        (1, 0, "user", "The plan is to leave at noon.\nOn Monday my friend wrote: nothing new."),
+        (1, 1, "assistant", "On Mon, 3 Feb 2025, Ann <ann@x.org> wrote:\n> The plan is to leave at noon.\nI agree."),
+        (1, 2, "user", "See below.\n\n-----Original Message-----\nFrom: Ann\nSubject: plan\n\nI agree.\n> The plan is to leave at noon."),
+        (1, 3, "user", "On Tue, Bob wrote:\n\n> See below.\nDone."),
+        (2, 0, "user", "--- Forwarded message ---\nsaid by nobody"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in Q.link_quotations(frame(spark, rows)).collect()}
+    assert {k: (r.parent_turn, r.root_turn, r.depth) for k, r in got.items()} == {
+        (1, 0): (None, 0, 0), (1, 1): (0, 0, 1), (1, 2): (1, 0, 2), (1, 3): (2, 0, 3), (2, 0): (None, 0, 0)
+    }
+    assert [got[k].text for k in sorted(got)] == [rows[0][3], "I agree.", "See below.", "Done.", ""]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_planted_trees(spark, seed):
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for conv in range(20):
+        said, quoted, parents = [], [], []
+        for turn in range(rng.randrange(1, 9)):
+            own = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(rng.randrange(12, 30))) + "." for _ in range(rng.randrange(1, 4))]
+            parent = rng.choice([None, *range(turn)])
+            before = []
+            if parent is not None:
+                part = textwrap.wrap(rng.choice(said[parent]), rng.choice([40, 72]))
+                before = [">" + x if x.startswith(">") else "> " + x for x in [*quoted[parent], *part]]
+            said.append(own)
+            quoted.append(before)
+            parents.append(parent)
+            depth = 0 if parent is None else want[conv, parent][1] + 1
+            want[conv, turn] = (parent, depth, "\n\n".join(own))
+            text = "\n".join([*before, "\n\n".join(own)])
+            rows += [(conv, turn, "user", text)] * rng.choice([1, 1, 3])
+    rng.shuffle(rows)
+    out = Q.link_quotations(frame(spark, rows)).collect()
+    assert len(out) == len(rows)
+    assert {(r.conv_id, r.turn): (r.parent_turn, r.depth, r.text) for r in out} == want
