@@ -125,7 +125,7 @@ def existence_joins_sql(t: Given):
     "outreach_list",
     """
 SELECT c_custkey AS cust_id, 'N' || c_nationkey AS country FROM customer
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
   AND NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 AND user_id = c_custkey)
 """,
 )
@@ -133,7 +133,7 @@ def outreach_list(t: Given):
     customers = t.customer.select(
         F.col("c_custkey").alias("cust_id"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("country")
     )
-    orders = t.orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")).select(F.col("o_custkey").alias("cust_id"))
+    orders = t.orders.select(F.col("o_custkey").alias("cust_id"))
     complaints = t.events.filter(F.col("event_type") == "error").select(
         F.col("event_id").alias("complaint_id"), _fill("user_id", 3, "event_id").alias("cust_id")
     )

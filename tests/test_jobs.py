@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.quality import GateError, same_rows
 from millrace.plans import facts, reports, serving
+from millrace.workload.catalog import QUERIES
 
 # ---------------------------------------------------------------- sessions
 
@@ -360,6 +361,16 @@ def test_outreach(spark):
     same(serving.outreach_list(customers, orders, complaints), [(1, "X"), (3, "X")], "cust_id int, country string")
 
 
+def test_outreach_list_takes_every_order(spark, tmp_path):
+    """Any order makes a buyer, whatever its status, priority or number; a complaint of nobody excludes nobody."""
+    spark.createDataFrame([(i, i) for i in range(1, 6)], "c_custkey bigint, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(1, 1, "F", "5-LOW"), (2, 2, "O", "2-HIGH"), (7, 3, "P", "1-URGENT"), (8, 4, "P", "5-LOW"), (9, None, "P", "1-URGENT")]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    events = [(1, 2, "error"), (2, 1, "view"), (3, 4, "error"), (4, None, "error")]
+    spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    same(QUERIES["outreach_list"](spark, str(tmp_path)), [(1, "N1"), (3, "N3"), (4, "N4")], "cust_id bigint, country string")
+
+
 def test_best_offers(spark):
     catalog = spark.createDataFrame([("a", None, "base"), ("a", "red", "red"), ("b", None, "poa"), ("c", "x", "none")], "sku string, variant string, product_name string")
     offers = spark.createDataFrame(
