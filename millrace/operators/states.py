@@ -2,9 +2,10 @@
 
 A bitmap state has a row per key and ``BITS`` consecutive ids, of ``BITS / 8`` bytes however many rows went in.  A sketch
 state has a row per key, of ``2 ** lg`` registers, whose estimates have a relative standard error of about
-``1.04 / sqrt(2 ** lg)``.  Both are built with a partial aggregate, so a key that holds a third of the rows sends one state
-per task; both are united in any order, any number of times, with the same result, which is what allows them to be stored
-by day and put together into longer windows later, without the events.
+``1.04 / sqrt(2 ** lg)``.  Sketches are built with a partial aggregate, so a key that holds a third of the rows sends one
+state per task.  Bitmaps of few ids are far larger than the ids: distinct ids travel, spread evenly, and each bitmap is
+built once, from at most ``BITS`` of them.  Both are united in any order, any number of times, with the same result, which
+is what allows them to be stored by day and put together into longer windows later, without the events.
 """
 
 from __future__ import annotations
@@ -21,13 +22,16 @@ from ..session import materialise
 
 #: Ids of a bitmap: fixed by the built-in bitmap functions.
 BITS = 32_768
+#: Ids of a word, as which bitmaps are counted.
+_WORD = 64
 
 
 def bitmap_states(df: DataFrame, keys: Sequence[str | Column], col: str) -> DataFrame:
     """keys, ``bucket``, ``bits`` of an integer column.  A key whose values are all NULL has an empty bitmap."""
-    return df.groupBy(*keys, F.bitmap_bucket_number(col).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(col)).alias("bits")
-    )
+    ids = df.select(*keys, F.bitmap_bucket_number(col).alias("bucket"), F.bitmap_bit_position(col).alias("_bit")).distinct()
+    place = ids.columns[:-1]
+    # Dealt by state before the aggregate: no task sends bitmaps, one for each state it has an id of.
+    return ids.repartition(*place).groupBy(*place).agg(F.bitmap_construct_agg("_bit").alias("bits"))
 
 
 def bitmap_union(states: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -35,8 +39,18 @@ def bitmap_union(states: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 
 
 def bitmap_counts(states: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Exact distinct counts."""
-    return bitmap_union(states, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    """Exact distinct counts.
+
+    Bitmaps are united word by word, without the words that are zero: whole bitmaps of few ids shrink some fifty times on
+    their way, and a task whose share is measured by what arrives would have to sort that many times its share.
+    """
+    word, size = F.explode(F.sequence(F.lit(0), F.lit(BITS // _WORD - 1))).alias("_word"), F.lit(_WORD // 8)
+    words = states.select(*keys, "bucket", "bits", word)
+    words = words.withColumn("bits", F.substring("bits", F.col("_word") * size + 1, size))
+    # The first word stays, so that keys without ids do.
+    words = words.filter((F.col("_word") == 0) | (F.col("bits") != F.lit(bytes(_WORD // 8))))
+    united = words.groupBy(*keys, "bucket", "_word").agg(F.bit_or(F.conv(F.hex("bits"), 16, -10).cast("bigint")).alias("bits"))
+    return united.groupBy(*keys).agg(F.sum(F.bit_count("bits").cast("bigint")).alias(name))
 
 
 def sketch_states(df: DataFrame, keys: Sequence[str | Column], col: str, lg: int = 12) -> DataFrame:
