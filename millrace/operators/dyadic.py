@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timing import epoch_us, whole_div
@@ -60,26 +61,46 @@ def measured(windows: DataFrame, lo: str, hi: str) -> DataFrame:
 
 
 def cell_rows(windows: DataFrame, keys: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """One row for each cell of each of the ``measured`` windows: keys, ``_level``, ``_cell`` and ``keep``."""
-    rows = windows.select(*keys, *keep, F.explode(cells(F.col("_first"), F.col("_end"), F.col("_top"))).alias("_c"))
-    return rows.select(*keys, F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell"), *keep)
+    """One row for each cell of each of the ``measured`` windows: keys, ``_level``, ``_cell`` and ``keep``.
 
+    The cells of ``cells``, level by level as rows, whose arithmetic is compiled.
+    """
+    levels = windows.select(*keys, *keep, "_first", "_end", F.explode(F.sequence(F.lit(0), F.col("_top"))).alias("_level"))
+    low, high = -_shift(-F.col("_first"), F.col("_level")), _shift(F.col("_end"), F.col("_level"))  # rounded up and down
+    levels = levels.withColumns({"_low": low, "_high": high}).filter("_low < _high AND (_low & 1 = 1 OR _high & 1 = 1)")
+    odd = lambda c: F.col(c).bitwiseAND(F.lit(1)) == 1
+    ends = F.array(F.when(odd("_low"), F.col("_low")), F.when(odd("_high"), F.col("_high") - 1))
+    return levels.select(*keys, "_level", F.explode(ends).alias("_cell"), *keep).filter(F.col("_cell").isNotNull())
 
-def highest_cover(windows: DataFrame, keys: Sequence[str], lo: str, hi: str, rank: str, since: str) -> DataFrame:
-    """keys, ``since``, ``rank``: from each instant on at which something begins or ends, the highest ``rank`` of the windows
-    that cover it, NULL for none, until the key's next row.
 
-    A window covers its cells whole, so only the highest of a cell counts, and an instant meets at most one row per level:
-    neither long windows nor many that overlap multiply anything.  A NULL in a key covers nothing.
+def highest_cover(windows: DataFrame, keys: Sequence[str], lo: str, hi: str, rank: str, since: str) -> DataFrame:
+    """keys, ``since``, ``rank``: from each instant on at which something begins or ends to be seen, the highest ``rank`` of
+    the windows that cover it, NULL for none, until the key's next row.  ``rank`` orders windows by their start first.
+
+    Of one start, windows show one after the other: the next best from where all better ones have ended.  These parts
+    are disjoint, so that a start and where its part begins tell a window, and the latest start is all that a cell needs:
+    numbers, which are aggregated without sorting.  Where a window starts nothing is asked, as it is the latest there.  A
+    part covers its cells whole and an instant meets at most one row per level: neither long windows nor many that
+    overlap multiply anything.  A NULL in a key covers nothing.
     """
     for k in keys:
         windows = windows.filter(F.col(k).isNotNull())
     sized = measured(windows.select(*keys, lo, hi, rank), lo, hi)
-    index = cell_rows(sized, keys, [rank]).groupBy(*keys, "_level", "_cell").agg(F.max(rank).alias(rank))
-    ends = F.array("_first", F.when(F.col(hi).isNotNull(), F.col("_end")))
-    marks = sized.select(*keys, "_unit", "_top", F.explode(ends).alias("_tick")).filter(F.col("_tick").isNotNull()).distinct()
-    asked = marks.withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_top"))))
+    better = W.partitionBy(*keys, lo).orderBy(F.col(rank).desc()).rowsBetween(W.unboundedPreceding, -1)
+    parts = sized.withColumn("_from", F.coalesce(F.max("_end").over(better), F.col("_first"))).filter("_from < _end")
+    cells_ = cell_rows(parts.select(*keys, F.col("_from").alias("_first"), "_end", "_top", F.col("_first").alias("_start"), "_from"), keys, ["_start", "_from"])
+    latest = [F.max_by("_from", "_start").alias("_from"), F.max("_start").alias("_start")]
+    index = cells_.groupBy(*keys, "_level", "_cell").agg(*latest)
+    begun = parts.filter("_from = _first")
+    begins = begun.select(*keys, "_unit", "_top", F.col("_first").alias("_tick"), F.lit(True).alias("_begins"))
+    ends = parts.filter(F.col(hi).isNotNull()).select(*keys, "_unit", "_top", F.col("_end").alias("_tick"), F.lit(False).alias("_begins"))
+    marks = begins.unionByName(ends).groupBy(*keys, "_unit", "_top", "_tick").agg(F.max("_begins").alias("_begins")).filter(~F.col("_begins"))
+    asked = marks.select(*keys, "_unit", "_tick", F.explode(F.sequence(F.lit(0), F.col("_top"))).alias("_level"))
     asked = asked.withColumn("_cell", _shift(F.col("_tick"), F.col("_level")))
-    found = asked.join(index, [*keys, "_level", "_cell"], "left")
-    best = found.groupBy(*keys, (F.col("_tick") * F.col("_unit")).alias("_tick")).agg(F.max(rank).alias(rank))
-    return best.select(*keys, F.timestamp_micros("_tick").cast("timestamp_ntz").alias(since), rank)
+    found = asked.join(index, [*keys, "_level", "_cell"]).select(*keys, "_unit", "_tick", "_start", "_from")
+    none = marks.select(*keys, "_unit", "_tick", F.lit(None).cast("bigint").alias("_start"), F.lit(None).cast("bigint").alias("_from"))
+    best = found.unionByName(none).groupBy(*keys, "_unit", "_tick").agg(*latest)
+    told = parts.select(*keys, F.col("_first").alias("_start"), "_from", rank)
+    steps = best.join(told, [*keys, "_start", "_from"], "left").select(*keys, "_unit", "_tick", rank)
+    steps = begun.select(*keys, "_unit", F.col("_first").alias("_tick"), rank).unionByName(steps)
+    return steps.select(*keys, F.timestamp_micros(F.col("_tick") * F.col("_unit")).cast("timestamp_ntz").alias(since), rank)

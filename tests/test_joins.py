@@ -328,3 +328,23 @@ def test_bitmaps_are_counted_without_being_sorted(spark):
     assert "Exchange" in construct[2] and all("bitmap_construct_agg" in x for x in construct[:2])
     whole = spark.createDataFrame([(0, i) for i in (-32_768, -1, 0, 63, 64, 32_767, 32_768, 65_536)] + [(1, i) for i in range(64)], "k int, v bigint")
     assert rows(states.bitmap_counts(states.bitmap_states(whole, ["k"], "v"), ["k"], "n")) == [(0, 8), (1, 64)]
+
+
+def test_highest_cover_numbers_are_not_sorted_as_structures(spark):
+    """Equal starts, ends that meet starts, open and empty windows, against brute force; aggregates of numbers only."""
+    r = random.Random(11)
+    base = datetime(2025, 1, 1)
+    at = lambda h: base + timedelta(hours=h)
+    dim = [(r.choice(["a", "a", "b", None]), a, r.choice([None, a, a + 1, a + r.randrange(-1, 40)]), f"n{i:03d}") for i, a in enumerate(r.choices(range(25), k=150))]
+    d = spark.createDataFrame([(k, at(a), None if z is None else at(z), n) for k, a, z, n in dim], "k string, lo timestamp_ntz, hi timestamp_ntz, name string")
+    side = d.withColumn("_hit", F.struct("lo", "name"))
+    steps = dyadic.highest_cover(side, ["k"], "lo", "hi", "_hit", "since")
+    got = {(x["k"], x["since"]): x["_hit"] and x["_hit"]["name"] for x in steps.collect()}
+    assert steps.count() == len(got) and {k for k, _ in got} == {"a", "b"}
+    for k in "ab":
+        seen = None
+        for h in range(-1, 70):
+            seen = got.get((k, at(h)), seen)
+            assert seen == max([(a, n) for dk, a, z, n in dim if dk == k and a <= h and (z is None or h < z)], default=(0, None))[1], (k, h)
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
