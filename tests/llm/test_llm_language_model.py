@@ -181,3 +181,27 @@ def test_more_than_64_languages_have_thresholds_of_their_own(spark):
     out = L.judge(docs, labels, least=2).join(docs.select("doc_id", "lang"), "doc_id").collect()
     worst = {k: max(r.perplexity for r in out if r.lang == k) for k in {r.lang for r in out}}
     assert all(math.isclose(r.threshold, 1.25 * worst[r.lang]) for r in out)
+
+
+def test_the_model_is_small_and_no_question_moves_it(spark):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(map(str, rng.integers(0, 20_000, 2000))) for _ in range(40)]
+    model = L.fit_words(spark.createDataFrame([(t, 1) for t in texts], "text string, model int"))
+    asked = spark.range(8).select(F.col("id").cast("int").alias("shard"), "id")
+    joined = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(lambda a, b: a.select(["id"]), "id long")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    keys = 40 * 2000 * 2  # nearly all pairs and trigrams occur once
+    size = model.where("kind > 1").agg(F.sum(F.octet_length("entries"))).first()[0]
+    assert 6 * keys < size < 10 * keys
+
+
+def test_words_are_named_by_their_bytes_alone():
+    import pyarrow as pa
+
+    words = [b"", b"a", b"b", b"ab", b"ba", b"a" * 24, b"a" * 25, b"a" * 300, b"a" * 24 + b"b", "é".encode()]
+    names = L._hashes(pa.array(words, pa.large_binary()))
+    assert len(set(names.tolist())) == len(words)
+    for k, w in enumerate(words):
+        assert L._hashes(pa.array([b"other", w], pa.large_binary()))[1] == names[k]
+        assert L._hashes(pa.array([b"x" * 30, w], pa.large_binary()).slice(1))[0] == names[k]
