@@ -46,7 +46,7 @@ _GROUP = 1_000_000
 BLOCK, LEAST_BLOCKS = 4 << 20, 96
 SHARD, LEAST_SHARDS = 4 << 20, 48
 #: Shards are counted and blocks scored in so many turns, at every size: that part of what is shuffled is on the disks at once.
-TURNS, ROUNDS = 8, 8
+TURNS, ROUNDS = 8, 10
 #: Bytes of trusted text whose words are named together.
 SLICE = 8 << 20
 _START = 0x5BD1E995CA6D2C4A
@@ -462,12 +462,22 @@ def fit_words(texts: DataFrame, name: str | None = None) -> DataFrame:
         rows.write.mode("append").option("path", path).partitionBy("kind").bucketBy(buckets, "shard").saveAsTable(name)
 
     buckets = max(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = None
     for turn in range(TURNS):
         store(_count(tokens, n, turn).groupBy("shard").applyInArrow(merge, MODEL))
+        # Words are added up every other turn: those of single shards are as large as the model.
+        if turn % 2 or turn == TURNS - 1:
+            parts = spark.table(name).where("kind = 0")
+            more = parts if words is None else parts.unionByName(words)
+            more = more.select("entries").mapInArrow(deal, "shard int, entries binary").groupBy("shard").applyInArrow(add, MODEL)
+            more = materialise(more, label="words1")
+            for old in (parts, words):
+                if old is not None:
+                    discard(old)
+            words = more
     discard(tokens)
-    parts = spark.table(name).where("kind = 0")
-    store(parts.select("entries").mapInArrow(deal, "shard int, entries binary").groupBy("shard").applyInArrow(add, MODEL))
-    discard(parts)
+    store(words)
+    discard(words)
     return spark.table(name).where("kind > 0")
 
 
